@@ -28,10 +28,12 @@ from stellate.operators.profile import (
 )
 from stellate.operators.quality import quality_report
 from stellate.plans import tables as T
+from stellate.plans.pipeline import run_load, sources_from_driver_tables
 from stellate.sinks.files import write_csv, write_parquet
 from stellate.session import scratch_path
 from stellate.sources import driver_tables as A
 from stellate.sources.files import read_demographics, read_lookup, read_temperatures
+from stellate.streaming.incremental import start_fact_stream
 
 # ---------------------------------------------------------------------------
 # SQL building blocks (DuckDB dialect)
@@ -465,6 +467,26 @@ def q_weather_csv(spark, d):
                                read_lookup(spark, lookup_path, "country", clean=True))
 
 
+def q_star_load(spark, d):
+    """End-to-end: build, write and check the five star tables."""
+    return run_load(spark, sources_from_driver_tables(spark, d), scratch_path(spark, "star"),
+                    calendar_null_dates="drop")
+
+
+_FACT_COLS = [c for c, _ in schemas.OUTPUT_COLUMNS["fact_immigration"] if c != "immig_id"]
+
+
+def q_incremental_fact(spark, d):
+    """The fact table loaded by the streaming job, one file per micro-batch."""
+    feed = scratch_path(spark, "arrivals_feed")
+    write_parquet(A.arrivals(spark, d), feed)
+    out = scratch_path(spark, "fact_stream")
+    query = start_fact_stream(spark, feed, out, scratch_path(spark, "fact_stream_state"),
+                              max_files_per_trigger=1)
+    query.awaitTermination()
+    return spark.read.parquet(out).select(*_FACT_COLS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "arrivals_adapter": q_arrivals_adapter,
     "sas_date": q_sas_date,
@@ -494,6 +516,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "partitioned_roundtrip": q_partitioned_roundtrip,
     "demographics_csv": q_demographics_csv,
     "weather_csv": q_weather_csv,
+    "star_load": q_star_load,
+    "incremental_fact": q_incremental_fact,
 }
 
 _DEDUPE_ORDER = ["l_linenumber"] + [c for c in _LINEITEM_COLS if c not in ("l_orderkey", "l_linenumber")]
@@ -541,4 +565,6 @@ ORACLE_SQL: dict[str, str] = {
     "partitioned_roundtrip": f"SELECT * FROM ({FACT_SQL}) WHERE arr_year = {_ROUNDTRIP_YEAR}",
     "demographics_csv": DEMOG_DIM_SQL,
     "weather_csv": WEATHER_CLEAN_SQL,
+    "star_load": QUALITY_SQL,
+    "incremental_fact": FACT_SQL,
 }
