@@ -25,10 +25,63 @@ def null_counts_long(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
     return wide.unpivot([], [F.col(f"`{c}`") for c in cols], "column", "n_null")
 
 
+SUMMARY_STATS = ("count", "mean", "stddev", "min", "25%", "50%", "75%", "max")
+# Text that Spark's string -> double cast accepts; other text is skipped
+# without attempting (and failing) the cast row by row.
+_NUMERIC_TEXT = (r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?[dDfF]?"
+                 r"|(?i:inf|infinity))\s*$|^\s*(?i:nan)\s*$")
+_APPROX_ACCURACY = 10000
+
+
 def summary(df: DataFrame, *statistics: str) -> DataFrame:
-    """Spark's column summary (count, mean, stddev, min, approximate
-    quartiles, max) over every column, strings included."""
-    return df.summary(*statistics)
+    """Column summary in ``DataFrame.summary`` layout: one row per statistic
+    (count, mean, stddev, min, approximate quartiles, max), one text column
+    per input column, strings included (mean/stddev/quantiles over the
+    values that parse as numbers, min/max lexicographic).
+
+    All statistics of all columns come from a single aggregate pass (partial
+    per task, one small final merge), reshaped with ``inline``.
+    """
+    stats = tuple(statistics) or SUMMARY_STATS
+    pcts = [s for s in stats if s.endswith("%")]
+    fracs = [float(s[:-1]) / 100.0 for s in pcts]
+    aggs, cells = [], {s: [] for s in stats}
+    for i, f in enumerate(df.schema.fields):
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, T.NumericType):
+            num = c.cast("double")
+        elif isinstance(f.dataType, T.StringType):
+            num = F.when(c.rlike(_NUMERIC_TEXT), c.try_cast("double"))
+        else:
+            num = None
+        for s in stats:
+            name = f"__{i}_{s}"
+            if s == "count":
+                aggs.append(F.count(c).alias(name))
+            elif s in ("min", "max"):
+                aggs.append((F.min(c) if s == "min" else F.max(c)).alias(name))
+            elif num is None:
+                aggs.append(F.lit(None).cast("string").alias(name))
+            elif s == "mean":
+                aggs.append(F.avg(num).alias(name))
+            elif s == "stddev":
+                aggs.append(F.stddev_samp(num).alias(name))
+            elif s.endswith("%"):
+                continue
+            else:
+                raise ValueError(f"unknown statistic {s!r}")
+            cells[s].append(F.col(name).cast("string").alias(f.name))
+        if pcts:
+            qname = f"__{i}_q"
+            if num is None:
+                aggs.append(F.lit(None).cast("array<double>").alias(qname))
+            else:
+                aggs.append(F.percentile_approx(num, fracs, _APPROX_ACCURACY).alias(qname))
+            for k, s in enumerate(pcts):
+                cells[s].append(F.element_at(F.col(qname), k + 1).cast("string").alias(f.name))
+    one = df.agg(*aggs)
+    rows = F.array(*[F.struct(F.lit(s).alias("summary"), *cells[s]) for s in stats])
+    return one.select(F.inline(rows))
 
 
 def _numeric(df: DataFrame) -> list[str]:

@@ -37,6 +37,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _big_side(df: DataFrame) -> DataFrame:
+    """orders and customer grow with the scale factor: join them by shuffle
+    (sort-merge, spills, AQE splits skewed keys) — the plan a large input
+    needs — instead of letting tiny test files pick a broadcast."""
+    return df.hint("merge")
+
+
 def _null(t: str = "string"):
     return F.lit(None).cast(t)
 
@@ -47,8 +54,8 @@ def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    j = (li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
-           .join(c, F.col("o_custkey") == F.col("c_custkey")))
+    j = (li.join(_big_side(o), F.col("l_orderkey") == F.col("o_orderkey"))
+           .join(_big_side(c), F.col("o_custkey") == F.col("c_custkey")))
     col = F.col
     days = F.datediff(F.to_date(col("o_orderdate")), F.lit(_SAS_EPOCH))
     status, prio = col("o_orderstatus"), col("o_orderpriority")
@@ -101,8 +108,9 @@ def temperatures(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    j = (o.join(c, F.col("o_custkey") == F.col("c_custkey"))
-          .join(n, F.col("c_nationkey") == F.col("n_nationkey")))
+    # nation has 25 rows at every scale factor: a broadcast of fixed size.
+    j = (o.join(_big_side(c), F.col("o_custkey") == F.col("c_custkey"))
+          .join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey")))
     col = F.col
     out = [
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("dt"),
