@@ -49,7 +49,7 @@ def summary(df: DataFrame, *statistics: str) -> DataFrame:
     for i, f in enumerate(df.schema.fields):
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.NumericType):
-            num = c.cast("double")
+            num = c  # quantiles keep the column's own type, as DataFrame.summary does
         elif isinstance(f.dataType, T.StringType):
             num = F.when(c.rlike(_NUMERIC_TEXT), c.try_cast("double"))
         else:
@@ -74,7 +74,7 @@ def summary(df: DataFrame, *statistics: str) -> DataFrame:
         if pcts:
             qname = f"__{i}_q"
             if num is None:
-                aggs.append(F.lit(None).cast("array<double>").alias(qname))
+                aggs.append(F.lit(None).cast("array<string>").alias(qname))
             else:
                 aggs.append(F.percentile_approx(num, fracs, _APPROX_ACCURACY).alias(qname))
             for k, s in enumerate(pcts):

@@ -482,7 +482,7 @@ def q_incremental_fact(spark, d):
     write_parquet(A.arrivals(spark, d), feed)
     out = scratch_path(spark, "fact_stream")
     query = start_fact_stream(spark, feed, out, scratch_path(spark, "fact_stream_state"),
-                              max_files_per_trigger=1)
+                              max_files_per_trigger=4)
     query.awaitTermination()
     return spark.read.parquet(out).select(*_FACT_COLS)
 

@@ -6,22 +6,21 @@ from pyspark.sql import DataFrame
 
 
 def write_parquet(df: DataFrame, path: str, *, mode: str = "overwrite",
-                  partition_by: str | None = None,
-                  cluster_by_partition: bool = True) -> None:
+                  partition_by: str | None = None, rebalance: bool = False) -> None:
     """Write Parquet, optionally hive-partitioned by one column.
 
-    With ``partition_by`` the rows are first shuffled by the partition value
-    (a REBALANCE hint) so each value is written by few tasks: the file count
-    stays near the number of partition values instead of tasks x values, and
-    AQE splits a value that holds a large share of the rows over several
-    tasks.  A null
-    partition value lands in ``<col>=__HIVE_DEFAULT_PARTITION__``.
-    ``mode='errorifexists'`` refuses to replace existing data.
+    Without ``rebalance`` every task writes its rows straight out (one file
+    per partition value present in the task): no extra shuffle, which is
+    right when values are few per task (a month of arrivals is one year).
+    ``rebalance=True`` first shuffles by the partition value (REBALANCE hint)
+    so each value is written by few tasks — fewer, larger files when many
+    values are spread over many tasks — and AQE splits a value holding a
+    large share of the rows over several writers.  A null partition value
+    lands in ``<col>=__HIVE_DEFAULT_PARTITION__``.  ``mode='errorifexists'``
+    refuses to replace existing data.
     """
-    writer_df = df
-    if partition_by and cluster_by_partition:
-        writer_df = df.hint("rebalance", partition_by)
-    w = writer_df.write.mode(mode)
+    out = df.hint("rebalance", partition_by) if (partition_by and rebalance) else df
+    w = out.write.mode(mode)
     if partition_by:
         w = w.partitionBy(partition_by)
     w.parquet(path)

@@ -60,3 +60,15 @@ def test_sample_and_top_n(spark):
     assert sample_rows(df, 10, seed=1).count() == 10
     assert sample_rows(df, 5000).count() == 1000
     assert [r.id for r in top_n(df, ["id"], 3).collect()] == [0, 1, 2]
+
+
+def test_summary_matches_builtin(spark):
+    df = spark.createDataFrame(
+        [(1, 2.5, "10", "x"), (None, -1.0, " 2.5 ", None), (3, None, "NaN", "b"),
+         (4, 8.0, "1e3", "a"), (5, 0.5, "abc", "c")],
+        "i int, d double, numtext string, s string")
+    ours = [tuple(r) for r in summary(df).collect()]
+    builtin = [tuple(r) for r in df.summary().collect()]
+    assert ours == builtin
+    assert [tuple(r) for r in summary(df, "count", "max").collect()] == \
+        [tuple(r) for r in df.summary("count", "max").collect()]
