@@ -33,6 +33,10 @@ _NUMERIC_TEXT = (r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?[dDfF]?"
 _APPROX_ACCURACY = 10000
 
 
+def _sql_text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def summary(df: DataFrame, *statistics: str) -> DataFrame:
     """Column summary in ``DataFrame.summary`` layout: one row per statistic
     (count, mean, stddev, min, approximate quartiles, max), one text column
@@ -40,48 +44,53 @@ def summary(df: DataFrame, *statistics: str) -> DataFrame:
     values that parse as numbers, min/max lexicographic).
 
     All statistics of all columns come from a single aggregate pass (partial
-    per task, one small final merge), reshaped with ``inline``.
+    per task, one small final merge), reshaped with ``inline``.  The plan is
+    built from SQL text in two calls, which keeps building a summary of a
+    wide table cheap.
     """
     stats = tuple(statistics) or SUMMARY_STATS
     pcts = [s for s in stats if s.endswith("%")]
-    fracs = [float(s[:-1]) / 100.0 for s in pcts]
+    fracs = ", ".join(repr(float(s[:-1]) / 100.0) for s in pcts)
+    numeric_text = _sql_text(_NUMERIC_TEXT)
     aggs, cells = [], {s: [] for s in stats}
     for i, f in enumerate(df.schema.fields):
-        c = F.col(f"`{f.name}`")
+        c = "`" + f.name.replace("`", "``") + "`"
         if isinstance(f.dataType, T.NumericType):
             num = c  # quantiles keep the column's own type, as DataFrame.summary does
         elif isinstance(f.dataType, T.StringType):
-            num = F.when(c.rlike(_NUMERIC_TEXT), c.try_cast("double"))
+            num = f"CASE WHEN {c} RLIKE {numeric_text} THEN try_cast({c} AS DOUBLE) END"
         else:
             num = None
         for s in stats:
             name = f"__{i}_{s}"
             if s == "count":
-                aggs.append(F.count(c).alias(name))
+                aggs.append(f"count({c}) AS `{name}`")
             elif s in ("min", "max"):
-                aggs.append((F.min(c) if s == "min" else F.max(c)).alias(name))
-            elif num is None:
-                aggs.append(F.lit(None).cast("string").alias(name))
-            elif s == "mean":
-                aggs.append(F.avg(num).alias(name))
-            elif s == "stddev":
-                aggs.append(F.stddev_samp(num).alias(name))
+                aggs.append(f"{s}({c}) AS `{name}`")
             elif s.endswith("%"):
                 continue
-            else:
+            elif s not in ("mean", "stddev"):
                 raise ValueError(f"unknown statistic {s!r}")
-            cells[s].append(F.col(name).cast("string").alias(f.name))
+            elif num is None:
+                aggs.append(f"CAST(NULL AS STRING) AS `{name}`")
+            else:
+                fn = "avg" if s == "mean" else "stddev_samp"
+                aggs.append(f"{fn}({num}) AS `{name}`")
+            cells[s].append(f"CAST(`{name}` AS STRING)")
         if pcts:
             qname = f"__{i}_q"
             if num is None:
-                aggs.append(F.lit(None).cast("array<string>").alias(qname))
+                aggs.append(f"CAST(NULL AS ARRAY<STRING>) AS `{qname}`")
             else:
-                aggs.append(F.percentile_approx(num, fracs, _APPROX_ACCURACY).alias(qname))
+                aggs.append(f"percentile_approx({num}, array({fracs}), {_APPROX_ACCURACY}) AS `{qname}`")
             for k, s in enumerate(pcts):
-                cells[s].append(F.element_at(F.col(qname), k + 1).cast("string").alias(f.name))
-    one = df.agg(*aggs)
-    rows = F.array(*[F.struct(F.lit(s).alias("summary"), *cells[s]) for s in stats])
-    return one.select(F.inline(rows))
+                cells[s].append(f"CAST(element_at(`{qname}`, {k + 1}) AS STRING)")
+    names = [_sql_text(f.name) for f in df.schema.fields]
+    rows = ", ".join(
+        f"named_struct('summary', {_sql_text(s)}, "
+        + ", ".join(f"{n}, {cell}" for n, cell in zip(names, cells[s])) + ")"
+        for s in stats)
+    return df.selectExpr(*aggs).selectExpr(f"inline(array({rows}))")
 
 
 def _numeric(df: DataFrame) -> list[str]:

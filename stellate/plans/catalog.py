@@ -19,7 +19,7 @@ from stellate import schemas
 from stellate.functions.columns import to_int, visa_category
 from stellate.operators.columns import drop_null_rows, keep_not_null, require_not_null
 from stellate.operators.dedupe import (
-    dedupe_by_key, distinct_rows, duplicate_rows, latest_per_key,
+    dedupe_by_key, distinct_rows, distinct_values, duplicate_rows, latest_per_key,
 )
 from stellate.operators.joins import lookup_join
 from stellate.operators.keys import dense_ids, unique_ids
@@ -467,6 +467,24 @@ def q_weather_csv(spark, d):
                                read_lookup(spark, lookup_path, "country", clean=True))
 
 
+def q_distinct_values(spark, d):
+    return distinct_values(A.arrivals(spark, d), "i94port")
+
+
+def _lookup_csv(spark, d):
+    path = scratch_path(spark, "country_lookup_csv")
+    write_csv(A.country_lookup(spark, d), path, single_file=True)
+    return path
+
+
+def q_lookup_clean(spark, d):
+    return T.build_lookup(spark, _lookup_csv(spark, d), "country", clean=True)
+
+
+def q_lookup_raw(spark, d):
+    return T.build_lookup(spark, _lookup_csv(spark, d), "country", clean=False)
+
+
 def q_star_load(spark, d):
     """End-to-end: build, write and check the five star tables."""
     return run_load(spark, sources_from_driver_tables(spark, d), scratch_path(spark, "star"),
@@ -518,6 +536,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "weather_csv": q_weather_csv,
     "star_load": q_star_load,
     "incremental_fact": q_incremental_fact,
+    "distinct_values": q_distinct_values,
+    "lookup_clean": q_lookup_clean,
+    "lookup_raw": q_lookup_raw,
 }
 
 _DEDUPE_ORDER = ["l_linenumber"] + [c for c in _LINEITEM_COLS if c not in ("l_orderkey", "l_linenumber")]
@@ -567,4 +588,7 @@ ORACLE_SQL: dict[str, str] = {
     "weather_csv": WEATHER_CLEAN_SQL,
     "star_load": QUALITY_SQL,
     "incremental_fact": FACT_SQL,
+    "distinct_values": f"SELECT DISTINCT i94port FROM ({ARRIVALS_SQL})",
+    "lookup_clean": COUNTRY_LOOKUP_CLEAN_SQL,
+    "lookup_raw": COUNTRY_LOOKUP_SQL,
 }
