@@ -36,6 +36,29 @@ def get_session(app: str = "stellate", master: str | None = None,
     return spark
 
 
+_MB = 1 << 20
+
+
+def sizing_conf(input_bytes: int, total_cores: int, *,
+                target_partition_bytes: int = 256 * _MB) -> dict[str, str]:
+    """Shuffle and scan sizing for a job over ``input_bytes`` of Parquet.
+
+    Initial shuffle partitions are chosen so each holds about
+    ``target_partition_bytes`` of input (at least two per core, capped at
+    100k); AQE then coalesces small ones and splits skewed ones, aiming at
+    the same size.  Scan splits use the same target, so a task's input fits
+    comfortably in executor memory and spills cleanly when it does not.
+    """
+    by_size = -(-int(input_bytes) // target_partition_bytes)
+    partitions = max(2 * total_cores, min(by_size, 100_000))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Return the session's reliable checkpoint folder, setting it up if needed.
 

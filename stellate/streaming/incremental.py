@@ -32,6 +32,8 @@ from stellate.operators.columns import allow_null, require_not_null
 from stellate.plans.tables import fact_rows, with_arrival_dates
 
 _BATCH_BITS = 42
+_STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def fact_stream(spark: SparkSession, arrivals_dir: str, *,
@@ -71,7 +73,14 @@ def start_fact_stream(spark: SparkSession, arrivals_dir: str, output_dir: str,
                       max_files_per_trigger: int | None = None,
                       available_now: bool = True,
                       processing_time: str | None = None) -> StreamingQuery:
-    """Start the incremental fact load; returns the running query."""
+    """Start the incremental fact load; returns the running query.
+
+    The de-duplication state can hold every fact row, so unless the session
+    already picked a state store the RocksDB one is used (state on local
+    disk, changelog in the checkpoint location) instead of executor memory.
+    """
+    if not spark.conf.get(_STATE_PROVIDER, None):
+        spark.conf.set(_STATE_PROVIDER, _ROCKSDB)
     stream = fact_stream(spark, arrivals_dir, watermark=watermark,
                          max_files_per_trigger=max_files_per_trigger)
     w = (stream.writeStream.outputMode("append")
