@@ -52,9 +52,14 @@ def dense_ids(df: DataFrame, order_by: Sequence[str], name: str = "id",
     """
     spark = df.sparkSession
     order = list(order_by) + [c for c in df.columns if c not in order_by]
-    order_cols = [F.col(f"`{c}`") for c in order]
+    # The last tie-break is a per-row tag: it only orders rows that are equal
+    # in every column (so results do not depend on it), but it lets the range
+    # partitioner split a row repeated a billion times over many partitions.
+    tag = "__dense_tag"
+    order_cols = [F.col(f"`{c}`") for c in order] + [F.col(tag)]
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = materialize(df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols))
+    tagged = df.withColumn(tag, F.monotonically_increasing_id())
+    ranged = materialize(tagged.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols))
     sizes = dict(ranged.groupBy(F.spark_partition_id().alias("p")).count().collect())
     parts = max(sizes) + 1 if sizes else 1
     offsets, running = [], 0

@@ -27,3 +27,13 @@ def test_dense_ids_with_ties_and_empty_partitions(spark):
     df = spark.createDataFrame([("a", 1), ("a", 1), ("b", None)], "k string, v int")
     got = sorted((r.id, r.k) for r in dense_ids(df, ["k"], num_partitions=8).collect())
     assert got == [(1, "a"), (2, "a"), (3, "b")]
+
+
+def test_dense_ids_spreads_a_hot_row(spark):
+    # A third of the rows are one and the same row.
+    hot = spark.range(3000).selectExpr("CASE WHEN id < 1000 THEN 0 ELSE id END AS k")
+    got = dense_ids(hot, ["k"], name="rid", num_partitions=6)
+    sizes = [r[1] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 1000
+    assert got.agg(F.count_distinct("rid"), F.max("rid")).collect()[0] == (3000, 3000)
+    assert got.where("k = 0").agg(F.max("rid")).collect()[0][0] == 1000
