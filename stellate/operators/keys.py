@@ -7,20 +7,23 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stellate.session import checkpoint_root
+from stellate.session import scratch_path
 
 _ROW_BITS = 33  # monotonically_increasing_id: partition index << 33 | row index
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and cut its lineage.
+def materialize(df: DataFrame, label: str = "materialized") -> DataFrame:
+    """Write ``df`` as a Parquet table in the shared checkpoint folder and read
+    it back: the lineage is cut and the rows are fixed.
 
     Needed wherever two actions must see the very same rows (ids that depend
     on partitioning); a lost executor re-reads the files instead of
-    recomputing a different answer.
+    recomputing a different answer.  The plan runs once (an eager RDD
+    checkpoint would run it twice) and the copy is columnar and compressed.
     """
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, label)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def unique_ids(df: DataFrame, name: str = "id", method: str = "monotonic",
@@ -45,30 +48,32 @@ def dense_ids(df: DataFrame, order_by: Sequence[str], name: str = "id",
               num_partitions: int | None = None, first: bool = True) -> DataFrame:
     """Add ids 1..N following ``order_by`` (ties broken by the other columns).
 
-    Distributed: range-partition and sort within partitions, materialise, count
-    rows per partition (one small row per partition reaches the driver), then
-    each row's id is its partition's offset plus its position — no
-    single-partition window.
+    Distributed: range-partition and sort within partitions; each row's
+    (partition, position) is taken right after the sort and the result is
+    materialised.  One count per partition reaches the driver; a row's id is
+    its partition's offset plus its position — no single-partition window.
     """
     spark = df.sparkSession
     order = list(order_by) + [c for c in df.columns if c not in order_by]
     # The last tie-break is a per-row tag: it only orders rows that are equal
     # in every column (so results do not depend on it), but it lets the range
     # partitioner split a row repeated a billion times over many partitions.
-    tag = "__dense_tag"
+    tag, pos = "__dense_tag", "__dense_pos"
     order_cols = [F.col(f"`{c}`") for c in order] + [F.col(tag)]
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tagged = df.withColumn(tag, F.monotonically_increasing_id())
-    ranged = materialize(tagged.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols))
-    sizes = dict(ranged.groupBy(F.spark_partition_id().alias("p")).count().collect())
+    ranged = (df.withColumn(tag, F.monotonically_increasing_id())
+              .repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+              .withColumn(pos, F.monotonically_increasing_id()))
+    stored = materialize(ranged.drop(tag), "dense_ids")
+    part = F.shiftright(F.col(pos), _ROW_BITS)
+    sizes = dict(stored.groupBy(part.alias("p")).count().collect())
     parts = max(sizes) + 1 if sizes else 1
     offsets, running = [], 0
     for p in range(parts):
         offsets.append(running)
         running += sizes.get(p, 0)
-    position = F.monotonically_increasing_id().bitwiseAND((1 << _ROW_BITS) - 1)
     offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]),
-                          F.spark_partition_id() + 1)
-    ident = (offset + position + 1).alias(name)
+                          (part + 1).cast("int"))
+    ident = (offset + F.col(pos).bitwiseAND((1 << _ROW_BITS) - 1) + 1).alias(name)
     cols = [F.col(f"`{c}`") for c in df.columns]
-    return ranged.select(ident, *cols) if first else ranged.select(*cols, ident)
+    return stored.select(ident, *cols) if first else stored.select(*cols, ident)

@@ -123,10 +123,10 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str],
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     counts = _long_values(df, columns).groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))
     ranged = (counts.repartitionByRange(n, "column", "v")
-              .sortWithinPartitions("column", "v"))
-    ranged = ranged.withColumn("p", F.spark_partition_id())
+              .sortWithinPartitions("column", "v")
+              .withColumn("pos", F.monotonically_increasing_id()))
     from stellate.operators.keys import materialize
-    ranged = materialize(ranged)
+    ranged = materialize(ranged, "quantiles").withColumn("p", F.shiftright("pos", 33))
     totals = (ranged.groupBy("p", "column").agg(F.sum("n").alias("t"))
               .collect())
     per_col: dict[str, list[tuple[int, int]]] = {}
@@ -152,7 +152,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str],
         return {}
     off_map = F.create_map(*[x for (c, p), o in offsets.items()
                              for x in (F.lit(f"{p}\u0001{c}"), F.lit(o).cast("long"))])
-    w = Window.partitionBy("p", "column").orderBy("v").rowsBetween(
+    w = Window.partitionBy("p", "column").orderBy("pos").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     cum = (ranged.withColumn("end", F.sum("n").over(w)
                              + off_map[F.concat_ws("\u0001", F.col("p").cast("string"), F.col("column"))])
