@@ -81,3 +81,9 @@ def require_not_null(df: DataFrame, names: Iterable[str]) -> DataFrame:
 def allow_null(df: DataFrame, names: Iterable[str]) -> DataFrame:
     """Declare ``names`` nullable (values unchanged)."""
     return df.withColumns({n: F.when(F.col(n).isNotNull(), F.col(n)) for n in names})
+
+
+def set_nullable(df: DataFrame, names: Iterable[str], nullable: bool = True) -> DataFrame:
+    """One call for both directions: ``nullable=False`` asserts (see
+    :func:`require_not_null`), ``nullable=True`` relaxes (:func:`allow_null`)."""
+    return allow_null(df, names) if nullable else require_not_null(df, names)

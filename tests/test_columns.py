@@ -57,3 +57,10 @@ def test_projection_helpers(spark):
     assert keep_not_null(df, "b").count() == 1
     assert drop_null_rows(df, ["b", "c"]).count() == 0
     assert [r.c for r in fill_cast_long(df, ["c"]).collect()] == [2, 0]
+
+
+def test_set_nullable_both_ways(spark):
+    from stellate.operators.columns import set_nullable
+    df = spark.createDataFrame([(1,)], "k int")
+    assert set_nullable(df, ["k"], False).schema["k"].nullable is False
+    assert set_nullable(set_nullable(df, ["k"], False), ["k"], True).schema["k"].nullable is True
