@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stellate.session import scratch_path
@@ -50,8 +50,10 @@ def dense_ids(df: DataFrame, order_by: Sequence[str], name: str = "id",
 
     Distributed: range-partition and sort within partitions; each row's
     (partition, position) is taken right after the sort and the result is
-    materialised.  One count per partition reaches the driver; a row's id is
-    its partition's offset plus its position — no single-partition window.
+    materialised.  A running sum over the per-partition row counts (one row
+    per partition) gives each partition's offset, broadcast back to the rows;
+    a row's id is its partition's offset plus its position.  Nothing passes
+    through the driver and no window spans the data.
     """
     spark = df.sparkSession
     order = list(order_by) + [c for c in df.columns if c not in order_by]
@@ -65,15 +67,13 @@ def dense_ids(df: DataFrame, order_by: Sequence[str], name: str = "id",
               .repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
               .withColumn(pos, F.monotonically_increasing_id()))
     stored = materialize(ranged.drop(tag), "dense_ids")
+    # One row per range partition (a table bounded by n, not by the data):
+    # rows before it = running sum of the partition sizes.
     part = F.shiftright(F.col(pos), _ROW_BITS)
-    sizes = dict(stored.groupBy(part.alias("p")).count().collect())
-    parts = max(sizes) + 1 if sizes else 1
-    offsets, running = [], 0
-    for p in range(parts):
-        offsets.append(running)
-        running += sizes.get(p, 0)
-    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]),
-                          (part + 1).cast("int"))
-    ident = (offset + F.col(pos).bitwiseAND((1 << _ROW_BITS) - 1) + 1).alias(name)
+    before = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (stored.groupBy(part.alias("__p")).agg(F.count(F.lit(1)).alias("__n"))
+               .select("__p", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off")))
+    joined = stored.join(F.broadcast(offsets), part == F.col("__p"))
+    ident = (F.col("__off") + F.col(pos).bitwiseAND((1 << _ROW_BITS) - 1) + 1).alias(name)
     cols = [F.col(f"`{c}`") for c in df.columns]
-    return stored.select(ident, *cols) if first else stored.select(*cols, ident)
+    return joined.select(ident, *cols) if first else joined.select(*cols, ident)

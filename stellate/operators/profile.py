@@ -112,12 +112,13 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str],
 
     1. (column, value) pairs are counted per distinct value — a map-side
        combined aggregate, so a value repeated a billion times is one row.
-    2. The counts are range-partitioned by (column, value) and sorted; each
-       partition's per-column total goes to the driver (one row per
-       partition and column: bounded by the partition count, not the data).
-    3. Prefix sums give every distinct value its rank interval; only the rows
-       whose interval holds a wanted rank (at most two per quantile) are
-       collected and interpolated.
+    2. The counts are range-partitioned by (column, value), sorted, tagged
+       with their (partition, position) and materialised.
+    3. Running sums over the per-(partition, column) totals give offsets
+       (broadcast back: a table bounded by partitions x columns); prefix sums
+       within partitions then give every distinct value its rank interval.
+       Only the per-column totals and the rows whose interval holds a wanted
+       rank (at most two per quantile) reach the driver.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -127,18 +128,13 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str],
               .withColumn("pos", F.monotonically_increasing_id()))
     from stellate.operators.keys import materialize
     ranged = materialize(ranged, "quantiles").withColumn("p", F.shiftright("pos", 33))
-    totals = (ranged.groupBy("p", "column").agg(F.sum("n").alias("t"))
-              .collect())
-    per_col: dict[str, list[tuple[int, int]]] = {}
-    for row in totals:
-        per_col.setdefault(row["column"], []).append((row["p"], row["t"]))
-    offsets, size = {}, {}
-    for c, lst in per_col.items():
-        run = 0
-        for p, t in sorted(lst):
-            offsets[(c, p)] = run
-            run += t
-        size[c] = run
+    # Per (partition, column) totals: at most partitions x columns rows.
+    totals = ranged.groupBy("p", "column").agg(F.sum("n").alias("t"))
+    before = Window.partitionBy("column").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("p", "column",
+                            F.coalesce(F.sum("t").over(before), F.lit(0)).cast("long").alias("off"))
+    size = {r["column"]: r["total"] for r in
+            totals.groupBy("column").agg(F.sum("t").alias("total")).collect()}  # one row per column
     wanted = {}  # column -> sorted list of ranks (0-based)
     for c, total in size.items():
         ranks = set()
@@ -150,12 +146,10 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str],
         wanted[c] = sorted(ranks)
     if not wanted:
         return {}
-    off_map = F.create_map(*[x for (c, p), o in offsets.items()
-                             for x in (F.lit(f"{p}\u0001{c}"), F.lit(o).cast("long"))])
     w = Window.partitionBy("p", "column").orderBy("pos").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    cum = (ranged.withColumn("end", F.sum("n").over(w)
-                             + off_map[F.concat_ws("\u0001", F.col("p").cast("string"), F.col("column"))])
+    cum = (ranged.join(F.broadcast(offsets), ["p", "column"])
+           .withColumn("end", F.sum("n").over(w) + F.col("off"))
            .withColumn("start", F.col("end") - F.col("n")))
     cond = None
     for c, ranks in wanted.items():
