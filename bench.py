@@ -1,5 +1,6 @@
 """Benchmark: run the headline queries and print one JSON line.
 
+Spark sizing comes from ``stellate.session.sizing_conf`` for the input size.
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS
 (default 8), BENCH_QUERIES (comma list, default: all registered queries).
 An untimed warm-up runs a few query shapes on the sf0.001 tables first.
@@ -18,18 +19,17 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from stellate.plans.catalog import QUERIES  # noqa: E402
-from stellate.session import get_session  # noqa: E402
+from stellate.session import get_session, sizing_conf  # noqa: E402
 
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or list(QUERIES)
-    spark = get_session(
-        "stellate-bench", master=f"local[{cpus}]",
-        conf={"spark.sql.shuffle.partitions": str(max(8, 2 * cpus)),
-              "spark.driver.memory": "16g",
-              "spark.sql.files.maxPartitionBytes": str(64 << 20)})
+    input_bytes = sum(os.path.getsize(os.path.join(sf_dir, f)) for f in os.listdir(sf_dir)
+                      if f.endswith(".parquet"))
+    spark = get_session("stellate-bench", master=f"local[{cpus}]",
+                        conf={**sizing_conf(input_bytes, cpus), "spark.driver.memory": "16g"})
     # Untimed JVM warm-up (class loading, JIT of join/aggregate/codegen paths)
     # on the small sf0.001 tables when present, never on the measured data.
     warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")

@@ -47,11 +47,15 @@ def sizing_conf(input_bytes: int, total_cores: int, *,
     ``target_partition_bytes`` of input (at least two per core, capped at
     100k); AQE then coalesces small ones and splits skewed ones, aiming at
     the same size.  Scan splits use the same target, so a task's input fits
-    comfortably in executor memory and spills cleanly when it does not.
+    comfortably in executor memory and spills cleanly when it does not.  For
+    small inputs the floor of AQE coalescing is lowered (down to 256 KB) so
+    every core still gets work; large inputs keep Spark's 1 MB floor.
     """
     by_size = -(-int(input_bytes) // target_partition_bytes)
     partitions = max(2 * total_cores, min(by_size, 100_000))
+    min_coalesced = max(256 << 10, min(_MB, int(input_bytes) // (16 * total_cores)))
     return {
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(min_coalesced),
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
