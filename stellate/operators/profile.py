@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stellate.session import scratch_scope
+
 DESCRIBE_PROBS = (0.25, 0.5, 0.75)
 
 
@@ -108,6 +110,15 @@ def _long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def exact_quantiles(df: DataFrame, columns: Sequence[str],
                     probs: Sequence[float] = DESCRIBE_PROBS,
                     num_partitions: int | None = None) -> dict[tuple[str, float], float]:
+    """Exact linear-interpolated quantiles; see :func:`_exact_quantiles`.
+    The intermediate table is removed once the values are collected."""
+    with scratch_scope(df.sparkSession):
+        return _exact_quantiles(df, columns, probs, num_partitions)
+
+
+def _exact_quantiles(df: DataFrame, columns: Sequence[str],
+                     probs: Sequence[float] = DESCRIBE_PROBS,
+                     num_partitions: int | None = None) -> dict[tuple[str, float], float]:
     """Exact linear-interpolated quantiles of several columns.
 
     1. (column, value) pairs are counted per distinct value — a map-side

@@ -12,6 +12,7 @@ from stellate.operators.dedupe import duplicate_rows
 from stellate.operators.profile import describe, null_counts, null_counts_long, summary
 from stellate.operators.quality import enforce, quality_report
 from stellate.plans import tables as TB
+from stellate.session import scratch_scope
 from stellate.sinks.files import write_csv, write_parquet
 from stellate.sources import driver_tables
 from stellate.sources.files import (
@@ -92,12 +93,15 @@ def run_load(spark: SparkSession, src: LoadSources, output_dir: str, *,
     raises QualityCheckError after the report is written.
     """
     out = output_dir.rstrip("/")
-    star = build_star(src, calendar_null_dates=calendar_null_dates)
     written = {}
-    for name, (df, spec) in star.items():
-        path = f"{out}/{name}"
-        write_parquet(df, path, partition_by=spec.partition_by)
-        written[name] = (spark.read.parquet(path), spec.key)
+    # Intermediates (range-partitioned copies behind the dense ids) are
+    # removed once every table is written.
+    with scratch_scope(spark):
+        star = build_star(src, calendar_null_dates=calendar_null_dates)
+        for name, (df, spec) in star.items():
+            path = f"{out}/{name}"
+            write_parquet(df, path, partition_by=spec.partition_by)
+            written[name] = (spark.read.parquet(path), spec.key)
     if write_lookups:
         for name, df in ((schemas.DIM_COUNTRY.name, src.countries),
                          (schemas.DIM_STATE.name, src.states),

@@ -8,7 +8,9 @@ the session and only fill it in ourselves when it is unset on a local master
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import SparkSession
@@ -85,7 +87,43 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_scopes = threading.local()
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh, unique folder under the checkpoint root for an intermediate table."""
+    """A fresh, unique folder under the checkpoint root for an intermediate
+    table; recorded in the innermost open :func:`scratch_scope`."""
     root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/{label}-{uuid.uuid4().hex[:12]}"
+    path = f"{root}/{label}-{uuid.uuid4().hex[:12]}"
+    for scope in getattr(_scopes, "stack", [])[-1:]:
+        scope.append(path)
+    return path
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the Hadoop FileSystem of its path (driver-side
+    metadata call; works for local, HDFS and object-store paths)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession):
+    """Remove the intermediate tables made inside the block when it ends.
+
+    Only for blocks whose results no longer read them (written tables,
+    collected values): a DataFrame built on an intermediate must not
+    outlive the scope.
+    """
+    stack = getattr(_scopes, "stack", None)
+    if stack is None:
+        stack = _scopes.stack = []
+    paths: list[str] = []
+    stack.append(paths)
+    try:
+        yield paths
+    finally:
+        stack.pop()
+        for path in paths:
+            remove_path(spark, path)

@@ -14,3 +14,27 @@ def test_checkpoint_root_reads_session(spark):
     assert root and root == spark.sparkContext.getCheckpointDir()
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert a != b and a.startswith(root.rstrip("/"))
+
+
+def test_scratch_scope_removes_intermediates(spark):
+    import os
+
+    from stellate.session import scratch_scope
+
+    with scratch_scope(spark) as made:
+        path = scratch_path(spark, "tmp")
+        spark.range(3).write.parquet(path)
+        assert made == [path]
+    assert not os.path.exists(path.replace("file:", ""))
+
+
+def test_exact_quantiles_leaves_no_intermediate(spark):
+    import glob
+    import os
+
+    from stellate.operators.profile import exact_quantiles
+
+    root = checkpoint_root(spark).replace("file:", "")
+    before = set(glob.glob(os.path.join(root, "quantiles-*")))
+    exact_quantiles(spark.range(10).selectExpr("CAST(id AS DOUBLE) AS v"), ["v"])
+    assert set(glob.glob(os.path.join(root, "quantiles-*"))) == before
