@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -82,32 +83,38 @@ REPORT_SCHEMA = T.StructType([
 
 def run_load(spark: SparkSession, src: LoadSources, output_dir: str, *,
              on_fail: str = "report", null_key_threshold: int = 0,
-             calendar_null_dates: str = "raise", write_lookups: bool = True) -> DataFrame:
+             calendar_null_dates: str = "raise", write_lookups: bool = True,
+             parallel_writes: int = 4) -> DataFrame:
     """Build and write the star schema, then check what was written.
 
     Each table is computed exactly once, by its write (ids are therefore
-    fixed by the files).  The checks then read only the key column of each
+    fixed by the files); up to ``parallel_writes`` writes run as concurrent
+    jobs.  The checks then read only the key column of each
     written table and fold row count and null-key count into one aggregate
     per table.  The report (two rows per table) is written to
     ``<output_dir>/_quality_report`` and returned.  ``on_fail='raise'``
     raises QualityCheckError after the report is written.
     """
     out = output_dir.rstrip("/")
-    written = {}
     # Intermediates (range-partitioned copies behind the dense ids) are
     # removed once every table is written.
     with scratch_scope(spark):
         star = build_star(src, calendar_null_dates=calendar_null_dates)
-        for name, (df, spec) in star.items():
-            path = f"{out}/{name}"
-            write_parquet(df, path, partition_by=spec.partition_by)
-            written[name] = (spark.read.parquet(path), spec.key)
-    if write_lookups:
-        for name, df in ((schemas.DIM_COUNTRY.name, src.countries),
-                         (schemas.DIM_STATE.name, src.states),
-                         (schemas.DIM_PORT.name, src.ports)):
-            if df is not None:
-                write_parquet(df, f"{out}/{name}")
+        jobs = [(name, df, spec.partition_by) for name, (df, spec) in star.items()]
+        if write_lookups:
+            jobs += [(name, df, None) for name, df in ((schemas.DIM_COUNTRY.name, src.countries),
+                                                       (schemas.DIM_STATE.name, src.states),
+                                                       (schemas.DIM_PORT.name, src.ports))
+                     if df is not None]
+        # The writes are independent Spark jobs: submit them together so the
+        # scheduler overlaps small dimensions with the big fact table.
+        with ThreadPoolExecutor(max_workers=max(1, parallel_writes)) as pool:
+            futures = [pool.submit(write_parquet, df, f"{out}/{name}", partition_by=part)
+                       for name, df, part in jobs]
+            for f in futures:
+                f.result()
+    written = {name: (spark.read.parquet(f"{out}/{name}"), spec.key)
+               for name, (_, spec) in star.items()}
     rows = enforce(quality_report(written, null_key_threshold=null_key_threshold), "report")
     report = spark.createDataFrame([tuple(r[f] for f in REPORT_SCHEMA.fieldNames()) for r in rows],
                                    REPORT_SCHEMA)
