@@ -48,13 +48,16 @@ def build_dim_usdemog(demographics: DataFrame,
     return dense_ids(df, list(id_order), name="demog_id")
 
 
-def build_dim_calendar(arrivals: DataFrame, null_dates: str = "raise") -> DataFrame:
+def build_dim_calendar(arrivals: DataFrame, null_dates: str = "raise",
+                       assert_keys: bool = True) -> DataFrame:
     """One row per distinct arrival date with its calendar parts.
 
     The distinct runs on the single date column (map-side combined: a few
     dozen dates per task), and the calendar parts are computed on the
     distinct dates only.  ``null_dates``: ``raise`` fails the job on a
     missing arrival date (non-nullable key), ``drop`` leaves it out.
+    ``assert_keys=False`` skips the non-null assertion (for quality checks
+    that must see the nulls).
     """
     dates = arrivals.select(sas_to_date("arrdate").alias("arr_date"))
     if null_dates == "drop":
@@ -63,7 +66,7 @@ def build_dim_calendar(arrivals: DataFrame, null_dates: str = "raise") -> DataFr
         raise ValueError("null_dates must be 'raise' or 'drop'")
     dates = dates.distinct()
     cal = dates.select("arr_date", *[c.alias(n) for n, c in calendar_columns("arr_date").items()])
-    return require_not_null(cal, ["arr_date"])
+    return require_not_null(cal, ["arr_date"]) if assert_keys else cal
 
 
 def build_dim_weather(temperatures: DataFrame, countries: DataFrame, *,
@@ -101,7 +104,8 @@ def immigrant_rows(arrivals_dated: DataFrame) -> DataFrame:
 
 
 def build_dim_immigrant(arrivals_dated: DataFrame,
-                        survivor_order: Sequence[str] | None = None) -> DataFrame:
+                        survivor_order: Sequence[str] | None = None,
+                        assert_keys: bool = True) -> DataFrame:
     """One row per traveller (``cicid``).
 
     De-duplicates by ``cicid`` first (survivor: smallest row in
@@ -112,9 +116,10 @@ def build_dim_immigrant(arrivals_dated: DataFrame,
     rows = immigrant_rows(arrivals_dated)
     dim = dedupe_by_key(rows, ["cicid"], order_by=survivor_order)
     dim = allow_null(dim, ["visa_category"])
-    dim = require_not_null(dim, ["cicid"])
+    if assert_keys:
+        dim = require_not_null(dim, ["cicid"])
     dim = dim.where(F.col("arr_year").isNotNull())
-    return require_not_null(dim, ["arr_year"])
+    return require_not_null(dim, ["arr_year"]) if assert_keys else dim
 
 
 def fact_rows(arrivals_dated: DataFrame) -> DataFrame:
@@ -138,7 +143,7 @@ def fact_rows(arrivals_dated: DataFrame) -> DataFrame:
 
 
 def build_fact_immigration(arrivals_dated: DataFrame, *, with_id: bool = True,
-                           id_method: str = "monotonic") -> DataFrame:
+                           id_method: str = "monotonic", assert_keys: bool = True) -> DataFrame:
     """Distinct arrival facts with ``immig_id``.
 
     Rows without an arrival date stay (they land in the null ``arr_year``
@@ -146,7 +151,8 @@ def build_fact_immigration(arrivals_dated: DataFrame, *, with_id: bool = True,
     result before two actions read it (the load does).
     """
     fact = distinct_rows(fact_rows(arrivals_dated))
-    fact = require_not_null(fact, ["cicid"])
+    if assert_keys:
+        fact = require_not_null(fact, ["cicid"])
     fact = allow_null(fact, ["I94VISA"])
     if with_id:
         fact = unique_ids(fact, "immig_id", method=id_method,

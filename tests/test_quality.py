@@ -38,3 +38,26 @@ def test_enforce(spark):
     assert len(enforce(report, "report")) == 10
     with pytest.raises(QualityCheckError, match="empty:not_empty"):
         enforce(report, "raise")
+
+
+def test_null_key_check_must_precede_assertion(spark):
+    from stellate.operators.columns import require_not_null
+
+    df = spark.createDataFrame([(None,), (1,)], "k int")
+    plain = {r["check"]: r for r in quality_report({"t": (df, "k")}).collect()}
+    assert plain["null_key"]["n_bad"] == 1 and plain["null_key"]["passed"] is False
+    # Documented pitfall: after the assertion the optimizer folds the count.
+    asserted = {r["check"]: r for r in
+                quality_report({"t": (require_not_null(df, ["k"]), "k")}).collect()}
+    assert asserted["null_key"]["n_bad"] == 0
+
+
+def test_star_tables_keep_nulls_for_checks(spark):
+    from stellate.plans import tables as TB
+    from stellate import schemas
+
+    a = spark.createDataFrame([tuple(20545.0 if n == "arrdate" else None
+                                     for n in schemas.ARRIVALS.fieldNames())], schemas.ARRIVALS)
+    fact = TB.build_fact_immigration(TB.with_arrival_dates(a), with_id=False, assert_keys=False)
+    rows = {r["check"]: r for r in quality_report({"fact": (fact, "cicid")}).collect()}
+    assert rows["null_key"]["n_bad"] == 1
