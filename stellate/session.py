@@ -34,7 +34,10 @@ def get_session(app: str = "stellate", master: str | None = None,
     for key, value in {**DEFAULT_CONF, **(conf or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    try:
+        spark.sparkContext.setLogLevel("ERROR")
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        pass
     return spark
 
 
@@ -68,17 +71,17 @@ def sizing_conf(input_bytes: int, total_cores: int, *,
 def checkpoint_root(spark: SparkSession) -> str:
     """Return the session's reliable checkpoint folder, setting it up if needed.
 
-    ``spark.checkpoint.dir`` wins.  When nothing is configured we only invent
-    a folder for a local master; a cluster must name a shared one.
+    ``spark.checkpoint.dir`` wins (read through the session conf, so this
+    also works on a Spark Connect session).  When nothing is configured we
+    only invent a folder for a local master; a cluster must name a shared one.
     """
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        return configured
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir()
     if not sc.master.startswith("local"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; point it at a shared folder "
@@ -102,10 +105,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder through the Hadoop FileSystem of its path (driver-side
-    metadata call; works for local, HDFS and object-store paths)."""
-    jvm = spark.sparkContext._jvm
+    metadata call; works for local, HDFS and object-store paths).  Without a
+    JVM handle (Spark Connect) the folder is left for the folder's own
+    retention policy."""
+    try:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+    except Exception:  # noqa: BLE001 - no local JVM gateway
+        return
     hpath = jvm.org.apache.hadoop.fs.Path(path)
-    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+    hpath.getFileSystem(conf).delete(hpath, True)
 
 
 @contextlib.contextmanager

@@ -11,7 +11,8 @@ def test_sizing_conf_scales_with_input():
 
 def test_checkpoint_root_reads_session(spark):
     root = checkpoint_root(spark)
-    assert root and root == spark.sparkContext.getCheckpointDir()
+    expected = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    assert root and root == expected
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert a != b and a.startswith(root.rstrip("/"))
 
