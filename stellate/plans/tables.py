@@ -17,8 +17,9 @@ from stellate.operators.joins import lookup_join
 from stellate.operators.keys import dense_ids, unique_ids
 from stellate.sources.files import read_lookup
 
-# Demographics columns turned into 0-filled integers, and the
-# output names of the demographics columns.
+# Demographics columns turned into 0-filled integers, the
+# output names of the demographics columns, and the temperature columns a
+# reading must have.  WEATHER_TIE_BREAK is our choice (date ties).
 DEMOG_FLOAT_TO_INT = ("Male Population", "Female Population", "Number of Veterans",
                       "Foreign-born", "Average Household Size")
 DEMOG_RENAME = {
