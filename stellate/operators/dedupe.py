@@ -63,24 +63,28 @@ def latest_per_key(df: DataFrame, keys, order_by: Sequence[str]) -> DataFrame:
 def duplicate_rows(df: DataFrame, chunk_rows: int = DUPLICATE_CHUNK_ROWS) -> DataFrame:
     """Every occurrence of a row after its first (bag difference df - distinct(df)).
 
-    One aggregation counts each distinct row (map-side combined).  The surplus
-    copies are then emitted in chunks of at most ``chunk_rows``; the chunks are
-    spread over the cluster by a shuffle of the small count table, so a row
-    repeated billions of times is generated by many tasks, not one.
+    One aggregation counts each distinct row (map-side combined).  Rows with
+    at most ``chunk_rows`` surplus copies emit them where they were counted.
+    Rows repeated more often (hot rows) are cut into chunks of ``chunk_rows``
+    copies, and only those few chunk rows are shuffled, so a row repeated
+    billions of times is generated by many tasks, not one.
     """
     cols = [F.col(f"`{c}`") for c in df.columns]
     counts = (df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"))
               .where(F.col("__n") > 1)
               .withColumn("__extra", F.col("__n") - 1))
-    chunks = counts.withColumn(
+    one = F.lit(1).cast("long")
+    small = (counts.where(F.col("__extra") <= chunk_rows)
+             .withColumn("__copy", F.explode(F.sequence(one, F.col("__extra")))))
+    hot = counts.where(F.col("__extra") > chunk_rows).withColumn(
         "__chunk", F.explode(F.sequence(F.lit(0).cast("long"),
                                         F.floor((F.col("__extra") - 1) / chunk_rows).cast("long"))))
-    chunks = chunks.withColumn(
+    hot = hot.withColumn(
         "__len", F.least(F.lit(chunk_rows).cast("long"),
                          F.col("__extra") - F.col("__chunk") * chunk_rows))
-    chunks = chunks.repartition(*cols, F.col("__chunk"))
-    rows = chunks.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__len"))))
-    return rows.select(*cols)
+    hot = (hot.repartition(*cols, F.col("__chunk"))
+           .withColumn("__copy", F.explode(F.sequence(one, F.col("__len")))))
+    return small.select(*cols).unionByName(hot.select(*cols))
 
 
 def distinct_values(df: DataFrame, name: str) -> DataFrame:
