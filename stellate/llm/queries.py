@@ -7,8 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stellate.llm import exact_dedup, mixing, simhash
+from stellate.llm import exact_dedup, mixing, packing, simhash, token_files
 from stellate.llm.common import table
+from stellate.llm.tokens import tokenizer_source
+from stellate.session import scratch_path
+
+#: The tokenizer of the queries; operators take any byte-level BPE as text.
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def production_tokenizer() -> str:
+    import public_tokenizers
+
+    return tokenizer_source(public_tokenizers.path(TOKENIZER))
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +34,18 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "llm-token-files")
+    token_files.write_token_files(table(spark, sf_dir, "documents"), path, production_tokenizer())
+    return token_files.read_token_files(spark, path).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), production_tokenizer()).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return exact_dedup.exact_duplicates(docs, carry=["doc_id"], digest="text_sha256")
@@ -31,6 +54,8 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_simhash": op2_simhash,
+    "op3_token_files": op3_token_files,
+    "op7_packing": op7_packing,
     "op8_exact_dedup": op8_exact_dedup,
 }
 
