@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stellate.llm import exact_dedup, mixing, packing, simhash, token_files
-from stellate.llm.common import table
+from stellate.llm import exact_dedup, langid, mixing, packing, quality, simhash, token_files
+from stellate.llm.common import held_out, learnable, table
 from stellate.llm.tokens import tokenizer_source
 from stellate.session import scratch_path
 
@@ -41,6 +41,13 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.learn_languages(docs, where=learnable(F.col("doc_id"), 4, 2))
+    return langid.label_languages(docs, model).select(
+        "doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), "lang_pred", "score")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), production_tokenizer()).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -51,12 +58,22 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(docs, carry=["doc_id"], digest="text_sha256")
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    trees = quality.fit_quality(docs, table(spark, sf_dir, "labels"))
+    return quality.score_quality(docs, trees).select(
+        "doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score",
+        F.when(F.col("score") >= quality.THRESHOLD, 1).otherwise(0).alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_simhash": op2_simhash,
     "op3_token_files": op3_token_files,
+    "op6_language_id": op6_language_id,
     "op7_packing": op7_packing,
     "op8_exact_dedup": op8_exact_dedup,
+    "op10_quality": op10_quality,
 }
 
 ORACLE_SQL: dict[str, str] = {
