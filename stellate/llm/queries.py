@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stellate.llm import exact_dedup, langid, mixing, packing, quality, simhash, token_files
+from stellate.llm import exact_dedup, impact_index, langid, licenses, mixing, mixing_lm, packing, quality, simhash, token_files
 from stellate.llm.common import held_out, learnable, table
 from stellate.llm.tokens import tokenizer_source
 from stellate.session import scratch_path
@@ -41,6 +41,16 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ident = F.col("doc_id")
+    return mixing_lm.score_texts(table(spark, sf_dir, "documents"), learn=learnable(ident, 7, 2),
+                                 held_out=held_out(ident, 7, 2))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.learn_languages(docs, where=learnable(F.col("doc_id"), 4, 2))
@@ -58,6 +68,10 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(docs, carry=["doc_id"], digest="text_sha256")
 
 
+def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return impact_index.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     trees = quality.fit_quality(docs, table(spark, sf_dir, "labels"))
@@ -70,13 +84,26 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_simhash": op2_simhash,
     "op3_token_files": op3_token_files,
+    "op4_license_scan": op4_license_scan,
+    "op5_lm_score": op5_lm_score,
     "op6_language_id": op6_language_id,
     "op7_packing": op7_packing,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_top_k": op9_top_k,
     "op10_quality": op10_quality,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op9_top_k": r"""
+        WITH v AS (SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS x
+                   FROM embeddings
+                   WHERE embedding IS NOT NULL
+                     AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+        p AS (SELECT q.vec_id AS query_id, c.vec_id,
+                     CAST(list_inner_product(CAST(q.x AS DOUBLE[]), CAST(c.x AS DOUBLE[])) AS BIGINT) AS score
+              FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
+        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p)
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10""",
     "op8_exact_dedup": r"""
         WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body
                    FROM documents)
