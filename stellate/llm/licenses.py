@@ -5,9 +5,9 @@ A text's units are its lines and the text as a whole.  A unit is normalised
 word bigrams (its one word, if there is but one).  With A and B the sets of a
 unit and a template, Dice is 2 |A n B| / (|A| + |B|); at a threshold t, B can
 match only if t |A| / (2 - t) <= |B| <= (2 - t) |A| / t, so the word count
-alone rules out most templates before any set is compared.  Word counts bound
-the set from above (repeats shrink it), so the lower bound is looked at before
-the bigrams are built, and both after.
+alone rules out most templates before any set is compared.  Before bigrams are
+built, the words bound their number: from above by all words, from below by one
+less than the distinct words.
 
 Templates are a short fixed list that becomes part of the plan: one projection
 over the texts, without a join, a shuffle or Python.
@@ -99,24 +99,23 @@ def scan_licenses(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     low = {k: threshold * len(b) / (2 - threshold) for k, (_, b) in enumerate(known)}
     high = {k: (2 - threshold) * len(b) / threshold for k, (_, b) in enumerate(known)}
     least, most = min(low.values()), max(high.values())
-    lines = F.split(F.coalesce(col(text_col), F.lit("")), "\n")
-    rows = docs.select(col(id_col).alias("_id"), col(text_col).alias("_text"), F.posexplode(lines).alias("at", "line"))
-    # A unit of too few characters or words can't match any template.
-    units = rows.select("_id", (F.col("at") + 1).alias("unit"), F.col("line").alias("body"))
-    whole = docs.select(col(id_col).alias("_id"), F.lit(0).alias("unit"), col(text_col).alias("body")) \
-        .filter(F.contains(col("body"), F.lit("\n")))
-    units = units.unionByName(whole).filter(F.length("body") >= least)
-    words = units.select("_id", "unit", _words(F.col("body")).alias("words")) \
-        .filter(F.size("words") >= min(least, 1))
-    sets = words.select("_id", "unit", _bigrams(F.col("words")).alias("grams")) \
-        .filter(F.size("grams").between(least, most))
+    text = col(text_col)
+    whole = F.when(F.contains(text, F.lit("\n")), text)
+    units = docs.select(col(id_col).alias("_id"),
+                        F.posexplode(F.concat(F.array(whole), F.split(text, "\n"))).alias("unit", "body"))
+    units = units.filter(F.length("body") >= least)
+    # Each step is computed once: what explode() gives isn't computed again
+    # where it is used more than once.
+    words = units.select("_id", "unit", F.explode(F.array(_words(F.col("body")))).alias("words"))
+    words = words.filter((F.size("words") >= least) & (F.size(F.array_distinct("words")) - 1 <= most))
+    sets = words.select("_id", "unit", F.explode(F.array(_bigrams(F.col("words")))).alias("grams"))
+    sets = sets.filter(F.size("grams").between(least, most))
     n = F.size("grams")
     scores = [F.when(n.between(low[k], high[k]),
                      F.size(F.array_intersect("grams", F.array(*[F.lit(g) for g in b]))) * 2.0 / (n + len(b)))
               .otherwise(0.0) for k, (_, b) in enumerate(known)]
-    scored = sets.select("_id", "unit", F.array(*scores).alias("scores"))
-    best = F.array_max("scores")
-    return (scored.withColumn("dice", best).filter(F.col("dice") >= threshold)
+    scored = sets.select("_id", "unit", F.explode(F.array(F.array(*scores))).alias("scores"))
+    return (scored.withColumn("dice", F.array_max("scores")).filter(F.col("dice") >= threshold)
             .select(F.col("_id").alias(id_col), "unit",
                     F.element_at(F.array(*[F.lit(name) for name, _ in known]),
                                  F.array_position("scores", F.col("dice")).cast("int")).alias("license"), "dice"))

@@ -93,7 +93,29 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality": op10_quality,
 }
 
+def _license_sql() -> str:
+    """The scan as a join of units and templates on their sizes."""
+    rows = ", ".join("({}, '{}', [{}])".format(k, name, ", ".join(f"'{g}'" for g in grams))
+                     for k, (name, grams) in enumerate(licenses.flat_templates(licenses.TEMPLATES)))
+    return f"""
+        WITH t(k, license, b) AS (VALUES {rows}),
+        l AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+        u AS (SELECT doc_id, 0 AS unit, text AS body FROM documents WHERE contains(text, chr(10))
+              UNION ALL SELECT doc_id, CAST(unnest(range(1, len(l) + 1)) AS INTEGER), unnest(l) FROM l),
+        w AS (SELECT doc_id, unit, string_split(trim(regexp_replace(lower(body), '[^0-9a-z]+', ' ', 'g')), ' ') AS w
+              FROM u),
+        g AS (SELECT doc_id, unit, list_distinct(CASE WHEN len(w) < 2 THEN w
+                  ELSE [w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))] END) AS a FROM w WHERE w <> ['']),
+        d AS (SELECT doc_id, unit, license, k, 2.0 * len(list_intersect(a, b)) / (len(a) + len(b)) AS dice
+              FROM g JOIN t ON len(a) BETWEEN {licenses.THRESHOLD} * len(b) / (2 - {licenses.THRESHOLD})
+                                      AND (2 - {licenses.THRESHOLD}) * len(b) / {licenses.THRESHOLD}),
+        r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, unit ORDER BY dice DESC, k) AS n FROM d
+              WHERE dice >= {licenses.THRESHOLD})
+        SELECT doc_id, unit, license, CAST(dice AS DOUBLE) AS dice FROM r WHERE n = 1"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op4_license_scan": _license_sql(),
     "op9_top_k": r"""
         WITH v AS (SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS x
                    FROM embeddings
