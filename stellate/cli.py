@@ -13,7 +13,7 @@ import argparse
 import sys
 
 from stellate.plans.pipeline import profile_arrivals, run_load, sources_from_files
-from stellate.session import get_session
+from stellate.session import get_session, input_bytes, size_session
 from stellate.sources.files import read_arrivals
 
 
@@ -27,6 +27,7 @@ def _parser() -> argparse.ArgumentParser:
     load.add_argument("--on-fail", choices=("report", "raise"), default="report")
     load.add_argument("--null-key-threshold", type=int, default=0)
     load.add_argument("--calendar-null-dates", choices=("raise", "drop"), default="raise")
+    load.add_argument("--strict", action="store_true", help="fail on a malformed number or date")
     load.add_argument("--raw-lookups", action="store_true", help="keep lookup labels as read")
     prof = sub.add_parser("profile", help="null counts and summary of the arrivals")
     prof.add_argument("--input", required=True, help="arrivals Parquet folder")
@@ -37,12 +38,14 @@ def _parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
     spark = get_session("stellate")
+    size_session(spark, input_bytes(spark, args.input, *filter(None, [getattr(args, "temperatures", None)])))
     if args.command == "load":
         src = sources_from_files(spark, args.input, temperatures_path=args.temperatures,
-                                 clean_lookups=not args.raw_lookups)
+                                 clean_lookups=not args.raw_lookups, strict=args.strict)
         report = run_load(spark, src, args.output, on_fail=args.on_fail,
                           null_key_threshold=args.null_key_threshold,
-                          calendar_null_dates=args.calendar_null_dates)
+                          calendar_null_dates=args.calendar_null_dates,
+                          strict_dates=args.strict)
         report.show(truncate=False)
     else:
         profile_arrivals(read_arrivals(spark, args.input), args.output)

@@ -18,10 +18,6 @@ def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     return df.withColumnsRenamed(present) if present else df
 
 
-def drop_columns(df: DataFrame, *names: str) -> DataFrame:
-    return df.drop(*names)
-
-
 def insert_first(df: DataFrame, name: str, value: Column) -> DataFrame:
     """Add a column at position 0."""
     return df.select(value.alias(name), *[F.col(c) for c in df.columns])

@@ -34,11 +34,11 @@ def _pick_by_key(df: DataFrame, keys, order_by, pick_max: bool) -> DataFrame:
     # Tie-break by every other column so the survivor never depends on file
     # order or on task scheduling.
     order = order + [c for c in rest if c not in order]
-    value = F.struct(*[F.col(f"`{c}`") for c in rest])
+    # The ordering struct holds every column, so it is the row itself.
     ordering = F.struct(*[F.col(f"`{c}`") for c in order])
-    pick = F.max_by if pick_max else F.min_by
+    pick = F.max if pick_max else F.min
     out = (df.groupBy(*keys)
-           .agg(pick(value, ordering).alias("__row"))
+           .agg(pick(ordering).alias("__row"))
            .select(*keys, *[F.col("__row").getField(c).alias(c) for c in rest]))
     return out.select(*[F.col(f"`{c}`") for c in df.columns])
 
@@ -63,34 +63,26 @@ def latest_per_key(df: DataFrame, keys, order_by: Sequence[str]) -> DataFrame:
 def duplicate_rows(df: DataFrame, chunk_rows: int = DUPLICATE_CHUNK_ROWS) -> DataFrame:
     """Every occurrence of a row after its first (bag difference df - distinct(df)).
 
-    One aggregation counts each distinct row (map-side combined).  Rows with
-    at most ``chunk_rows`` surplus copies emit them where they were counted.
-    Rows repeated more often (hot rows) are cut into chunks of ``chunk_rows``
-    copies, and only those few chunk rows are shuffled, so a row repeated
+    One aggregation counts each distinct row (map-side combined).  The
+    surplus copies of each row are cut into chunks of ``chunk_rows``; the
+    chunk rows are shuffled and each emits its copies, so a row repeated
     billions of times is generated by many tasks, not one.
     """
     cols = [F.col(f"`{c}`") for c in df.columns]
     counts = (df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"))
               .where(F.col("__n") > 1)
               .withColumn("__extra", F.col("__n") - 1))
-    one = F.lit(1).cast("long")
-    small = (counts.where(F.col("__extra") <= chunk_rows)
-             .withColumn("__copy", F.explode(F.sequence(one, F.col("__extra")))))
-    hot = counts.where(F.col("__extra") > chunk_rows).withColumn(
+    chunks = counts.withColumn(
         "__chunk", F.explode(F.sequence(F.lit(0).cast("long"),
                                         F.floor((F.col("__extra") - 1) / chunk_rows).cast("long"))))
-    hot = hot.withColumn(
-        "__len", F.least(F.lit(chunk_rows).cast("long"),
-                         F.col("__extra") - F.col("__chunk") * chunk_rows))
-    hot = (hot.repartition(*cols, F.col("__chunk"))
-           .withColumn("__copy", F.explode(F.sequence(one, F.col("__len")))))
-    return small.select(*cols).unionByName(hot.select(*cols))
+    chunks = chunks.withColumn("__len", F.least(F.lit(chunk_rows).cast("long"),
+                                                F.col("__extra") - F.col("__chunk") * chunk_rows))
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("__len")))
+    return (chunks.repartition(*cols, F.col("__chunk"))
+            .withColumn("__copy", copies).select(*cols))
 
 
 def distinct_values(df: DataFrame, name: str) -> DataFrame:
     """Distinct values of one column."""
     return df.select(name).distinct()
 
-
-def count_rows(df: DataFrame, alias: str = "n_rows") -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias(alias))

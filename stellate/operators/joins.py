@@ -7,25 +7,11 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A lookup side is broadcast only when it is proven to have at most this many
-# rows; beyond it the join is left to the planner (sort-merge / AQE).
-MAX_BROADCAST_ROWS = 2_000_000
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    Counting under a limit stops every task after ``max_rows + 1`` rows, so
-    the check costs at most that much even when the table is huge.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
 
 def lookup_join(data: DataFrame, lookup: DataFrame, on, *,
                 defaults: Mapping[str, object] | None = None,
                 casts: Mapping[str, str] | None = None,
-                suffixes: tuple[str, str] = ("_map", "_data"),
-                max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                suffixes: tuple[str, str] = ("_map", "_data")) -> DataFrame:
     """Attach lookup columns to every data row (right outer equi-join).
 
     * every data row is kept; a key with several lookup rows multiplies it;
@@ -33,6 +19,11 @@ def lookup_join(data: DataFrame, lookup: DataFrame, on, *,
     * unmatched lookup columns get ``defaults`` and are then cast by ``casts``;
     * overlapping non-key columns are suffixed, as a pandas merge does;
     * null keys never match (SQL equality).
+
+    No hint and no counting: Spark broadcasts the lookup when its size in
+    bytes, estimated or seen at run time, is below its threshold, and joins
+    by shuffle otherwise, where it splits the data rows of a hot key (also
+    the null key) over several tasks.
     """
     keys = [on] if isinstance(on, str) else list(on)
     overlap = (set(lookup.columns) & set(data.columns)) - set(keys)
@@ -41,8 +32,6 @@ def lookup_join(data: DataFrame, lookup: DataFrame, on, *,
         data = data.withColumnsRenamed({c: c + suffixes[1] for c in overlap})
     lookup_cols = lookup.columns
     data_cols = [c for c in data.columns if c not in keys]
-    if fits_broadcast(lookup, max_broadcast_rows):
-        lookup = F.broadcast(lookup)
     joined = lookup.alias("__l").join(data.alias("__d"), on=keys, how="right")
     out = []
     for c in lookup_cols:

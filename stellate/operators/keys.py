@@ -26,22 +26,38 @@ def materialize(df: DataFrame, label: str = "materialized") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def unique_ids(df: DataFrame, name: str = "id", method: str = "monotonic",
-               columns: Sequence[str] | None = None) -> DataFrame:
+def unique_ids(df: DataFrame, name: str = "id") -> DataFrame:
     """Add a unique BIGINT id, no shuffle.
 
-    ``monotonic``: ``monotonically_increasing_id() + 1`` — unique, increasing
-    per partition, gapped; depends on partitioning, so materialise the result
-    before more than one action reads it.  ``hash``: ``xxhash64`` of
-    ``columns`` (all by default) — reproducible on re-runs, unique only up to
-    hash collisions.
+    ``monotonically_increasing_id() + 1``: unique, increasing per partition,
+    gapped; depends on partitioning, so materialise the result before more
+    than one action reads it.
     """
-    if method == "monotonic":
-        return df.withColumn(name, F.monotonically_increasing_id() + 1)
-    if method == "hash":
-        cols = [F.col(f"`{c}`") for c in (columns or df.columns)]
-        return df.withColumn(name, F.xxhash64(*cols))
-    raise ValueError(f"unknown id method {method!r}")
+    return df.withColumn(name, F.monotonically_increasing_id() + 1)
+
+
+def _numbered(stored: DataFrame, pos: str, columns: Sequence[str], name: str, start: int,
+              first: bool = True) -> DataFrame:
+    """Dense ids from (partition, position) numbers fixed by files: an id is
+    the number of rows in earlier partitions plus the row's position."""
+    # One row per partition (a table bounded by their number, not by the data):
+    # rows before it = running sum of the partition sizes.
+    part = F.shiftright(F.col(pos), _ROW_BITS)
+    before = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (stored.groupBy(part.alias("__p")).agg(F.count(F.lit(1)).alias("__n"))
+               .select("__p", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off")))
+    joined = stored.join(F.broadcast(offsets), part == F.col("__p"))
+    ident = (F.col("__off") + F.col(pos).bitwiseAND((1 << _ROW_BITS) - 1) + start).alias(name)
+    cols = [F.col(f"`{c}`") for c in columns]
+    return joined.select(ident, *cols) if first else joined.select(*cols, ident)
+
+
+def number_rows(df: DataFrame, name: str = "id", start: int = 1) -> DataFrame:
+    """Add ids ``start``, ``start + 1``, ... in any order, without a shuffle:
+    positions are fixed by writing the rows once."""
+    pos = "__number_pos"
+    stored = materialize(df.withColumn(pos, F.monotonically_increasing_id()), "numbered")
+    return _numbered(stored, pos, df.columns, name, start, first=False)
 
 
 def dense_ids(df: DataFrame, order_by: Sequence[str], name: str = "id",
@@ -60,20 +76,14 @@ def dense_ids(df: DataFrame, order_by: Sequence[str], name: str = "id",
     # The last tie-break is a per-row tag: it only orders rows that are equal
     # in every column (so results do not depend on it), but it lets the range
     # partitioner split a row repeated a billion times over many partitions.
+    # It is fixed by files before the rows are ranged: a task that is run
+    # again after a loss sees the same tags.
     tag, pos = "__dense_tag", "__dense_pos"
     order_cols = [F.col(f"`{c}`") for c in order] + [F.col(tag)]
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.withColumn(tag, F.monotonically_increasing_id())
+    tagged = materialize(df.withColumn(tag, F.monotonically_increasing_id()), "dense_tags")
+    ranged = (tagged
               .repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
               .withColumn(pos, F.monotonically_increasing_id()))
     stored = materialize(ranged.drop(tag), "dense_ids")
-    # One row per range partition (a table bounded by n, not by the data):
-    # rows before it = running sum of the partition sizes.
-    part = F.shiftright(F.col(pos), _ROW_BITS)
-    before = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (stored.groupBy(part.alias("__p")).agg(F.count(F.lit(1)).alias("__n"))
-               .select("__p", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off")))
-    joined = stored.join(F.broadcast(offsets), part == F.col("__p"))
-    ident = (F.col("__off") + F.col(pos).bitwiseAND((1 << _ROW_BITS) - 1) + 1).alias(name)
-    cols = [F.col(f"`{c}`") for c in df.columns]
-    return joined.select(ident, *cols) if first else joined.select(*cols, ident)
+    return _numbered(stored, pos, df.columns, name, 1, first)

@@ -33,14 +33,13 @@ SUMMARY_STATS = ("count", "mean", "stddev", "min", "25%", "50%", "75%", "max")
 # without attempting (and failing) the cast row by row.
 _NUMERIC_TEXT = (r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?[dDfF]?"
                  r"|(?i:inf|infinity))\s*$|^\s*(?i:nan)\s*$")
-_APPROX_ACCURACY = 10000
 
 
 def _sql_text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def summary(df: DataFrame, *statistics: str) -> DataFrame:
+def summary(df: DataFrame, *statistics: str, accuracy: int = 10000) -> DataFrame:
     """Column summary in ``DataFrame.summary`` layout: one row per statistic
     (count, mean, stddev, min, approximate quartiles, max), one text column
     per input column, strings included (mean/stddev/quantiles over the
@@ -49,7 +48,8 @@ def summary(df: DataFrame, *statistics: str) -> DataFrame:
     All statistics of all columns come from a single aggregate pass (partial
     per task, one small final merge), reshaped with ``inline``.  The plan is
     built from SQL text in two calls, which keeps building a summary of a
-    wide table cheap.
+    wide table cheap.  The rank of a quartile is off by at most a share of
+    ``1 / accuracy`` of the rows (none at all if there are fewer rows).
     """
     stats = tuple(statistics) or SUMMARY_STATS
     pcts = [s for s in stats if s.endswith("%")]
@@ -85,7 +85,7 @@ def summary(df: DataFrame, *statistics: str) -> DataFrame:
             if num is None:
                 aggs.append(f"CAST(NULL AS ARRAY<STRING>) AS `{qname}`")
             else:
-                aggs.append(f"percentile_approx({num}, array({fracs}), {_APPROX_ACCURACY}) AS `{qname}`")
+                aggs.append(f"percentile_approx({num}, array({fracs}), {accuracy}) AS `{qname}`")
             for k, s in enumerate(pcts):
                 cells[s].append(f"CAST(element_at(`{qname}`, {k + 1}) AS STRING)")
     names = [_sql_text(f.name) for f in df.schema.fields]
@@ -114,31 +114,34 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str],
     """Exact linear-interpolated quantiles; see :func:`_exact_quantiles`.
     The intermediate table is removed once the values are collected."""
     with scratch_scope(df.sparkSession):
-        return _exact_quantiles(df, columns, probs, num_partitions)
+        return _exact_quantiles(_value_counts(df, columns, num_partitions), probs)
 
 
-def _exact_quantiles(df: DataFrame, columns: Sequence[str],
-                     probs: Sequence[float] = DESCRIBE_PROBS,
-                     num_partitions: int | None = None) -> dict[tuple[str, float], float]:
+def _value_counts(df: DataFrame, columns: Sequence[str], num_partitions: int | None = None) -> DataFrame:
+    """(column, v, n, pos, p): how often each distinct value occurs, ranged by
+    (column, value), with each row's place; written once."""
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = _long_values(df, columns).groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))
+    ranged = (counts.repartitionByRange(n, "column", "v")
+              .sortWithinPartitions("column", "v")
+              .withColumn("pos", F.monotonically_increasing_id()))
+    return materialize(ranged, "quantiles").withColumn("p", F.shiftright("pos", 33))
+
+
+def _exact_quantiles(ranged: DataFrame,
+                     probs: Sequence[float] = DESCRIBE_PROBS) -> dict[tuple[str, float], float]:
     """Exact linear-interpolated quantiles of several columns.
 
     1. (column, value) pairs are counted per distinct value — a map-side
        combined aggregate, so a value repeated a billion times is one row.
     2. The counts are range-partitioned by (column, value), sorted, tagged
-       with their (partition, position) and materialised.
+       with their (partition, position) and materialised (``_value_counts``).
     3. Running sums over the per-(partition, column) totals give offsets
        (broadcast back: a table bounded by partitions x columns); prefix sums
        within partitions then give every distinct value its rank interval.
        Only the per-column totals and the rows whose interval holds a wanted
        rank (at most two per quantile) reach the driver.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    counts = _long_values(df, columns).groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))
-    ranged = (counts.repartitionByRange(n, "column", "v")
-              .sortWithinPartitions("column", "v")
-              .withColumn("pos", F.monotonically_increasing_id()))
-    ranged = materialize(ranged, "quantiles").withColumn("p", F.shiftright("pos", 33))
     # Per (partition, column) totals: at most partitions x columns rows.
     totals = ranged.groupBy("p", "column").agg(F.sum("n").alias("t"))
     before = Window.partitionBy("column").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
@@ -191,35 +194,46 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None,
     """Per numeric column: count, mean, std (sample), min, exact quartiles, max.
 
     Layout: one row per column (column, count, mean, std, min, p25, p50, p75,
-    max).  Moments come from one partial aggregate; quartiles from
-    :func:`exact_quantiles`.
+    max).  The source is evaluated once, to count its distinct values; the
+    moments and the quartiles both come from those stored counts.
     """
     spark = df.sparkSession
     cols = list(columns or _numeric(df))
-    moments = (_long_values(df, cols).groupBy("column")
-               .agg(F.count(F.lit(1)).alias("count"), F.avg("v").alias("mean"),
-                    F.stddev_samp("v").alias("std"), F.min("v").alias("min"),
-                    F.max("v").alias("max")))
-    quant = exact_quantiles(df, cols, probs)
+    with scratch_scope(spark):
+        counts = _value_counts(df, cols)
+        quant = _exact_quantiles(counts, probs)
+        total = F.sum("n")
+        mean = F.sum(F.col("v") * F.col("n")) / total
+        # Deviations from the mean in a second look at the counts: a sum of
+        # squares would lose the digits that they share.
+        means = counts.groupBy("column").agg(
+            total.alias("count"), mean.alias("mean"), F.min("v").alias("min"), F.max("v").alias("max"))
+        square = F.sum((F.col("v") - F.col("mean")) ** 2 * F.col("n"))
+        rows = (counts.join(F.broadcast(means), "column").groupBy("column", "count", "mean", "min", "max")
+                .agg(square.alias("square")).collect())  # one row per column
+    found = {r["column"]: r for r in rows}
     names = ["p" + str(int(round(q * 100))) for q in probs]
-    qrows = [(c, *[quant.get((c, q)) for q in probs]) for c in cols]
-    qschema = T.StructType([T.StructField("column", T.StringType())] +
-                           [T.StructField(nm, T.DoubleType()) for nm in names])
-    qdf = spark.createDataFrame(qrows, qschema)
-    out = moments.join(F.broadcast(qdf), "column", "right")
-    return out.select("column", F.coalesce("count", F.lit(0).cast("long")).alias("count"),
-                      "mean", "std", "min", *names, "max")
-
-
-def sample_rows(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
-    """Exactly ``n`` random rows (or all when fewer): a bounded top-k on a
-    seeded random key, so no task holds more than ``n`` rows."""
-    return df.orderBy(F.rand(seed)).limit(n)
-
-
-def sample_fraction(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
-    """Bernoulli sample for large ``n`` (approximate size)."""
-    return df.sample(fraction=fraction, seed=seed)
+    out = []
+    for c in cols:
+        r = found.get(c)
+        if r is None:
+            out.append((c, 0, None, None, None, *[None] * len(probs), None))
+            continue
+        std = math.sqrt(r["square"] / (r["count"] - 1)) if r["count"] > 1 else None
+        out.append((c, r["count"], r["mean"], std, r["min"], *[quant.get((c, q)) for q in probs], r["max"]))
+    schema = ("column string, count long, mean double, std double, min double, "
+              + ", ".join(f"{n} double" for n in names) + ", max double")
+    return spark.createDataFrame(out, schema)
+
+
+def sample_rows(df: DataFrame, n: int, key: Sequence[str], seed: int = 42) -> DataFrame:
+    """``n`` random rows (or all when fewer): those with the smallest md5 of
+    the seed and the ``key`` columns as text, ties by the key.  A bounded
+    top-k, so no task holds more than ``n`` rows; the sample doesn't depend on
+    how the rows are partitioned."""
+    cols = [F.col(f"`{c}`") for c in key]
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(c.cast("string"), F.lit("")) for c in cols])
+    return df.orderBy(F.md5(text.cast("binary")), *cols).limit(n)
 
 
 def top_n(df: DataFrame, order_by: Sequence, n: int) -> DataFrame:

@@ -4,8 +4,7 @@ Every query reads whole driver tables (through the adapters in
 ``stellate.sources.driver_tables``) so its work grows with the scale factor.
 ``QUERIES[name](spark, sf_dir)`` returns a DataFrame; ``ORACLE_SQL[name]`` is
 the same result in SQL over the pre-registered views.  Column names and types
-match one to one.  Queries without an SQL form (sampling, approximate
-summary) are absent from ``ORACLE_SQL``.
+match one to one.
 """
 
 from __future__ import annotations
@@ -17,6 +16,7 @@ from pyspark.sql import functions as F
 
 from stellate import schemas
 from stellate.functions.columns import to_int, visa_category
+from stellate.functions.dates import register_sql_functions
 from stellate.operators.columns import drop_null_rows, keep_not_null, require_not_null
 from stellate.operators.dedupe import (
     dedupe_by_key, distinct_rows, distinct_values, duplicate_rows, latest_per_key,
@@ -28,11 +28,14 @@ from stellate.operators.profile import (
 )
 from stellate.operators.quality import quality_report
 from stellate.plans import tables as T
-from stellate.plans.pipeline import run_load, sources_from_driver_tables
+from stellate.plans.pipeline import profile_source, run_load, sources_from_driver_tables
 from stellate.sinks.files import write_csv, write_parquet
 from stellate.session import scratch_path
 from stellate.sources import driver_tables as A
-from stellate.sources.files import read_demographics, read_lookup, read_temperatures
+from stellate.sources.files import (
+    ambiguous_labels, demographics_rejects, read_airport_codes, read_arrivals, read_demographics, read_lookup,
+    read_temperatures,
+)
 from stellate.streaming.incremental import start_fact_stream
 
 # ---------------------------------------------------------------------------
@@ -156,8 +159,10 @@ SELECT arr_date,
 FROM (SELECT DISTINCT arr_date FROM ({ARRIVALS_DATED_SQL}) WHERE arr_date IS NOT NULL)
 """
 
-_IMMIGRANT_COLS = ["cicid", "country_origin", "birth_year", "gender", "insurance_num",
-                   "visa_category", "arr_year"]
+# Output columns come from the contract in schemas.
+_IMMIGRANT_COLS, _FACT_COLS, _WEATHER_OUT, _DEMOG_OUT = (
+    [c for c, _ in schemas.OUTPUT_COLUMNS[t] if c not in ("immig_id", "weather_id", "demog_id")]
+    for t in ("dim_immigrant", "fact_immigration", "dim_weather", "dim_usdemog"))
 
 IMMIGRANT_SQL = f"""
 SELECT * FROM (
@@ -184,8 +189,6 @@ FACT_SQL = f"SELECT DISTINCT * FROM ({FACT_ROWS_SQL})"
 
 _WEATHER_TIES = ["dt", "AverageTemperature", "AverageTemperatureUncertainty", "Country",
                  "Latitude", "Longitude"]
-_WEATHER_OUT = ["country_code", "Country", "measure_date", "AverageTemperature",
-                "AverageTemperatureUncertainty", "City", "Latitude", "Longitude"]
 
 
 def _weather_sql(lookup_sql: str) -> str:
@@ -215,9 +218,6 @@ FROM j
 WEATHER_SQL = _weather_sql(COUNTRY_LOOKUP_SQL)
 WEATHER_CLEAN_SQL = _weather_sql(COUNTRY_LOOKUP_CLEAN_SQL)
 
-_DEMOG_OUT = ["City", "median_age", "male_pop", "female_pop", "tot_pop", "veteran_pop",
-              "foreign_born", "avg_hose_size", "state_code", "Race"]
-
 
 def _fill_long(x: str) -> str:
     return f"CAST(trunc(COALESCE({x}, 0)) AS BIGINT)"
@@ -280,7 +280,7 @@ FROM (SELECT count(*) AS n_rows, CAST(count_if("{key}" IS NULL) AS BIGINT) AS n_
 
 
 _STAR_CHECK_SOURCES = [
-    ("fact_immigration", FACT_SQL, "cicid"),  # immig_id is never null; cicid stands in
+    ("fact_immigration", f"SELECT *, row_number() OVER () AS immig_id FROM ({FACT_SQL})", "immig_id"),
     ("dim_immigrant", IMMIGRANT_SQL, "cicid"),
     ("dim_weather", WEATHER_SQL, "weather_id"),
     ("dim_calendar", CALENDAR_SQL, "arr_date"),
@@ -299,6 +299,12 @@ _DEMOG_NUMERIC = ["Median Age", "Male Population", "Female Population", "Total P
 _TEMP_NUMERIC = ["AverageTemperature", "AverageTemperatureUncertainty"]
 _DISTINCT_COLS = ["i94port", "i94mode", "i94visa", "gender", "visatype", "airline"]
 _ROUNDTRIP_YEAR = 1998
+_MOMENT_COLS = ["cicid", "i94cit", "arrdate", "i94bir", "biryear"]
+_QUARTILE_COLS = ["l_quantity", "l_extendedprice", "l_discount"]
+# Arrivals in which every seventh traveller has no key.
+_NULL_KEY_ARRIVALS_SQL = f"""
+SELECT * REPLACE (CASE WHEN cicid % 7 <> 0 THEN cicid END AS cicid) FROM ({ARRIVALS_SQL})
+"""
 
 # ---------------------------------------------------------------------------
 # Spark queries
@@ -441,19 +447,57 @@ def q_top_n(spark, d):
 
 
 def q_sample_rows(spark, d):
-    return sample_rows(A.table(spark, d, "lineitem"), 100, seed=7)
+    return sample_rows(A.table(spark, d, "lineitem"), 100, key=["l_orderkey", "l_linenumber"], seed=7)
 
 
 def q_summary_approx(spark, d):
     return summary(A.arrivals(spark, d))
 
 
-def q_partitioned_roundtrip(spark, d):
+def q_summary_moments(spark, d):
+    """The exact rows of the summary, as numbers: one row per column."""
+    a = A.arrivals(spark, d).select(*_MOMENT_COLS)
+    wide = {r: summary(a, r) for r in ("count", "mean", "stddev", "min", "max")}
+    long = None
+    for name, frame in wide.items():
+        part = frame.unpivot(["summary"], _MOMENT_COLS, "column", "value").select(
+            "column", F.lit(name).alias("statistic"), F.round(F.col("value").cast("double"), 6).alias("value"))
+        long = part if long is None else long.unionByName(part)
+    return long
+
+
+def q_summary_quartiles(spark, d):
+    """Whether each approximate quartile's rank is within its bound."""
+    a = A.table(spark, d, "lineitem")
+    accuracy = 1000
+    q = (summary(a.select(*_QUARTILE_COLS), "25%", "50%", "75%", accuracy=accuracy)
+         .unpivot(["summary"], _QUARTILE_COLS, "column", "value")
+         .select("column", "summary", F.col("value").cast("double").alias("value")))
+    values = a.select(*[F.col(c).cast("double").alias(c) for c in _QUARTILE_COLS]).unpivot(
+        [], _QUARTILE_COLS, "column", "v").where("v IS NOT NULL")
+    ranks = (values.join(F.broadcast(q), "column").groupBy("column", "summary")
+             .agg(F.count_if(F.col("v") < F.col("value")).alias("below"),
+                  F.count_if(F.col("v") <= F.col("value")).alias("upto"), F.count(F.lit(1)).alias("n")))
+    want = F.expr("CAST(replace(summary, '%', '') AS DOUBLE) / 100") * F.col("n")
+    slack = F.col("n") / accuracy + 1
+    return ranks.select("column", F.col("summary").alias("quartile"), "n",
+                        ((F.col("below") <= want + slack) & (F.col("upto") >= want - slack)).alias("within_bound"))
+
+
+def _roundtrip(spark, d):
     fact = T.build_fact_immigration(_arrivals_dated(spark, d))
     path = scratch_path(spark, "fact_roundtrip")
     write_parquet(fact, path, partition_by="arr_year")
-    back = spark.read.parquet(path).where(F.col("arr_year") == _ROUNDTRIP_YEAR)
-    return back.select(*[c for c in fact.columns if c != "immig_id"])
+    return spark.read.parquet(path).select(*_FACT_COLS)
+
+
+def q_partitioned_roundtrip(spark, d):
+    """All partitions, the one of rows without a year included."""
+    return _roundtrip(spark, d)
+
+
+def q_partition_pruned(spark, d):
+    return _roundtrip(spark, d).where(F.col("arr_year") == _ROUNDTRIP_YEAR)
 
 
 def q_demographics_csv(spark, d):
@@ -495,7 +539,118 @@ def q_star_load(spark, d):
                     calendar_null_dates="drop")
 
 
-_FACT_COLS = [c for c, _ in schemas.OUTPUT_COLUMNS["fact_immigration"] if c != "immig_id"]
+def _loaded(spark, d, name):
+    """One table of a load, read back whole."""
+    out = scratch_path(spark, "star")
+    run_load(spark, sources_from_driver_tables(spark, d), out, calendar_null_dates="drop", write_lookups=False,
+             tables=[name])
+    return spark.read.parquet(f"{out}/{name}")
+
+
+def q_star_fact(spark, d):
+    return _loaded(spark, d, "fact_immigration").select(*_FACT_COLS)
+
+
+def q_star_immigrant(spark, d):
+    return _loaded(spark, d, "dim_immigrant")
+
+
+def q_star_weather(spark, d):
+    return _loaded(spark, d, "dim_weather")
+
+
+def q_star_calendar(spark, d):
+    return _loaded(spark, d, "dim_calendar")
+
+
+def q_star_usdemog(spark, d):
+    return _loaded(spark, d, "dim_usdemog")
+
+
+def q_star_load_bad_keys(spark, d):
+    """A load with null traveller keys, undated arrivals kept in the calendar
+    and an empty table: the report says so."""
+    src = sources_from_driver_tables(spark, d)
+    src.arrivals = src.arrivals.withColumn("cicid", F.when(F.col("cicid") % 7 != 0, F.col("cicid")))
+    src.demographics = src.demographics.where(F.col("Total Population") < 0)
+    return run_load(spark, src, scratch_path(spark, "star_bad"), on_fail="report", write_lookups=False)
+
+
+def _broken_demographics(spark, d):
+    """Demographics as text with some numbers that are none."""
+    df = A.demographics(spark, d)
+    bad = F.col("Total Population") % 50
+    return df.select(*[F.when((bad == 1) & F.lit(c == "Male Population"), F.lit("many"))
+                       .when((bad == 2) & F.lit(c == "Count"), F.lit("1,000"))
+                       .otherwise(F.col(f"`{c}`").cast("string")).alias(c) for c in df.columns])
+
+
+def q_csv_rejects(spark, d):
+    path = scratch_path(spark, "broken_csv")
+    write_csv(_broken_demographics(spark, d), path, sep=";")
+    return demographics_rejects(spark, path)
+
+
+def q_csv_without_rejects(spark, d):
+    """Rows with a malformed number are left out, not filled with 0."""
+    path = scratch_path(spark, "broken_csv")
+    write_csv(_broken_demographics(spark, d), path, sep=";")
+    return T.build_dim_usdemog(read_demographics(spark, path))
+
+
+def q_profile_demographics_nulls(spark, d):
+    return profile_source(A.demographics(spark, d))["nulls"]
+
+
+def q_profile_temperatures_nulls(spark, d):
+    return profile_source(A.temperatures(spark, d))["nulls"]
+
+
+def q_profile_temperatures_duplicates(spark, d):
+    return duplicate_rows(A.temperatures(spark, d).select("City", "Country", "Latitude"))
+
+
+def q_arrivals_file(spark, d):
+    path = scratch_path(spark, "sas_data")
+    write_parquet(A.arrivals(spark, d), path, mode="errorifexists")
+    return read_arrivals(spark, path)
+
+
+def q_airport_csv(spark, d):
+    """Suppliers in the shape of the airport code file."""
+    s = A.table(spark, d, "supplier")
+    cols = {f.name: F.lit(None).cast("string") for f in schemas.AIRPORT_CODES.fields}
+    cols |= {"ident": F.col("s_suppkey").cast("string"), "type": F.lit("small, closed"), "name": F.col("s_name"),
+             "elevation_ft": F.col("s_suppkey").cast("string"), "iso_region": F.lit("NA")}
+    path = scratch_path(spark, "airport_csv")
+    write_csv(s.select(*[c.alias(n) for n, c in cols.items()]), path)
+    return read_airport_codes(spark, path)
+
+
+def q_port_lookup(spark, d):
+    s = A.table(spark, d, "supplier").select(F.concat(F.lit("  "), F.col("s_suppkey").cast("string")).alias("port_code"),
+                                             F.concat("s_name", F.lit(" ;")).alias("port_name"))
+    path = scratch_path(spark, "port_csv")
+    write_csv(s, path)
+    return T.build_lookup(spark, path, "port")
+
+
+def q_state_lookup(spark, d):
+    n = A.table(spark, d, "nation").select(F.col("n_nationkey").cast("string").alias("state_code"),
+                                           F.concat(F.lit(" "), "n_name").alias("state"))
+    path = scratch_path(spark, "state_csv")
+    write_csv(n, path)
+    return T.build_lookup(spark, path, "state")
+
+
+def q_sas_date_sql(spark, d):
+    register_sql_functions(spark)
+    return A.arrivals(spark, d).selectExpr("cicid", "sas_date(arrdate) AS arr_date", "sas_date(depdate) AS dep_date")
+
+
+def q_ambiguous_labels(spark, d):
+    lookup = read_lookup(spark, _lookup_csv(spark, d), "country")
+    return ambiguous_labels(lookup, "country_code", "Country")
 
 
 def q_incremental_fact(spark, d):
@@ -543,6 +698,26 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "distinct_values": q_distinct_values,
     "lookup_clean": q_lookup_clean,
     "lookup_raw": q_lookup_raw,
+    "summary_moments": q_summary_moments,
+    "summary_quartiles": q_summary_quartiles,
+    "partition_pruned": q_partition_pruned,
+    "star_fact": q_star_fact,
+    "star_immigrant": q_star_immigrant,
+    "star_weather": q_star_weather,
+    "star_calendar": q_star_calendar,
+    "star_usdemog": q_star_usdemog,
+    "star_load_bad_keys": q_star_load_bad_keys,
+    "csv_rejects": q_csv_rejects,
+    "csv_without_rejects": q_csv_without_rejects,
+    "profile_demographics_nulls": q_profile_demographics_nulls,
+    "profile_temperatures_nulls": q_profile_temperatures_nulls,
+    "profile_temperatures_duplicates": q_profile_temperatures_duplicates,
+    "arrivals_file": q_arrivals_file,
+    "airport_csv": q_airport_csv,
+    "port_lookup": q_port_lookup,
+    "state_lookup": q_state_lookup,
+    "sas_date_sql": q_sas_date_sql,
+    "ambiguous_labels": q_ambiguous_labels,
 }
 
 _DEDUPE_ORDER = ["l_linenumber"] + [c for c in _LINEITEM_COLS if c not in ("l_orderkey", "l_linenumber")]
@@ -587,7 +762,49 @@ ORACLE_SQL: dict[str, str] = {
     "require_not_null": f"""SELECT {_int('cicid')} AS cicid, arr_date FROM ({ARRIVALS_DATED_SQL})
         WHERE arr_date IS NOT NULL""",
     "top_n": "SELECT * FROM orders ORDER BY o_custkey, o_orderkey LIMIT 20",
-    "partitioned_roundtrip": f"SELECT * FROM ({FACT_SQL}) WHERE arr_year = {_ROUNDTRIP_YEAR}",
+    "partitioned_roundtrip": FACT_SQL,
+    "partition_pruned": f"SELECT * FROM ({FACT_SQL}) WHERE arr_year = {_ROUNDTRIP_YEAR}",
+    "star_fact": FACT_SQL,
+    "star_immigrant": IMMIGRANT_SQL,
+    "star_weather": WEATHER_SQL,
+    "star_calendar": CALENDAR_SQL,
+    "star_usdemog": DEMOG_DIM_SQL,
+    "star_load_bad_keys": " UNION ALL ".join(
+        _checks_sql(n, f"SELECT * FROM ({q}) WHERE false" if n == "dim_usdemog" else q.replace(
+            ARRIVALS_SQL, _NULL_KEY_ARRIVALS_SQL).replace("WHERE arr_date IS NOT NULL)", ")"), k)
+        for n, q, k in _STAR_CHECK_SOURCES),
+    "csv_rejects": """
+        SELECT c."column", (SELECT count(*) FROM part) AS n_rows,
+               CAST((SELECT count(*) FROM part WHERE p_partkey % 50 = c.bad) AS BIGINT) AS n_bad
+        FROM (VALUES ('Median Age', -1), ('Male Population', 1), ('Female Population', -1), ('Total Population', -1),
+                     ('Number of Veterans', -1), ('Foreign-born', -1), ('Average Household Size', -1),
+                     ('Count', 2)) c("column", bad)""",
+    "csv_without_rejects": DEMOG_DIM_SQL.replace("FROM part", "FROM part WHERE p_partkey % 50 NOT IN (1, 2)"),
+    "profile_demographics_nulls": _null_long_sql(schemas.DEMOGRAPHICS.fieldNames(), DEMOGRAPHICS_SQL),
+    "profile_temperatures_nulls": _null_long_sql(schemas.TEMPERATURES.fieldNames(), TEMPERATURES_SQL),
+    "profile_temperatures_duplicates": f"""SELECT City, Country, Latitude FROM ({TEMPERATURES_SQL})
+        EXCEPT ALL SELECT DISTINCT City, Country, Latitude FROM ({TEMPERATURES_SQL})""",
+    "arrivals_file": ARRIVALS_SQL,
+    "airport_csv": "SELECT " + ", ".join(
+        {"ident": "CAST(s_suppkey AS VARCHAR)", "type": "'small, closed'", "name": "s_name",
+         "elevation_ft": "CAST(s_suppkey AS DOUBLE)"}.get(f.name, "CAST(NULL AS VARCHAR)") + f" AS {f.name}"
+        for f in schemas.AIRPORT_CODES.fields) + " FROM supplier",
+    "port_lookup": "SELECT CAST(s_suppkey AS VARCHAR) AS port_code, s_name AS port_name FROM supplier",
+    "state_lookup": "SELECT CAST(n_nationkey AS VARCHAR) AS state_code, n_name AS state FROM nation",
+    "sas_date_sql": f"SELECT cicid, arr_date, dep_date FROM ({ARRIVALS_DATED_SQL})",
+    "ambiguous_labels": f"""SELECT Country AS label, count(DISTINCT country_code) AS n_codes,
+        CAST(min(country_code) AS VARCHAR) AS first_code, CAST(max(country_code) AS VARCHAR) AS last_code
+        FROM ({COUNTRY_LOOKUP_CLEAN_SQL}) GROUP BY Country HAVING count(DISTINCT country_code) > 1""",
+    "sample_rows": """SELECT * FROM lineitem
+        ORDER BY md5('7|' || l_orderkey || '|' || l_linenumber), l_orderkey, l_linenumber LIMIT 100""",
+    "summary_moments": " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", '{n}' AS statistic, round(CAST({f}("{c}") AS DOUBLE), 6) AS value
+            FROM ({ARRIVALS_SQL})"""
+        for c in _MOMENT_COLS for n, f in (("count", "count"), ("mean", "avg"), ("stddev", "stddev_samp"),
+                                           ("min", "min"), ("max", "max"))),
+    "summary_quartiles": " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", '{q}' AS quartile, count("{c}") AS n, true AS within_bound FROM lineitem"""
+        for c in _QUARTILE_COLS for q in ("25%", "50%", "75%")),
     "demographics_csv": DEMOG_DIM_SQL,
     "weather_csv": WEATHER_CLEAN_SQL,
     "star_load": QUALITY_SQL,

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -13,11 +15,12 @@ from stellate.operators.dedupe import duplicate_rows
 from stellate.operators.profile import describe, null_counts, null_counts_long, summary
 from stellate.operators.quality import enforce, quality_report
 from stellate.plans import tables as TB
-from stellate.session import scratch_scope
+from stellate.session import move_path, path_exists, remove_path, scratch_scope
 from stellate.sinks.files import write_csv, write_parquet
 from stellate.sources import driver_tables
 from stellate.sources.files import (
-    read_arrivals, read_demographics, read_lookup, read_temperatures,
+    demographics_rejects, read_arrivals, read_demographics, read_lookup, read_temperatures,
+    temperatures_rejects,
 )
 
 
@@ -29,19 +32,26 @@ class LoadSources:
     countries: DataFrame
     states: DataFrame | None = None
     ports: DataFrame | None = None
+    # {file: (column, n_rows, n_bad)}: malformed values, for the report.
+    rejects: dict[str, DataFrame] = field(default_factory=dict)
 
 
 def sources_from_files(spark: SparkSession, input_dir: str, *,
                        temperatures_path: str | None = None,
-                       clean_lookups: bool = True) -> LoadSources:
+                       clean_lookups: bool = True, strict: bool = False) -> LoadSources:
     """The file layout of the original load: ``sas_data/`` (Parquet), the
-    demographics and temperature CSVs and three lookup CSVs."""
+    demographics and temperature CSVs and three lookup CSVs.  ``strict`` fails
+    on a malformed number; otherwise malformed values are counted in the
+    quality report."""
     base = input_dir.rstrip("/")
+    demographics_path = f"{base}/us-cities-demographics.csv"
+    temperatures_path = temperatures_path or f"{base}/GlobalLandTemperaturesByCity.csv"
     return LoadSources(
         arrivals=read_arrivals(spark, f"{base}/sas_data"),
-        demographics=read_demographics(spark, f"{base}/us-cities-demographics.csv"),
-        temperatures=read_temperatures(
-            spark, temperatures_path or f"{base}/GlobalLandTemperaturesByCity.csv"),
+        demographics=read_demographics(spark, demographics_path, malformed="raise" if strict else "drop"),
+        temperatures=read_temperatures(spark, temperatures_path, malformed="raise" if strict else "null"),
+        rejects={"demographics": demographics_rejects(spark, demographics_path),
+                 "temperatures": temperatures_rejects(spark, temperatures_path)},
         countries=read_lookup(spark, f"{base}/country_mapping.csv", "country", clean=clean_lookups),
         states=read_lookup(spark, f"{base}/state_code_dim.csv", "state", clean=clean_lookups),
         ports=read_lookup(spark, f"{base}/port_code.csv", "port", clean=clean_lookups),
@@ -57,20 +67,24 @@ def sources_from_driver_tables(spark: SparkSession, sf_dir: str) -> LoadSources:
     )
 
 
-def build_star(src: LoadSources, *, calendar_null_dates: str = "raise") -> dict:
-    """``{name: (DataFrame, TableSpec)}`` for the five star tables.
+def build_star(src: LoadSources, *, calendar_null_dates: str = "raise", strict_dates: bool = False,
+               assert_keys: bool = True) -> dict:
+    """``{name: (builder, TableSpec)}`` for the five star tables; a builder
+    gives the table's DataFrame.
 
-    The builders are lazy except the dense ids (weather, demographics), which
-    materialise their small inputs once.
+    DataFrames are lazy except for the dense ids (weather, demographics), which
+    materialise their small inputs once when they are built.
     """
     dated = TB.with_arrival_dates(src.arrivals)
     return {
-        "fact_immigration": (TB.build_fact_immigration(dated), schemas.FACT_IMMIGRATION),
-        "dim_immigrant": (TB.build_dim_immigrant(dated), schemas.DIM_IMMIGRANT),
-        "dim_weather": (TB.build_dim_weather(src.temperatures, src.countries), schemas.DIM_WEATHER),
-        "dim_calendar": (TB.build_dim_calendar(src.arrivals, null_dates=calendar_null_dates),
-                         schemas.DIM_CALENDAR),
-        "dim_usdemog": (TB.build_dim_usdemog(src.demographics), schemas.DIM_USDEMOG),
+        "fact_immigration": (lambda: TB.build_fact_immigration(dated, assert_keys=assert_keys),
+                             schemas.FACT_IMMIGRATION),
+        "dim_immigrant": (lambda: TB.build_dim_immigrant(dated, assert_keys=assert_keys), schemas.DIM_IMMIGRANT),
+        "dim_weather": (lambda: TB.build_dim_weather(src.temperatures, src.countries, strict_dates=strict_dates),
+                        schemas.DIM_WEATHER),
+        "dim_calendar": (lambda: TB.build_dim_calendar(src.arrivals, null_dates=calendar_null_dates,
+                                                       assert_keys=assert_keys), schemas.DIM_CALENDAR),
+        "dim_usdemog": (lambda: TB.build_dim_usdemog(src.demographics), schemas.DIM_USDEMOG),
     }
 
 
@@ -81,46 +95,83 @@ REPORT_SCHEMA = T.StructType([
 ])
 
 
+def _reject_rows(src: LoadSources) -> list[tuple]:
+    """Report rows for malformed values: one per column that has any."""
+    rows = []
+    for name, frame in src.rejects.items():
+        rows += [(f"{name}.{r['column']}", "malformed", r["n_rows"], r["n_bad"], False)
+                 for r in frame.where("n_bad > 0").collect()]  # at most one row per column
+    return rows
+
+
+def _publish(spark: SparkSession, staging: str, out: str, names: Sequence[str], run: str) -> None:
+    """Put the staged tables in the place of the old ones, which are removed
+    once all new ones are in place."""
+    old = []
+    for name in names:
+        if path_exists(spark, f"{out}/{name}"):
+            move_path(spark, f"{out}/{name}", f"{out}/_old-{run}-{name}")
+            old.append(f"{out}/_old-{run}-{name}")
+        move_path(spark, f"{staging}/{name}", f"{out}/{name}")
+    for path in old:
+        remove_path(spark, path)
+
+
 def run_load(spark: SparkSession, src: LoadSources, output_dir: str, *,
              on_fail: str = "report", null_key_threshold: int = 0,
              calendar_null_dates: str = "raise", write_lookups: bool = True,
-             parallel_writes: int = 4) -> DataFrame:
-    """Build and write the star schema, then check what was written.
-
-    Each table is computed exactly once, by its write (ids are therefore
-    fixed by the files); up to ``parallel_writes`` writes run as concurrent
-    jobs.  The checks then read only the key column of each
-    written table and fold row count and null-key count into one aggregate
-    per table.  The report (two rows per table) is written to
-    ``<output_dir>/_quality_report`` and returned.  ``on_fail='raise'``
-    raises QualityCheckError after the report is written.
+             parallel_writes: int = 4, strict_dates: bool = False,
+             tables: Sequence[str] | None = None) -> DataFrame:
+    """Build, stage, check and publish the star schema.
+
+    Each table is computed exactly once, by its write to a staging folder in
+    the output folder (ids are therefore fixed by the files); up to
+    ``parallel_writes`` writes run as concurrent jobs.  The checks read only
+    the key column of each staged table and fold row count and null-key count
+    into one aggregate per table.  A null key is a row like any other until
+    the check counts it.  The report (two rows per table, one per column with
+    malformed input) is written to ``<output_dir>/_quality_report`` and
+    returned.  ``on_fail='raise'`` raises QualityCheckError before anything is
+    published: the tables of the last load stay as they are.  With
+    ``on_fail='report'`` the tables are published whatever the checks say.
+
+    ``calendar_null_dates``: ``raise`` keeps a missing arrival date in the
+    calendar, where the null-key check finds it; ``drop`` leaves it out.
+    ``tables`` loads only some of the star tables.
     """
-    out = output_dir.rstrip("/")
-    # Intermediates (range-partitioned copies behind the dense ids) are
-    # removed once every table is written.
-    with scratch_scope(spark):
-        star = build_star(src, calendar_null_dates=calendar_null_dates)
-        jobs = [(name, df, spec.partition_by) for name, (df, spec) in star.items()]
-        if write_lookups:
-            jobs += [(name, df, None) for name, df in ((schemas.DIM_COUNTRY.name, src.countries),
-                                                       (schemas.DIM_STATE.name, src.states),
-                                                       (schemas.DIM_PORT.name, src.ports))
-                     if df is not None]
-        # The writes are independent Spark jobs: submit them together so the
-        # scheduler overlaps small dimensions with the big fact table.
-        with ThreadPoolExecutor(max_workers=max(1, parallel_writes)) as pool:
-            futures = [pool.submit(write_parquet, df, f"{out}/{name}", partition_by=part)
-                       for name, df, part in jobs]
-            for f in futures:
-                f.result()
-    written = {name: (spark.read.parquet(f"{out}/{name}"), spec.key)
-               for name, (_, spec) in star.items()}
-    rows = enforce(quality_report(written, null_key_threshold=null_key_threshold), "report")
-    report = spark.createDataFrame([tuple(r[f] for f in REPORT_SCHEMA.fieldNames()) for r in rows],
-                                   REPORT_SCHEMA)
-    write_parquet(report.coalesce(1), f"{out}/_quality_report")
-    if on_fail == "raise":
-        enforce(report, "raise")
+    if on_fail not in ("report", "raise"):
+        raise ValueError(f"on_fail must be 'report' or 'raise', not {on_fail!r}")
+    out, run = output_dir.rstrip("/"), uuid.uuid4().hex[:12]
+    staging = f"{out}/_staging-{run}"
+    star = build_star(src, calendar_null_dates=calendar_null_dates, strict_dates=strict_dates, assert_keys=False)
+    specs = {name: spec for name, (_, spec) in star.items() if tables is None or name in tables}
+    try:
+        # Intermediates (range-partitioned copies behind the dense ids) are
+        # removed once every table is written.
+        with scratch_scope(spark):
+            jobs = [(name, star[name][0](), spec.partition_by) for name, spec in specs.items()]
+            if write_lookups:
+                jobs += [(name, df, None) for name, df in ((schemas.DIM_COUNTRY.name, src.countries),
+                                                           (schemas.DIM_STATE.name, src.states),
+                                                           (schemas.DIM_PORT.name, src.ports))
+                         if df is not None]
+            # The writes are independent Spark jobs: submit them together so the
+            # scheduler overlaps small dimensions with the big fact table.
+            with ThreadPoolExecutor(max_workers=max(1, parallel_writes)) as pool:
+                futures = [pool.submit(write_parquet, df, f"{staging}/{name}", partition_by=part)
+                           for name, df, part in jobs]
+                for f in futures:
+                    f.result()
+        staged = {name: (spark.read.parquet(f"{staging}/{name}"), spec.key) for name, spec in specs.items()}
+        rows = enforce(quality_report(staged, null_key_threshold=null_key_threshold), "report")
+        rows = [tuple(r[f] for f in REPORT_SCHEMA.fieldNames()) for r in rows] + _reject_rows(src)
+        report = spark.createDataFrame(rows, REPORT_SCHEMA)
+        write_parquet(report.coalesce(1), f"{out}/_quality_report")
+        if on_fail == "raise":
+            enforce(report, "raise")
+        _publish(spark, staging, out, [name for name, _, _ in jobs], run)
+    finally:
+        remove_path(spark, staging)
     return report
 
 

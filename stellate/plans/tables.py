@@ -144,7 +144,7 @@ def fact_rows(arrivals_dated: DataFrame) -> DataFrame:
 
 
 def build_fact_immigration(arrivals_dated: DataFrame, *, with_id: bool = True,
-                           id_method: str = "monotonic", assert_keys: bool = True) -> DataFrame:
+                           assert_keys: bool = True) -> DataFrame:
     """Distinct arrival facts with ``immig_id``.
 
     Rows without an arrival date stay (they land in the null ``arr_year``
@@ -156,8 +156,7 @@ def build_fact_immigration(arrivals_dated: DataFrame, *, with_id: bool = True,
         fact = require_not_null(fact, ["cicid"])
     fact = allow_null(fact, ["I94VISA"])
     if with_id:
-        fact = unique_ids(fact, "immig_id", method=id_method,
-                          columns=[c for c in fact.columns])
+        fact = unique_ids(fact, "immig_id")
     return fact
 
 

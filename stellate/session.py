@@ -49,15 +49,14 @@ def sizing_conf(input_bytes: int, total_cores: int, *,
     """Shuffle and scan sizing for a job over ``input_bytes`` of Parquet.
 
     Initial shuffle partitions are chosen so each holds about
-    ``target_partition_bytes`` of input (at least two per core, capped at
-    100k); AQE then coalesces small ones and splits skewed ones, aiming at
-    the same size.  Scan splits use the same target, so a task's input fits
+    ``target_partition_bytes`` of input (at least two per core); AQE then
+    coalesces small ones and splits skewed ones, aiming at the same size.  Scan splits use the same target, so a task's input fits
     comfortably in executor memory and spills cleanly when it does not.  For
     small inputs the floor of AQE coalescing is lowered (down to 256 KB) so
     every core still gets work; large inputs keep Spark's 1 MB floor.
     """
     by_size = -(-int(input_bytes) // target_partition_bytes)
-    partitions = max(2 * total_cores, min(by_size, 100_000))
+    partitions = max(2 * total_cores, by_size)
     min_coalesced = max(256 << 10, min(_MB, int(input_bytes) // (16 * total_cores)))
     return {
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(min_coalesced),
@@ -68,6 +67,29 @@ def sizing_conf(input_bytes: int, total_cores: int, *,
     }
 
 
+def input_bytes(spark: SparkSession, *paths: str) -> int:
+    """Bytes under the paths, by the file system that holds them (a metadata
+    call); 0 for what doesn't exist or can't be asked for."""
+    total = 0
+    for path in paths:
+        try:
+            hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+            total += fs.getContentSummary(hpath).getLength() if fs.exists(hpath) else 0
+        except Exception:  # noqa: BLE001 - no local JVM gateway
+            return 0
+    return total
+
+
+def size_session(spark: SparkSession, nbytes: int) -> None:
+    """Give a running session the sizing of ``sizing_conf`` for an input of
+    ``nbytes`` on the cores it has.  Settings the user made are kept."""
+    given = {k for k, _ in spark.sparkContext.getConf().getAll()}
+    for key, value in sizing_conf(nbytes, spark.sparkContext.defaultParallelism).items():
+        if key not in given:
+            spark.conf.set(key, value)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Return the session's reliable checkpoint folder, setting it up if needed.
 
@@ -117,6 +139,20 @@ def remove_path(spark: SparkSession, path: str) -> None:
     hpath.getFileSystem(conf).delete(hpath, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
+
+
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder within its file system."""
+    jvm = spark.sparkContext._jvm
+    a, b = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    fs = a.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.rename(a, b):
+        raise OSError(f"could not move {source} to {target}")
+
+
 @contextlib.contextmanager
 def scratch_scope(spark: SparkSession):
     """Remove the intermediate tables made inside the block when it ends.

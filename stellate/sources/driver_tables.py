@@ -54,8 +54,9 @@ def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    j = (li.join(_big_side(o), F.col("l_orderkey") == F.col("o_orderkey"))
-           .join(_big_side(c), F.col("o_custkey") == F.col("c_custkey")))
+    # Orders meet their customers first, so the largest table is shuffled once.
+    oc = o.join(_big_side(c), F.col("o_custkey") == F.col("c_custkey"))
+    j = li.join(_big_side(oc), F.col("l_orderkey") == F.col("o_orderkey"))
     col = F.col
     days = F.datediff(F.to_date(col("o_orderdate")), F.lit(_SAS_EPOCH))
     status, prio = col("o_orderstatus"), col("o_orderpriority")

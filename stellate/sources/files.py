@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stellate import schemas
+from stellate.functions.dates import parse_date
 
 # The texts pandas' CSV reader treats as missing by default.
 PANDAS_NULL_TOKENS = (
@@ -24,47 +25,102 @@ def read_arrivals(spark: SparkSession, path: str,
     return spark.read.schema(schema).parquet(path)
 
 
+MALFORMED = ("null", "drop", "raise")
+
+
+def _parsed(c, dtype: T.DataType, malformed: str):
+    """A text value in its type.  ``raise`` fails the task on a malformed one."""
+    if isinstance(dtype, T.StringType):
+        return c
+    value = c.try_cast(dtype)
+    if malformed != "raise":
+        return value
+    error = F.raise_error(F.concat(F.lit(f"malformed {dtype.simpleString()}: "), c)).cast(dtype)
+    return F.when(c.isNotNull() & value.isNull(), error).otherwise(value)
+
+
+def _texts(spark: SparkSession, path: str, schema: T.StructType, null_tokens: Sequence[str],
+           options: dict) -> DataFrame:
+    """All columns as text, null tokens as null."""
+    text_schema = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
+    # emptyValue stays "" so an empty field is a token like the others.
+    raw = spark.read.options(**options).option("nullValue", "\u0000").schema(text_schema).csv(path)
+    return raw.select(*[F.when(~F.col(f"`{f.name}`").isin(*(tuple(null_tokens) or ("",))),
+                               F.col(f"`{f.name}`")).alias(f.name) for f in schema.fields])
+
+
+def _options(sep: str, header: bool, encoding: str, quote: str, escape: str) -> dict:
+    return {"header": header, "sep": sep, "encoding": encoding, "quote": quote, "escape": escape,
+            "mode": "PERMISSIVE"}
+
+
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType, *,
                    sep: str = ",", header: bool = True,
                    null_tokens: Sequence[str] = ("",), encoding: str = "UTF-8",
-                   quote: str = '"', escape: str = '"') -> DataFrame:
+                   quote: str = '"', escape: str = '"', malformed: str = "null") -> DataFrame:
     """Delimited text with a declared schema.
 
-    Spark's reader knows one null text only; with several ``null_tokens`` the
-    file is read as text, the tokens become null and the values are then cast
-    with ``try_cast`` (malformed numbers -> null, the job goes on).  Files are
-    split across tasks either way.
+    Spark's reader knows one null text only, so the file is read as text, the
+    ``null_tokens`` become null and the values are then cast.  ``malformed``
+    says what becomes of a value that isn't of its type: ``null`` (the value
+    is lost), ``drop`` (its row is left out) or ``raise`` (the job fails);
+    ``count_malformed`` counts them.
     """
-    reader = (spark.read.option("header", header).option("sep", sep)
-              .option("encoding", encoding).option("quote", quote)
-              .option("escape", escape).option("mode", "PERMISSIVE"))
-    tokens = tuple(null_tokens)
-    if tokens in ((), ("",)):
-        return reader.schema(schema).csv(path)
-    text_schema = T.StructType([T.StructField(f.name, T.StringType(), True)
-                                for f in schema.fields])
-    # emptyValue stays "" so an empty field is a token like the others.
-    raw = reader.option("nullValue", "\u0000").schema(text_schema).csv(path)
-    out = []
+    if malformed not in MALFORMED:
+        raise ValueError(f"malformed must be one of {MALFORMED}, not {malformed!r}")
+    texts = _texts(spark, path, schema, null_tokens, _options(sep, header, encoding, quote, escape))
+    if malformed == "drop":
+        for f in schema.fields:
+            c = F.col(f"`{f.name}`")
+            if not isinstance(f.dataType, T.StringType):
+                texts = texts.where(c.isNull() | c.try_cast(f.dataType).isNotNull())
+    return texts.select(*[_parsed(F.col(f"`{f.name}`"), f.dataType, malformed).alias(f.name)
+                          for f in schema.fields])
+
+
+def count_malformed(spark: SparkSession, path: str, schema: T.StructType, *, sep: str = ",", header: bool = True,
+                    null_tokens: Sequence[str] = ("",), encoding: str = "UTF-8", quote: str = '"',
+                    escape: str = '"', dates: Sequence[str] = ()) -> DataFrame:
+    """(column, n_rows, n_bad): values of each column that are not of its type;
+    columns in ``dates`` are text that should hold a date.  One pass."""
+    texts = _texts(spark, path, schema, null_tokens, _options(sep, header, encoding, quote, escape))
+    bad = {}
     for f in schema.fields:
         c = F.col(f"`{f.name}`")
-        c = F.when(c.isin(*tokens), F.lit(None).cast("string")).otherwise(c)
-        if not isinstance(f.dataType, T.StringType):
-            c = c.try_cast(f.dataType)
-        out.append(c.alias(f.name))
-    return raw.select(*out)
+        if f.name in dates:
+            bad[f.name] = c.isNotNull() & parse_date(c).isNull()
+        elif not isinstance(f.dataType, T.StringType):
+            bad[f.name] = c.isNotNull() & c.try_cast(f.dataType).isNull()
+    sums = texts.agg(F.count(F.lit(1)).alias("n_rows"), *[F.count_if(b).alias(f"__{i}") for i, b in enumerate(bad.values())])
+    rows = F.array(*[F.struct(F.lit(n).alias("column"), F.col("n_rows"), F.col(f"__{i}").alias("n_bad"))
+                     for i, n in enumerate(bad)])
+    return sums.select(F.inline(rows))
 
 
 def read_demographics(spark: SparkSession, path: str, *,
-                      null_tokens: Sequence[str] = PANDAS_NULL_TOKENS) -> DataFrame:
+                      null_tokens: Sequence[str] = PANDAS_NULL_TOKENS,
+                      malformed: str = "drop") -> DataFrame:
+    """A missing count means 0 later on, so a malformed one must not become
+    null: its row is left out (and counted by ``demographics_rejects``)."""
     return read_delimited(spark, path, schemas.DEMOGRAPHICS, sep=";",
-                          null_tokens=null_tokens)
+                          null_tokens=null_tokens, malformed=malformed)
+
+
+def demographics_rejects(spark: SparkSession, path: str, *,
+                         null_tokens: Sequence[str] = PANDAS_NULL_TOKENS) -> DataFrame:
+    return count_malformed(spark, path, schemas.DEMOGRAPHICS, sep=";", null_tokens=null_tokens)
 
 
 def read_temperatures(spark: SparkSession, path: str, *,
-                      null_tokens: Sequence[str] = PANDAS_NULL_TOKENS) -> DataFrame:
+                      null_tokens: Sequence[str] = PANDAS_NULL_TOKENS,
+                      malformed: str = "null") -> DataFrame:
     return read_delimited(spark, path, schemas.TEMPERATURES, sep=",",
-                          null_tokens=null_tokens)
+                          null_tokens=null_tokens, malformed=malformed)
+
+
+def temperatures_rejects(spark: SparkSession, path: str, *,
+                         null_tokens: Sequence[str] = PANDAS_NULL_TOKENS) -> DataFrame:
+    return count_malformed(spark, path, schemas.TEMPERATURES, null_tokens=null_tokens, dates=["dt"])
 
 
 def read_airport_codes(spark: SparkSession, path: str, *,
@@ -102,3 +158,12 @@ def read_lookup(spark: SparkSession, path: str, kind: str, *, clean: bool = True
     if code_type:
         code = F.trim(code).try_cast(code_type)
     return raw.select(code.alias(code_name), label.alias(label_name))
+
+
+def ambiguous_labels(lookup: DataFrame, code: str, label: str) -> DataFrame:
+    """(label, n_codes, first_code, last_code) of labels with several codes:
+    each of them multiplies the rows that a lookup join finds."""
+    return (lookup.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("label"))
+            .agg(F.count_distinct(code).alias("n_codes"), F.min(code).cast("string").alias("first_code"),
+                 F.max(code).cast("string").alias("last_code"))
+            .where("n_codes > 1"))

@@ -1,6 +1,4 @@
-from pyspark.sql import functions as F
-
-from stellate.operators.joins import fits_broadcast, lookup_join
+from stellate.operators.joins import lookup_join
 
 
 def _setup(spark):
@@ -24,10 +22,24 @@ def test_right_join_semantics(spark):
     assert dict(out.dtypes)["code"] == "bigint"
 
 
-def test_broadcast_only_when_bounded(spark):
+def test_the_planner_chooses_the_join(spark):
     lookup, data = _setup(spark)
-    assert fits_broadcast(lookup, 3) and not fits_broadcast(lookup, 2)
-    small = lookup_join(data, lookup, "Country")
-    big = lookup_join(data, lookup, "Country", max_broadcast_rows=1)
-    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
-    assert sorted(map(tuple, small.collect()), key=str) == sorted(map(tuple, big.collect()), key=str)
+    plain = lookup_join(data, lookup, "Country")
+    assert "limit" not in plain._jdf.queryExecution().optimizedPlan().toString().lower()
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    rows = sorted(map(tuple, plain.collect()), key=str)
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        by_shuffle = lookup_join(data, lookup, "Country")
+        assert sorted(map(tuple, by_shuffle.collect()), key=str) == rows
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_hot_and_null_keys(spark):
+    lookup, _ = _setup(spark)
+    data = spark.range(3000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN NULL WHEN id % 3 = 1 THEN 'A' ELSE concat('k', id) END AS Country", "id AS t")
+    out = lookup_join(data, lookup, "Country", defaults={"code": 0})
+    assert out.count() == 3000 and out.where("code = 1").count() == 1000
+    assert out.where("Country IS NULL AND code = 0").count() == 1000

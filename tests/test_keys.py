@@ -4,7 +4,7 @@ import os
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from stellate.operators.keys import dense_ids, unique_ids
+from stellate.operators.keys import dense_ids, number_rows, unique_ids
 from stellate.session import checkpoint_root
 
 
@@ -13,8 +13,14 @@ def test_unique_ids(spark):
     out = unique_ids(df, "id2")
     agg = out.agg(F.count("*"), F.count_distinct("id2"), F.min("id2")).collect()[0]
     assert agg[0] == agg[1] == 5000 and agg[2] >= 1
-    h = unique_ids(df, "h", method="hash", columns=["id"])
-    assert h.agg(F.count_distinct("h")).collect()[0][0] == 5000
+
+
+def test_number_rows_from_a_start(spark):
+    df = spark.range(1000).repartition(600)
+    out = number_rows(df, "no", start=11)
+    assert out.columns == ["id", "no"]
+    assert out.agg(F.min("no"), F.max("no"), F.count_distinct("no")).collect()[0] == (11, 1010, 1000)
+    assert number_rows(df.limit(0), "no").count() == 0
 
 
 def test_dense_ids_equal_row_number(spark):

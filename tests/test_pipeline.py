@@ -1,8 +1,10 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from stellate import schemas
+from stellate.operators.quality import QualityCheckError
 from stellate.plans.pipeline import (
     profile_arrivals, profile_source, run_load, sources_from_driver_tables,
 )
@@ -43,3 +45,30 @@ def test_profiles(spark, tmp_dir):
     prof = profile_source(driver_tables.demographics(spark, SMOKE_DIR))
     assert prof["duplicates"].count() == 0
     assert prof["describe"].count() == 8
+
+
+def test_null_keys_are_reported_not_fatal(spark, tmp_dir):
+    src = sources_from_driver_tables(spark, SMOKE_DIR)
+    src.arrivals = src.arrivals.withColumn("cicid", F.when(F.col("cicid") % 5 != 0, F.col("cicid")))
+    out = os.path.join(tmp_dir, "star")
+    rows = {(r["table"], r["check"]): r for r in run_load(spark, src, out).collect()}
+    assert not rows["dim_immigrant", "null_key"].passed and rows["dim_immigrant", "null_key"].n_bad == 1
+    assert not rows["dim_calendar", "null_key"].passed  # undated arrivals
+    assert spark.read.parquet(f"{out}/_quality_report").where("NOT passed").count() == 2
+    assert spark.read.parquet(f"{out}/fact_immigration").count() > 0
+
+
+def test_a_failed_check_leaves_the_old_tables(spark, tmp_dir):
+    out = os.path.join(tmp_dir, "star")
+    good = sources_from_driver_tables(spark, SMOKE_DIR)
+    run_load(spark, good, out, calendar_null_dates="drop", on_fail="raise", tables=["dim_usdemog", "dim_weather"])
+    before = spark.read.parquet(f"{out}/dim_usdemog").count()
+    bad = sources_from_driver_tables(spark, SMOKE_DIR)
+    bad.demographics = bad.demographics.limit(0)
+    with pytest.raises(QualityCheckError):
+        run_load(spark, bad, out, on_fail="raise", tables=["dim_usdemog"])
+    assert spark.read.parquet(f"{out}/dim_usdemog").count() == before > 0
+    assert spark.read.parquet(f"{out}/_quality_report").where("NOT passed").count() == 1
+    assert not [f for f in os.listdir(out) if f.startswith(("_staging", "_old"))]
+    run_load(spark, bad, out, tables=["dim_usdemog"])  # report mode publishes
+    assert spark.read.parquet(f"{out}/dim_usdemog").count() == 0

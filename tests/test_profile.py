@@ -57,8 +57,11 @@ def test_exact_quantiles_hot_values(spark, values, parts):
 
 def test_sample_and_top_n(spark):
     df = spark.range(1000)
-    assert sample_rows(df, 10, seed=1).count() == 10
-    assert sample_rows(df, 5000).count() == 1000
+    one = sorted(r.id for r in sample_rows(df, 10, ["id"], seed=1).collect())
+    assert len(set(one)) == 10
+    assert one == sorted(r.id for r in sample_rows(df.repartition(7), 10, ["id"], seed=1).collect())
+    assert one != sorted(r.id for r in sample_rows(df, 10, ["id"], seed=2).collect())
+    assert sample_rows(df, 5000, ["id"]).count() == 1000
     assert [r.id for r in top_n(df, ["id"], 3).collect()] == [0, 1, 2]
 
 

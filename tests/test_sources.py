@@ -1,17 +1,21 @@
 import os
 
+import pytest
 from pyspark.sql import types as T
 
-from stellate.sources.files import read_delimited, read_demographics, read_lookup
+from stellate.sources.files import (
+    ambiguous_labels, demographics_rejects, read_delimited, read_demographics, read_lookup, temperatures_rejects,
+)
 
+# Invented labels with the defects of a hand-made code book.
 COUNTRY_CSV = (
     "\ufeffcountry_code,Country\r\n"
-    '582,"MEXICO Air Sea, and Not Reported (I-94, no land arrivals)"\r\n'
-    "687,ARGENTINA \r\n"
-    "100,INVALID: STATELESS\r\n"
-    "101,INVALID: STATELESS\r\n"
-    "996,No Country Code (996) ;\r\n"
-    " 12 ,PADDED\r\n"
+    '11,"OCEANIA Sea, Air (A-1, by any route)"\r\n'
+    "12,RURITANIA \r\n"
+    "13,UNKNOWN: NO PAPERS\r\n"
+    "14,UNKNOWN: NO PAPERS\r\n"
+    "15,Code not in use (15) ;\r\n"
+    " 16 ,PADDED\r\n"
     "NA,NULL\r\n"
 )
 
@@ -25,13 +29,15 @@ def _write(path, text):
 def test_lookup_clean_and_raw(spark, tmp_dir):
     path = _write(os.path.join(tmp_dir, "country.csv"), COUNTRY_CSV)
     clean = [tuple(r) for r in read_lookup(spark, path, "country").collect()]
-    assert clean[0] == (582, "MEXICO Air Sea, and Not Reported (I-94, no land arrivals)")
-    assert (687, "ARGENTINA") in clean
-    assert (996, "No Country Code (996)") in clean
-    assert (12, "PADDED") in clean
+    assert clean[0] == (11, "OCEANIA Sea, Air (A-1, by any route)")
+    assert (12, "RURITANIA") in clean
+    assert (15, "Code not in use (15)") in clean
+    assert (16, "PADDED") in clean
     assert (None, None) in clean  # NA / NULL tokens
     raw = [tuple(r) for r in read_lookup(spark, path, "country", clean=False).collect()]
-    assert (687, "ARGENTINA ") in raw and (996, "No Country Code (996) ;") in raw
+    assert (12, "RURITANIA ") in raw and (15, "Code not in use (15) ;") in raw
+    labels = [tuple(r) for r in ambiguous_labels(read_lookup(spark, path, "country"), "country_code", "Country").collect()]
+    assert labels == [("UNKNOWN: NO PAPERS", 2, "13", "14")]
     assert read_lookup(spark, path, "country").schema["country_code"].dataType == T.IntegerType()
 
 
@@ -41,12 +47,27 @@ def test_null_tokens_and_types(spark, tmp_dir):
                   "Number of Veterans;Foreign-born;Average Household Size;State Code;Race;Count\n"
                   "Austin;Texas;31.3;NA;480000.0;931830;;NULL;2.58;TX;Asian;86400\n"
                   "Bad;X;abc;1;2;3;4;5;6;XX;R;7\n")
-    rows = read_demographics(spark, path).collect()
+    rows = read_demographics(spark, path, malformed="null").collect()
     a = rows[0]
     assert a["Median Age"] == 31.3 and a["Male Population"] is None
     assert a["Number of Veterans"] is None and a["Foreign-born"] is None
     assert a["Total Population"] == 931830 and a["Count"] == 86400
-    assert rows[1]["Median Age"] is None  # malformed number -> null, job goes on
+    assert rows[1]["Median Age"] is None
+    # By default the row is left out, and counted.
+    assert [r.City for r in read_demographics(spark, path).collect()] == ["Austin"]
+    bad = {r["column"]: (r.n_rows, r.n_bad) for r in demographics_rejects(spark, path).collect()}
+    assert bad["Median Age"] == (2, 1) and sum(n for _, n in bad.values()) == 1
+    with pytest.raises(Exception, match="malformed double: abc"):
+        read_demographics(spark, path, malformed="raise").collect()
+    with pytest.raises(ValueError):
+        read_demographics(spark, path, malformed="ignore")
+
+
+def test_malformed_dates_are_counted(spark, tmp_dir):
+    path = _write(os.path.join(tmp_dir, "t.csv"), "dt,AverageTemperature,AverageTemperatureUncertainty,City,Country,"
+                  "Latitude,Longitude\n2013-01-01,1.5,0.1,A,X,1N,1E\n2013-13-01,1.5,oops,A,X,1N,1E\n,,,B,X,1N,1E\n")
+    bad = {r["column"]: r.n_bad for r in temperatures_rejects(spark, path).collect()}
+    assert bad == {"dt": 1, "AverageTemperature": 0, "AverageTemperatureUncertainty": 1}
 
 
 def test_plain_typed_read(spark, tmp_dir):
