@@ -25,7 +25,7 @@ _UNITS = re.compile(r" ?\S+|\s+(?!\S)|\s")
 _FEED = "\x00"
 #: Marks cut from the end of a unit before it is looked up.
 _MARKS = ".,;:!?*&$%#|)]}"
-_CONTROL = "[\\x00\\x1c-\\x1f]"
+_CONTROL = "[\\x00\\x02\\x1c-\\x1f]"
 
 
 def tokenizer_source(path: str) -> str:
@@ -45,27 +45,43 @@ def load_tokenizer(source: str):
     return tok
 
 
+def _byte_letters() -> dict[int, str]:
+    """How a byte-level vocabulary writes each byte: printable ones as they
+    are, the others as letters from U+0100 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+_LETTERS = _byte_letters()
+
+
 class UnitEncoder:
-    """Ids of texts; remembers the ids of about ``max_units`` units."""
+    """Ids of texts.  Remembers the ids of up to ``max_units`` units that came
+    at least twice in a part of the data; all others only for that part."""
 
-    def __init__(self, source: str, max_units: int = 1_000_000):
+    def __init__(self, source: str, max_units: int = 250_000):
         self.tok, self.max_units = load_tokenizer(source), max_units
         # A byte-level vocabulary writes each byte of a token as one character.
         vocab = self.tok.get_vocab(with_added_tokens=True)
         self.width = np.zeros(max(vocab.values()) + 1, np.int64)
         for token, i in vocab.items():
             self.width[i] = len(token)
-        self._clear()
-
-    def _clear(self) -> None:
         # Slot 0 stands for pieces that are no unit by themselves.
         self.known: dict[str, int] = {}
-        self.slots, self.used = 1, 0
+        self.passing: dict[str, int] = {}
+        self.kept, self.slots, self.used = (1, 0), 1, 0
         self.ids = np.empty(1 << 16, np.int32)
         self.start, self.count = np.zeros(1 << 14, np.int32), np.zeros(1 << 14, np.int32)
 
-    def _append(self, units: list[str], ids: np.ndarray, first: np.ndarray, counts: np.ndarray) -> None:
-        n, m = self.slots, len(units)
+    def _forget(self) -> None:
+        """Drop the units of the last part of the data."""
+        self.passing = {}
+        self.slots, self.used = self.kept
+
+    def _append(self, into: dict[str, int], keys: list[str], ids: np.ndarray, first: np.ndarray,
+                counts: np.ndarray) -> None:
+        n, m = self.slots, len(keys)
         while self.used + len(ids) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
         while n + m > len(self.start):
@@ -76,69 +92,87 @@ class UnitEncoder:
         self.count[n:n + m] = counts
         self.used += len(ids)
         self.slots += m
-        self.known.update(zip(units, range(n, n + m)))
-
-    def _learn(self, keys: list[str], units: list[str]) -> None:
-        """Ids of new units.  Units that begin with one separator are encoded
-        many at a time and cut where the bytes of each end; a bare word is
-        encoded behind a line feed, whose id is left out again."""
-        blank = [i for i, u in enumerate(units) if u.isspace()]
-        for i in blank:
-            ids = np.array(self.tok.encode(units[i], add_special_tokens=False).ids, np.int32)
-            self._append([keys[i]], ids, np.zeros(1, np.int32), np.array([len(ids)], np.int32))
-        if blank:
-            left = [i for i, u in enumerate(units) if not u.isspace()]
-            keys, units = [keys[i] for i in left], [units[i] for i in left]
-        for lo in range(0, len(units), 4096):
-            part = units[lo:lo + 4096]
-            bare = np.fromiter((u[0] not in " \n" for u in part), bool, len(part))
-            if bare.any():
-                part = [("\n" + u) if b else u for u, b in zip(part, bare)]
-            sizes = np.fromiter((len(u.encode()) for u in part), np.int64, len(part))
-            ids = np.array(self.tok.encode("".join(part), add_special_tokens=False).ids, np.int32)
+        into.update(zip(keys, range(n, n + m)))
+
+    def _learn(self, into: dict[str, int], keys: list[str], units: list[str]) -> None:
+        """Ids of new units.  A blank and letters go to the model itself, as
+        nothing splits them.  Other units that begin with one separator are
+        encoded many at a time and cut where the bytes of each end; a bare
+        word is encoded behind a line feed, whose id is left out again."""
+        words, blank, other = [], [], []
+        for k, u in zip(keys, units):
+            if u[0] == " " and u[1:].isalpha():
+                words.append((k, u))
+            else:
+                (blank if u.isspace() else other).append((k, u))
+        model = self.tok.model
+        for lo in range(0, len(words), 4096):
+            part = words[lo:lo + 4096]
+            found = [[t.id for t in model.tokenize(u.encode().decode("latin-1").translate(_LETTERS))] for _, u in part]
+            counts = np.fromiter(map(len, found), np.int32, len(part))
+            self._append(into, [k for k, _ in part], np.array([i for x in found for i in x], np.int32),
+                         np.cumsum(counts, dtype=np.int32) - counts, counts)
+        for k, u in blank:
+            ids = np.array(self.tok.encode(u, add_special_tokens=False).ids, np.int32)
+            self._append(into, [k], ids, np.zeros(1, np.int32), np.array([len(ids)], np.int32))
+        for lo in range(0, len(other), 4096):
+            part = other[lo:lo + 4096]
+            bare = np.fromiter((u[0] not in " \n" for _, u in part), bool, len(part))
+            text = [("\n" + u) if b else u for (_, u), b in zip(part, bare)]
+            sizes = np.fromiter((len(u.encode()) for u in text), np.int64, len(part))
+            ids = np.array(self.tok.encode("".join(text), add_special_tokens=False).ids, np.int32)
             ends = np.searchsorted(np.cumsum(self.width[ids]), np.cumsum(sizes)) + 1
             first = np.concatenate([[0], ends[:-1]])
-            self._append(keys[lo:lo + 4096], ids, (first + bare).astype(np.int32),
+            self._append(into, [k for k, _ in part], ids, (first + bare).astype(np.int32),
                          (ends - first - bare).astype(np.int32))
 
-    def _slots(self, pieces: list[str]) -> np.ndarray:
-        """Slots of pieces that follow a separator (``_FEED`` in front: a line
-        feed, else a blank); 0 where a piece is no unit by itself."""
-        get = self.known.get
-        slots = np.fromiter((get(p, -1) for p in pieces), np.int32, len(pieces))
-        new = np.flatnonzero(slots < 0)
-        if not len(new):
-            return slots
-        if self.slots + len(new) > self.max_units and self.slots > 1:
-            self._clear()
-            return self._slots(pieces)
+    def _find(self, key: str) -> int:
+        slot = self.known.get(key)
+        return self.passing.get(key, -1) if slot is None else slot
+
+    def _add(self, into: dict[str, int], pieces: list[str]) -> None:
+        """Learn pieces (``_FEED`` in front: behind a line feed, else a blank);
+        their slot is 0 if they are no unit by themselves."""
         plain, marks, joint = {}, {}, []
-        for i in new.tolist():
-            piece = pieces[i]
+        for piece in pieces:
             body = piece[1:] if piece[:1] == _FEED else piece
             if not body or body[0].isspace() or body[-1].isspace():
-                self.known[piece] = slots[i] = 0
+                into[piece] = 0
                 continue
             head = body.rstrip(_MARKS)
             if len(head) < len(body) and head and head[-1].isalnum():
                 # Marks behind a letter or digit are never merged with it.
                 mark = "u" + body[len(head):]
                 head = piece[:len(piece) - len(mark) + 1]
-                joint.append((i, head, mark))
-                if mark not in self.known:
+                joint.append((piece, head, mark))
+                if self._find("\x02" + mark) < 0:
                     marks[mark] = None
                 piece = head
-            if piece not in self.known:
+            if self._find(piece) < 0:
                 plain[piece] = None
-        self._learn(list(plain), [("\n" + p[1:]) if p[:1] == _FEED else " " + p for p in plain])
-        self._learn(list(marks), [m[1:] for m in marks])
+        self._learn(into, list(plain), [("\n" + p[1:]) if p[:1] == _FEED else " " + p for p in plain])
+        self._learn(into, ["\x02" + m for m in marks], [m[1:] for m in marks])
         if joint:
-            two = np.array([(self.known[h], self.known[m]) for _, h, m in joint], np.int32)
+            two = np.array([(self._find(h), self._find("\x02" + m)) for _, h, m in joint], np.int32)
             ids, ends = self._flat(two.ravel())
             ends = ends[1::2]
             counts = np.diff(ends, prepend=0)
-            self._append([pieces[i] for i, _, _ in joint], ids, (ends - counts).astype(np.int32), counts)
-        slots[new] = np.fromiter((self.known[pieces[i]] for i in new.tolist()), np.int32, len(new))
+            self._append(into, [p for p, _, _ in joint], ids, (ends - counts).astype(np.int32), counts)
+
+    def _slots(self, pieces: list[str], times: np.ndarray) -> np.ndarray:
+        get = self.known.get
+        slots = np.fromiter((get(p, -1) for p in pieces), np.int32, len(pieces))
+        new = np.flatnonzero(slots < 0)
+        if not len(new):
+            return slots
+        # Marks double the units at most; room for both.
+        room = max(0, (self.max_units - len(self.known)) // 2)
+        keep = new[times[new] > 1][:room]
+        if len(keep):
+            self._add(self.known, [pieces[i] for i in keep.tolist()])
+            self.kept = (self.slots, self.used)
+        self._add(self.passing, [pieces[i] for i in new.tolist() if pieces[i] not in self.known])
+        slots[new] = np.fromiter((self._find(pieces[i]) for i in new.tolist()), np.int32, len(new))
         return slots
 
     def _flat(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -160,9 +194,9 @@ class UnitEncoder:
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
         lo = 0
-        while lo < len(texts):  # about 32 MB of text at a time, or one text
+        while lo < len(texts):  # about 12 MB of text at a time, or one text
             done = int(size[lo - 1]) if lo else 0
-            hi = max(lo + 1, int(np.searchsorted(size, done + (32 << 20), "right")))
+            hi = max(lo + 1, int(np.searchsorted(size, done + (12 << 20), "right")))
             for i, ids in self._encode(texts.slice(lo, hi - lo)):
                 yield lo + i, ids
             lo = hi
@@ -177,13 +211,11 @@ class UnitEncoder:
         bounds = pieces.offsets.to_numpy() - pieces.offsets[0].as_py()
         coded = pieces.flatten().dictionary_encode()
         where, words = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.to_pylist()
-        word_slots = self._slots(words)
-        slot = word_slots[where]
+        del marked, pieces, coded
+        self._forget()
+        slot = self._slots(words, np.bincount(where, minlength=len(words)))[where]
         broken = np.flatnonzero(slot == 0)
         odd[np.searchsorted(bounds, broken, "right") - 1] = True
-        if odd.any():  # done first, as this may renew the memory of units
-            apart = {int(i): self._any(texts[int(i)].as_py()) for i in np.flatnonzero(odd)}
-            slot = self._slots(words)[where]
         lo = 0
         while lo < len(texts):
             # About a quarter of a million units at a time.
@@ -191,7 +223,7 @@ class UnitEncoder:
             flat, ends = self._flat(slot[bounds[lo]:bounds[hi]])
             edge = np.concatenate([[0], ends])[bounds[lo:hi + 1] - bounds[lo]]
             for i in range(lo, hi):
-                yield i, apart[i] if odd[i] else flat[edge[i - lo] + 1:edge[i - lo + 1]]
+                yield i, self._any(texts[i].as_py()) if odd[i] else flat[edge[i - lo] + 1:edge[i - lo + 1]]
             lo = hi
 
     def _any(self, text: str) -> np.ndarray:
@@ -199,13 +231,10 @@ class UnitEncoder:
         if not text:
             return np.empty(0, np.int32)
         units = _UNITS.findall(text)
-        keys = ["u" + u for u in units]  # not to meet the keys of pieces
-        new = [k for k in dict.fromkeys(keys) if k not in self.known]
-        if self.slots + len(new) > self.max_units and self.slots > 1:
-            self._clear()
-            new = list(dict.fromkeys(keys))
-        self._learn(new, [k[1:] for k in new])
-        return self._flat(np.fromiter(map(self.known.__getitem__, keys), np.int32, len(keys)))[0]
+        keys = ["u" + u for u in units]
+        new = [k for k in dict.fromkeys(keys) if self._find("\x02" + k) < 0]
+        self._learn(self.passing, ["\x02" + k for k in new], [k[1:] for k in new])
+        return self._flat(np.fromiter((self._find("\x02" + k) for k in keys), np.int32, len(keys)))[0]
 
 
 _encoders: dict[int, UnitEncoder] = {}
@@ -215,6 +244,8 @@ def encoder(source: str) -> UnitEncoder:
     """This worker's encoder; kept between tasks, so known units stay known."""
     key = hash(source)
     if key not in _encoders:
+        # Arrow's own allocator holds on to what a batch needed at its widest.
+        pa.set_memory_pool(pa.system_memory_pool())
         _encoders.clear()
         _encoders[key] = UnitEncoder(source)
     return _encoders[key]
