@@ -2,7 +2,8 @@
 
 Spark sizing comes from ``stellate.session.sizing_conf`` for the input size.
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS
-(default 8), BENCH_QUERIES (comma list, default: all registered queries).
+(default 8), BENCH_QUERIES (comma list, default: the headline queries, those not in
+``CONTENT_CHECKS``).
 An untimed warm-up runs a few query shapes on the sf0.001 tables first.
 Each query is forced to completion with the ``noop`` sink (every row
 computed, nothing collected); eager steps inside a query (materialised
@@ -18,14 +19,15 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from stellate.plans.catalog import QUERIES  # noqa: E402
+from stellate.plans.catalog import CONTENT_CHECKS, QUERIES  # noqa: E402
 from stellate.session import get_session, sizing_conf  # noqa: E402
 
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or list(QUERIES)
+    names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or \
+        [n for n in QUERIES if n not in CONTENT_CHECKS]
     input_bytes = sum(os.path.getsize(os.path.join(sf_dir, f)) for f in os.listdir(sf_dir)
                       if f.endswith(".parquet"))
     spark = get_session("stellate-bench", master=f"local[{cpus}]",
