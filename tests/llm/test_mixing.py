@@ -43,7 +43,8 @@ def test_targets_and_samples(make):
         assert 0 <= r.times <= 3 and r.words == r.times * r.n
         taken[r.source] = taken.get(r.source, 0) + r.words
         largest[r.source] = max(largest.get(r.source, 0), r.n)
-    assert all(abs(taken[s] - want[s]) <= 2 * largest[s] for s in want)
+    assert all(abs(taken[s] - want[s]) <= largest[s] for s in want)
+    assert all(abs(taken[f"s{i}"] - want[f"s{i}"]) <= 2 for i in range(5))  # sizes to choose from
     light = mixing.mix_sources(docs, carry=["doc_id"], names=("n", "total", "goal", "times", "words")).collect()
     assert sorted((str(r.doc_id), r.n, r.times) for r in light) == sorted((str(r.doc_id), r.n, r.times) for r in got)
 
