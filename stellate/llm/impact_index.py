@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stellate.llm.common import col, stored
+from stellate.llm.common import col, ship, stored
 
 SCALE, K, BLOCK, QUERIES, LEVELS = 1024, 10, 4096, 1024, 16
 #: Segments between two looks at whether the rest can be left out.
@@ -153,6 +153,7 @@ def top_k(vectors: DataFrame, queries: Column, *, id_col: str = "vec_id", vector
           scale: int = SCALE, k: int = K, block: int = BLOCK, query_block: int = QUERIES) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best rows of each row for which
     ``queries`` holds, by integer inner product."""
+    ship(vectors.sparkSession)
     rows = vectors.select(col(id_col).cast("long").alias("_id"), integers(col(vector_col), scale).alias("v"),
                           F.coalesce(queries, F.lit(False)).alias("asks")).filter("v IS NOT NULL")
     rows = stored(rows.withColumn("row", F.monotonically_increasing_id()), "vectors")[0]

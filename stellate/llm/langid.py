@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stellate.llm.common import col
+from stellate.llm.common import col, ship
 
 BUCKETS, PENALTY, UNDEFINED = 1 << 15, 8.0, "und"
 #: Least log probability of a word below that of its best language.
@@ -117,6 +117,7 @@ class LanguageModel:
 def learn_languages(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang",
                     where: Column | None = None, script_share: float = 0.001) -> LanguageModel:
     """Learn from all rows with a text and a language (those in ``where``)."""
+    ship(docs.sparkSession)
     rows = docs.filter(where) if where is not None else docs
     rows = rows.select(col(text_col).alias("_text"), col(lang_col).alias("_lang")).dropna()
     got = (rows.mapInArrow(_count, "lang string, bucket int, n long").groupBy("lang", "bucket")
@@ -234,6 +235,7 @@ def label_languages(docs: DataFrame, model: LanguageModel, *, id_col: str = "doc
     """(id, lang_pred, score, spans) of every document.  ``score``: the share
     of the text's letters in that language; ``spans``: runs of words (split at
     white space) and their language."""
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(col(id_col).alias("_id"), col(text_col).alias("_text"))
     kind = rows.schema["_id"].dataType.simpleString()

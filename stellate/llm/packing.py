@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stellate.llm.common import col, stored
+from stellate.llm.common import col, ship, stored
 from stellate.llm.tokens import encoder
 
 LENGTH, GROUP, SLACK, END = 1024, 8192, 8, 0
@@ -131,6 +131,7 @@ def pack(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: s
     ``ids``: the piece's token ids as little-endian unsigned 32-bit integers.
     ``tokenizer``: the tokenizer's JSON text.  ``length``: a power of two."""
     spark = docs.sparkSession
+    ship(spark)
     source = spark.sparkContext.broadcast(tokenizer)
     rows = docs.select(col(id_col).alias("_id"), col(text_col).alias("_text"))
     kind = rows.schema["_id"].dataType.simpleString()

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stellate.llm.common import col, learnable
+from stellate.llm.common import col, learnable, ship
 
 #: Most labelled rows that the trees are fit on.
 SAMPLE, THRESHOLD = 20_000, 0.3
@@ -146,6 +146,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", t
                 label_col: str = "quality", folds: int = 5, fold: int = 0, sample: int = SAMPLE,
                 seed: int = 10) -> Trees:
     """Fit on at most ``sample`` labelled rows outside the held-out fold."""
+    ship(docs.sparkSession)
     ident = col(id_col)
     marked = (labels.filter(col(label_col).isin(0, 1) & learnable(ident, folds, fold))
               .groupBy(ident.alias("_label_id")).agg(F.max(col(label_col)).cast("int").alias("label"))
@@ -175,6 +176,7 @@ def _scored(batches: Iterator[pa.RecordBatch], shared, text: int, keep: float |
 
 def score_quality(docs: DataFrame, trees: Trees, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score) of every document."""
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(trees)
     rows = docs.select(col(id_col).alias("_id"), col(text_col).alias("_text"))
     kind = rows.schema["_id"].dataType.simpleString()
@@ -184,5 +186,6 @@ def score_quality(docs: DataFrame, trees: Trees, *, id_col: str = "doc_id", text
 
 def keep_quality(docs: DataFrame, trees: Trees, *, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the documents that score below the threshold."""
+    ship(docs.sparkSession)
     shared, at = docs.sparkSession.sparkContext.broadcast(trees), docs.columns.index(text_col)
     return docs.mapInArrow(lambda it: _scored(it, shared, at, threshold), docs.schema)

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stellate.llm.common import col, fresh, stored
+from stellate.llm.common import col, fresh, ship, stored
 from stellate.llm.components import components
 
 #: Bits of each segment, from the highest; any 6 - 2 = 4 differing bits leave two clean.
@@ -97,6 +97,7 @@ def _fingerprint_batches(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[
 def fingerprints(rows: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """``rows`` with the text in ``_text`` replaced by its fingerprint ``fp``
     (the 64 bits as a signed long)."""
+    ship(rows.sparkSession)
     kept = rows.drop("_text").schema
     return rows.mapInArrow(lambda it: _fingerprint_batches(it, shingle), kept.add("fp", "long"))
 
@@ -268,6 +269,7 @@ def hamming_links(distinct: DataFrame, *, budget: int = BUDGET, limit: int = LIM
     fingerprints ``fp`` that differ in at most ``budget`` bits."""
     if budget > len(SEGMENTS) - CLEAN:
         raise ValueError("the budget must leave enough clean segments")
+    ship(distinct.sparkSession)
     tries = distinct.select(F.inline(F.array(*[
         F.struct(F.lit(k).cast("byte").alias("ord"), _reordered(F.col("fp"), o).alias("v"))
         for k, o in enumerate(_orders())])))
