@@ -10,6 +10,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
+# The column names and types below are those of the source files
+# and of the output tables, and must match them.
 D, S, L, I, DT = T.DoubleType(), T.StringType(), T.LongType(), T.IntegerType(), T.DateType()
 
 
