@@ -58,9 +58,11 @@ def exact_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         ended = F.octet_length(F.col(body)) < width
         pick = F.struct(F.col(ident).isNull().alias("none"), F.col(ident).alias("id"),
                         (F.col(tag) if tagged else F.lit(None).cast("long")).alias("tag"))
-        groups = (rows.groupBy(prefix.alias("_prefix"))
-                  .agg(F.count(F.lit(1)).alias(count), F.min(pick).alias(first))
-                  .filter(F.col(count) > 1))
+        # Read back from files and merged at every size, both sides come from
+        # shuffles of their own, so Spark can split a prefix that many rows share.
+        groups = stored(rows.groupBy(prefix.alias("_prefix"))
+                        .agg(F.count(F.lit(1)).alias(count), F.min(pick).alias(first))
+                        .filter(F.col(count) > 1), "prefixes")[0].hint("merge")
         joined = rows.join(groups, prefix == F.col("_prefix"), "left")
         alone = F.col(count).isNull()
         # In the first round rows have no tag yet, so ended groups wait too.
