@@ -7,8 +7,10 @@ of fixed size.  Pareto order sampling ranks documents by
 
     (u / (1 - u)) / (p / (1 - p)),   u a random number fixed by the id,
 
-and takes the smallest until the words still wanted are reached.  An optional
-importance column makes p differ inside a source as well.
+and takes the smallest until the words still wanted are reached.  The last one
+is chosen for its size: of the next ``LAST`` in order (or none), the one that
+brings the words nearest to those wanted.  An optional importance column makes
+p differ inside a source as well.
 
 The ranking is never sorted in one place.  The rank key is turned into an
 integer; an aggregate of words per source and leading key bits finds the slice
@@ -28,7 +30,9 @@ from pyspark.sql import functions as F
 
 from stellate.llm.common import WORD_RE, col, fresh, stored
 
-KEY_BITS, STEP = 60, 12  # five looks of twelve bits settle a key
+KEY_BITS, STEP = 48, 16  # three looks of sixteen bits settle a key
+#: Documents in order among which the last one of a source is chosen.
+LAST = 64
 
 
 def word_count(text: Column) -> Column:
@@ -74,9 +78,9 @@ def _key(ident: Column, source: Column, p: Column, seed: int) -> Column:
 
 
 def thresholds(units: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(source, cut): the key up to which units are taken so that the words
-    taken come nearest to ``wanted`` (source, words).  ``units``: source, key,
-    size."""
+    """(source, cut, last): units below key ``cut`` are taken, and the one of
+    key ``last`` (null: none), so that the words taken come near ``wanted``
+    (source, words).  ``units``: source, key, size."""
     before = Window.partitionBy("source").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     # At the start nothing is settled: prefix 0 of length 0, no words so far.
     state = wanted.select("source", "words", F.lit(0).cast("long").alias("prefix"),
@@ -95,9 +99,17 @@ def thresholds(units: DataFrame, wanted: DataFrame) -> DataFrame:
             F.max_by(F.struct("words", "slice", "start", "size"), "slice").alias("x"))
             .select("source", "x.words", F.col("x.slice").alias("prefix"),
                     F.col("x.start").alias("so_far"), "x.size"), "mix-cut")[0]
-    # One key is left: take it if that comes nearer than leaving it.
-    nearer = F.col("so_far") + F.col("size") - F.col("words") <= F.col("words") - F.col("so_far")
-    return state.select("source", F.when(nearer, F.col("prefix")).otherwise(F.col("prefix") - 1).alias("cut"))
+    # One key is left, in which the words are reached: the first that may be
+    # the last one.  Each task keeps its first LAST keys of a source.
+    s = state.select(F.col("source").alias("s"), F.col("prefix").alias("cut"),
+                     (F.col("words") - F.col("so_far")).alias("gap"))
+    ahead = (units.join(s, units["source"].eqNullSafe(s["s"]) & (F.col("key") >= F.col("cut")))
+             .groupBy("source", "cut", "gap", "key").agg(F.sum("size").alias("size")))
+    order = Window.partitionBy("source").orderBy("key")
+    near = ahead.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= LAST)
+    off = F.abs(F.col("size") - F.col("gap"))
+    return (near.groupBy("source", "cut", "gap").agg(F.min(F.struct(off.alias("off"), "n", "key")).alias("x"))
+            .select("source", "cut", F.when(F.col("x.off") < F.col("gap"), F.col("x.key")).alias("last")))
 
 
 def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
@@ -151,7 +163,7 @@ def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         back = clash
     rows = expected(with_plan(rows, plan))
     copies = F.when(F.col("size") > 0, F.col("certain") + F.when(
-        F.col("key") <= F.col("cut"), F.lit(1)).otherwise(F.lit(0))).otherwise(F.lit(0)).cast("long")
+        (F.col("key") < F.col("cut")) | (F.col("key") == F.col("last")), F.lit(1)).otherwise(F.lit(0))).otherwise(F.lit(0)).cast("long")
     new = (F.col("size"), F.col("source_size"), F.col("target"), copies, copies * F.col("size"))
     return rows.select(*[F.col(back[c]).alias(c) for c in carry],
                        *[c.alias(n) for c, n in zip(new, names)])
