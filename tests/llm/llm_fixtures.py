@@ -1,3 +1,5 @@
+"""Fixtures of these tests (a second conftest would hide the first one)."""
+
 import pytest
 from pyspark.sql import types as T
 

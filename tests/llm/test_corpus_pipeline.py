@@ -10,6 +10,8 @@ from stellate.llm.common import stored
 from test_exact_dedup import norm
 from test_simhash import brute, fingerprint
 
+from llm_fixtures import make  # noqa: F401
+
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 

@@ -7,6 +7,8 @@ import pytest
 
 from stellate.llm.exact_dedup import drop_exact_duplicates, exact_duplicates
 
+from llm_fixtures import make  # noqa: F401
+
 
 def rows():
     long = "lorem ipsum " * 3000

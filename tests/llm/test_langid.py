@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from stellate.llm import langid as L
 
+from llm_fixtures import make  # noqa: F401
+
 EN = "the house of that was and with for this are have from they which would there about".split()
 FR = "le la des une est que pour dans sur par avec plus tout nous vous leur cette être".split()
 RU = "и в не на я быть он с что а по это она этот к но они мы весь который".split()

@@ -4,6 +4,8 @@ import re
 
 from stellate.llm import licenses as L
 
+from llm_fixtures import make  # noqa: F401
+
 
 def dice(unit):
     words = re.sub("[^0-9a-z]+", " ", unit.lower()).split()

@@ -4,6 +4,8 @@ import pytest
 
 from stellate.llm import mixing
 
+from llm_fixtures import make  # noqa: F401
+
 
 def by_hand(sizes):
     """Reshare by weight until no source is above three times its size."""

@@ -5,6 +5,8 @@ import pytest
 
 from stellate.llm import quality as Q
 
+from llm_fixtures import make  # noqa: F401
+
 
 def walk(trees, row):
     raw = trees.base

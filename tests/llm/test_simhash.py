@@ -6,6 +6,8 @@ import xxhash
 
 from stellate.llm import simhash as S
 
+from llm_fixtures import make  # noqa: F401
+
 AWKWARD = [(1, "a b c d e f"), (2, "a b c d e f"), (3, None), (4, ""), (5, " \n\t"), (6, "one"), (7, "ONE"),
            (8, "É b"), (9, "é b"), (None, "a b c d e f"), (None, "lonely words here now"), (1, "a b c d e f"),
            (11, "x " * 70000)]

@@ -9,6 +9,8 @@ import pytest
 from stellate.llm import packing, token_files
 from stellate.llm.tokens import UnitEncoder, tokenizer_source
 
+from llm_fixtures import make  # noqa: F401
+
 public_tokenizers = pytest.importorskip("public_tokenizers")
 SOURCE = tokenizer_source(public_tokenizers.path("byte_bpe_50k.json"))
 TEXTS = ["", None, "hello", "Hello  world", " lead", "trail ", "a\n\nb", "a\nb", "\n", "  ", "a \n b", "tab\there",
