@@ -47,7 +47,7 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 STAGES = [("quality", quality_stage), ("exact_dedup", exact_stage), ("simhash", near_stage),
           ("mixing", mixing_stage), ("packing", packing_stage)]
 
-#: Trees, fingerprints and a tokenizer have no SQL; see tests/llm/test_pipeline.py.
+#: Trees, fingerprints and a tokenizer have no SQL; see tests/llm/test_corpus_pipeline.py.
 ORACLE_SQL = None
 
 
