@@ -30,14 +30,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stellate.llm.common import col, stored
+from stellate.llm.common import col, ship, stored
 from stellate.llm.tokens import encoder
 
 BLOCK, LANES, CHECK, SCALE = 1 << 16, 64, 256, 18
 #: Ids of a shard, and blocks coded together.
 SHARD, TOGETHER = 4_000_000, 32
 _LOW = np.uint64(1 << 31)
-_32 = np.uint64(32)
+_32, _5, _HALF = np.uint64(32), np.uint64(5), np.uint64(0xFFFFFFFF)
 
 
 # ---- the coder ------------------------------------------------------------
@@ -48,10 +48,14 @@ class Table:
     def __init__(self, symbols: np.ndarray, freq: np.ndarray, scale: int):
         self.scale = np.uint64(scale)
         n = int(symbols.max()) + 1 if len(symbols) else 1
-        self.freq, self.cum = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
-        self.freq[symbols] = freq
-        self.cum[symbols] = np.cumsum(freq) - freq
+        # For coding: frequency and the sum of those before it, in one number.
+        cum = np.cumsum(freq) - freq
+        self.known = np.zeros(n, np.uint64)
+        self.known[symbols] = (freq.astype(np.uint64) << _32) | cum.astype(np.uint64)
+        # For decoding: the id of each slot, its frequency and place in it.
         self.symbol = np.repeat(symbols.astype(np.uint32), freq)
+        self.slot = (np.repeat(freq, freq).astype(np.uint64) << _32) | \
+            (np.arange(len(self.symbol)) - np.repeat(cum, freq)).astype(np.uint64)
 
     @staticmethod
     def scaled(counts: np.ndarray, scale: int) -> np.ndarray:
@@ -80,16 +84,18 @@ def encode_blocks(ids: np.ndarray, table: Table) -> list[tuple[bytes, bytes]]:
     x = np.full((blocks, LANES), _LOW, np.uint64)
     words = np.empty((steps, blocks, LANES), np.uint32)
     out = np.empty((steps, blocks, LANES), bool)
-    states, top = {}, np.uint64(63) - table.scale
+    states, top, total = {}, np.uint64(63) - table.scale, np.uint64(1) << table.scale
     for t in range(steps - 1, -1, -1):
-        f, c = table.freq[grid[t]], table.cum[grid[t]]
-        full = x >= (f << top)
-        words[t], out[t] = x, full  # the low half is kept
-        x = np.where(full, x >> _32, x)
+        f = table.known[grid[t]]
+        c = f & _HALF
+        f >>= _32
+        full = np.greater_equal(x, f << top, out=out[t])
+        words[t] = x  # the low half is kept
+        x >>= full.astype(np.uint64) << _5
         q = x // f
-        x = (q << table.scale) + (x - q * f) + c
+        x += q * (total - f) + c
         if t % CHECK == 0:
-            states[t] = x
+            states[t] = x.copy()
     result = []
     marks = sorted(states)
     for b in range(blocks):
@@ -124,10 +130,10 @@ def decode_spans(blocks: list[tuple[int, bytes, bytes]], spans: list[tuple[int,
     at, x, left = at[order], x[order], left[order]
     for t in range(longest):
         m = int(np.searchsorted(-left, -t, "left"))  # segments of more than t steps
-        slot = x[:m] & mask
-        s = table.symbol[slot]
-        ids[t, :m] = s
-        v = table.freq[s] * (x[:m] >> table.scale) + slot - table.cum[s]
+        slot = (x[:m] & mask).astype(np.int64)
+        ids[t, :m] = table.symbol[slot]
+        f = table.slot[slot]
+        v = (f >> _32) * (x[:m] >> table.scale) + (f & _HALF)
         need = v < _LOW
         rank = np.cumsum(need, axis=1)
         word = stream[np.minimum(at[:m, None] + np.maximum(rank - 1, 0), len(stream) - 1)]
@@ -147,13 +153,16 @@ def decode_spans(blocks: list[tuple[int, bytes, bytes]], spans: list[tuple[int,
 # ---- writing --------------------------------------------------------------
 
 def _squeeze(ids: np.ndarray, press: zstandard.ZstdCompressor) -> bytes:
-    """Ids on their way to the shards: byte planes, compressed."""
-    return press.compress(np.ascontiguousarray(ids.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes())
+    """Ids on their way to the shards: byte planes, compressed; a first byte
+    tells how many there are of each id."""
+    kind = "<u2" if ids.max() < 1 << 16 else "<u4"
+    planes = ids.astype(kind).view(np.uint8).reshape(len(ids), -1).T
+    return bytes([len(planes)]) + press.compress(planes.tobytes())
 
 
 def _unsqueeze(data: bytes, press: zstandard.ZstdDecompressor) -> np.ndarray:
-    planes = np.frombuffer(press.decompress(data), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+    planes = np.frombuffer(press.decompress(memoryview(data)[1:]), np.uint8).reshape(data[0], -1)
+    return np.ascontiguousarray(planes.T).view(f"<u{data[0]}").ravel().astype(np.uint32)
 
 
 def _tokenise(batches: Iterator[pa.RecordBatch], source, end: int) -> Iterator[pa.RecordBatch]:
@@ -170,8 +179,9 @@ def _tokenise(batches: Iterator[pa.RecordBatch], source, end: int) -> Iterator[p
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     press, total = zstandard.ZstdDecompressor(), np.zeros(1, np.int64)
     for batch in batches:
-        for data in batch.column("data"):
-            c = np.bincount(_unsqueeze(data.as_py(), press))
+        for lo in range(0, batch.num_rows, 500):
+            part = batch.column("data").slice(lo, 500).to_pylist()
+            c = np.bincount(np.concatenate([_unsqueeze(data, press) for data in part]))
             if len(c) > len(total):
                 total = np.concatenate([total, np.zeros(len(c) - len(total), np.int64)])
             total[:len(c)] += c
@@ -242,6 +252,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, *, id_col: str
     """Write the ids of all documents to ``path`` in ascending id order.
     ``tokenizer``: the tokenizer's JSON text."""
     spark = docs.sparkSession
+    ship(spark)
     source = spark.sparkContext.broadcast(tokenizer)
     rows = docs.select(col(id_col).alias("_id"), col(text_col).alias("_text"))
     kind = rows.schema["_id"].dataType.simpleString()
@@ -306,6 +317,7 @@ def _decode(batches: Iterator[pa.RecordBatch], shared, arrow_id: pa.DataType, wh
 def read_token_files(spark: SparkSession, path: str, id_col: str = "doc_id") -> DataFrame:
     """(id, start, n_tokens, ids) of each document in the files; ``ids`` as
     little-endian unsigned 32-bit integers, checked against the checksums."""
+    ship(spark)
     rows = spark.read.parquet(f"{path}/table").collect()  # bounded by the vocabulary
     rows.sort()
     shared = spark.sparkContext.broadcast((np.array([r.token for r in rows], np.int64),
@@ -314,10 +326,11 @@ def read_token_files(spark: SparkSession, path: str, id_col: str = "doc_id") ->
     blocks = spark.read.parquet(f"{path}/blocks")
     kind = blocks.schema["open_id"].dataType.simpleString()
     arrow_id = pa.int64() if kind == "bigint" else pa.int32() if kind == "int" else pa.string()
-    # One row a shard: how many ids come before it.
+    # One row a shard: how many ids come before it.  Read back from a file its
+    # size is known, so that the ids aren't shuffled to meet it.
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = blocks.groupBy("shard").agg(F.sum("n_ids").alias("n")).select(
-        "shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    offsets = stored(blocks.groupBy("shard").agg(F.sum("n_ids").alias("n")).select(
+        "shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")), "shards")[0]
     schema = f"shard int, doc long, _id {kind}, at long, n_tokens long, local long, ids binary"
     # Documents that go on in the next block, about one a block, are put
     # together; only the segments that hold them are decoded for that.
