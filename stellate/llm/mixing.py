@@ -7,10 +7,11 @@ of fixed size.  Pareto order sampling ranks documents by
 
     (u / (1 - u)) / (p / (1 - p)),   u a random number fixed by the id,
 
-and takes the smallest until the words still wanted are reached.  The last one
-is chosen for its size: of the next ``LAST`` in order (or none), the one that
-brings the words nearest to those wanted.  An optional importance column makes
-p differ inside a source as well.
+and takes the smallest until the words still wanted are reached.  A document
+that is larger than what is still wanted is set aside, and those behind it go
+on, until none fits; then the smallest one left is taken as well if that brings
+the words nearer to those wanted.  An optional importance column makes p differ
+inside a source as well.
 
 The ranking is never sorted in one place.  The rank key is turned into an
 integer; an aggregate of words per source and leading key bits finds the slice
@@ -31,8 +32,6 @@ from pyspark.sql import functions as F
 from stellate.llm.common import WORD_RE, col, fresh, stored
 
 KEY_BITS, STEP = 48, 16  # three looks of sixteen bits settle a key
-#: Documents in order among which the last one of a source is chosen.
-LAST = 64
 
 
 def word_count(text: Column) -> Column:
@@ -77,10 +76,10 @@ def _key(ident: Column, source: Column, p: Column, seed: int) -> Column:
                    F.lit((1 << KEY_BITS) - 1))
 
 
-def thresholds(units: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(source, cut, last): units below key ``cut`` are taken, and the one of
-    key ``last`` (null: none), so that the words taken come near ``wanted``
-    (source, words).  ``units``: source, key, size."""
+def _reached(units: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(source, cut, gap): units below key ``cut`` stay within ``wanted``
+    (source, words) and leave ``gap`` words; the one at ``cut`` doesn't.
+    ``units``: source, key, size, one row a key."""
     before = Window.partitionBy("source").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     # At the start nothing is settled: prefix 0 of length 0, no words so far.
     state = wanted.select("source", "words", F.lit(0).cast("long").alias("prefix"),
@@ -99,17 +98,48 @@ def thresholds(units: DataFrame, wanted: DataFrame) -> DataFrame:
             F.max_by(F.struct("words", "slice", "start", "size"), "slice").alias("x"))
             .select("source", "x.words", F.col("x.slice").alias("prefix"),
                     F.col("x.start").alias("so_far"), "x.size"), "mix-cut")[0]
-    # One key is left, in which the words are reached: the first that may be
-    # the last one.  Each task keeps its first LAST keys of a source.
-    s = state.select(F.col("source").alias("s"), F.col("prefix").alias("cut"),
-                     (F.col("words") - F.col("so_far")).alias("gap"))
-    ahead = (units.join(s, units["source"].eqNullSafe(s["s"]) & (F.col("key") >= F.col("cut")))
-             .groupBy("source", "cut", "gap", "key").agg(F.sum("size").alias("size")))
-    order = Window.partitionBy("source").orderBy("key")
-    near = ahead.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= LAST)
-    off = F.abs(F.col("size") - F.col("gap"))
-    return (near.groupBy("source", "cut", "gap").agg(F.min(F.struct(off.alias("off"), "n", "key")).alias("x"))
-            .select("source", "cut", F.when(F.col("x.off") < F.col("gap"), F.col("x.key")).alias("last")))
+    # One key is left, in which the words are reached.
+    gap = F.col("words") - F.col("so_far")
+    fits = F.col("size") <= gap
+    return state.select("source", (F.col("prefix") + fits.cast("long")).alias("cut"),
+                        F.when(fits, gap - F.col("size")).otherwise(gap).alias("gap"))
+
+
+def _behind(units: DataFrame, cuts: DataFrame) -> DataFrame:
+    """(source, key, size, cut, gap) of units at or behind their source's cut."""
+    c = cuts.withColumnRenamed("source", "s")
+    return units.join(c, units["source"].eqNullSafe(c["s"]) & (F.col("key") >= F.col("cut"))).drop("s")
+
+
+def thresholds(units: DataFrame, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(source, cut) and (source, key): units below key ``cut`` are taken, and
+    those of the keys listed, so that the words taken come near ``wanted``
+    (source, words).  ``units``: source, key, size, one row a key."""
+    cuts = first = _reached(units, wanted)
+    left, more = units, None
+    while True:
+        # Behind the unit that doesn't fit, those that do.
+        left = stored(_behind(left, cuts).filter("size <= gap").select("source", "key", "size"), "mix-left")[0]
+        if left.isEmpty():
+            break
+        cuts = _reached(left, cuts.select("source", F.col("gap").alias("words")))
+        c = cuts.select(F.col("source").alias("s"), "cut")
+        taken = (left.join(c, left["source"].eqNullSafe(c["s"]) & (F.col("key") < F.col("cut")))
+                 .select("source", "key", "size"))
+        more = taken if more is None else more.unionByName(taken)
+    if more is None:
+        more = units.limit(0)
+    more = stored(more, "mix-more")[0]
+    # Nothing left fits: the smallest one, if that is nearer than none.
+    m = more.groupBy("source").agg(F.sum("size").alias("got")).withColumnRenamed("source", "s")
+    gaps = first.join(m, first["source"].eqNullSafe(m["s"]), "left").select(
+        "source", "cut", (F.col("gap") - F.coalesce("got", F.lit(0))).alias("gap"))
+    t = more.select(F.col("source").alias("s"), F.col("key").alias("k"))
+    rest = _behind(units, gaps)
+    last = (rest.join(t, rest["source"].eqNullSafe(t["s"]) & (F.col("key") == F.col("k")), "left_anti")
+            .groupBy("source", "gap").agg(F.min(F.struct("size", "key")).alias("x"))
+            .filter(F.col("x.size") - F.col("gap") < F.col("gap")).select("source", "x.key"))
+    return first.select("source", "cut"), stored(more.select("source", "key").unionByName(last), "mix-more")[0]
 
 
 def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
@@ -150,7 +180,10 @@ def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     wanted = (units.groupBy("source", "target").agg(F.sum(F.col("certain") * F.col("size")).alias("sure"))
               .select("source", (F.col("target") - F.col("sure")).alias("words"))
               .filter("words > 0"))
-    cuts = thresholds(units.filter("p > 0 AND size > 0").select("source", "key", "size"), wanted)
+    # Rows that share a key are taken or left together.
+    keys = stored(units.filter("p > 0 AND size > 0").groupBy("source", "key").agg(F.sum("size").alias("size")),
+                  "mix-keys")[0]
+    cuts, more = thresholds(keys, wanted)
     plan = stored(with_plan(plan, cuts), "mix-plan")[0]
 
     if light:  # sizes are at hand; no second look at the texts
@@ -162,8 +195,12 @@ def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
                            *[col(c).alias(n) for c, n in clash.items()])
         back = clash
     rows = expected(with_plan(rows, plan))
+    more = more.select(F.col("source").alias("s"), F.col("key").alias("k"), F.lit(True).alias("more"))
+    # A row without a key meets none; so that such rows don't meet in one task, each has one below 0.
+    key = F.coalesce("key", -1 - F.shiftrightunsigned(F.xxhash64("_id", "size"), 1))
+    rows = rows.join(more, rows["source"].eqNullSafe(more["s"]) & (key == more["k"]), "left")
     copies = F.when(F.col("size") > 0, F.col("certain") + F.when(
-        (F.col("key") < F.col("cut")) | (F.col("key") == F.col("last")), F.lit(1)).otherwise(F.lit(0))).otherwise(F.lit(0)).cast("long")
+        (F.col("key") < F.col("cut")) | F.col("more"), F.lit(1)).otherwise(F.lit(0))).otherwise(F.lit(0)).cast("long")
     new = (F.col("size"), F.col("source_size"), F.col("target"), copies, copies * F.col("size"))
     return rows.select(*[F.col(back[c]).alias(c) for c in carry],
                        *[c.alias(n) for c, n in zip(new, names)])
