@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stellate.llm import exact_dedup, impact_index, langid, licenses, mixing, mixing_lm, packing, quality, simhash, token_files
+from stellate.llm import (
+    conversation_repair, exact_dedup, html_text, impact_index, langid, licenses, mixing, mixing_lm, packing, prefix_trie,
+    quality, simhash, token_files,
+)
 from stellate.llm.common import held_out, learnable, table
 from stellate.llm.tokens import tokenizer_source
 from stellate.session import scratch_path
@@ -80,6 +83,32 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("score") >= quality.THRESHOLD, 1).otherwise(0).alias("predicted"))
 
 
+def op11_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_text.with_length(html_text.extract_text(pages)).select("page_id", "url", "text", "n_chars")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    damaged = conversation_repair.damaged(turns)
+    return conversation_repair.digest_report(
+        conversation_repair.repair_conversations(damaged), turns.select("conv_id").distinct()).select(
+        F.col("conv").alias("conv_id"), "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit",
+        "repaired_sha256")
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    convs = rows.where("conv_id IS NOT NULL").select(F.col("conv_id").cast("long").alias("conv")).distinct()
+    trie = prefix_trie.prefix_trie(prefix_trie.rebuilt(prefix_trie.numbered_turns(rows), convs), convs)
+    nodes = trie.nodes.alias("v").join(prefix_trie.ends_digest(trie).alias("e"), F.col("v.digest") == F.col("e.digest"),
+                                       "left")
+    return nodes.select(
+        F.col("v.conv").alias("conv_id"), "v.depth", F.col("v.parent_conv").alias("parent_conv_id"), "v.n_convs",
+        "v.n_children", "v.n_leaves", F.col("v.weight").alias("saved_tokens"),
+        F.coalesce("e.ends_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("ends_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_simhash": op2_simhash,
@@ -91,6 +120,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_top_k": op9_top_k,
     "op10_quality": op10_quality,
+    "op11_html_text": op11_html_text,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 def _license_sql() -> str:

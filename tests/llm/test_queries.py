@@ -12,9 +12,9 @@ from stellate.llm.queries import ORACLE_SQL, QUERIES
 DIR = "/root/testdata/sf0.001"
 
 
-def test_all_ten_are_registered():
+def test_all_are_registered():
     names = [n for n in queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in queries() and set(ORACLE_SQL) <= set(oracle_sql())
 
 
@@ -32,6 +32,20 @@ def test_sql(spark, name):
     assert sorted(str(tuple(map(tidy, r))) for r in df.select(*cols).collect()) == want
 
 
+def test_pages_and_conversations(spark):
+    pages = spark.read.parquet(f"{DIR}/pages.parquet")
+    rows = QUERIES["op11_html_text"](spark, DIR)
+    assert rows.columns == ["page_id", "url", "text", "n_chars"] and rows.count() == pages.count()
+    convs = spark.read.parquet(f"{DIR}/conversations.parquet").select("conv_id").distinct().count()
+    found = QUERIES["op12_conversation_repair"](spark, DIR).collect()
+    assert len(found) == len({r.conv_id for r in found}) == convs
+    nodes = QUERIES["op13_prefix_trie"](spark, DIR)
+    root = nodes.where("depth = 0").collect()
+    assert len(root) == 1 and root[0].n_convs == convs and root[0].parent_conv_id is None
+    assert nodes.where("n_children = 0").count() == root[0].n_leaves
+    assert {"saved_tokens", "ends_sha256"} <= set(nodes.columns)
+
+
 @pytest.mark.parametrize("name,cols", [
     ("op1_mix_sources", "doc_id size source_size target taken"),
     ("op2_simhash", "doc_id fingerprint component_id"),
