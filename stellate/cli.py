@@ -1,8 +1,10 @@
-"""Command line: ``python -m stellate load|profile ...``.
+"""Command line: ``python -m stellate load|refresh|export|profile ...``.
 
 ``load`` reads the source files (arrivals Parquet folder ``sas_data``, the
 demographics and temperature CSVs, the three lookup CSVs), builds and writes
-the star schema and its quality report.  ``profile`` writes the arrivals
+the star schema and its quality report.  ``refresh`` adds a delivery of
+arrivals to the published tables.  ``export`` writes the published tables as
+plain folders.  ``profile`` writes the arrivals
 null-count and summary profiles as CSV.  Spark settings come from
 ``spark-submit`` / ``spark-defaults.conf`` as usual.
 """
@@ -13,7 +15,9 @@ import argparse
 import sys
 
 from stellate.plans.pipeline import profile_arrivals, run_load, sources_from_files
+from stellate.plans.refresh import refresh_arrivals
 from stellate.session import get_session, input_bytes, size_session
+from stellate.sinks.snapshots import export_tables
 from stellate.sources.files import read_arrivals
 
 
@@ -29,6 +33,13 @@ def _parser() -> argparse.ArgumentParser:
     load.add_argument("--calendar-null-dates", choices=("raise", "drop"), default="raise")
     load.add_argument("--strict", action="store_true", help="fail on a malformed number or date")
     load.add_argument("--raw-lookups", action="store_true", help="keep lookup labels as read")
+    load.add_argument("--quarantine", action="store_true", help="put rows with a null key aside, with the reason")
+    fresh = sub.add_parser("refresh", help="add a delivery of arrivals to the published tables")
+    fresh.add_argument("--input", required=True, help="arrivals Parquet folder")
+    fresh.add_argument("--output", required=True)
+    export = sub.add_parser("export", help="write the published tables as plain folders")
+    export.add_argument("--input", required=True, help="output folder of a load")
+    export.add_argument("--output", required=True)
     prof = sub.add_parser("profile", help="null counts and summary of the arrivals")
     prof.add_argument("--input", required=True, help="arrivals Parquet folder")
     prof.add_argument("--output", required=True)
@@ -45,8 +56,12 @@ def main(argv: list[str] | None = None) -> int:
         report = run_load(spark, src, args.output, on_fail=args.on_fail,
                           null_key_threshold=args.null_key_threshold,
                           calendar_null_dates=args.calendar_null_dates,
-                          strict_dates=args.strict)
+                          strict_dates=args.strict, quarantine=args.quarantine)
         report.show(truncate=False)
+    elif args.command == "refresh":
+        refresh_arrivals(spark, read_arrivals(spark, args.input, check=True), args.output).show(truncate=False)
+    elif args.command == "export":
+        export_tables(spark, args.input, args.output)
     else:
         profile_arrivals(read_arrivals(spark, args.input), args.output)
     return 0

@@ -74,6 +74,41 @@ def require_not_null(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df.withColumns(replaced)
 
 
+REASON = "reason"
+
+
+def reject_reasons(checks: Mapping[str, Column]) -> Column:
+    """The names of the failed checks of a row, in their order, joined by ``;``;
+    null for a row that passes all.  A check whose condition is null has failed."""
+    failed = F.concat_ws(";", *[F.when(~F.coalesce(ok, F.lit(False)), F.lit(n)) for n, ok in checks.items()])
+    return F.nullif(failed, F.lit(""))
+
+
+def not_null_checks(names: Iterable[str]) -> dict[str, Column]:
+    return {f"null {n}": F.col(f"`{n}`").isNotNull() for n in names}
+
+
+def split_rejects(df: DataFrame, checks: Mapping[str, Column], path: str) -> tuple[DataFrame, DataFrame]:
+    """(good rows, rejected rows with their ``reason``): rows that fail a check
+    are kept with all their columns instead of failing the job.
+
+    ``df`` is computed once, by a write to ``path`` that parts the rows; each
+    side then reads its own folder only.  Good rows keep the columns of ``df``.
+    """
+    names, flag = df.columns, "rejected"
+    while flag in names:
+        flag = "_" + flag
+    reason = REASON
+    while reason in names:
+        reason = "_" + reason
+    marked = df.withColumn(reason, reject_reasons(checks))
+    marked.withColumn(flag, F.col(reason).isNotNull()).write.mode("errorifexists").partitionBy(flag).parquet(path)
+    schema = T.StructType([*marked.schema.fields, T.StructField(flag, T.BooleanType())])
+    both = df.sparkSession.read.schema(schema).parquet(path)
+    cols = [F.col(f"`{n}`") for n in names]
+    return both.where(~F.col(flag)).select(*cols), both.where(F.col(flag)).select(*cols, F.col(reason))
+
+
 def allow_null(df: DataFrame, names: Iterable[str]) -> DataFrame:
     """Declare ``names`` nullable (values unchanged)."""
     return df.withColumns({n: F.when(F.col(n).isNotNull(), F.col(n)) for n in names})

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 CHECK_NOT_EMPTY = "not_empty"
@@ -44,6 +44,22 @@ def table_checks(name: str, df: DataFrame, key: str, *, min_rows: int = 1,
         "table", "check", "n_rows", "n_bad", "passed")
 
 
+def observed(name: str, df: DataFrame, key: str) -> tuple[DataFrame, Observation]:
+    """``df`` that counts its rows and null keys while it is written: the checks
+    cost no job of their own.  The counts are those of the tasks that wrote."""
+    seen = Observation(f"checks-{name}")
+    return df.observe(seen, F.count(F.lit(1)).alias("n_rows"),
+                      F.count_if(F.col(f"`{key}`").isNull()).alias("n_null")), seen
+
+
+def check_rows(name: str, n_rows: int, n_null: int, *, min_rows: int = 1, null_key_threshold: int = 0) -> list[dict]:
+    """The two report rows of a table from its counts."""
+    return [{"table": name, "check": CHECK_NOT_EMPTY, "n_rows": n_rows, "n_bad": int(n_rows < min_rows),
+             "passed": n_rows >= min_rows},
+            {"table": name, "check": CHECK_NULL_KEY, "n_rows": n_rows, "n_bad": n_null,
+             "passed": n_null <= null_key_threshold}]
+
+
 def quality_report(tables: Mapping[str, tuple[DataFrame, str]], *, min_rows: int = 1,
                    null_key_threshold: int = 0) -> DataFrame:
     """Report over several tables: ``{name: (df, key)}``.

@@ -30,6 +30,7 @@ from stellate.operators.quality import quality_report
 from stellate.plans import tables as T
 from stellate.plans.pipeline import profile_source, run_load, sources_from_driver_tables
 from stellate.sinks.files import write_csv, write_parquet
+from stellate.sinks.snapshots import read_table
 from stellate.session import scratch_path
 from stellate.sources import driver_tables as A
 from stellate.sources.files import (
@@ -544,7 +545,7 @@ def _loaded(spark, d, name):
     out = scratch_path(spark, "star")
     run_load(spark, sources_from_driver_tables(spark, d), out, calendar_null_dates="drop", write_lookups=False,
              tables=[name])
-    return spark.read.parquet(f"{out}/{name}")
+    return read_table(spark, out, name)
 
 
 def q_star_fact(spark, d):

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -13,14 +12,16 @@ from pyspark.sql import types as T
 from stellate import schemas
 from stellate.operators.dedupe import duplicate_rows
 from stellate.operators.profile import describe, null_counts, null_counts_long, summary
-from stellate.operators.quality import enforce, quality_report
+from stellate.operators.columns import not_null_checks, split_rejects
+from stellate.operators.quality import check_rows, enforce, observed
 from stellate.plans import tables as TB
-from stellate.session import move_path, path_exists, remove_path, scratch_scope
+from stellate.session import remove_path, scratch_path, scratch_scope
+from stellate.sinks import snapshots
 from stellate.sinks.files import write_csv, write_parquet
 from stellate.sources import driver_tables
 from stellate.sources.files import (
-    demographics_rejects, read_arrivals, read_demographics, read_lookup, read_temperatures,
-    temperatures_rejects,
+    demographics_broken, demographics_rejects, read_arrivals, read_demographics, read_lookup,
+    read_temperatures, temperatures_broken, temperatures_rejects,
 )
 
 
@@ -34,22 +35,30 @@ class LoadSources:
     ports: DataFrame | None = None
     # {file: (column, n_rows, n_bad)}: malformed values, for the report.
     rejects: dict[str, DataFrame] = field(default_factory=dict)
+    # {file: (defect, n_rows, n_bad)}: records with too few or too many fields.
+    broken: dict[str, DataFrame] = field(default_factory=dict)
 
 
 def sources_from_files(spark: SparkSession, input_dir: str, *,
                        temperatures_path: str | None = None,
                        clean_lookups: bool = True, strict: bool = False) -> LoadSources:
     """The file layout of the original load: ``sas_data/`` (Parquet), the
-    demographics and temperature CSVs and three lookup CSVs.  ``strict`` fails
-    on a malformed number; otherwise malformed values are counted in the
-    quality report."""
+    demographics and temperature CSVs and three lookup CSVs.  The footers of
+    the arrivals files must hold the declared columns.  ``strict`` fails on a
+    malformed number and on a record with too few or too many fields; otherwise
+    both are counted in the quality report."""
     base = input_dir.rstrip("/")
     demographics_path = f"{base}/us-cities-demographics.csv"
     temperatures_path = temperatures_path or f"{base}/GlobalLandTemperaturesByCity.csv"
+    broken = "raise" if strict else "drop"
     return LoadSources(
-        arrivals=read_arrivals(spark, f"{base}/sas_data"),
-        demographics=read_demographics(spark, demographics_path, malformed="raise" if strict else "drop"),
-        temperatures=read_temperatures(spark, temperatures_path, malformed="raise" if strict else "null"),
+        arrivals=read_arrivals(spark, f"{base}/sas_data", check=True),
+        demographics=read_demographics(spark, demographics_path, malformed="raise" if strict else "drop",
+                                       broken=broken),
+        temperatures=read_temperatures(spark, temperatures_path, malformed="raise" if strict else "null",
+                                       broken=broken),
+        broken={"demographics": demographics_broken(spark, demographics_path),
+                "temperatures": temperatures_broken(spark, temperatures_path)},
         rejects={"demographics": demographics_rejects(spark, demographics_path),
                  "temperatures": temperatures_rejects(spark, temperatures_path)},
         countries=read_lookup(spark, f"{base}/country_mapping.csv", "country", clean=clean_lookups),
@@ -95,45 +104,79 @@ REPORT_SCHEMA = T.StructType([
 ])
 
 
-def _reject_rows(src: LoadSources) -> list[tuple]:
-    """Report rows for malformed values: one per column that has any."""
+def _reject_rows(src: LoadSources) -> list[dict]:
+    """Report rows for malformed values and broken records: one per column or
+    defect that has any."""
     rows = []
-    for name, frame in src.rejects.items():
-        rows += [(f"{name}.{r['column']}", "malformed", r["n_rows"], r["n_bad"], False)
-                 for r in frame.where("n_bad > 0").collect()]  # at most one row per column
+    for kind, frames in (("column", src.rejects), ("defect", src.broken)):
+        for name, frame in frames.items():
+            for r in frame.where("n_bad > 0").collect():  # at most one row per column or defect
+                told = (f"{name}.{r['column']}", "malformed") if kind == "column" else (name, r["defect"])
+                rows.append({"table": told[0], "check": told[1], "n_rows": r["n_rows"], "n_bad": r["n_bad"],
+                             "passed": False})
     return rows
 
 
-def _publish(spark: SparkSession, staging: str, out: str, names: Sequence[str], run: str) -> None:
-    """Put the staged tables in the place of the old ones, which are removed
-    once all new ones are in place."""
-    old = []
-    for name in names:
-        if path_exists(spark, f"{out}/{name}"):
-            move_path(spark, f"{out}/{name}", f"{out}/_old-{run}-{name}")
-            old.append(f"{out}/_old-{run}-{name}")
-        move_path(spark, f"{staging}/{name}", f"{out}/{name}")
-    for path in old:
-        remove_path(spark, path)
+def _frames(spark: SparkSession, src: LoadSources, star: dict, specs: dict, quarantine: bool, write_lookups: bool):
+    """(name, frame, key, partition column) of all tables to write."""
+    jobs = []
+    for name, spec in specs.items():
+        df = star[name][0]()
+        if quarantine:
+            df, bad = split_rejects(df, not_null_checks([spec.key]), scratch_path(spark, f"split-{name}"))
+            jobs.append((f"quarantine_{name}", bad, None, None))
+        jobs.append((name, df, spec.key, spec.partition_by))
+    if write_lookups:
+        jobs += [(name, df, None, None) for name, df in ((schemas.DIM_COUNTRY.name, src.countries),
+                                                         (schemas.DIM_STATE.name, src.states),
+                                                         (schemas.DIM_PORT.name, src.ports)) if df is not None]
+    return jobs
+
+
+def write_checked(spark: SparkSession, out: str, run: str, jobs, *, null_key_threshold: int = 0,
+                  parallel_writes: int = 4) -> tuple[dict[str, snapshots.Table], list[dict]]:
+    """Write the tables of a run as concurrent jobs, and check them by what was
+    counted while they were written: (tables, report rows)."""
+    def write(job):
+        name, df, key, part = job
+        seen = None
+        if key:
+            df, seen = observed(name, df, key)
+        table = snapshots.write_table(df, out, run, name, partition_by=part)
+        found = seen.get if seen else None
+        return name, table, found and check_rows(name, found["n_rows"], found["n_null"],
+                                                 null_key_threshold=null_key_threshold)
+
+    # The writes are independent Spark jobs: submit them together so the
+    # scheduler overlaps small dimensions with the big fact table.
+    with ThreadPoolExecutor(max_workers=max(1, parallel_writes)) as pool:
+        done = list(pool.map(write, jobs))
+    return {name: table for name, table, _ in done}, [r for _, _, rows in done for r in rows or []]
 
 
 def run_load(spark: SparkSession, src: LoadSources, output_dir: str, *,
              on_fail: str = "report", null_key_threshold: int = 0,
              calendar_null_dates: str = "raise", write_lookups: bool = True,
              parallel_writes: int = 4, strict_dates: bool = False,
-             tables: Sequence[str] | None = None) -> DataFrame:
-    """Build, stage, check and publish the star schema.
-
-    Each table is computed exactly once, by its write to a staging folder in
-    the output folder (ids are therefore fixed by the files); up to
-    ``parallel_writes`` writes run as concurrent jobs.  The checks read only
-    the key column of each staged table and fold row count and null-key count
-    into one aggregate per table.  A null key is a row like any other until
-    the check counts it.  The report (two rows per table, one per column with
-    malformed input) is written to ``<output_dir>/_quality_report`` and
-    returned.  ``on_fail='raise'`` raises QualityCheckError before anything is
-    published: the tables of the last load stay as they are.  With
-    ``on_fail='report'`` the tables are published whatever the checks say.
+             tables: Sequence[str] | None = None, quarantine: bool = False, keep: int = 2) -> DataFrame:
+    """Build, write, check and publish the star schema.
+
+    Each table is computed exactly once, by its write below
+    ``<output_dir>/_data`` (ids are therefore fixed by the files); up to
+    ``parallel_writes`` writes run as concurrent jobs.  Row counts and null-key
+    counts are observed during the writes, so the checks read nothing.  A null
+    key is a row like any other until the check counts it; with ``quarantine``
+    such rows go to the table ``quarantine_<name>`` with their reason instead.
+    The report (two rows per table, one per column with malformed input and per
+    defect of broken records) is written to ``<output_dir>/_quality_report``,
+    kept in the commit and returned.  ``on_fail='raise'`` raises
+    QualityCheckError before anything is published: readers stay with the last
+    load.  With ``on_fail='report'`` the tables are published whatever the
+    checks say.
+
+    Publishing is one commit file (``sinks.snapshots``): read the tables with
+    ``read_table(spark, output_dir, name)``.  Tables that this load leaves out
+    are published again as they were.  The last ``keep`` commits stay readable.
 
     ``calendar_null_dates``: ``raise`` keeps a missing arrival date in the
     calendar, where the null-key check finds it; ``drop`` leaves it out.
@@ -141,37 +184,27 @@ def run_load(spark: SparkSession, src: LoadSources, output_dir: str, *,
     """
     if on_fail not in ("report", "raise"):
         raise ValueError(f"on_fail must be 'report' or 'raise', not {on_fail!r}")
-    out, run = output_dir.rstrip("/"), uuid.uuid4().hex[:12]
-    staging = f"{out}/_staging-{run}"
+    out, run = output_dir.rstrip("/"), snapshots.new_run()
+    base, published = snapshots.current(spark, out), False
     star = build_star(src, calendar_null_dates=calendar_null_dates, strict_dates=strict_dates, assert_keys=False)
     specs = {name: spec for name, (_, spec) in star.items() if tables is None or name in tables}
     try:
         # Intermediates (range-partitioned copies behind the dense ids) are
         # removed once every table is written.
         with scratch_scope(spark):
-            jobs = [(name, star[name][0](), spec.partition_by) for name, spec in specs.items()]
-            if write_lookups:
-                jobs += [(name, df, None) for name, df in ((schemas.DIM_COUNTRY.name, src.countries),
-                                                           (schemas.DIM_STATE.name, src.states),
-                                                           (schemas.DIM_PORT.name, src.ports))
-                         if df is not None]
-            # The writes are independent Spark jobs: submit them together so the
-            # scheduler overlaps small dimensions with the big fact table.
-            with ThreadPoolExecutor(max_workers=max(1, parallel_writes)) as pool:
-                futures = [pool.submit(write_parquet, df, f"{staging}/{name}", partition_by=part)
-                           for name, df, part in jobs]
-                for f in futures:
-                    f.result()
-        staged = {name: (spark.read.parquet(f"{staging}/{name}"), spec.key) for name, spec in specs.items()}
-        rows = enforce(quality_report(staged, null_key_threshold=null_key_threshold), "report")
-        rows = [tuple(r[f] for f in REPORT_SCHEMA.fieldNames()) for r in rows] + _reject_rows(src)
-        report = spark.createDataFrame(rows, REPORT_SCHEMA)
+            written, rows = write_checked(spark, out, run, _frames(spark, src, star, specs, quarantine, write_lookups),
+                                          null_key_threshold=null_key_threshold, parallel_writes=parallel_writes)
+        rows += _reject_rows(src)
+        report = spark.createDataFrame([tuple(r[f] for f in REPORT_SCHEMA.fieldNames()) for r in rows], REPORT_SCHEMA)
         write_parquet(report.coalesce(1), f"{out}/_quality_report")
         if on_fail == "raise":
             enforce(report, "raise")
-        _publish(spark, staging, out, [name for name, _, _ in jobs], run)
+        snapshots.commit(spark, out, written, base, {"report": rows})
+        published = True
     finally:
-        remove_path(spark, staging)
+        if not published:
+            remove_path(spark, snapshots.run_folder(out, run))
+    snapshots.expire(spark, out, keep)
     return report
 
 

@@ -144,13 +144,49 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
 
 
-def move_path(spark: SparkSession, source: str, target: str) -> None:
-    """Rename a folder within its file system."""
-    jvm = spark.sparkContext._jvm
-    a, b = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
-    fs = a.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.rename(a, b):
-        raise OSError(f"could not move {source} to {target}")
+def _file_system(spark: SparkSession, path: str):
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no such folder."""
+    fs, hpath = _file_system(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(hpath)) if fs.exists(hpath) else []
+
+
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder."""
+    fs, hpath = _file_system(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(hpath) if s.isDirectory())
+
+
+def read_bytes(spark: SparkSession, path: str) -> bytes:
+    """A small file as a whole."""
+    fs, hpath = _file_system(spark, path)
+    stream = fs.open(hpath)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
+    finally:
+        stream.close()
+
+
+def write_new(spark: SparkSession, path: str, content: bytes) -> bool:
+    """Make a small file; False if there is one already."""
+    fs, hpath = _file_system(spark, path)
+    if fs.exists(hpath):
+        return False
+    try:
+        stream = fs.create(hpath, False)
+    except Exception as e:  # noqa: BLE001 - made by another driver since we looked
+        if "already exists" in str(e) or "FileAlreadyExists" in str(e):
+            return False
+        raise
+    try:
+        stream.write(bytearray(content))
+    finally:
+        stream.close()
+    return True
 
 
 @contextlib.contextmanager

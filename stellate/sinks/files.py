@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 
 def write_parquet(df: DataFrame, path: str, *, mode: str = "overwrite",
-                  partition_by: str | None = None, rebalance: bool = False) -> None:
+                  partition_by: str | None = None, rebalance: bool = False, touched_only: bool = False) -> None:
     """Write Parquet, optionally hive-partitioned by one column.
 
     Without ``rebalance`` every task writes its rows straight out (one file
@@ -17,12 +17,16 @@ def write_parquet(df: DataFrame, path: str, *, mode: str = "overwrite",
     values are spread over many tasks — and AQE splits a value holding a
     large share of the rows over several writers.  A null partition value
     lands in ``<col>=__HIVE_DEFAULT_PARTITION__``.  ``mode='errorifexists'``
-    refuses to replace existing data.
+    refuses to replace existing data.  ``touched_only`` with ``overwrite``
+    replaces just the partitions that ``df`` has rows in; the files of all
+    others stay.
     """
+    if touched_only and not (partition_by and mode == "overwrite"):
+        raise ValueError("touched_only needs partition_by and mode='overwrite'")
     out = df.hint("rebalance", partition_by) if (partition_by and rebalance) else df
     w = out.write.mode(mode)
     if partition_by:
-        w = w.partitionBy(partition_by)
+        w = w.partitionBy(partition_by).option("partitionOverwriteMode", "dynamic" if touched_only else "static")
     w.parquet(path)
 
 

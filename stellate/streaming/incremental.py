@@ -54,12 +54,13 @@ def fact_stream(spark: SparkSession, arrivals_dir: str, *,
 def new_rows(batch: DataFrame, loaded: DataFrame) -> DataFrame:
     """Distinct rows of ``batch`` that ``loaded`` (same columns and more) lacks.
 
-    Rows are compared in full, null equal to null.  The years of the batch
-    (a handful) restrict which partitions of ``loaded`` are read."""
+    Rows are compared in full, null equal to null.  The years of the batch (a
+    handful, collected) are literals in a filter on ``loaded``, so only their
+    partitions are listed and read."""
     rows = batch.dropDuplicates()
-    years = rows.select(F.col("arr_year").alias("__year")).distinct()
-    old = loaded.select(*batch.columns)
-    old = old.join(years, F.col("arr_year").eqNullSafe(F.col("__year")), "left_semi")
+    years = [r[0] for r in batch.select("arr_year").distinct().collect()]
+    known = F.col("arr_year").isin([y for y in years if y is not None])
+    old = loaded.select(*batch.columns).where(known | F.col("arr_year").isNull() if None in years else known)
     a, b = rows.alias("__a"), old.alias("__b")
     same = reduce(lambda x, y: x & y, [F.col(f"__a.`{c}`").eqNullSafe(F.col(f"__b.`{c}`"))
                                        for c in batch.columns])

@@ -2,6 +2,7 @@ import os
 
 from stellate import cli
 from stellate.sinks.files import write_csv, write_parquet
+from stellate.sinks.snapshots import read_table
 from stellate.sources import driver_tables as A
 
 from conftest import SMOKE_DIR
@@ -25,8 +26,15 @@ def test_cli_load_from_files(spark, tmp_dir):
                      "--calendar-null-dates", "drop"]) == 0
     report = spark.read.parquet(f"{out}/_quality_report").collect()
     assert len(report) == 10 and all(r.passed for r in report)
-    assert spark.read.parquet(f"{out}/dim_port").where("port_code = 'AG'").count() == 1
-    assert spark.read.parquet(f"{out}/dim_us_state").where("state = 'All Other Codes'").count() == 1
+    assert read_table(spark, out, "dim_port").where("port_code = 'AG'").count() == 1
+    assert read_table(spark, out, "dim_us_state").where("state = 'All Other Codes'").count() == 1
+    plain = os.path.join(tmp_dir, "plain")
+    assert cli.main(["export", "--input", out, "--output", plain]) == 0
+    assert spark.read.parquet(f"{plain}/dim_port").where("port_code = 'AG'").count() == 1
+    assert spark.read.parquet(f"{plain}/fact_immigration").count() == read_table(spark, out, "fact_immigration").count()
+    star = os.path.join(tmp_dir, "star")
+    assert cli.main(["refresh", "--input", f"{inp}/sas_data", "--output", star]) == 0
+    assert read_table(spark, star, "dim_immigrant").count() == read_table(spark, out, "dim_immigrant").count()
     prof = os.path.join(tmp_dir, "prof")
     assert cli.main(["profile", "--input", f"{inp}/sas_data", "--output", prof]) == 0
     assert spark.read.option("header", True).csv(f"{prof}/arrivals_summary").count() == 8

@@ -74,3 +74,55 @@ def test_plain_typed_read(spark, tmp_dir):
     path = _write(os.path.join(tmp_dir, "plain.csv"), "a,b\n1,x\n,y\n")
     schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType())])
     assert [tuple(r) for r in read_delimited(spark, path, schema).collect()] == [(1, "x"), (None, "y")]
+
+
+def _write_lines(folder, lines, name="a.csv"):
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, name), "w") as f:
+        f.write("\n".join(lines) + "\n")
+    return folder
+
+
+def test_records_with_too_few_or_too_many_fields(spark, tmp_dir):
+    from pyspark.sql import types as T
+    from stellate.sources.files import broken_rows, count_broken, read_delimited
+
+    schema = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.LongType()),
+                           T.StructField("c", T.StringType())])
+    path = _write_lines(os.path.join(tmp_dir, "x"), [
+        "a;b;c", "x;1;y", "few;2", "many;3;y;z", '"q;uoted";4;"y;""z"', "last;5;", ";;", "many;6;y;", '"open;7;y'])
+    counts = {r["defect"]: (r["n_rows"], r["n_bad"]) for r in count_broken(spark, path, schema, sep=";").collect()}
+    assert counts == {"too_few_fields": (8, 2), "too_many_fields": (8, 2)}
+    rows = broken_rows(spark, path, schema, sep=";").collect()
+    assert sorted((r["defect"], r["n_fields"], r["record"]) for r in rows) == [
+        ("too_few_fields", 1, '"open;7;y'), ("too_few_fields", 2, "few;2"),
+        ("too_many_fields", 4, "many;3;y;z"), ("too_many_fields", 4, "many;6;y;")]
+    assert all(r["file"].endswith("a.csv") for r in rows)
+    kept = read_delimited(spark, path, schema, sep=";", broken="drop")
+    assert sorted(r["b"] or 0 for r in kept.collect()) == [0, 1, 4, 5]
+    assert kept.count() == 4 and kept.select("a").count() == 4  # whatever columns are used
+    assert read_delimited(spark, path, schema, sep=";").count() == 8
+    with pytest.raises(Exception, match="wrong number of fields"):
+        read_delimited(spark, path, schema, sep=";", broken="raise").select("a").collect()
+    with pytest.raises(ValueError):
+        read_delimited(spark, path, schema, broken="no")
+
+
+def test_footers_against_the_declared_schema(spark, tmp_dir):
+    from stellate import schemas
+    from stellate.sources import driver_tables
+    from stellate.sources.files import SchemaError, check_schema, read_arrivals, schema_problems
+
+    path = os.path.join(tmp_dir, "sas_data")
+    a = driver_tables.arrivals(spark, "/root/testdata/sf0.001")
+    a.coalesce(1).write.parquet(f"{path}/month=1")
+    assert schema_problems(spark, path).count() == 0
+    assert read_arrivals(spark, path, check=True).columns[:28] == schemas.ARRIVALS.fieldNames()
+    # The next delivery renames one column, drops one and changes one's type.
+    (a.withColumnRenamed("i94port", "port").drop("gender").withColumn("biryear", a["biryear"].cast("int"))
+     .coalesce(1).write.parquet(f"{path}/month=2"))
+    found = {(r["column"], r["problem"], r["found"]) for r in schema_problems(spark, path).collect()}
+    assert found == {("i94port", "missing", None), ("gender", "missing", None), ("port", "undeclared", "string"),
+                     ("biryear", "type", "int")}
+    with pytest.raises(SchemaError, match="i94port.*month=2"):
+        check_schema(spark, path)
