@@ -5,12 +5,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stellate.operators.keys import materialize
-from stellate.session import scratch_scope
+from stellate.operators.keys import number_rows
 
 DESCRIBE_PROBS = (0.25, 0.5, 0.75)
 
@@ -108,84 +107,93 @@ def _long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
             .where(F.col("v").isNotNull()))
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str],
-                    probs: Sequence[float] = DESCRIBE_PROBS,
-                    num_partitions: int | None = None) -> dict[tuple[str, float], float]:
-    """Exact linear-interpolated quantiles; see :func:`_exact_quantiles`.
-    The intermediate table is removed once the values are collected."""
-    with scratch_scope(df.sparkSession):
-        return _exact_quantiles(_value_counts(df, columns, num_partitions), probs)
-
-
-def _value_counts(df: DataFrame, columns: Sequence[str], num_partitions: int | None = None) -> DataFrame:
-    """(column, v, n, pos, p): how often each distinct value occurs, ranged by
-    (column, value), with each row's place; written once."""
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = _long_values(df, columns).groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))
-    ranged = (counts.repartitionByRange(n, "column", "v")
-              .sortWithinPartitions("column", "v")
-              .withColumn("pos", F.monotonically_increasing_id()))
-    return materialize(ranged, "quantiles").withColumn("p", F.shiftright("pos", 33))
-
-
-def _exact_quantiles(ranged: DataFrame,
-                     probs: Sequence[float] = DESCRIBE_PROBS) -> dict[tuple[str, float], float]:
-    """Exact linear-interpolated quantiles of several columns.
-
-    1. (column, value) pairs are counted per distinct value — a map-side
-       combined aggregate, so a value repeated a billion times is one row.
-    2. The counts are range-partitioned by (column, value), sorted, tagged
-       with their (partition, position) and materialised (``_value_counts``).
-    3. Running sums over the per-(partition, column) totals give offsets
-       (broadcast back: a table bounded by partitions x columns); prefix sums
-       within partitions then give every distinct value its rank interval.
-       Only the per-column totals and the rows whose interval holds a wanted
-       rank (at most two per quantile) reach the driver.
+#: Bins of a histogram are at most about this many a column or interval.
+_BINS = 1 << 16
+#: An interval with at most this many rows is looked at by its values.
+_FEW = 1 << 12
+_NAN = 200_000
+
+
+def _coarse_bin(v: Column) -> Column:
+    """A bin that grows with the value: sign, exponent and four bits more.
+    ``log`` never falls where its argument grows, so bins keep the order of the
+    values; infinities have bins of their own, NaN the last one."""
+    def size(x: Column) -> Column:
+        return F.floor(F.least(F.log2(x), F.lit(2000.0)) * 16).cast("int") + 100_000
+
+    return (F.when(F.isnan(v), _NAN).when(v == 0, 0).when(v > 0, size(v)).otherwise(-size(-v)))
+
+
+def _bins_at(bins: DataFrame, wanted: DataFrame, by: Sequence[str]) -> list:
+    """The bins that hold the wanted ranks: (column, rank, start, n, low, high).
+    ``bins``: (by..., bin, n, low, high, base), base being the rows before the
+    interval; bounded by ``_BINS`` rows an interval."""
+    before = Window.partitionBy(*by).orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cum = bins.withColumn("start", F.sum("n").over(before) - F.col("n") + F.col("base")).alias("b")
+    hit = (F.col("w.column") == F.col("b.column")) & (F.col("w.rank") >= F.col("b.start")) & (
+        F.col("w.rank") < F.col("b.start") + F.col("b.n"))
+    return cum.join(F.broadcast(wanted.alias("w")), hit).select(
+        "b.column", "w.rank", "b.start", "b.n", "b.low", "b.high").collect()  # one row a wanted rank
+
+
+def _values_at(df: DataFrame, ranks: dict[str, Sequence[int]]) -> dict[tuple[str, int], float]:
+    """The values at the given 0-based ranks of each column (nulls left out).
+
+    Histograms refine the ordered bits of the value: the first has a bin for
+    each sign, exponent and four bits of the fraction; the bins that hold a
+    wanted rank are cut into 65,536 equal ones, again and again, until a bin
+    holds one value, or so few rows that their values are counted themselves.
+    Each round is one aggregate over the source with a map-side part; four or
+    five rounds tell any two doubles apart.  Values are never ranged or copied;
+    a round's histograms stay in Spark, and only the bins wanted are collected.
     """
-    # Per (partition, column) totals: at most partitions x columns rows.
-    totals = ranged.groupBy("p", "column").agg(F.sum("n").alias("t"))
-    before = Window.partitionBy("column").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("p", "column",
-                            F.coalesce(F.sum("t").over(before), F.lit(0)).cast("long").alias("off"))
-    size = {r["column"]: r["total"] for r in
-            totals.groupBy("column").agg(F.sum("t").alias("total")).collect()}  # one row per column
-    wanted = {}  # column -> sorted list of ranks (0-based)
-    for c, total in size.items():
-        ranks = set()
-        for q in probs:
-            h = (total - 1) * q
-            lo = math.floor(h)
-            ranks.add(lo)
-            ranks.add(min(lo + 1, total - 1))
-        wanted[c] = sorted(ranks)
-    if not wanted:
-        return {}
-    w = Window.partitionBy("p", "column").orderBy("pos").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    cum = (ranged.join(F.broadcast(offsets), ["p", "column"])
-           .withColumn("end", F.sum("n").over(w) + F.col("off"))
-           .withColumn("start", F.col("end") - F.col("n")))
-    cond = None
-    for c, ranks in wanted.items():
-        for r in ranks:
-            term = ((F.col("column") == c) & (F.col("start") <= r) & (F.col("end") > r))
-            cond = term if cond is None else cond | term
-    hits = cum.where(cond).select("column", "v", "start", "end").collect()
-
-    def value_at(c, r):
+    spark = df.sparkSession
+    values = _long_values(df, list(ranks))
+    todo = [(c, r) for c, rs in ranks.items() for r in sorted(set(rs))]
+    found: dict[tuple[str, int], float] = {}
+    told = [F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high")]
+    bins = values.groupBy("column", _coarse_bin(F.col("v")).alias("bin")).agg(*told).withColumn("base", F.lit(0))
+    by = ["column"]
+    while todo:
+        hits = _bins_at(bins, spark.createDataFrame(todo, "column string, rank long"), by)
+        spans = {}
         for h in hits:
-            if h["column"] == c and h["start"] <= r < h["end"]:
-                return h["v"]
-        raise AssertionError("rank not found")
+            if h["low"] == h["high"] or h["high"] != h["high"]:   # one value, or NaN
+                found[h["column"], h["rank"]] = h["low"]
+            else:
+                spans[h["column"], h["low"], h["high"]] = (h["start"], h["n"])
+        todo = [k for k in todo if k not in found]
+        if not todo:
+            break
+        held = spark.createDataFrame([(c, lo, hi, start, n <= _FEW) for (c, lo, hi), (start, n) in spans.items()],
+                                     "column string, lo double, hi double, base long, few boolean").alias("s")
+        inside = values.alias("x").join(F.broadcast(held), (F.col("x.column") == F.col("s.column")) &
+                                        F.col("x.v").between(F.col("s.lo"), F.col("s.hi")))
+        part = F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * (_BINS - 1)).cast("double")
+        bins = (inside.select("s.column", "lo", "base", F.when(F.col("few"), F.col("v")).otherwise(part).alias("bin"), "v")
+                .groupBy("column", "lo", "base", "bin").agg(*told))
+        by = ["column", "lo"]
+    return found
+
 
+def exact_quantiles(df: DataFrame, columns: Sequence[str],
+                    probs: Sequence[float] = DESCRIBE_PROBS,
+                    num_partitions: int | None = None, *,
+                    counts: dict[str, int] | None = None) -> dict[tuple[str, float], float]:
+    """Exact linear-interpolated quantiles of several columns, by rank selection
+    (``_values_at``).  ``counts``: the columns' numbers of values, if known.
+    ``num_partitions`` has no effect any more, as no values are ranged."""
+    if counts is None:
+        row = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"__{i}") for i, c in enumerate(columns)]).first()
+        counts = {c: row[i] for i, c in enumerate(columns)}
+    places = {c: [((n - 1) * q, math.floor((n - 1) * q)) for q in probs] for c, n in counts.items() if n}
+    ranks = {c: [r for _, lo in p for r in (lo, min(lo + 1, counts[c] - 1))] for c, p in places.items()}
+    found = _values_at(df, ranks)
     out = {}
-    for c, total in size.items():
-        for q in probs:
-            h = (total - 1) * q
-            lo = math.floor(h)
-            hi = min(lo + 1, total - 1)
-            a, b = value_at(c, lo), value_at(c, hi)
-            out[(c, q)] = a + (b - a) * (h - lo)
+    for c, p in places.items():
+        for q, (h, lo) in zip(probs, p):
+            a, b = found[c, lo], found[c, min(lo + 1, counts[c] - 1)]
+            out[c, q] = a if a == b or h == lo else a + (b - a) * (h - lo)
     return out
 
 
@@ -194,46 +202,74 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None,
     """Per numeric column: count, mean, std (sample), min, exact quartiles, max.
 
     Layout: one row per column (column, count, mean, std, min, p25, p50, p75,
-    max).  The source is evaluated once, to count its distinct values; the
-    moments and the quartiles both come from those stored counts.
+    max).  One aggregate gives the moments of all columns, three to five more
+    the quartiles; give a written table if the source is dear to compute.
     """
-    spark = df.sparkSession
     cols = list(columns or _numeric(df))
-    with scratch_scope(spark):
-        counts = _value_counts(df, cols)
-        quant = _exact_quantiles(counts, probs)
-        total = F.sum("n")
-        mean = F.sum(F.col("v") * F.col("n")) / total
-        # Deviations from the mean in a second look at the counts: a sum of
-        # squares would lose the digits that they share.
-        means = counts.groupBy("column").agg(
-            total.alias("count"), mean.alias("mean"), F.min("v").alias("min"), F.max("v").alias("max"))
-        square = F.sum((F.col("v") - F.col("mean")) ** 2 * F.col("n"))
-        rows = (counts.join(F.broadcast(means), "column").groupBy("column", "count", "mean", "min", "max")
-                .agg(square.alias("square")).collect())  # one row per column
-    found = {r["column"]: r for r in rows}
+    aggs = []
+    for i, c in enumerate(cols):
+        v = F.col(f"`{c}`").cast("double")
+        aggs += [F.count(v).alias(f"n{i}"), F.avg(v).alias(f"mean{i}"), F.stddev_samp(v).alias(f"std{i}"),
+                 F.min(v).alias(f"min{i}"), F.max(v).alias(f"max{i}")]
+    row = df.agg(*aggs).first()
+    quant = exact_quantiles(df, cols, probs, counts={c: row[f"n{i}"] for i, c in enumerate(cols)})
     names = ["p" + str(int(round(q * 100))) for q in probs]
-    out = []
-    for c in cols:
-        r = found.get(c)
-        if r is None:
-            out.append((c, 0, None, None, None, *[None] * len(probs), None))
-            continue
-        std = math.sqrt(r["square"] / (r["count"] - 1)) if r["count"] > 1 else None
-        out.append((c, r["count"], r["mean"], std, r["min"], *[quant.get((c, q)) for q in probs], r["max"]))
+    out = [(c, row[f"n{i}"], row[f"mean{i}"], row[f"std{i}"], row[f"min{i}"], *[quant.get((c, q)) for q in probs],
+            row[f"max{i}"]) for i, c in enumerate(cols)]
     schema = ("column string, count long, mean double, std double, min double, "
               + ", ".join(f"{n} double" for n in names) + ", max double")
-    return spark.createDataFrame(out, schema)
+    return df.sparkSession.createDataFrame(out, schema)
+
+
+#: Up to this many rows a sample is the first n of an order, merged in one task.
+ONE_TASK_ROWS = 10_000
 
 
-def sample_rows(df: DataFrame, n: int, key: Sequence[str], seed: int = 42) -> DataFrame:
+def sample_rows(df: DataFrame, n: int, key: Sequence[str], seed: int = 42,
+                one_task: int = ONE_TASK_ROWS) -> DataFrame:
     """``n`` random rows (or all when fewer): those with the smallest md5 of
-    the seed and the ``key`` columns as text, ties by the key.  A bounded
-    top-k, so no task holds more than ``n`` rows; the sample doesn't depend on
-    how the rows are partitioned."""
+    the seed and the ``key`` columns as text, ties by the key.  The sample
+    doesn't depend on how the rows are partitioned.
+
+    A small sample is a bounded top-k, so no task holds more than ``n`` rows.
+    For a large one the n-th md5 is found by counts (``_nth_digest``) and the
+    rows up to it are filtered where they lie: no task gathers the sample.
+    """
     cols = [F.col(f"`{c}`") for c in key]
     text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(c.cast("string"), F.lit("")) for c in cols])
-    return df.orderBy(F.md5(text.cast("binary")), *cols).limit(n)
+    digest = F.md5(text.cast("binary"))
+    if n <= one_task:
+        return df.orderBy(digest, *cols).limit(n)
+    bound, left = _nth_digest(df.select(digest.alias("d")), n)
+    if bound is None:
+        return df
+    below = df.where(digest < bound)
+    # Rows of the bound's slice: at most ``one_task`` of them, or rows of one md5.
+    edge = df.where(F.substring(digest, 1, len(bound)) == bound)
+    if left <= one_task:
+        return below.unionByName(edge.orderBy(digest, *cols).limit(left))
+    place = "__place"
+    return below.unionByName(number_rows(edge, place).where(F.col(place) <= left).drop(place))
+
+
+def _nth_digest(digests: DataFrame, n: int) -> tuple[str | None, int]:
+    """A prefix such that fewer than ``n`` digests are below it and at least
+    ``n`` below or in its slice, and how many of the slice are wanted; None if
+    there are no more than ``n``.  Counts per slice of four hexadecimal digits
+    more (at most 65,536 rows a round, summed in Spark) narrow it down until the
+    slice is small or one digest."""
+    prefix, left = "", n
+    while True:
+        width = len(prefix) + 4
+        inside = digests.where(F.col("d").startswith(prefix)) if prefix else digests
+        counts = inside.groupBy(F.substring("d", 1, width).alias("s")).agg(F.count(F.lit(1)).alias("n"))
+        upto = F.sum("n").over(Window.orderBy("s").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        row = counts.withColumn("upto", upto).where(F.col("upto") >= left).orderBy("s").first()
+        if row is None:
+            return None, 0
+        prefix, left = row["s"], left - (row["upto"] - row["n"])
+        if row["n"] <= ONE_TASK_ROWS or len(prefix) == 32:
+            return prefix, left
 
 
 def top_n(df: DataFrame, order_by: Sequence, n: int) -> DataFrame:

@@ -2,8 +2,10 @@ import math
 
 import numpy as np
 import pandas as pd
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from stellate.operators.profile import (
     describe, exact_quantiles, null_counts, null_counts_long, sample_rows, summary, top_n,
@@ -75,3 +77,88 @@ def test_summary_matches_builtin(spark):
     assert ours == builtin
     assert [tuple(r) for r in summary(df, "count", "max").collect()] == \
         [tuple(r) for r in df.summary("count", "max").collect()]
+
+
+def test_rank_selection_on_hard_values(spark):
+    """Exact quantiles of values that histograms by range would not tell apart."""
+    import random
+
+    import numpy as np
+    from stellate.operators.profile import exact_quantiles
+
+    rng = random.Random(3)
+    tiny = [float(np.nextafter(1.0, 2.0)) + k * 2.0 ** -52 for k in range(5000)]
+    wide = [rng.choice([-1, 1]) * 2.0 ** rng.randrange(-1070, 1020) * (1 + rng.random()) for _ in range(5000)]
+    hot = [7.0] * 4000 + [0.0, -0.0] * 300 + [rng.gauss(0, 1e-3) for _ in range(400)]
+    odd = [float("inf"), float("-inf"), 5e-324, -5e-324, 1.7976931348623157e308] * 7 + [None] * 4965
+    rows = list(zip(tiny, wide, hot, odd))
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double").repartition(6)
+    probs = (0.0, 0.01, 0.25, 0.5, 0.7501, 0.99, 1.0)
+    found = exact_quantiles(df, ["a", "b", "c", "d"], probs)
+    for i, c in enumerate("abcd"):
+        values = sorted(r[i] for r in rows if r[i] is not None)
+        for q in probs:
+            h = (len(values) - 1) * q
+            lo = int(h)
+            a, b = values[lo], values[min(lo + 1, len(values) - 1)]
+            assert found[c, q] == (a if a == b or h == lo else a + (b - a) * (h - lo)), (c, q)
+    plan = []
+    DataFrame = type(spark.range(1))
+    collect = DataFrame.collect
+    try:
+        DataFrame.collect = lambda self: plan.append(self._jdf.queryExecution().toString()) or collect(self)
+        exact_quantiles(df, ["b"])
+    finally:
+        DataFrame.collect = collect
+    assert plan and not [p for p in plan if "rangepartitioning" in p]
+
+
+def test_nan_is_the_greatest_value(spark):
+    import math
+    df = spark.createDataFrame([(float("nan"),), (1.0,), (2.0,), (None,)], "x double")
+    row = describe(df).collect()[0]
+    assert row["count"] == 3 and row["p50"] == 2.0 and math.isnan(row["max"]) and math.isnan(row["p75"])
+
+
+def test_a_large_sample_is_the_same_rows(spark):
+    """By counts and a filter, or by an order: the same sample."""
+    import stellate.operators.profile as profile
+
+    df = spark.range(30_000).selectExpr("id", "id % 7 AS v").repartition(5)
+    for n in (1, 500, 9_999, 29_999, 30_000, 40_000):
+        want = {r.id for r in sample_rows(df, n, ["id"], one_task=10 ** 9).collect()}
+        many = sample_rows(df, n, ["id"], one_task=0)
+        rows = many.collect()
+        assert len(rows) == min(n, 30_000) and {r.id for r in rows} == want
+    old, profile.ONE_TASK_ROWS = profile.ONE_TASK_ROWS, 10
+    try:
+        deep = sample_rows(df, 12_345, ["id"], one_task=10)
+        assert {r.id for r in deep.collect()} == {r.id for r in sample_rows(df, 12_345, ["id"], one_task=10 ** 9).collect()}
+        # Rows that share their key, more of them than one task should take.
+        same = spark.range(5_000).selectExpr("1 AS k", "id")
+        assert sample_rows(same, 3_000, ["k"], one_task=10).count() == 3_000
+    finally:
+        profile.ONE_TASK_ROWS = old
+
+
+def test_profiles_of_parts_merge_to_one_of_all(spark):
+    from stellate.operators.sketches import merge_profiles, partition_profile, rank_error
+
+    df = spark.range(60_000).selectExpr("id % 12 AS month", "id % 3 AS year", "cast(sqrt(id) AS double) AS x",
+                                        "CASE WHEN id % 12 > 1 THEN id * 0.5 - 7000 END AS y", "CAST(NULL AS INT) AS z")
+    parts = partition_profile(df, ["year", "month"], ["x", "y", "z"])
+    assert parts.count() == 36
+    for by in (["year"], []):
+        merged = {tuple(r[b] for b in by) + (r["column"],): r for r in merge_profiles(parts, by).collect()}
+        exact = describe(df.where("year = 1") if by else df, ["x", "y", "z"]).collect()
+        for e in exact:
+            m = merged[((1,) if by else ()) + (e["column"],)]
+            assert m["n"] == e["count"] and m["min"] == e["min"] and m["max"] == e["max"]
+            if e["count"]:
+                assert m["mean"] == pytest.approx(e["mean"], rel=1e-12) and m["std"] == pytest.approx(e["std"], rel=1e-9)
+                values = (df.where("year = 1") if by else df).select(e["column"]).dropna()
+                for q, v in zip((0.25, 0.5, 0.75), m["quantiles"]):
+                    share = values.where(F.col(e["column"]) <= v).count() / e["count"]
+                    assert abs(share - q) <= 3 * rank_error()
+            else:
+                assert m["quantiles"] is None and m["mean"] is None
