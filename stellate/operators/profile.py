@@ -54,13 +54,15 @@ def summary(df: DataFrame, *statistics: str, accuracy: int = 10000) -> DataFrame
     pcts = [s for s in stats if s.endswith("%")]
     fracs = ", ".join(repr(float(s[:-1]) / 100.0) for s in pcts)
     numeric_text = _sql_text(_NUMERIC_TEXT)
-    aggs, cells = [], {s: [] for s in stats}
+    aggs, parsed, cells = [], [], {s: [] for s in stats}
     for i, f in enumerate(df.schema.fields):
         c = "`" + f.name.replace("`", "``") + "`"
+        parsed.append(c)
         if isinstance(f.dataType, T.NumericType):
             num = c  # quantiles keep the column's own type, as DataFrame.summary does
         elif isinstance(f.dataType, T.StringType):
-            num = f"CASE WHEN {c} RLIKE {numeric_text} THEN try_cast({c} AS DOUBLE) END"
+            num = f"`__{i}_num`"  # parsed once a row, whatever number of statistics it feeds
+            parsed.append(f"CASE WHEN {c} RLIKE {numeric_text} THEN try_cast({c} AS DOUBLE) END AS {num}")
         else:
             num = None
         for s in stats:
@@ -92,7 +94,7 @@ def summary(df: DataFrame, *statistics: str, accuracy: int = 10000) -> DataFrame
         f"named_struct('summary', {_sql_text(s)}, "
         + ", ".join(f"{n}, {cell}" for n, cell in zip(names, cells[s])) + ")"
         for s in stats)
-    return df.selectExpr(*aggs).selectExpr(f"inline(array({rows}))")
+    return df.selectExpr(*parsed).selectExpr(*aggs).selectExpr(f"inline(array({rows}))")
 
 
 def _numeric(df: DataFrame) -> list[str]:

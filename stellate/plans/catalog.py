@@ -16,25 +16,29 @@ from pyspark.sql import functions as F
 
 from stellate import schemas
 from stellate.functions.columns import to_int, visa_category
-from stellate.functions.dates import register_sql_functions
-from stellate.operators.columns import drop_null_rows, keep_not_null, require_not_null
+from stellate.functions.dates import parse_date, register_sql_functions
+from stellate.operators.columns import (
+    drop_null_rows, keep_not_null, not_null_checks, require_not_null, split_rejects,
+)
 from stellate.operators.dedupe import (
     dedupe_by_key, distinct_rows, distinct_values, duplicate_rows, latest_per_key,
 )
 from stellate.operators.joins import lookup_join
-from stellate.operators.keys import dense_ids, unique_ids
+from stellate.operators.keys import dense_ids, materialize, unique_ids
 from stellate.operators.profile import (
     describe, null_counts, null_counts_long, sample_rows, summary, top_n,
 )
 from stellate.operators.quality import quality_report
+from stellate.operators.sketches import merge_profiles, partition_profile, rank_error
 from stellate.plans import tables as T
-from stellate.plans.pipeline import profile_source, run_load, sources_from_driver_tables
+from stellate.plans.pipeline import profile_arrivals, profile_source, run_load, sources_from_driver_tables
+from stellate.plans.refresh import refresh_arrivals
 from stellate.sinks.files import write_csv, write_parquet
 from stellate.sinks.snapshots import read_table
 from stellate.session import scratch_path
 from stellate.sources import driver_tables as A
 from stellate.sources.files import (
-    ambiguous_labels, demographics_rejects, read_airport_codes, read_arrivals, read_demographics, read_lookup,
+    ambiguous_labels, broken_rows, demographics_broken, demographics_rejects, read_airport_codes, read_arrivals, read_demographics, read_lookup,
     read_temperatures,
 )
 from stellate.streaming.incremental import start_fact_stream
@@ -113,6 +117,20 @@ SELECT country_code, trim(regexp_replace(Country, '\\s*;\\s*$', '')) AS Country
 FROM ({COUNTRY_LOOKUP_SQL})
 """
 
+PLACE_LOOKUP_SQL = """
+SELECT CAST(c_custkey AS INTEGER) AS country_code,
+       CASE WHEN c_nationkey % 5 = 4 THEN c_name || ' ;' ELSE c_name END AS Country
+FROM customer
+UNION ALL
+SELECT CAST(c_custkey + 10000000 AS INTEGER) AS country_code, c_name AS Country
+FROM customer WHERE c_custkey % 10 = 0
+"""
+
+PLACE_LOOKUP_CLEAN_SQL = f"""
+SELECT country_code, trim(regexp_replace(Country, '\\s*;\\s*$', '')) AS Country
+FROM ({PLACE_LOOKUP_SQL})
+"""
+
 DEMOGRAPHICS_SQL = """
 SELECT
   p_name AS City,
@@ -456,15 +474,10 @@ def q_summary_approx(spark, d):
 
 
 def q_summary_moments(spark, d):
-    """The exact rows of the summary, as numbers: one row per column."""
-    a = A.arrivals(spark, d).select(*_MOMENT_COLS)
-    wide = {r: summary(a, r) for r in ("count", "mean", "stddev", "min", "max")}
-    long = None
-    for name, frame in wide.items():
-        part = frame.unpivot(["summary"], _MOMENT_COLS, "column", "value").select(
-            "column", F.lit(name).alias("statistic"), F.round(F.col("value").cast("double"), 6).alias("value"))
-        long = part if long is None else long.unionByName(part)
-    return long
+    """The exact rows of the summary, as numbers: one row per column and statistic."""
+    wide = summary(A.arrivals(spark, d).select(*_MOMENT_COLS), "count", "mean", "stddev", "min", "max")
+    return wide.unpivot(["summary"], _MOMENT_COLS, "column", "value").select(
+        "column", F.col("summary").alias("statistic"), F.round(F.col("value").cast("double"), 6).alias("value"))
 
 
 def q_summary_quartiles(spark, d):
@@ -521,8 +534,8 @@ def q_distinct_values(spark, d):
 
 
 def _lookup_csv(spark, d):
-    path = scratch_path(spark, "country_lookup_csv")
-    write_csv(A.country_lookup(spark, d), path, single_file=True)
+    path = scratch_path(spark, "place_lookup_csv")
+    write_csv(A.place_lookup(spark, d), path)
     return path
 
 
@@ -608,7 +621,10 @@ def q_profile_temperatures_nulls(spark, d):
 
 
 def q_profile_temperatures_duplicates(spark, d):
-    return duplicate_rows(A.temperatures(spark, d).select("City", "Country", "Latitude"))
+    """Readings that are there more than once, in all their columns; those of
+    some days are read twice."""
+    t = A.temperatures(spark, d)
+    return duplicate_rows(t.unionByName(t.where(F.substring("dt", 10, 1) == "5")))
 
 
 def q_arrivals_file(spark, d):
@@ -637,10 +653,10 @@ def q_port_lookup(spark, d):
 
 
 def q_state_lookup(spark, d):
-    n = A.table(spark, d, "nation").select(F.col("n_nationkey").cast("string").alias("state_code"),
-                                           F.concat(F.lit(" "), "n_name").alias("state"))
+    c = A.table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("state_code"),
+                                             F.concat(F.lit(" "), "c_name").alias("state"))
     path = scratch_path(spark, "state_csv")
-    write_csv(n, path)
+    write_csv(c, path)
     return T.build_lookup(spark, path, "state")
 
 
@@ -654,6 +670,123 @@ def q_ambiguous_labels(spark, d):
     return ambiguous_labels(lookup, "country_code", "Country")
 
 
+def _broken_lines(spark, d):
+    """Demographics as lines of text: some have lost their last field, some
+    have one too many."""
+    df = A.demographics(spark, d)
+    line = F.concat_ws(";", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in df.columns])
+    kind = F.col("Total Population") % 40
+    path = scratch_path(spark, "broken_lines")
+    df.select(F.when(kind == 3, F.substring_index(line, ";", len(df.columns) - 1))
+              .when(kind == 4, F.concat(line, F.lit(";left over"))).otherwise(line)).write.text(path)
+    return path
+
+
+def q_csv_broken_rows(spark, d):
+    return demographics_broken(spark, _broken_lines(spark, d), header=False)
+
+
+def q_csv_broken_records(spark, d):
+    """The broken records themselves, by their city."""
+    rows = broken_rows(spark, _broken_lines(spark, d), schemas.DEMOGRAPHICS, sep=";", header=False)
+    return rows.select("defect", F.col("n_fields").cast("long").alias("n_fields"),
+                       F.substring_index("record", ";", 1).alias("city"))
+
+
+def q_csv_without_broken(spark, d):
+    return T.build_dim_usdemog(read_demographics(spark, _broken_lines(spark, d), header=False))
+
+
+def q_partition_refresh(spark, d):
+    """A late delivery of one year into a table that is there: that year is
+    replaced, the files of all others stay."""
+    fact = T.build_fact_immigration(_arrivals_dated(spark, d), with_id=False)
+    path = scratch_path(spark, "fact_refresh")
+    write_parquet(fact, path, partition_by="arr_year")
+
+    def state():
+        rows = spark.read.schema(fact.schema).parquet(path)
+        return materialize(rows.withColumn("f", F.input_file_name()).groupBy("arr_year").agg(
+            F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_set("f")).alias("files")), "fact_files")
+
+    before = state().alias("b")
+    late = fact.where((F.col("arr_year") == _ROUNDTRIP_YEAR) & (F.col("cicid") % 2 == 0))
+    write_parquet(late, path, partition_by="arr_year", touched_only=True)
+    after = state().alias("a")
+    return before.join(after, F.col("a.arr_year").eqNullSafe(F.col("b.arr_year"))).select(
+        "a.arr_year", F.col("b.n").alias("n_before"), F.col("a.n").alias("n_after"),
+        (F.col("a.files") == F.col("b.files")).alias("same_files"))
+
+
+def _refreshed(spark, d, name):
+    """A table after two deliveries; records of one traveller are in both."""
+    out = scratch_path(spark, "star_refresh")
+    a = A.arrivals(spark, d)
+    for part in (0, 1):
+        refresh_arrivals(spark, a.where(F.col("biryear") % 2 == part), out)
+    return read_table(spark, out, name)
+
+
+def q_refresh_immigrant(spark, d):
+    return _refreshed(spark, d, "dim_immigrant")
+
+
+def q_refresh_fact(spark, d):
+    return _refreshed(spark, d, "fact_immigration").select(*_FACT_COLS)
+
+
+def q_sample_third(spark, d):
+    rows = A.table(spark, d, "lineitem")
+    return sample_rows(rows, rows.count() // 3, key=["l_orderkey", "l_linenumber"], seed=7)
+
+
+def q_profile_years(spark, d):
+    """Profiles kept per month, merged to years: moments, and whether each
+    quartile's rank is within the sketches' bound."""
+    a = A.arrivals(spark, d).select("i94yr", "i94mon", *_MOMENT_COLS)
+    path = scratch_path(spark, "month_profiles")
+    write_parquet(partition_profile(a, ["i94yr", "i94mon"], _MOMENT_COLS), path, partition_by="i94yr")
+    merged = merge_profiles(spark.read.parquet(path).withColumn("i94yr", F.col("i94yr").cast("double")), ["i94yr"])
+    merged = materialize(merged, "year_profiles")
+    values = a.drop("i94mon").unpivot(["i94yr"], _MOMENT_COLS, "column", "v").where("v IS NOT NULL")
+    wanted = merged.select("i94yr", "column", F.posexplode("quantiles").alias("q", "value"))
+    # A few rows a year and column.
+    near = values.alias("v").join(F.broadcast(wanted.alias("w")), (F.col("v.i94yr") == F.col("w.i94yr")) & (
+        F.col("v.column") == F.col("w.column"))).groupBy("w.i94yr", "w.column", "q").agg(
+        F.count_if(F.col("v") < F.col("value")).alias("below"), F.count_if(F.col("v") <= F.col("value")).alias("upto"),
+        F.count(F.lit(1)).alias("n"))
+    want, slack = F.col("n") * (F.col("q") + 1) / 4, F.col("n") * 3 * rank_error() + 1
+    within = near.groupBy("i94yr", "column").agg(
+        F.bool_and((F.col("below") <= want + slack) & (F.col("upto") >= want - slack)).alias("within_bound")).alias("r")
+    return merged.alias("m").join(within, (F.col("m.i94yr") == F.col("r.i94yr")) & (F.col("m.column") == F.col("r.column"))
+                                  ).select("m.i94yr", "m.column", "m.n", "m.n_null", F.round("m.mean", 6).alias("mean"),
+                                           F.round("m.std", 6).alias("std"), "m.min", "m.max", "r.within_bound")
+
+
+def q_quarantined_rows(spark, d):
+    """Rows that fail the non-null checks, kept with their reason; the others
+    pass the assertion."""
+    a = _arrivals_dated(spark, d).select("cicid", "arr_date", "i94addr", "fltno")
+    good, bad = split_rejects(a, not_null_checks(["arr_date", "i94addr"]), scratch_path(spark, "rejects"))
+    kept = require_not_null(good, ["arr_date", "i94addr"]).withColumn("reason", F.lit(None).cast("string"))
+    return bad.unionByName(kept)
+
+
+def q_profile_arrivals_files(spark, d):
+    """The two profile files of the arrivals, read back: nulls and values per column."""
+    path = scratch_path(spark, "arrivals_profile")
+    profile_arrivals(A.arrivals(spark, d), path)
+    nulls = spark.read.option("header", True).csv(f"{path}/arrivals_null_profile")
+    summ = spark.read.option("header", True).csv(f"{path}/arrivals_summary").where("summary = 'count'").drop("summary")
+    long = [f.unpivot([], f.columns, "column", n).withColumn(n, F.col(n).cast("long"))
+            for f, n in ((nulls, "n_null"), (summ, "n_values"))]
+    return long[0].join(long[1], "column", "left")
+
+
+def q_strict_dates(spark, d):
+    return A.temperatures(spark, d).select("City", parse_date("dt", strict=True).alias("measure_date"))
+
+
 def q_incremental_fact(spark, d):
     """The fact table loaded by the streaming job, one file per micro-batch."""
     feed = scratch_path(spark, "arrivals_feed")
@@ -719,6 +852,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "state_lookup": q_state_lookup,
     "sas_date_sql": q_sas_date_sql,
     "ambiguous_labels": q_ambiguous_labels,
+    "csv_broken_rows": q_csv_broken_rows,
+    "csv_broken_records": q_csv_broken_records,
+    "csv_without_broken": q_csv_without_broken,
+    "partition_refresh": q_partition_refresh,
+    "refresh_immigrant": q_refresh_immigrant,
+    "refresh_fact": q_refresh_fact,
+    "sample_third": q_sample_third,
+    "profile_years": q_profile_years,
+    "quarantined_rows": q_quarantined_rows,
+    "profile_arrivals_files": q_profile_arrivals_files,
+    "strict_dates": q_strict_dates,
 }
 
 #: Queries that exist to compare contents; they repeat work that others time.
@@ -727,6 +871,8 @@ CONTENT_CHECKS = frozenset({
     "star_calendar", "star_usdemog", "star_load_bad_keys", "csv_rejects", "csv_without_rejects",
     "profile_demographics_nulls", "profile_temperatures_nulls", "profile_temperatures_duplicates", "arrivals_file",
     "airport_csv", "port_lookup", "state_lookup", "sas_date_sql", "ambiguous_labels",
+    "csv_broken_rows", "csv_broken_records", "csv_without_broken", "partition_refresh", "refresh_immigrant",
+    "refresh_fact", "sample_third", "profile_years", "quarantined_rows", "profile_arrivals_files", "strict_dates",
 })
 
 _DEDUPE_ORDER = ["l_linenumber"] + [c for c in _LINEITEM_COLS if c not in ("l_orderkey", "l_linenumber")]
@@ -791,19 +937,21 @@ ORACLE_SQL: dict[str, str] = {
     "csv_without_rejects": DEMOG_DIM_SQL.replace("FROM part", "FROM part WHERE p_partkey % 50 NOT IN (1, 2)"),
     "profile_demographics_nulls": _null_long_sql(schemas.DEMOGRAPHICS.fieldNames(), DEMOGRAPHICS_SQL),
     "profile_temperatures_nulls": _null_long_sql(schemas.TEMPERATURES.fieldNames(), TEMPERATURES_SQL),
-    "profile_temperatures_duplicates": f"""SELECT City, Country, Latitude FROM ({TEMPERATURES_SQL})
-        EXCEPT ALL SELECT DISTINCT City, Country, Latitude FROM ({TEMPERATURES_SQL})""",
+    "profile_temperatures_duplicates": f"""
+        WITH t AS (SELECT * FROM ({TEMPERATURES_SQL}) UNION ALL
+                   SELECT * FROM ({TEMPERATURES_SQL}) WHERE substr(dt, 10, 1) = '5')
+        SELECT * FROM t EXCEPT ALL SELECT DISTINCT * FROM t""",
     "arrivals_file": ARRIVALS_SQL,
     "airport_csv": "SELECT " + ", ".join(
         {"ident": "CAST(s_suppkey AS VARCHAR)", "type": "'small, closed'", "name": "s_name",
          "elevation_ft": "CAST(s_suppkey AS DOUBLE)"}.get(f.name, "CAST(NULL AS VARCHAR)") + f" AS {f.name}"
         for f in schemas.AIRPORT_CODES.fields) + " FROM supplier",
     "port_lookup": "SELECT CAST(s_suppkey AS VARCHAR) AS port_code, s_name AS port_name FROM supplier",
-    "state_lookup": "SELECT CAST(n_nationkey AS VARCHAR) AS state_code, n_name AS state FROM nation",
+    "state_lookup": "SELECT CAST(c_custkey AS VARCHAR) AS state_code, c_name AS state FROM customer",
     "sas_date_sql": f"SELECT cicid, arr_date, dep_date FROM ({ARRIVALS_DATED_SQL})",
     "ambiguous_labels": f"""SELECT Country AS label, count(DISTINCT country_code) AS n_codes,
         CAST(min(country_code) AS VARCHAR) AS first_code, CAST(max(country_code) AS VARCHAR) AS last_code
-        FROM ({COUNTRY_LOOKUP_CLEAN_SQL}) GROUP BY Country HAVING count(DISTINCT country_code) > 1""",
+        FROM ({PLACE_LOOKUP_CLEAN_SQL}) GROUP BY Country HAVING count(DISTINCT country_code) > 1""",
     "sample_rows": """SELECT * FROM lineitem
         ORDER BY md5('7|' || l_orderkey || '|' || l_linenumber), l_orderkey, l_linenumber LIMIT 100""",
     "summary_moments": " UNION ALL ".join(
@@ -814,11 +962,44 @@ ORACLE_SQL: dict[str, str] = {
     "summary_quartiles": " UNION ALL ".join(
         f"""SELECT '{c}' AS "column", '{q}' AS quartile, count("{c}") AS n, true AS within_bound FROM lineitem"""
         for c in _QUARTILE_COLS for q in ("25%", "50%", "75%")),
+    "csv_broken_rows": """
+        SELECT d.defect, (SELECT count(*) FROM part) AS n_rows,
+               CAST((SELECT count(*) FROM part WHERE p_partkey % 40 = d.kind) AS BIGINT) AS n_bad
+        FROM (VALUES ('too_few_fields', 3), ('too_many_fields', 4)) d(defect, kind)""",
+    "csv_broken_records": """
+        SELECT CASE p_partkey % 40 WHEN 3 THEN 'too_few_fields' ELSE 'too_many_fields' END AS defect,
+               CAST(CASE p_partkey % 40 WHEN 3 THEN 11 ELSE 13 END AS BIGINT) AS n_fields, p_name AS city
+        FROM part WHERE p_partkey % 40 IN (3, 4)""",
+    "csv_without_broken": DEMOG_DIM_SQL.replace("FROM part", "FROM part WHERE p_partkey % 40 NOT IN (3, 4)"),
+    "partition_refresh": f"""
+        SELECT arr_year, count(*) AS n_before,
+               CAST(CASE WHEN arr_year = {_ROUNDTRIP_YEAR} THEN count_if(cicid % 2 = 0) ELSE count(*) END AS BIGINT) AS n_after,
+               arr_year IS DISTINCT FROM {_ROUNDTRIP_YEAR} AS same_files
+        FROM ({FACT_SQL}) GROUP BY arr_year""",
+    "refresh_immigrant": IMMIGRANT_SQL,
+    "refresh_fact": FACT_SQL,
+    "sample_third": """SELECT * FROM lineitem
+        ORDER BY md5('7|' || l_orderkey || '|' || l_linenumber), l_orderkey, l_linenumber
+        LIMIT (SELECT count(*) // 3 FROM lineitem)""",
+    "profile_years": " UNION ALL ".join(
+        f"""SELECT i94yr, '{c}' AS "column", count("{c}") AS n, CAST(count(*) - count("{c}") AS BIGINT) AS n_null,
+                   round(avg("{c}"), 6) AS mean, round(stddev_samp("{c}"), 6) AS std, min("{c}") AS "min",
+                   max("{c}") AS "max", true AS within_bound FROM ({ARRIVALS_SQL}) GROUP BY i94yr"""
+        for c in _MOMENT_COLS),
+    "quarantined_rows": f"""
+        SELECT cicid, arr_date, i94addr, fltno, nullif(concat_ws(';', CASE WHEN arr_date IS NULL THEN 'null arr_date' END,
+               CASE WHEN i94addr IS NULL THEN 'null i94addr' END), '') AS reason
+        FROM ({ARRIVALS_DATED_SQL})""",
+    "profile_arrivals_files": " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", CAST(count_if("{c}" IS NULL) AS BIGINT) AS n_null,
+            {'CAST(NULL AS BIGINT)' if c in ('arr_date', 'dep_date') else f'count("{c}")'} AS n_values
+            FROM ({ARRIVALS_DATED_SQL})""" for c in _DATED_COLS),
+    "strict_dates": f"SELECT City, CAST(dt AS DATE) AS measure_date FROM ({TEMPERATURES_SQL})",
     "demographics_csv": DEMOG_DIM_SQL,
     "weather_csv": WEATHER_CLEAN_SQL,
     "star_load": QUALITY_SQL,
     "incremental_fact": FACT_SQL,
     "distinct_values": f"SELECT DISTINCT i94port FROM ({ARRIVALS_SQL})",
-    "lookup_clean": COUNTRY_LOOKUP_CLEAN_SQL,
-    "lookup_raw": COUNTRY_LOOKUP_SQL,
+    "lookup_clean": PLACE_LOOKUP_CLEAN_SQL,
+    "lookup_raw": PLACE_LOOKUP_SQL,
 }

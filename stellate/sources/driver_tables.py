@@ -142,6 +142,18 @@ def country_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nations.unionByName(extra)
 
 
+def place_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lookup that grows with the tables, with the defects of the country
+    lookup: customers as places, some labels with a stray " ;", some with a
+    second code."""
+    c = table(spark, sf_dir, "customer")
+    label = F.when(F.col("c_nationkey") % 5 == 4, F.concat("c_name", F.lit(" ;"))).otherwise(F.col("c_name"))
+    code = F.col("c_custkey").cast("int")
+    return c.select(code.alias("country_code"), label.alias("Country")).unionByName(
+        c.where(F.col("c_custkey") % 10 == 0).select((code + 10_000_000).alias("country_code"),
+                                                     F.col("c_name").alias("Country")))
+
+
 def demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
     col = F.col
