@@ -1,41 +1,54 @@
 """Language-model scores by online logistic context mixing.
 
-The model spells a text: each word's bytes and a blank, then one more blank for
-the end of the text.  It predicts bit after bit.  Each of ``CONTEXTS``
-contexts (none, the last one to four bytes, and all bytes of the word so far)
-is hashed, with the bits of the byte known so far, to a slot with two counts:
-how often the next bit was 0 and 1.  The slots' log odds are combined by
-weights, of which a gate picks one set for each bit (by its place in the byte
-and by how often the longer contexts were seen); the result is refined by an
-adaptive map from it, and the bits known so far, to what came true.  The
-probabilities of a text's bits multiply to that of the text.
-
-No context reaches beyond a word, so a word has the same probability wherever
-it stands: words are counted, learned from and scored once, and a document's
-score is the sum over its words.  Learning runs over the table of all distinct
-words of the training documents, spread over the cluster:
-
-1. counts of all slots are sums, added up by Spark;
+The model reads a text word by word and ends it with one more symbol, the end.
+A word is coded in bits, and each bit is predicted:
+
+* One of the ``FREQUENT`` most frequent training words (``LEAST_COUNT`` times at
+  least), the end, and the escape to all other words are the leaves of a binary code tree (Huffman's, so that a bit
+  carries much).  Each bit of the path is predicted in four contexts: none, the
+  word before, the word before that, and both; rare words count as contexts like
+  all others.  A context is hashed, with the node of the tree, to a slot with two
+  counts: how often the bit was 0 and 1.
+* Behind the escape, a bit tells whether the word stood in this text before; its
+  probability follows the text (repeats so far), and so does the choice among the
+  words seen.  Else a bit tells whether the word is known: a known one has its
+  share of the rare training words' counts, which are a Spark table of all words;
+  a new one is spelled byte by byte and ended by a blank, again in bits that are
+  predicted in six hashed contexts (none, the last one to four bytes, all bytes so
+  far).
+
+The log odds of a bit's contexts are combined by weights, of which a gate picks
+one set for each bit (by how often the longer contexts were seen); the result is
+refined by an adaptive map from it to what came true.  At last each word's
+probability is mixed with how often it stood in the text so far, by a weight that
+follows the share of repeats.  The probabilities of a text's words multiply to
+that of the text; they sum to at most 1, as a spelling or a rare word that could
+have been coded otherwise keeps its unused share.
+
+Learning, spread over the cluster:
+
+1. counts of words, and counts of all slots, are sums added up by Spark.  Slot
+   counts go as compressed pieces of flat arrays, from as many tasks as the text
+   needs, not as many as the table has parts;
 2. each task passes over its words online, a block after the other: it predicts
    a block from the counts without the occurrence that it predicts, then moves
    the weights of the gates it met; weights are averaged over tasks, each gate
-   by the words it has seen; the adaptive map is again a sum.
+   by the words it has seen; the adaptive maps are again sums.
 
-A last stage refines the prediction of each word by the text in front of it:
-by the kind of text that its last words speak for, and by the words it repeats
-(``Adaptive``).
-
-The model has ``SLOTS`` counts, whatever the data.  The words of a document that
-are among the ``frequent`` most common ones are looked up in a broadcast of that
-many rows; all others are joined.
+What grows with the corpus is the table of words with their counts, which is
+joined to the rare words of the texts, never broadcast.  Slots grow with the
+training words up to ``MOST_BITS`` (they are broadcast, so their size is bounded).
+Frequent words are bounded for the same reason.
 
 Defined cases: a null or empty text is the end alone; a null id is neither held
 out nor learned from; rows that repeat are documents of their own; without
-training documents all counts are 0 and each bit has probability 1/2.
+training documents there is no known word and each bit has probability 1/2.
 """
 
 from __future__ import annotations
 
+import heapq
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -52,15 +65,16 @@ from stellate.llm.common import col, ship, stored
 CONTEXTS, BITS = 6, (12, 16, 20, 20, 20, 22)
 #: Sets of weights of a bit, and buckets of the adaptive map.
 SETS, BUCKETS = 8 * 3, 24
-#: Most frequent words: their starts are contexts, and every task holds their scores.
+#: Most frequent words: leaves of the code tree; their starts are contexts of spellings.
 FREQUENT = 65_536
+#: A word met less often than this is a rare one: it says how often new words come.
+LEAST_COUNT = 4
 #: Most common words of which a repeat says nothing about a text.
 EVERYDAY = 1000
-#: Kinds of text that the adaptive stage tells apart, by which of so many common
-#: words, over so many words back.
-KINDS, TELLING, WINDOW = 16, 2000, 100
-#: Share of each prediction that goes to all kinds alike.
-DOUBT = 0.005
+#: Bits of the slot numbers of a text context, at least and at most.
+LEAST_BITS, MOST_BITS = 16, 22
+#: Training words that a counting task takes, and slots of a piece.
+TASK_WORDS, PIECE = 4_000_000, 1 << 15
 _BLOCK, _U = 1 << 15, np.uint32
 _R = 0x01000193
 #: Inverse of _R modulo 2**32: takes a word's place out of a running sum.
@@ -278,12 +292,12 @@ def _learn(batches: Iterator[pa.RecordBatch], shared, ridge: float = 30.0) -> It
          pa.array(hits), pa.array(seen)], names)
 
 
-def learn_mixer(words: DataFrame, frequent: int = FREQUENT) -> Mixer:
-    """Learn from a table (word binary, c long) of distinct words.  The starts
-    of the ``frequent`` most common ones become contexts."""
+def learn_mixer(words: DataFrame, frequent: int = FREQUENT, by: str = "c") -> Mixer:
+    """Learn from a table (word binary, c long) of distinct words, each c times.
+    The starts of the ``frequent`` ones with the highest ``by`` become contexts."""
     spark = words.sparkSession
     ship(spark)
-    top = words.orderBy(F.desc("c"), "word").limit(frequent).select("word").toArrow()["word"].to_pylist()
+    top = words.orderBy(F.desc(by), "word").limit(frequent).select("word").toArrow()["word"].to_pylist()
     starts = starts_of(sorted(top))
     shared_starts = spark.sparkContext.broadcast(starts)
     sums = (words.mapInArrow(lambda it: _count_slots(it, shared_starts), "slot int, zero long, one long")
@@ -342,87 +356,356 @@ def _score_words(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.Recor
     for batch in batches:
         words = batch.column("word").to_pylist()
         yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("c"), pa.array(model.log10(words))],
-                                         ["word", "c", "score"])
+                                         ["word", "c", "spelled"])
+
 
+# ---- words in texts -------------------------------------------------------
 
 @dataclass
-class Adaptive:
-    """What the adaptive stage knows: ranks of common words, their probability
-    in the model and in each kind of text (the last column: all other words)."""
+class Code:
+    """A binary code: for each symbol where its path begins, its length; the
+    nodes and bits of all paths end to end."""
 
-    prob: np.ndarray   # common words
-    kinds: np.ndarray  # kinds x (common words + 1)
-
-    def __post_init__(self):
-        self.other = max(1e-9, 1 - float(self.prob.sum()))
-        # A word's row holds all kinds.
-        self.p = np.ascontiguousarray(self.kinds.T, np.float32)
-        self.log = np.log(self.p)
+    begin: np.ndarray
+    size: np.ndarray
+    nodes: np.ndarray
+    bits: np.ndarray
 
     @staticmethod
-    def smoothed(prob: np.ndarray, counts: np.ndarray, weight: float = 5000.0) -> Adaptive:
-        """From counts of kinds x (common words + 1), held to the model."""
-        plain = np.append(prob, max(1e-9, 1 - float(prob.sum())))
-        return Adaptive(prob, (counts + weight * plain) / (counts.sum(1, keepdims=True) + weight))
+    def of(weights: np.ndarray) -> Code:
+        """Huffman's code; of equal weights the first symbol is taken first."""
+        n = len(weights)
+        heap = [(int(w), i) for i, w in enumerate(weights)]
+        heapq.heapify(heap)
+        above, side, new = np.zeros(2 * n, np.int32), np.zeros(2 * n, np.uint8), n
+        while len(heap) > 1:
+            (a, i), (b, j) = heapq.heappop(heap), heapq.heappop(heap)
+            above[i] = above[j] = new
+            side[j] = 1
+            heapq.heappush(heap, (a + b, new))
+            new += 1
+        root, paths = new - 1, []
+        for symbol in range(n):
+            at, path = symbol, []
+            while at != root:
+                path.append((above[at] - n, side[at]))
+                at = above[at]
+            paths.append(path[::-1])
+        size = np.array([len(p) for p in paths], np.int64)
+        flat = np.array([x for p in paths for x in p], np.int32).reshape(-1, 2)
+        return Code(np.cumsum(size) - size, size, flat[:, 0], flat[:, 1].astype(np.uint8))
+
+    def spread(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(word number, node, bit) of all bits of the symbols' paths."""
+        size = self.size[symbols]
+        word = np.repeat(np.arange(len(symbols)), size)
+        at = np.arange(len(word)) + np.repeat(self.begin[symbols] - (np.cumsum(size) - size), size)
+        return word, self.nodes[at], self.bits[at]
+
+
+#: Contexts of a word: none, the word before, the one before that, both.
+TEXT_CONTEXTS, TEXT_SETS = 4, 6 * 5 * 4
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> _U(16))) * _U(0x7FEB352D)
+    return x ^ (x >> _U(15))
+
+
+def _befores(number: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Hashes of the contexts in front of each word; places count from 0 in
+    each text, and the text's start is a context of its own."""
+    one, two = np.zeros(len(number), _U), np.zeros(len(number), _U)
+    plain = number.astype(_U) + _U(1)
+    one[1:], two[2:] = plain[:-1], plain[:-2]
+    one[place < 1] = 0
+    two[place < 2] = 0
+    return np.stack([_mixed(one * _U(0x9E3779B1) + _U(1)), _mixed(two * _U(0x85EBCA6B) + _U(2)),
+                     _mixed(_mixed(one * _U(0xC2B2AE35) + _U(3)) + two * _U(0x27D4EB2F))])
+
+
+def _text_slots(before: np.ndarray, word: np.ndarray, node: np.ndarray, nodes: int, bits: int) -> np.ndarray:
+    """Slots of all bits in their four contexts."""
+    slots = np.empty((TEXT_CONTEXTS, len(node)), np.int32)
+    slots[0] = node
+    salt = node.astype(_U) * _U(0x9E3779B1)
+    shift = _U(32 - bits)
+    for k in range(3):
+        hashed = ((before[k][word] ^ salt) * _U(0x2C1B3C6D)) >> shift
+        slots[k + 1] = hashed.astype(np.int32) + (nodes + (k << bits))
+    return slots
+
+
+def _text_gate(one: np.ndarray, two: np.ndarray, both: np.ndarray) -> np.ndarray:
+    """Set of weights: how often the word before, the one before that, and both
+    were seen here."""
+    return (_level(one, (1, 4, 32, 256, 4096)) * 5 + _level(both, (1, 2, 8, 64))) * 4 + _level(two, (1, 16, 512))
+
+
+def _text_start() -> np.ndarray:
+    """Weights before learning: the longer context counts more, the more often
+    it was seen."""
+    out = np.empty((6, 5, 4, TEXT_CONTEXTS), np.float64)
+    trust, pair = np.array([0.0, 0.3, 0.5, 0.6, 0.7, 0.8]), np.array([0.0, 0.3, 0.5, 0.7, 0.8])
+    out[..., 3] = pair[None, :, None]
+    out[..., 1] = (trust[:, None] * (1 - pair)[None, :])[:, :, None]
+    out[..., 2] = 0.1 * (1 - trust)[:, None, None] * np.array([0.0, 0.5, 1.0, 1.0])
+    out[..., 0] = 1 - out[..., 1:].sum(-1)
+    return out.reshape(TEXT_SETS, TEXT_CONTEXTS)
+
+
+@dataclass
+class TextModel:
+    """Counts of the slots of text contexts (16 bits), weights and the adaptive
+    map of the gates, the code, and the words' place in it."""
+
+    code: Code
+    bits: int
+    zero: np.ndarray
+    one: np.ndarray
+    weights: np.ndarray  # sets x contexts
+    refine: np.ndarray   # sets x buckets
+
+    @property
+    def end(self) -> int:
+        return len(self.code.size) - 2
+
+    @property
+    def escape(self) -> int:
+        return len(self.code.size) - 1
+
+    def parts(self, number: np.ndarray, place: np.ndarray):
+        """(word, bit, slots) of all bits of the words of texts."""
+        word, node, bit = self.code.spread(np.minimum(number, self.escape))
+        return word, bit, _text_slots(_befores(number, place), word, node, len(self.code.size), self.bits)
+
+    def coded(self, number: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """log of the probability of each word's path in the code tree."""
+        word, bit, slots = self.parts(number, place)
+        n0, n1 = self.zero[slots], self.one[slots]
+        n = n0[1:].astype(np.int32) + n1[1:]
+        gate = _text_gate(n[0], n[1], n[2])
+        odds = _LOG[n1] - _LOG[n0]
+        weights = self.weights[gate]
+        x = odds[0] * weights[:, 0]
+        for k in range(1, TEXT_CONTEXTS):
+            x += odds[k] * weights[:, k]
+        p = _text_refined(self.refine, x, gate)
+        return np.bincount(word, np.log(np.where(bit == 1, p, 1 - p)), len(number))
 
     def log10(self, number: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """log10 of the probability of texts but for their uncommon words, and
-        which words are uncommon ones that stand there first.
-
-        ``number``: the ranks of the words of texts laid end to end (``sizes``
-        words each, none empty); uncommon ones have others.  The model is
-        refined by the text so far.  The last words tell how likely each kind
-        of text is, which moves the probability of common words and of all
-        others together.  Then a share w of each prediction goes to the words
-        seen, by how often they were; w is the share of the words so far that
-        repeated one that isn't everyday.  An uncommon word that stood before
-        counts by that share alone, a bound from below."""
-        n, top = len(number), len(self.prob)
+        """log10 of the probability of texts but for the rare words that stand
+        first in them, and which those are.  ``number``: the words of texts laid
+        end to end, ``sizes`` words each, none empty."""
+        n = len(number)
         begin = np.cumsum(sizes) - sizes
         text = np.repeat(np.arange(len(sizes)), sizes)
-        start, all_ = begin[text], np.arange(n)
-        place = all_ - start
-        order = np.argsort(text * (1 << 32) + number, kind="stable")
-        key_text, key = text[order], number[order]
-        new = np.concatenate([[True], (key[1:] != key[:-1]) | (key_text[1:] != key_text[:-1])])
-        rank = np.empty(n, np.int64)
-        rank[order] = all_ - np.maximum.accumulate(np.where(new, all_, 0))
-        again = (rank > 0) & (number >= EVERYDAY)
-        before = np.concatenate([[0], np.cumsum(again)])
-        w = np.minimum((before[:-1] - before[start] + 0.3) / (place + 30), 0.95)
-        seen = w * rank / np.maximum(place, 1)
-        at = np.minimum(number, top)
-        total = np.zeros((n + 1, self.log.shape[1]))
-        np.cumsum(self.log[at], axis=0, dtype=float, out=total[1:])
-        past = (total[:-1] - total[np.maximum(all_ - WINDOW, start)]).astype(np.float32)
-        share = np.exp(past - past.max(1, keepdims=True))
-        kinds = share.shape[1]
-        p = np.einsum("nk,nk->n", share, self.p[at]) * ((1 - DOUBT) / share.sum(1)) + (DOUBT / kinds) * self.p[at].sum(1)
-        p = p * (1 - w)
-        common = number < top
-        first = ~common & (rank == 0)
-        p = np.where(common, p + seen, np.where(first, p / self.other, seen))
+        place = np.arange(n) - begin[text]
+        symbol = np.minimum(number, self.escape)
+        rare = symbol == self.escape
+        often, stood = _earlier(text, symbol), _earlier(text, number)
+        again = (stood > 0) & (rare | (number >= EVERYDAY)) & (number != self.end)
+
+        def so_far(x: np.ndarray) -> np.ndarray:
+            """How many in the text before each place."""
+            total = np.concatenate([[0], np.cumsum(x)])
+            return total[:-1] - total[begin][text]
+
+        w = np.minimum((so_far(again) + 0.3) / (place + 30), 0.95) * (place > 0)
+        p = (1 - w) * np.exp(self.coded(number, place)) + w * often / np.maximum(place, 1)
+        # Behind the escape: a word of this text again, or another one.
+        first = rare & (stood == 0)
+        escaped, repeats = so_far(rare), so_far(rare & (stood > 0))
+        share = (repeats + 0.3) / (escaped + 2) * (escaped > 0)
+        p = np.where(rare, p * np.where(first, 1 - share, share * stood / np.maximum(escaped, 1)), p)
         return np.add.reduceat(np.log10(p), begin), first
 
 
-class _Ranks(dict):
-    """Ranks of words; a word without one gets the next."""
+def _text_refined(refine: np.ndarray, x: np.ndarray, gate: np.ndarray) -> np.ndarray:
+    y = np.clip(x + 12, 0, 23.999) * ((BUCKETS - 1) / 24)
+    low = y.astype(np.int32)
+    up, at = y - low, gate.astype(np.int32) * BUCKETS + low
+    flat = refine.reshape(-1)
+    fine = flat[at] * (1 - up) + flat[at + 1] * up
+    return np.clip((1 / (1 + np.exp(-x)) + fine) / 2, 1e-7, 1 - 1e-7)
 
-    def __missing__(self, word: bytes) -> int:
-        n = self[word] = len(self)
-        return n
+
+def _earlier(text: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """How often each text's key stood in it before."""
+    order = np.argsort(text << 32 | key, kind="stable")
+    t, k = text[order], key[order]
+    new = np.concatenate([[True], (k[1:] != k[:-1]) | (t[1:] != t[:-1])])
+    at, rank = np.arange(len(key)), np.empty(len(key), np.int64)
+    rank[order] = at - np.maximum.accumulate(np.where(new, at, 0))
+    return rank
 
 
 def _unpack(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Ranks of texts laid end to end, and how many each has."""
+    """Numbers of the words of texts laid end to end, and how many each has."""
     sizes = pc.binary_length(column).to_numpy(zero_copy_only=False) // 4
     return np.frombuffer(b"".join(column.to_pylist()), np.int32), sizes.astype(np.int64)
 
 
+def _runs(batches: Iterator[pa.RecordBatch], words: int = 1 << 17) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(numbers, sizes, places) of some texts at a time, about so many words or
+    one text."""
+    for batch in batches:
+        number, sizes = _unpack(batch.column("number"))
+        ends, lo = np.cumsum(sizes), 0
+        while lo < len(sizes):
+            done = ends[lo - 1] if lo else 0
+            hi = max(lo + 1, int(np.searchsorted(ends, done + words, "right")))
+            n = sizes[lo:hi]
+            yield number[done:ends[hi - 1]], n, np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+            lo = hi
+
+
+def _cut(number: np.ndarray, place: np.ndarray, words: int = 1 << 15):
+    """A run in pieces that overlap by the two words of the longest context:
+    (numbers, places, new words' first)."""
+    for lo in range(0, len(number), words):
+        back = min(lo, 2)
+        yield number[lo - back:lo + words], place[lo - back:lo + words], back
+
+
+def _count_text(batches: Iterator[pa.RecordBatch], shared, bits: int) -> Iterator[pa.RecordBatch]:
+    """(piece, counts): compressed pieces of the slots' counts."""
+    model = TextModel(shared.value, bits, *[None] * 4)
+    size = -(-(len(model.code.size) + (3 << bits)) // PIECE) * PIECE
+    counts = np.zeros(2 * size, np.uint32)
+    one = np.uint32(1)
+    for number, _, place in _runs(batches):
+        for part, at, back in _cut(number, place):
+            word, bit, slots = model.parts(part, at)
+            new = word >= back
+            for k in range(TEXT_CONTEXTS):
+                np.add.at(counts, 2 * slots[k][new] + bit[new], one)
+    for lo in range(0, size, PIECE):
+        piece = counts[2 * lo:2 * (lo + PIECE)]
+        if piece.any():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lo // PIECE], pa.int32()), pa.array([pa.compress(piece, "zstd", asbytes=True)], pa.binary())],
+                ["piece", "counts"])
+
+
+def _add_pieces(table: pa.Table) -> pa.Table:
+    total = np.zeros(2 * PIECE, np.int64)
+    for blob in table.column("counts"):
+        raw = np.frombuffer(pa.decompress(blob.as_py(), 8 * PIECE, "zstd", asbytes=True), np.uint32)
+        total += raw
+    return pa.table({"piece": table.column("piece").slice(0, 1),
+                     "counts": pa.array([pa.compress(_scaled(total), "zstd", asbytes=True)], pa.binary())})
+
+
+def _scaled(total: np.ndarray) -> np.ndarray:
+    """Counts scaled to 16 bits where they exceed them."""
+    pairs = total.reshape(-1, 2)
+    by = np.maximum(1.0, pairs.max(1) / 65535.0)[:, None]
+    return np.round(pairs / by).astype(np.uint16).reshape(-1)
+
+
+def _learn_text(batches: Iterator[pa.RecordBatch], shared, ridge: float = 30.0) -> Iterator[pa.RecordBatch]:
+    """One online pass over this task's words, as ``_learn``."""
+    code, bits, zero, one = shared.value
+    model = TextModel(code, bits, zero, one, None, None)
+    weights, mass = _text_start(), np.zeros(TEXT_SETS)
+    curve = np.tile(ridge * np.eye(TEXT_CONTEXTS), (TEXT_SETS, 1, 1))
+    hits, seen = np.zeros(TEXT_SETS * BUCKETS), np.zeros(TEXT_SETS * BUCKETS)
+    for number, _, place in _runs(batches):
+        for part, at, back in _cut(number, place):
+            word, bit, slots = model.parts(part, at)
+            new = word >= back
+            bit, slots = bit[new], slots[:, new]
+            n0, n1 = zero[slots].astype(np.int32), one[slots].astype(np.int32)
+            # Without the occurrence at hand; scaled counts are too large to matter.
+            n1 -= (bit == 1) & (n1 > 0) & (n1 < 32768)
+            n0 -= (bit == 0) & (n0 > 0) & (n0 < 32768)
+            n = n0[1:] + n1[1:]
+            gate = _text_gate(n[0], n[1], n[2])
+            order = np.argsort(gate, kind="stable")
+            gate, bit = gate[order], bit[order].astype(np.float32)
+            s = (_LOG[n1] - _LOG[n0])[:, order]
+            x = np.clip(np.einsum("kn,nk->n", s, weights[gate]), -12, 12)
+            p = 1 / (1 + np.exp(-x))
+            y = (x + 12) * ((BUCKETS - 1) / 24)
+            low = np.minimum(y.astype(np.int32), BUCKETS - 2)
+            up, spot = y - low, gate.astype(np.int32) * BUCKETS + low
+            for where, share in ((spot, 1 - up), (spot + 1, up)):
+                seen += np.bincount(where, share, len(seen))
+                hits += np.bincount(where, share * bit, len(seen))
+            err, bend = bit - p, (p * (1 - p)).astype(np.float32)
+            ends = np.cumsum(np.bincount(gate, minlength=TEXT_SETS))
+            for g in np.flatnonzero(np.diff(ends, prepend=0)).tolist():
+                span = slice(ends[g - 1] if g else 0, ends[g])
+                t = s[:, span]
+                curve[g] += (t * bend[span]) @ t.T
+                weights[g] += np.linalg.solve(curve[g], t @ err[span])
+                mass[g] += span.stop - span.start
+    names = ["kind", "at", "a", "b"]
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(np.zeros(weights.size, np.int32)), pa.array(np.arange(weights.size, dtype=np.int32)),
+         pa.array((weights * mass[:, None]).ravel()), pa.array(np.repeat(mass, TEXT_CONTEXTS))], names)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(np.ones(len(seen), np.int32)), pa.array(np.arange(len(seen), dtype=np.int32)),
+         pa.array(hits), pa.array(seen)], names)
+
+
+def text_bits(words: int) -> int:
+    """Bits of the slot numbers for so many training words."""
+    return int(min(max(int(words).bit_length() + 2, LEAST_BITS), MOST_BITS))
+
+
+def learn_text(ranked: DataFrame, code: Code, words: int) -> TextModel:
+    """Learn the text contexts from the table ``ranked`` (number binary) of
+    training texts with ``words`` words."""
+    spark = ranked.sparkSession
+    ship(spark)
+    bits = text_bits(words)
+    size = len(code.size) + (3 << bits)
+    texts, shared_code = ranked.select("number"), spark.sparkContext.broadcast(code)
+    # A counting task sends its whole table: as few tasks as keep all cores at work.
+    cores = spark.sparkContext.defaultParallelism
+    tasks = max(1, min(4 * cores, max(words // TASK_WORDS, min(cores, words // (TASK_WORDS // 16)))))
+    counts = (texts.coalesce(tasks).mapInArrow(lambda it: _count_text(it, shared_code, bits), "piece int, counts binary")
+              .groupBy("piece").applyInArrow(lambda t: _add_pieces(t), "piece int, counts binary").toArrow())
+    both = np.zeros(2 * (-(-size // PIECE) * PIECE), np.uint16)
+    for piece, blob in zip(counts.column("piece").to_pylist(), counts.column("counts").to_pylist()):
+        both[2 * piece * PIECE:2 * (piece + 1) * PIECE] = np.frombuffer(
+            pa.decompress(blob, 4 * PIECE, "zstd", asbytes=True), np.uint16)
+    zero, one = np.ascontiguousarray(both[0:2 * size:2]), np.ascontiguousarray(both[1:2 * size:2])
+    shared = spark.sparkContext.broadcast((code, bits, zero, one))
+    rows = (texts.mapInArrow(lambda it: _learn_text(it, shared), "kind int, at int, a double, b double")
+            .groupBy("kind", "at").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).toArrow())
+    return assemble_text(code, bits, zero, one, *(rows[c].to_numpy() for c in ("kind", "at", "a", "b")))
+
+
+def assemble_text(code: Code, bits: int, zero: np.ndarray, one: np.ndarray, kind: np.ndarray, at: np.ndarray,
+                  a: np.ndarray, b: np.ndarray) -> TextModel:
+    weights, w = _text_start(), (kind == 0) & (b > 0)
+    weights.reshape(-1)[at[w]] = a[w] / b[w]
+    plain = 1 / (1 + np.exp(-(np.arange(BUCKETS) * (24 / (BUCKETS - 1)) - 12)))
+    hits, seen = np.tile(plain * 2, TEXT_SETS), np.full(TEXT_SETS * BUCKETS, 2.0)
+    r = kind == 1
+    hits[at[r]] += a[r]
+    seen[at[r]] += b[r]
+    return TextModel(code, bits, zero, one, weights.astype(np.float32), (hits / seen).reshape(TEXT_SETS, BUCKETS))
+
+
+class _Ranks(dict):
+    """Ranks of words; a word without one gets the next."""
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self)
+        return n
+
+
 def _ranked(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
-    """Words of each text as ranks; its uncommon words, with how often."""
+    """Words of each text as numbers; its rare words, with how often.  Numbers:
+    the rank of a frequent word, then the end, then hashes of rare words."""
     top = len(shared.value)
     ranks = {w: i for i, w in enumerate(shared.value)}
+    ranks[b""] = top                     # the end of a text is an empty word
+    room = (1 << 31) - top - 2
     for batch in batches:
         number = _Ranks(ranks)
         find, parts, sizes = number.__getitem__, [], []
@@ -433,164 +716,35 @@ def _ranked(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatc
             parts.append(np.fromiter(map(find, words), np.int32, len(words)))
         tokens = np.array([len(x) for x in parts], np.int64)
         at = np.concatenate(parts)
-        key = np.repeat(np.arange(len(parts)), tokens)[at >= top] << 32 | at[at >= top]
+        rare_at = at > top
+        key = np.repeat(np.arange(len(parts)), tokens)[rare_at] << 32 | at[rare_at]
         key, often = np.unique(key, return_counts=True)
         ends = np.concatenate([[0], np.cumsum(np.bincount(key >> 32, minlength=len(parts)))]).astype(np.int32)
-        names = pa.array(list(number)[top:], pa.binary())
-        rare = names.take(pa.array((key & 0xFFFFFFFF) - top))
+        rare_words = list(number)[top + 1:]
+        names = pa.array(rare_words, pa.binary())
+        rare = names.take(pa.array((key & 0xFFFFFFFF) - top - 1))
+        hashed = np.concatenate([np.arange(top + 1), top + 1 + np.fromiter(
+            (zlib.crc32(w) % room for w in rare_words), np.int64, len(rare_words))]).astype(np.int32)
         yield pa.RecordBatch.from_arrays(
             [*(batch.column(c) for c in ("_id", "_out", "learn")), pa.array(tokens), pa.array(sizes, pa.int64()),
-             pa.array([x.tobytes() for x in parts], pa.binary()), pa.ListArray.from_arrays(ends, rare),
+             pa.array([hashed[x].tobytes() for x in parts], pa.binary()), pa.ListArray.from_arrays(ends, rare),
              pa.ListArray.from_arrays(ends, pa.array(often, pa.int64()))],
             ["_id", "_out", "learn", "tokens", "bytes", "number", "rare", "often"])
 
 
-def _profiles(number: np.ndarray, sizes: np.ndarray, n: int, texts: int = 1000) -> Iterator[np.ndarray]:
-    """How often each text has each of the n most common words, some texts at a
-    time."""
-    ends = np.cumsum(sizes)
-    for lo in range(0, len(sizes), texts):
-        hi = min(lo + texts, len(sizes))
-        part = number[(ends[lo - 1] if lo else 0):ends[hi - 1]]
-        text = np.repeat(np.arange(hi - lo), sizes[lo:hi])
-        at = part < n
-        yield np.bincount(text[at] * n + part[at], minlength=(hi - lo) * n).reshape(hi - lo, n).astype(float)
-
-
-def _sums(first: np.ndarray, second: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(first, pa.int32()), pa.array(second, pa.int32()), pa.array(n)],
-                                      ["kind", "rank", "n"])
-
-
-def _company(batches: Iterator[pa.RecordBatch], telling: int, buckets: int) -> Iterator[pa.RecordBatch]:
-    """(word, bucket, n): the words, by rank modulo ``buckets``, of all texts
-    in which a word stands."""
-    sums = np.zeros((telling, buckets))
-    for batch in batches:
-        for seen in _profiles(*_unpack(batch.column("number")), telling):
-            wide = np.pad(seen, ((0, 0), (0, -telling % buckets)))
-            sums += (seen > 0).T.astype(float) @ wide.reshape(len(seen), -1, buckets).sum(1)
-    word, bucket = np.nonzero(sums)
-    yield _sums(word, bucket, sums[word, bucket])
-
-
-def _company_of(batches: Iterator[pa.RecordBatch], chosen: list[int], telling: int) -> Iterator[pa.RecordBatch]:
-    """(place in ``chosen``, rank, n): the words of all texts in which a chosen
-    word stands; rank -1: the number of texts."""
-    sums, texts = np.zeros((len(chosen), telling)), np.zeros(len(chosen))
-    for batch in batches:
-        for seen in _profiles(*_unpack(batch.column("number")), telling):
-            has = (seen[:, chosen] > 0).astype(float)
-            sums += has.T @ seen
-            texts += has.sum(0)
-    kind, rank = np.nonzero(sums)
-    yield _sums(kind, rank, sums[kind, rank])
-    yield _sums(np.arange(len(chosen)), np.full(len(chosen), -1), texts)
-
-
-def _kind_share(seen: np.ndarray, log: np.ndarray, prior: np.ndarray) -> np.ndarray:
-    """texts x kinds: how likely each kind is for each text."""
-    fit = seen @ log.T + np.log(prior)
-    share = np.exp(fit - fit.max(1, keepdims=True))
-    return share / share.sum(1, keepdims=True)
-
-
-def _kind_counts(batches: Iterator[pa.RecordBatch], log: np.ndarray, prior: np.ndarray,
-                 width: int) -> Iterator[pa.RecordBatch]:
-    """(kind, rank, n): words of each kind; rank width: all others.  A row of
-    rank -1 has the number of texts."""
-    kinds, telling = log.shape
-    sums, texts = np.zeros((kinds, width + 1)), np.zeros(kinds)
-    for batch in batches:
-        number, sizes = _unpack(batch.column("number"))
-        shares = []
-        for seen in _profiles(number, sizes, telling):
-            share = _kind_share(seen, log, prior)
-            texts += share.sum(0)
-            if width > telling:
-                shares.append(share)
-            else:
-                sums[:, :telling] += share.T @ seen
-        if shares:
-            text, rank, share = np.repeat(np.arange(len(sizes)), sizes), np.minimum(number, width), np.concatenate(shares)
-            for k in range(kinds):
-                sums[k] += np.bincount(rank, share[text, k], width + 1)
-    kind, rank = np.nonzero(sums)
-    yield _sums(kind, rank, sums[kind, rank])
-    yield _sums(np.arange(kinds), np.full(kinds, -1), texts)
-
-
-def _fit(counts: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    plain = counts.sum(0) + 1e-3
-    rows = counts + 20 * plain / plain.sum()
-    return np.log(rows / rows.sum(1, keepdims=True)), (texts + 1) / (texts + 1).sum()
-
-
-def learn_kinds(ranked: DataFrame, prob: np.ndarray, *, kinds: int = KINDS, settled: float = 1e-3,
-                buckets: int = 128) -> Adaptive:
-    """Kinds of text by EM over the common words of all texts in ``ranked``.
-
-    A kind starts from all texts in which a certain word stands; the words are
-    chosen so that the company they keep differs most.  EM ends when a round
-    moves less than ``settled`` of all words to other kinds.  Every step reads
-    all texts whole, and only sums over them: how the table is split doesn't
-    matter."""
-    width = len(prob)
-    telling = min(TELLING, width)
-
-    def summed(task, rows: int, columns: int) -> tuple[np.ndarray, np.ndarray]:
-        got = (ranked.select("number").mapInArrow(task, "kind int, rank int, n double")
-               .groupBy("kind", "rank").agg(F.sum("n").alias("n")).toArrow())
-        kind, rank, n = (got[c].to_numpy() for c in ("kind", "rank", "n"))
-        counts, texts, at = np.zeros((rows, columns)), np.zeros(rows), rank >= 0
-        counts[kind[at], rank[at]] = n[at]
-        texts[kind[~at]] = n[~at]
-        return counts, texts
-
-    company = summed(lambda it: _company(it, telling, buckets), telling, buckets)[0]
-    mass = company.sum(1)
-    if not mass.any():
-        return Adaptive.smoothed(prob, np.zeros((1, width + 1)))
-    # Words in company far from each other: the start of one kind each.
-    root = np.sqrt(company / np.maximum(mass, 1)[:, None])
-    far, chosen = np.where(mass >= 20, np.inf, 0.0), [int(mass.argmax())]
-    while len(chosen) < kinds:
-        far = np.minimum(far, np.round(1 - root @ root[chosen[-1]], 9))
-        if far.max() <= 0:
-            break
-        chosen.append(int(far.argmax()))
-    counts, texts = summed(lambda it: _company_of(it, chosen, telling), len(chosen), telling)
-    log, prior = _fit(counts, texts)
-    before = None
-    while True:
-        now = (log, prior)
-        counts, texts = summed(lambda it: _kind_counts(it, *now, telling), len(log), telling + 1)
-        counts = counts[:, :telling]
-        log, prior = _fit(counts, texts)
-        if before is not None and np.abs(counts - before).sum() <= 2 * settled * counts.sum():
-            break
-        before = counts
-    last = (log, prior)
-    return Adaptive.smoothed(prob, summed(lambda it: _kind_counts(it, *last, width), len(log), width + 1)[0])
-
-
-def _adapt(batches: Iterator[pa.RecordBatch], shared, words: int = 100_000) -> Iterator[pa.RecordBatch]:
+def _score_texts(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
     model, known, base = shared.value
-    # One more for uncommon words, which are added up elsewhere.
+    # One more for rare words, which are added up elsewhere.
     known, base = np.append(known, 0), np.append(base, 0.0)
     for batch in batches:
-        number, sizes = _unpack(batch.column("number"))
-        ends = np.cumsum(sizes)
-        cols, lo = [[], [], []], 0
-        while lo < len(sizes):  # about so many words at a time, or one text
-            done = ends[lo - 1] if lo else 0
-            hi = max(lo + 1, int(np.searchsorted(ends, done + words, "right")))
-            part, n = number[done:ends[hi - 1]], sizes[lo:hi]
-            at, begin = np.minimum(part, len(known) - 1), np.cumsum(n) - n
+        if not batch.num_rows:
+            continue
+        cols = [[], [], []]
+        for number, sizes, _ in _runs([batch]):
+            at, begin = np.minimum(number, model.escape), np.cumsum(sizes) - sizes
             for c, v in zip(cols, (np.add.reduceat(known[at], begin), np.add.reduceat(base[at], begin),
-                                   model.log10(part, n)[0])):
+                                   model.log10(number, sizes)[0])):
                 c.append(v)
-            lo = hi
         names = ["row", "_id", "_out", "tokens", "bytes"]
         yield pa.RecordBatch.from_arrays(
             [*(batch.column(c) for c in names), *(pa.array(np.concatenate(c), t) for c, t in
@@ -613,35 +767,56 @@ def score_texts(docs: DataFrame, *, learn: Column, held_out: Column, id_col: str
                        col(text_col).alias("_text"))
     words = stored(rows.select("learn", "_text").mapInArrow(_count_words, "word binary, c long")
                    .groupBy("word").agg(F.sum("c").alias("c")), "words")[0]
-    n, v = words.agg(F.sum("c"), F.count_if(F.col("c") > 0)).first()
-    n, v = n or 0, v or 0
-    model = learn_mixer(words.filter("c > 0"), frequent)
-    shared = spark.sparkContext.broadcast((model.zero, model.one, model.weights, model.refine, model.starts))
-    scored = words.mapInArrow(lambda it: _score_words(it, shared), "word binary, c long, score double")
-    scored = stored(scored.select("word", "c", (F.col("c") > 0).cast("long").alias("known"),
-                                  F.log10((F.col("c") + 1) / F.lit(float(n + v + 1))).alias("base"), "score"),
-                    "word-scores")[0]
-    top = scored.orderBy(F.desc("c"), "word").limit(frequent).toArrow()
-    names = spark.sparkContext.broadcast(top["word"].to_pylist())
+    n, v, ends = words.agg(F.sum("c"), F.count_if(F.col("c") > 0), F.sum(F.when(F.col("word") == b"", F.col("c")))).first()
+    n, v, ends = n or 0, v or 0, ends or 0
+    top = words.where(F.col("c") >= LEAST_COUNT).where(F.col("word") != b"").orderBy(F.desc("c"), "word").limit(frequent).toArrow()
+    names, often = top["word"].to_pylist(), top["c"].to_numpy()
+    rare_count = n - ends - int(often.sum())
+    # Words that are rare: their counts, or their spelling if they are new.
+    is_top = F.col("c") > int(often[-1]) if len(names) == frequent else F.col("c") >= LEAST_COUNT
+    edge = [] if len(names) < frequent else [w for w, c in zip(names, often) if c == often[-1]]
+    rare_words = words.where((F.col("word") != b"") & ~is_top)
+    if edge:                             # words of the count that the limit cuts
+        rare_words = rare_words.join(F.broadcast(spark.createDataFrame([(bytearray(w),) for w in edge], "word binary")),
+                                     "word", "left_anti")
+    base = F.log10((F.col("c") + 1) / F.lit(float(n + v + 1)))
+    once = rare_words.agg(F.count_if(F.col("c") == 1)).first()[0]
+    # As many new words are to be expected as stand just once now.
+    new = (once + 1) / (rare_count + 2)
+    # New words are spelled like the words there are, each taken once: those that
+    # were met often say more of themselves than of new ones.
+    speller = learn_mixer(words.where("c > 0").select("word", F.lit(1).cast("long").alias("c"), F.col("c").alias("often")),
+                          frequent, "often")
+    shared = spark.sparkContext.broadcast((speller.zero, speller.one, speller.weights, speller.refine, speller.starts))
+    spelled = rare_words.where("c = 0").mapInArrow(lambda it: _score_words(it, shared), "word binary, c long, spelled double")
+    known = rare_words.where("c > 0").select(
+        "word", F.lit(1).cast("long").alias("known"), base.alias("b"),
+        F.log10(F.col("c") / F.lit(float(max(rare_count, 1))) * F.lit(1 - new)).alias("s"))
+    unknown = spelled.select("word", F.lit(0).cast("long").alias("known"), base.alias("b"),
+                             (F.col("spelled") + float(np.log10(new))).alias("s"))
+    names_shared = spark.sparkContext.broadcast(names)
     kind = rows.schema["_id"].dataType.simpleString()
     ranked = rows.mapInArrow(
-        lambda it: _ranked(it, names), f"_id {kind}, _out boolean, learn boolean, tokens long, bytes long, "
+        lambda it: _ranked(it, names_shared), f"_id {kind}, _out boolean, learn boolean, tokens long, bytes long, "
         "number binary, rare array<binary>, often array<long>")
     ranked = stored(ranked.withColumn("row", F.monotonically_increasing_id()), "documents")[0]
-    adaptive = learn_kinds(ranked.filter("learn"), 10.0 ** top["score"].to_numpy())
-    common = spark.sparkContext.broadcast((adaptive, top["known"].to_numpy(), top["base"].to_numpy()))
+    code = Code.of(np.concatenate([often, [ends, rare_count]]) + 1)
+    model = learn_text(ranked.where("learn"), code, n)
+    counts = np.concatenate([often, [ends]])
+    common = spark.sparkContext.broadcast((model, (counts > 0).astype(np.int64), np.log10((counts + 1) / float(n + v + 1))))
     part = ranked.select("row", "_id", "_out", "tokens", "bytes", "number").mapInArrow(
-        lambda it: _adapt(it, common),
+        lambda it: _score_texts(it, common),
         f"row long, _id {kind}, _out boolean, tokens long, bytes long, seen long, base double, mix double")
     rare = ranked.select("row", F.inline(F.arrays_zip("rare", "often"))).toDF("row", "word", "often")
-    s = scored.select("word", "known", F.col("base").alias("b"), F.col("score").alias("s"))
     # Frequent words are gone, so no word is a hot key of this join.
-    more = (rare.join(s, "word").groupBy("row")
+    more = (rare.join(known.unionByName(unknown), "word").groupBy("row")
             .agg(F.sum(F.col("known") * F.col("often")).alias("k"), F.sum(F.col("b") * F.col("often")).alias("b"),
-                 F.sum("s").alias("s")))  # only where a word first stands; see Adaptive
+                 F.sum("s").alias("s")))  # once a text: where the word first stands
     zero, score = F.lit(0), F.col("mix") + F.coalesce("s", F.lit(0.0))
     return (part.join(more, "row", "left").select(
         F.col("_id").alias(id_col), F.col("_out").alias("held_out"), F.col("tokens").alias("n_tokens"),
         (F.col("seen") + F.coalesce("k", zero)).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("b", F.lit(0.0))).alias("base_score"),
         score.alias("score"), (score * (-1 / np.log10(2)) / F.col("bytes")).alias("bits_per_byte")))
+
+

@@ -72,26 +72,6 @@ def test_contexts_do_not_depend_on_the_block():
         assert (M._contexts([w])[1] == all_[:, word == k]).all()
 
 
-def test_adaptive_stage_sums_to_one():
-    rng = np.random.default_rng(2)
-    prob = rng.random(6) / 10
-    model = M.Adaptive.smoothed(prob, rng.random((3, 7)) * 1e4)
-    head = np.array([0, 1, 1, 9, 2, 9, 0, 5])
-
-    def log10(x):
-        return model.log10(x, np.array([len(x)]))[0][0]
-
-    base = log10(head)
-    total = sum(10 ** (log10(np.append(head, w)) - base) for w in range(6))
-    total += 10 ** (log10(np.append(head, 9)) - base)           # seen before
-    total += model.other * 10 ** (log10(np.append(head, 77)) - base)  # all words not seen
-    assert total <= 1 + 1e-6 and total > 0.98
-    # Texts side by side don't touch each other.
-    both, first = model.log10(np.concatenate([head, head[:3], head]), np.array([8, 3, 8]))
-    assert both == pytest.approx([base, log10(head[:3]), base])
-    assert np.flatnonzero(first).tolist() == [3, 14]
-
-
 def test_empty_and_nothing_to_learn(make):
     docs = make([(1, "a b"), (2, None)])
     args = dict(learn=F.lit(False), held_out=F.lit(True))
