@@ -62,7 +62,7 @@ from pyspark.sql import functions as F
 from stellate.llm.common import col, ship, stored
 
 #: Contexts and the bits of their slot numbers; the last is the word's start.
-CONTEXTS, BITS = 6, (12, 16, 20, 20, 20, 22)
+CONTEXTS, BITS = 6, (12, 16, 20, 20, 20, 20)
 #: Sets of weights of a bit, and buckets of the adaptive map.
 SETS, BUCKETS = 8 * 3, 24
 #: Most frequent words: leaves of the code tree; their starts are contexts of spellings.
@@ -145,21 +145,39 @@ def _bit(data: np.ndarray, ctx: np.ndarray, known: np.ndarray, b: int) -> tuple[
     return node, bit, slots
 
 
-def _level(n: np.ndarray, steps: tuple[int, ...]) -> np.ndarray:
-    out = np.zeros(n.shape, np.uint8)
-    for s in steps:
-        out += n >= s
-    return out
+# A slot's two counts are scaled to a byte each and held as one number, zeros
+# below ones.  What follows from them is looked up: as they are, and, for
+# learning, without the occurrence of a 0 or a 1 at hand (65,536 entries each;
+# scaled counts are too large for one occurrence to matter).
+
+def _both_ways() -> tuple[np.ndarray, np.ndarray]:
+    n0, n1 = np.arange(65536) & 255, np.arange(65536) >> 8
+    out0, out1 = n0 - ((n0 > 0) & (n0 < 128)), n1 - ((n1 > 0) & (n1 < 128))
+    return np.concatenate([n0, out0, n0]), np.concatenate([n1, n1, out1])
+
+
+_N0, _N1 = _both_ways()
+_ODDS = (np.log(_N1 + 0.4) - np.log(_N0 + 0.4)).astype(np.float32)
+
+
+def _steps(steps: tuple[int, ...], times: int = 1) -> np.ndarray:
+    """How many of the steps the two counts reach together, by pair."""
+    return (np.searchsorted(np.array(steps), _N0 + _N1, "right") * times).astype(np.uint8)
+
+
+_START_LEVEL, _THREE_LEVEL = _steps((1, 2, 4, 8, 16, 64, 192), 3), _steps((1, 16))
 
 
 def _gate(start: np.ndarray, three: np.ndarray) -> np.ndarray:
     """Set of weights: how often the word's start and the last three bytes
-    were seen."""
-    return _level(start, (1, 4, 16, 64, 256, 1024, 4096)) * 3 + _level(three, (1, 16))
+    were seen (pairs)."""
+    return _START_LEVEL.take(start) + _THREE_LEVEL.take(three)
 
 
-#: Log odds of two counts are the difference of two of these.
-_LOG = np.log(np.arange(65536) + 0.4).astype(np.float32)
+def _byte_pairs(zero: np.ndarray, one: np.ndarray) -> np.ndarray:
+    """Pairs of counts, scaled where they exceed a byte."""
+    by = np.maximum(1.0, np.maximum(zero, one) / 255.0)
+    return np.round(zero / by).astype(np.uint16) | np.round(one / by).astype(np.uint16) << np.uint16(8)
 
 
 def _refine_at(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -173,18 +191,13 @@ def _refine_at(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Mixer:
-    """Counts of slots (scaled to 16 bits), weights of gates, adaptive map."""
+    """Pairs of counts of the slots, weights of gates, adaptive map."""
 
-    zero: np.ndarray
-    one: np.ndarray
+    pairs: np.ndarray
     weights: np.ndarray  # bits x sets x contexts
     refine: np.ndarray   # nodes x buckets: probabilities
     starts: np.ndarray   # hashes of the known starts of words
 
-    def __post_init__(self):
-        self.n = self.zero.astype(np.int32) + self.one
-        self.odds = _LOG[self.one] - _LOG[self.zero]
-
     def log10(self, words: list[bytes]) -> np.ndarray:
         """log10 of each word's probability, the blank behind it included."""
         out = np.zeros(len(words))
@@ -193,14 +206,15 @@ class Mixer:
             total = np.zeros(len(data))
             for b in range(8):
                 node, bit, slots = _bit(data, ctx, known, b)
-                gate = _gate(self.n[slots[5]], self.n[slots[3]])
-                x = np.einsum("kn,nk->n", self.odds[slots], self.weights[b, gate])
-                p = self._refined(x, node)
+                p = self.next(b, node, slots)
                 total += np.log10(np.where(bit == 1, p, 1 - p))
             out[lo:hi] = np.bincount(word, total, hi - lo)
         return out
 
-    def _refined(self, x: np.ndarray, node: np.ndarray) -> np.ndarray:
+    def next(self, b: int, node: np.ndarray, slots: np.ndarray) -> np.ndarray:
+        """Probability that bit b is 1."""
+        pair = self.pairs.take(slots)
+        x = np.einsum("kn,nk->n", _ODDS.take(pair), self.weights[b].take(_gate(pair[5], pair[3]), axis=0))
         low, up = _refine_at(x)
         fine = self.refine[node, low] * (1 - up) + self.refine[node, low + 1] * up
         return np.clip((1 / (1 + np.exp(-x)) + fine) / 2, 1e-7, 1 - 1e-7)
@@ -246,8 +260,7 @@ def _start() -> np.ndarray:
 def _learn(batches: Iterator[pa.RecordBatch], shared, ridge: float = 30.0) -> Iterator[pa.RecordBatch]:
     """One online pass over this task's words: after each block the weights of
     each gate take a Newton step, with the curvature of all blocks so far."""
-    zero, one, starts = shared.value
-    both = zero.astype(np.uint32) << _U(16) | one
+    pairs, starts = shared.value
     weights, mass = _start(), np.zeros((8, SETS))
     curve = np.tile(ridge * np.eye(CONTEXTS), (8, SETS, 1, 1))
     hits, seen = np.zeros(256 * BUCKETS), np.zeros(256 * BUCKETS)
@@ -255,34 +268,31 @@ def _learn(batches: Iterator[pa.RecordBatch], shared, ridge: float = 30.0) -> It
         words, times = batch.column("word").to_pylist(), batch.column("c").to_numpy()
         for lo, hi in _blocks(words):
             data, ctx, word, known = spell(words[lo:hi], starts)
-            c = times[lo:hi][word].astype(float)
+            c = times[lo:hi][word].astype(np.float32)
             for b in range(8):
                 node, bit, slots = _bit(data, ctx, known, b)
-                pair = both[slots]
-                n0, n1 = pair >> _U(16), pair & _U(0xFFFF)
-                # Without the occurrence at hand; scaled counts are too large to matter.
-                n1 -= (bit == 1) & (n1 > 0) & (n1 < 32768)
-                n0 -= (bit == 0) & (n0 > 0) & (n0 < 32768)
-                gate = _gate(n0[5] + n1[5], n0[3] + n1[3])
-                s = _LOG[n1] - _LOG[n0]
-                x = np.clip(np.einsum("kn,nk->n", s, weights[b, gate]), -12, 12)
-                p = 1 / (1 + np.exp(-x))
-                low, up = _refine_at(x)
-                for at, part in ((node * BUCKETS + low, 1 - up), (node * BUCKETS + low + 1, up)):
-                    part = c * part
-                    seen += np.bincount(at, part, 256 * BUCKETS)
-                    hits += np.bincount(at, part * bit, 256 * BUCKETS)
+                pair = pairs.take(slots) + ((bit + _U(1)) << _U(16))  # without the occurrence at hand
+                gate = _gate(pair[5], pair[3])
                 # The symbols of each gate side by side.
                 order = np.argsort(gate, kind="stable")
-                s, c_, p, hit = s[:, order].astype(float), c[order], p[order], bit[order]
-                err, bend = c_ * (hit - p), c_ * p * (1 - p)
+                s, c_, hit = _ODDS.take(pair[:, order]), c[order], bit[order].astype(np.float32)
+                node, x = node[order], np.empty(len(order), np.float32)
                 ends = np.cumsum(np.bincount(gate, minlength=SETS))
-                for g in np.flatnonzero(np.diff(ends, prepend=0)).tolist():
-                    at = slice(ends[g - 1] if g else 0, ends[g])
+                spans = [(g, slice(ends[g - 1] if g else 0, ends[g]))
+                         for g in np.flatnonzero(np.diff(ends, prepend=0)).tolist()]
+                for g, at in spans:
+                    x[at] = weights[b, g] @ s[:, at]
+                x = np.clip(x, -12, 12)
+                p = 1 / (1 + np.exp(-x))
+                at = node * BUCKETS + np.round((x + 12) * ((BUCKETS - 1) / 24)).astype(np.int32)
+                seen += np.bincount(at, c_, 256 * BUCKETS)
+                hits += np.bincount(at, c_ * hit, 256 * BUCKETS)
+                err, bend = c_ * (hit - p), c_ * p * (1 - p)
+                for g, at in spans:
                     t = s[:, at]
                     curve[b, g] += (t * bend[at]) @ t.T
-                    weights[b, g] += np.linalg.solve(curve[b, g], t @ err[at])
-                    mass[b, g] += c_[at].sum()
+                    weights[b, g] += np.linalg.solve(curve[b, g], (t @ err[at]).astype(float))
+                    mass[b, g] += c_[at].sum(dtype=float)
     names = ["kind", "at", "a", "b"]
     yield pa.RecordBatch.from_arrays(
         [pa.array(np.zeros(weights.size, np.int32)), pa.array(np.arange(weights.size, dtype=np.int32)),
@@ -292,9 +302,10 @@ def _learn(batches: Iterator[pa.RecordBatch], shared, ridge: float = 30.0) -> It
          pa.array(hits), pa.array(seen)], names)
 
 
-def learn_mixer(words: DataFrame, frequent: int = FREQUENT, by: str = "c") -> Mixer:
+def learn_mixer(words: DataFrame, frequent: int = FREQUENT, by: str = "c"):
     """Learn from a table (word binary, c long) of distinct words, each c times.
-    The starts of the ``frequent`` ones with the highest ``by`` become contexts."""
+    The starts of the ``frequent`` ones with the highest ``by`` become contexts.
+    Returns the model and a broadcast of its (pairs, starts)."""
     spark = words.sparkSession
     ship(spark)
     top = words.orderBy(F.desc(by), "word").limit(frequent).select("word").toArrow()["word"].to_pylist()
@@ -302,20 +313,21 @@ def learn_mixer(words: DataFrame, frequent: int = FREQUENT, by: str = "c") -> Mi
     shared_starts = spark.sparkContext.broadcast(starts)
     sums = (words.mapInArrow(lambda it: _count_slots(it, shared_starts), "slot int, zero long, one long")
             .groupBy("slot").agg(F.sum("zero").alias("zero"), F.sum("one").alias("one")))
-    # Scaled to 16 bits where they exceed them: four bytes a slot go on.
-    by = F.greatest(F.lit(1.0), F.greatest("zero", "one") / 65535.0)
-    got = sums.select("slot", *[F.round(F.col(c) / by).cast("int").alias(c) for c in ("zero", "one")]).toArrow()
-    zero, one = np.zeros(SLOTS, np.uint16), np.zeros(SLOTS, np.uint16)
-    slot = got["slot"].to_numpy()
-    zero[slot], one[slot] = got["zero"].to_numpy(), got["one"].to_numpy()
-    del got, slot
-    shared = spark.sparkContext.broadcast((zero, one, starts))
+    # Scaled to a byte where they exceed it.
+    by_255 = F.greatest(F.lit(1.0), F.greatest("zero", "one") / 255.0)
+    got = sums.select("slot", *[F.round(F.col(c) / by_255).cast("int").alias(c) for c in ("zero", "one")]).toArrow()
+    pairs = np.zeros(SLOTS, np.uint16)
+    pairs[got["slot"].to_numpy()] = got["zero"].to_numpy().astype(np.uint16) | \
+        got["one"].to_numpy().astype(np.uint16) << np.uint16(8)
+    del got
+    shared_starts.destroy()
+    shared = spark.sparkContext.broadcast((pairs, starts))
     rows = (words.mapInArrow(lambda it: _learn(it, shared), "kind int, at int, a double, b double")
             .groupBy("kind", "at").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).toArrow())
-    return assemble(zero, one, starts, *(rows[c].to_numpy() for c in ("kind", "at", "a", "b")))
+    return assemble(pairs, starts, *(rows[c].to_numpy() for c in ("kind", "at", "a", "b"))), shared
 
 
-def assemble(zero: np.ndarray, one: np.ndarray, starts: np.ndarray, kind: np.ndarray, at: np.ndarray, a: np.ndarray,
+def assemble(pairs: np.ndarray, starts: np.ndarray, kind: np.ndarray, at: np.ndarray, a: np.ndarray,
              b: np.ndarray) -> Mixer:
     """The model from its counts and the sums over the tasks' passes."""
     weights, w = _start(), (kind == 0) & (b > 0)
@@ -326,7 +338,7 @@ def assemble(zero: np.ndarray, one: np.ndarray, starts: np.ndarray, kind: np.nda
     r = kind == 1
     hits[at[r]] += a[r]
     seen[at[r]] += b[r]
-    return Mixer(zero, one, weights, (hits / seen).reshape(256, BUCKETS), starts)
+    return Mixer(pairs, weights.astype(np.float32), (hits / seen).reshape(256, BUCKETS), starts)
 
 
 # ---- documents ------------------------------------------------------------
@@ -351,8 +363,9 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(counts, pa.int64())], ["word", "c"])
 
 
-def _score_words(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
-    model = Mixer(*shared.value)
+def _score_words(batches: Iterator[pa.RecordBatch], shared, weights, refine) -> Iterator[pa.RecordBatch]:
+    pairs, starts = shared.value
+    model = Mixer(pairs, weights, refine, starts)
     for batch in batches:
         words = batch.column("word").to_pylist()
         yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("c"), pa.array(model.log10(words))],
@@ -424,22 +437,18 @@ def _befores(number: np.ndarray, place: np.ndarray) -> np.ndarray:
                      _mixed(_mixed(one * _U(0xC2B2AE35) + _U(3)) + two * _U(0x27D4EB2F))])
 
 
-def _text_slots(before: np.ndarray, word: np.ndarray, node: np.ndarray, nodes: int, bits: int) -> np.ndarray:
-    """Slots of all bits in their four contexts."""
-    slots = np.empty((TEXT_CONTEXTS, len(node)), np.int32)
-    slots[0] = node
-    salt = node.astype(_U) * _U(0x9E3779B1)
-    shift = _U(32 - bits)
-    for k in range(3):
-        hashed = ((before[k][word] ^ salt) * _U(0x2C1B3C6D)) >> shift
-        slots[k + 1] = hashed.astype(np.int32) + (nodes + (k << bits))
-    return slots
+def _text_slot(before: np.ndarray, salt: np.ndarray, shift: np.uint32, first: int) -> np.ndarray:
+    """Slots of all bits in one context."""
+    return (((before ^ salt) * _U(0x2C1B3C6D)) >> shift).astype(np.int32) + np.int32(first)
+
+
+#: Set of weights, by pairs: how often the word before, both, and the one before
+#: that were seen here.
+_ONE_LEVEL, _BOTH_LEVEL, _TWO_LEVEL = _steps((1, 4, 16, 64, 192), 20), _steps((1, 2, 8, 64), 4), _steps((1, 16, 192))
 
 
-def _text_gate(one: np.ndarray, two: np.ndarray, both: np.ndarray) -> np.ndarray:
-    """Set of weights: how often the word before, the one before that, and both
-    were seen here."""
-    return (_level(one, (1, 4, 32, 256, 4096)) * 5 + _level(both, (1, 2, 8, 64))) * 4 + _level(two, (1, 16, 512))
+def _text_gate(pair: np.ndarray) -> np.ndarray:
+    return _ONE_LEVEL.take(pair[1]) + _BOTH_LEVEL.take(pair[3]) + _TWO_LEVEL.take(pair[2])
 
 
 def _text_start() -> np.ndarray:
@@ -456,15 +465,14 @@ def _text_start() -> np.ndarray:
 
 @dataclass
 class TextModel:
-    """Counts of the slots of text contexts (16 bits), weights and the adaptive
-    map of the gates, the code, and the words' place in it."""
+    """Pairs of counts of the slots of text contexts, weights and the adaptive
+    map of the gates, and the code."""
 
     code: Code
     bits: int
-    zero: np.ndarray
-    one: np.ndarray
-    weights: np.ndarray  # sets x contexts
-    refine: np.ndarray   # sets x buckets
+    pairs: np.ndarray | None = None
+    weights: np.ndarray | None = None  # sets x contexts
+    refine: np.ndarray | None = None   # sets x buckets
 
     @property
     def end(self) -> int:
@@ -474,24 +482,33 @@ class TextModel:
     def escape(self) -> int:
         return len(self.code.size) - 1
 
-    def parts(self, number: np.ndarray, place: np.ndarray):
-        """(word, bit, slots) of all bits of the words of texts."""
-        word, node, bit = self.code.spread(np.minimum(number, self.escape))
-        return word, bit, _text_slots(_befores(number, place), word, node, len(self.code.size), self.bits)
+    @property
+    def slots(self) -> int:
+        return len(self.code.size) + (3 << self.bits)
+
+    def parts(self, number: np.ndarray, place: np.ndarray, skip: int = 0):
+        """(word, bit, slots of all contexts) of all bits of the words of texts
+        but the first ``skip``, which are only contexts."""
+        word, node, bit = self.code.spread(np.minimum(number[skip:], self.escape))
+        before = _befores(number, place)[:, skip:]
+        salt, shift, nodes = node.astype(_U) * _U(0x9E3779B1), _U(32 - self.bits), len(self.code.size)
+        slots = [node, *(_text_slot(before[k].take(word), salt, shift, nodes + (k << self.bits)) for k in range(3))]
+        return word, bit, slots
 
     def coded(self, number: np.ndarray, place: np.ndarray) -> np.ndarray:
         """log of the probability of each word's path in the code tree."""
-        word, bit, slots = self.parts(number, place)
-        n0, n1 = self.zero[slots], self.one[slots]
-        n = n0[1:].astype(np.int32) + n1[1:]
-        gate = _text_gate(n[0], n[1], n[2])
-        odds = _LOG[n1] - _LOG[n0]
-        weights = self.weights[gate]
-        x = odds[0] * weights[:, 0]
-        for k in range(1, TEXT_CONTEXTS):
-            x += odds[k] * weights[:, k]
-        p = _text_refined(self.refine, x, gate)
-        return np.bincount(word, np.log(np.where(bit == 1, p, 1 - p)), len(number))
+        found = []
+        for part, at, back in _cut(number, place):
+            word, bit, slots = self.parts(part, at, back)
+            pair = np.stack([self.pairs.take(s) for s in slots])
+            gate = _text_gate(pair)
+            weights = self.weights.take(gate, axis=0)
+            x = _ODDS.take(pair[0]) * weights[:, 0]
+            for k in range(1, TEXT_CONTEXTS):
+                x += _ODDS.take(pair[k]) * weights[:, k]
+            p = _text_refined(self.refine, x, gate)
+            found.append(np.bincount(word, np.log(np.where(bit == 1, p, 1 - p)), len(part) - back))
+        return np.concatenate(found)
 
     def log10(self, number: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """log10 of the probability of texts but for the rare words that stand
@@ -522,12 +539,14 @@ class TextModel:
 
 
 def _text_refined(refine: np.ndarray, x: np.ndarray, gate: np.ndarray) -> np.ndarray:
-    y = np.clip(x + 12, 0, 23.999) * ((BUCKETS - 1) / 24)
+    y = np.clip(x + np.float32(12), 0, np.float32(23.999)) * np.float32((BUCKETS - 1) / 24)
     low = y.astype(np.int32)
-    up, at = y - low, gate.astype(np.int32) * BUCKETS + low
+    y -= low
+    low += gate.astype(np.int32) * np.int32(BUCKETS)
     flat = refine.reshape(-1)
-    fine = flat[at] * (1 - up) + flat[at + 1] * up
-    return np.clip((1 / (1 + np.exp(-x)) + fine) / 2, 1e-7, 1 - 1e-7)
+    fine = flat.take(low)
+    fine += (flat.take(low + 1) - fine) * y
+    return np.clip((1 / (1 + np.exp(-x)) + fine) * np.float32(0.5), np.float32(1e-6), np.float32(1 - 1e-6))
 
 
 def _earlier(text: np.ndarray, key: np.ndarray) -> np.ndarray:
@@ -570,76 +589,61 @@ def _cut(number: np.ndarray, place: np.ndarray, words: int = 1 << 15):
 
 def _count_text(batches: Iterator[pa.RecordBatch], shared, bits: int) -> Iterator[pa.RecordBatch]:
     """(piece, counts): compressed pieces of the slots' counts."""
-    model = TextModel(shared.value, bits, *[None] * 4)
-    size = -(-(len(model.code.size) + (3 << bits)) // PIECE) * PIECE
-    counts = np.zeros(2 * size, np.uint32)
+    model = TextModel(shared.value, bits)
+    counts = np.zeros(2 * -(-model.slots // PIECE) * PIECE, np.uint32)
     one = np.uint32(1)
     for number, _, place in _runs(batches):
         for part, at, back in _cut(number, place):
-            word, bit, slots = model.parts(part, at)
-            new = word >= back
-            for k in range(TEXT_CONTEXTS):
-                np.add.at(counts, 2 * slots[k][new] + bit[new], one)
-    for lo in range(0, size, PIECE):
-        piece = counts[2 * lo:2 * (lo + PIECE)]
+            _, bit, slots = model.parts(part, at, back)
+            for s in slots:
+                np.add.at(counts, 2 * s + bit, one)
+    for lo in range(0, len(counts), 2 * PIECE):
+        piece = counts[lo:lo + 2 * PIECE]
         if piece.any():
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lo // PIECE], pa.int32()), pa.array([pa.compress(piece, "zstd", asbytes=True)], pa.binary())],
-                ["piece", "counts"])
+                [pa.array([lo // (2 * PIECE)], pa.int32()),
+                 pa.array([pa.compress(piece, "zstd", asbytes=True)], pa.binary())], ["piece", "counts"])
 
 
 def _add_pieces(table: pa.Table) -> pa.Table:
     total = np.zeros(2 * PIECE, np.int64)
     for blob in table.column("counts"):
-        raw = np.frombuffer(pa.decompress(blob.as_py(), 8 * PIECE, "zstd", asbytes=True), np.uint32)
-        total += raw
+        total += np.frombuffer(pa.decompress(blob.as_py(), 8 * PIECE, "zstd", asbytes=True), np.uint32)
+    pairs = _byte_pairs(total[0::2], total[1::2])
     return pa.table({"piece": table.column("piece").slice(0, 1),
-                     "counts": pa.array([pa.compress(_scaled(total), "zstd", asbytes=True)], pa.binary())})
-
-
-def _scaled(total: np.ndarray) -> np.ndarray:
-    """Counts scaled to 16 bits where they exceed them."""
-    pairs = total.reshape(-1, 2)
-    by = np.maximum(1.0, pairs.max(1) / 65535.0)[:, None]
-    return np.round(pairs / by).astype(np.uint16).reshape(-1)
+                     "counts": pa.array([pa.compress(pairs, "zstd", asbytes=True)], pa.binary())})
 
 
 def _learn_text(batches: Iterator[pa.RecordBatch], shared, ridge: float = 30.0) -> Iterator[pa.RecordBatch]:
     """One online pass over this task's words, as ``_learn``."""
-    code, bits, zero, one = shared.value
-    model = TextModel(code, bits, zero, one, None, None)
+    code, bits, pairs = shared.value
+    model = TextModel(code, bits)
     weights, mass = _text_start(), np.zeros(TEXT_SETS)
     curve = np.tile(ridge * np.eye(TEXT_CONTEXTS), (TEXT_SETS, 1, 1))
     hits, seen = np.zeros(TEXT_SETS * BUCKETS), np.zeros(TEXT_SETS * BUCKETS)
     for number, _, place in _runs(batches):
         for part, at, back in _cut(number, place):
-            word, bit, slots = model.parts(part, at)
-            new = word >= back
-            bit, slots = bit[new], slots[:, new]
-            n0, n1 = zero[slots].astype(np.int32), one[slots].astype(np.int32)
-            # Without the occurrence at hand; scaled counts are too large to matter.
-            n1 -= (bit == 1) & (n1 > 0) & (n1 < 32768)
-            n0 -= (bit == 0) & (n0 > 0) & (n0 < 32768)
-            n = n0[1:] + n1[1:]
-            gate = _text_gate(n[0], n[1], n[2])
+            _, bit, slots = model.parts(part, at, back)
+            left_out = (bit.astype(np.int32) + 1) << 16     # without the occurrence at hand
+            pair = np.stack([pairs.take(s) + left_out for s in slots])
+            gate = _text_gate(pair)
             order = np.argsort(gate, kind="stable")
             gate, bit = gate[order], bit[order].astype(np.float32)
-            s = (_LOG[n1] - _LOG[n0])[:, order]
-            x = np.clip(np.einsum("kn,nk->n", s, weights[gate]), -12, 12)
-            p = 1 / (1 + np.exp(-x))
-            y = (x + 12) * ((BUCKETS - 1) / 24)
-            low = np.minimum(y.astype(np.int32), BUCKETS - 2)
-            up, spot = y - low, gate.astype(np.int32) * BUCKETS + low
-            for where, share in ((spot, 1 - up), (spot + 1, up)):
-                seen += np.bincount(where, share, len(seen))
-                hits += np.bincount(where, share * bit, len(seen))
-            err, bend = bit - p, (p * (1 - p)).astype(np.float32)
+            s, x = _ODDS.take(pair[:, order]), np.empty(len(order), np.float32)
             ends = np.cumsum(np.bincount(gate, minlength=TEXT_SETS))
-            for g in np.flatnonzero(np.diff(ends, prepend=0)).tolist():
-                span = slice(ends[g - 1] if g else 0, ends[g])
+            spans = [(g, slice(ends[g - 1] if g else 0, ends[g])) for g in np.flatnonzero(np.diff(ends, prepend=0)).tolist()]
+            for g, span in spans:
+                x[span] = weights[g].astype(np.float32) @ s[:, span]
+            x = np.clip(x, -12, 12)
+            p = 1 / (1 + np.exp(-x))
+            spot = gate * np.int32(BUCKETS) + np.round((x + np.float32(12)) * np.float32((BUCKETS - 1) / 24)).astype(np.int32)
+            seen += np.bincount(spot, minlength=len(seen))
+            hits += np.bincount(spot, bit, len(seen))
+            err, bend = bit - p, p * (1 - p)
+            for g, span in spans:
                 t = s[:, span]
                 curve[g] += (t * bend[span]) @ t.T
-                weights[g] += np.linalg.solve(curve[g], t @ err[span])
+                weights[g] += np.linalg.solve(curve[g], (t @ err[span]).astype(float))
                 mass[g] += span.stop - span.start
     names = ["kind", "at", "a", "b"]
     yield pa.RecordBatch.from_arrays(
@@ -655,31 +659,32 @@ def text_bits(words: int) -> int:
     return int(min(max(int(words).bit_length() + 2, LEAST_BITS), MOST_BITS))
 
 
-def learn_text(ranked: DataFrame, code: Code, words: int) -> TextModel:
+def learn_text(ranked: DataFrame, code: Code, words: int):
     """Learn the text contexts from the table ``ranked`` (number binary) of
-    training texts with ``words`` words."""
+    training texts with ``words`` words.  Returns the model and a broadcast of
+    its (code, bits, pairs)."""
     spark = ranked.sparkSession
     ship(spark)
     bits = text_bits(words)
-    size = len(code.size) + (3 << bits)
     texts, shared_code = ranked.select("number"), spark.sparkContext.broadcast(code)
     # A counting task sends its whole table: as few tasks as keep all cores at work.
     cores = spark.sparkContext.defaultParallelism
     tasks = max(1, min(4 * cores, max(words // TASK_WORDS, min(cores, words // (TASK_WORDS // 16)))))
     counts = (texts.coalesce(tasks).mapInArrow(lambda it: _count_text(it, shared_code, bits), "piece int, counts binary")
               .groupBy("piece").applyInArrow(lambda t: _add_pieces(t), "piece int, counts binary").toArrow())
-    both = np.zeros(2 * (-(-size // PIECE) * PIECE), np.uint16)
+    slots = TextModel(code, bits).slots
+    pairs = np.zeros(-(-slots // PIECE) * PIECE, np.uint16)
     for piece, blob in zip(counts.column("piece").to_pylist(), counts.column("counts").to_pylist()):
-        both[2 * piece * PIECE:2 * (piece + 1) * PIECE] = np.frombuffer(
-            pa.decompress(blob, 4 * PIECE, "zstd", asbytes=True), np.uint16)
-    zero, one = np.ascontiguousarray(both[0:2 * size:2]), np.ascontiguousarray(both[1:2 * size:2])
-    shared = spark.sparkContext.broadcast((code, bits, zero, one))
+        pairs[piece * PIECE:(piece + 1) * PIECE] = np.frombuffer(
+            pa.decompress(blob, 2 * PIECE, "zstd", asbytes=True), np.uint16)
+    shared_code.destroy()
+    shared = spark.sparkContext.broadcast((code, bits, pairs[:slots].copy()))
     rows = (texts.mapInArrow(lambda it: _learn_text(it, shared), "kind int, at int, a double, b double")
             .groupBy("kind", "at").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).toArrow())
-    return assemble_text(code, bits, zero, one, *(rows[c].to_numpy() for c in ("kind", "at", "a", "b")))
+    return assemble_text(code, bits, pairs[:slots], *(rows[c].to_numpy() for c in ("kind", "at", "a", "b"))), shared
 
 
-def assemble_text(code: Code, bits: int, zero: np.ndarray, one: np.ndarray, kind: np.ndarray, at: np.ndarray,
+def assemble_text(code: Code, bits: int, pairs: np.ndarray, kind: np.ndarray, at: np.ndarray,
                   a: np.ndarray, b: np.ndarray) -> TextModel:
     weights, w = _text_start(), (kind == 0) & (b > 0)
     weights.reshape(-1)[at[w]] = a[w] / b[w]
@@ -688,7 +693,8 @@ def assemble_text(code: Code, bits: int, zero: np.ndarray, one: np.ndarray, kind
     r = kind == 1
     hits[at[r]] += a[r]
     seen[at[r]] += b[r]
-    return TextModel(code, bits, zero, one, weights.astype(np.float32), (hits / seen).reshape(TEXT_SETS, BUCKETS))
+    return TextModel(code, bits, pairs, weights.astype(np.float32),
+                     (hits / seen).astype(np.float32).reshape(TEXT_SETS, BUCKETS))
 
 
 class _Ranks(dict):
@@ -732,8 +738,10 @@ def _ranked(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatc
             ["_id", "_out", "learn", "tokens", "bytes", "number", "rare", "often"])
 
 
-def _score_texts(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
-    model, known, base = shared.value
+def _score_texts(batches: Iterator[pa.RecordBatch], shared, weights, refine, counts, base) -> Iterator[pa.RecordBatch]:
+    model = TextModel(*shared.value, weights, refine)
+    counts, base = counts.value, base.value
+    known = (counts > 0).astype(np.int64)
     # One more for rare words, which are added up elsewhere.
     known, base = np.append(known, 0), np.append(base, 0.0)
     for batch in batches:
@@ -785,10 +793,10 @@ def score_texts(docs: DataFrame, *, learn: Column, held_out: Column, id_col: str
     new = (once + 1) / (rare_count + 2)
     # New words are spelled like the words there are, each taken once: those that
     # were met often say more of themselves than of new ones.
-    speller = learn_mixer(words.where("c > 0").select("word", F.lit(1).cast("long").alias("c"), F.col("c").alias("often")),
+    speller, shared = learn_mixer(words.where("c > 0").select("word", F.lit(1).cast("long").alias("c"), F.col("c").alias("often")),
                           frequent, "often")
-    shared = spark.sparkContext.broadcast((speller.zero, speller.one, speller.weights, speller.refine, speller.starts))
-    spelled = rare_words.where("c = 0").mapInArrow(lambda it: _score_words(it, shared), "word binary, c long, spelled double")
+    weights, refine = speller.weights, speller.refine
+    spelled = rare_words.where("c = 0").mapInArrow(lambda it: _score_words(it, shared, weights, refine), "word binary, c long, spelled double")
     known = rare_words.where("c > 0").select(
         "word", F.lit(1).cast("long").alias("known"), base.alias("b"),
         F.log10(F.col("c") / F.lit(float(max(rare_count, 1))) * F.lit(1 - new)).alias("s"))
@@ -801,11 +809,12 @@ def score_texts(docs: DataFrame, *, learn: Column, held_out: Column, id_col: str
         "number binary, rare array<binary>, often array<long>")
     ranked = stored(ranked.withColumn("row", F.monotonically_increasing_id()), "documents")[0]
     code = Code.of(np.concatenate([often, [ends, rare_count]]) + 1)
-    model = learn_text(ranked.where("learn"), code, n)
+    model, pairs = learn_text(ranked.where("learn"), code, n)
     counts = np.concatenate([often, [ends]])
-    common = spark.sparkContext.broadcast((model, (counts > 0).astype(np.int64), np.log10((counts + 1) / float(n + v + 1))))
+    tops = [spark.sparkContext.broadcast(x) for x in (counts, np.log10((counts + 1) / float(n + v + 1)))]
+    mixing, refining = model.weights, model.refine
     part = ranked.select("row", "_id", "_out", "tokens", "bytes", "number").mapInArrow(
-        lambda it: _score_texts(it, common),
+        lambda it: _score_texts(it, pairs, mixing, refining, *tops),
         f"row long, _id {kind}, _out boolean, tokens long, bytes long, seen long, base double, mix double")
     rare = ranked.select("row", F.inline(F.arrays_zip("rare", "often"))).toDF("row", "word", "often")
     # Frequent words are gone, so no word is a hot key of this join.

@@ -51,15 +51,15 @@ def test_words_have_a_probability():
     """All one-byte words, longer ones by their first byte, and the end: the
     model's first symbol sums to 1 over its 256 values."""
     rng = np.random.default_rng(1)
-    zero, one = (rng.integers(0, 50, M.SLOTS).astype(np.uint16) for _ in range(2))
+    pairs = M._byte_pairs(rng.integers(0, 50, M.SLOTS), rng.integers(0, 50, M.SLOTS))
     starts = M.starts_of([b"a", b"ab"])
-    model = M.assemble(zero, one, starts, *(np.zeros(0, t) for t in (int, int, float, float)))
+    model = M.assemble(pairs, starts, *(np.zeros(0, t) for t in (int, int, float, float)))
     data, ctx, _, known = M.spell([bytes([b]) + b"q" for b in range(256) if b != 32], starts)
     first = np.flatnonzero(np.arange(len(data)) % 3 == 0)
     total = np.zeros(len(data))
     for b in range(8):
         node, bit, slots = M._bit(data, ctx, known, b)
-        p = model._refined(np.einsum("kn,nk->n", model.odds[slots], model.weights[b, M._gate(model.n[slots[5]], model.n[slots[3]])]), node)
+        p = model.next(b, node, slots)
         total += np.log(np.where(bit == 1, p, 1 - p))
     end = 10 ** model.log10([b""])[0]
     assert np.exp(total[first]).sum() + end == pytest.approx(1, abs=1e-6)

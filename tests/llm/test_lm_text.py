@@ -16,8 +16,8 @@ def model(seed=0, words=9, bits=12):
     rng = np.random.default_rng(seed)
     code = M.Code.of(rng.integers(1, 500, words + 2))
     size = len(code.size) + (3 << bits)
-    zero, one = (rng.integers(0, 40, size).astype(np.uint16) for _ in range(2))
-    return M.assemble_text(code, bits, zero, one, *(np.zeros(0, t) for t in (int, int, float, float)))
+    pairs = M._byte_pairs(rng.integers(0, 40, size), rng.integers(0, 40, size))
+    return M.assemble_text(code, bits, pairs, *(np.zeros(0, t) for t in (int, int, float, float)))
 
 
 def test_code_is_a_full_prefix_code():
@@ -72,13 +72,12 @@ def test_counts_do_not_depend_on_the_split(spark):
     for t in texts:
         for i in range(len(t)):
             lo = max(0, i - 2)
-            at = M.TextModel(code, bits, None, None, None, None).parts(t[lo:i + 1], np.arange(lo, i + 1))
-            new = at[0] == i - lo
-            for k in range(M.TEXT_CONTEXTS):
-                np.add.at(want, (at[2][k][new], at[1][new]), 1)
+            _, bit, slots = M.TextModel(code, bits).parts(t[lo:i + 1], np.arange(lo, i + 1), i - lo)
+            for s in slots:
+                np.add.at(want, (s, bit), 1)
     for parts in (1, 5):
         got = M.learn_text(spark.createDataFrame(rows, "number binary").repartition(parts), code, 5000)
-        assert (np.stack([got.zero, got.one], 1) == want).all()
+        assert (got[0].pairs == M._byte_pairs(want[:, 0], want[:, 1])).all()
     assert M.text_bits(10) == M.LEAST_BITS and M.text_bits(10 ** 12) == M.MOST_BITS
 
 
