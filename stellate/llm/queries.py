@@ -127,20 +127,35 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 def _license_sql() -> str:
     """The scan as a join of units and templates on their sizes."""
-    rows = ", ".join("({}, '{}', [{}])".format(k, name, ", ".join(f"'{g}'" for g in grams))
+    def texts(values):
+        return "[" + ", ".join(f"'{v}'" for v in values) + "]::VARCHAR[]"
+
+    telling = licenses.flat_telling(licenses.TEMPLATES)
+    rows = ", ".join(f"({k}, '{name}', {texts(grams)}, {texts(telling[k])})"
                      for k, (name, grams) in enumerate(licenses.flat_templates(licenses.TEMPLATES)))
-    return f"""
-        WITH t(k, license, b) AS (VALUES {rows}),
+    space = r"[\x20\x09-\x0D]+"
+    return rf"""
+        WITH t(k, license, b, tell) AS (VALUES {rows}),
         l AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+        m AS (SELECT doc_id, regexp_replace(regexp_replace(text, '([.!?;:]){space}', '\1' || chr(1), 'g'), '{space}', ' ', 'g')
+                     AS m FROM documents WHERE text IS NOT NULL),
+        p AS (SELECT doc_id, string_split(m, chr(1)) AS p FROM m),
+        q AS (SELECT doc_id, unnest(p) AS s, unnest(range(len(p))) AS pos FROM p),
+        s AS (SELECT doc_id, s, min(pos) AS pos FROM q
+              WHERE NOT EXISTS (SELECT 1 FROM l WHERE l.doc_id = q.doc_id AND list_contains(l.l, q.s)) GROUP BY doc_id, s),
         u AS (SELECT doc_id, 0 AS unit, text AS body FROM documents WHERE contains(text, chr(10))
-              UNION ALL SELECT doc_id, CAST(unnest(range(1, len(l) + 1)) AS INTEGER), unnest(l) FROM l),
+              UNION ALL SELECT doc_id, CAST(unnest(range(1, len(l) + 1)) AS INTEGER), unnest(l) FROM l
+              UNION ALL SELECT doc_id, CAST(-row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS INTEGER), s FROM s),
         w AS (SELECT doc_id, unit, string_split(trim(regexp_replace(lower(body), '[^0-9a-z]+', ' ', 'g')), ' ') AS w
               FROM u),
-        g AS (SELECT doc_id, unit, list_distinct(CASE WHEN len(w) < 2 THEN w
+        g AS (SELECT doc_id, unit, list_sort(list_distinct(list_filter(w, lambda x: list_contains(
+                     {texts(licenses.TELLING)}, x)))) AS tell,
+                     list_distinct(CASE WHEN len(w) < 2 THEN w
                   ELSE [w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))] END) AS a FROM w WHERE w <> ['']),
         d AS (SELECT doc_id, unit, license, k, 2.0 * len(list_intersect(a, b)) / (len(a) + len(b)) AS dice
-              FROM g JOIN t ON len(a) BETWEEN {licenses.THRESHOLD} * len(b) / (2 - {licenses.THRESHOLD})
-                                      AND (2 - {licenses.THRESHOLD}) * len(b) / {licenses.THRESHOLD}),
+              FROM g JOIN t ON g.tell = t.tell
+                           AND len(a) BETWEEN {licenses.THRESHOLD} * len(b) / (2 - {licenses.THRESHOLD}) - 1e-6
+                                      AND (2 - {licenses.THRESHOLD}) * len(b) / {licenses.THRESHOLD} + 1e-6),
         r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, unit ORDER BY dice DESC, k) AS n FROM d
               WHERE dice >= {licenses.THRESHOLD})
         SELECT doc_id, unit, license, CAST(dice AS DOUBLE) AS dice FROM r WHERE n = 1"""
