@@ -10,7 +10,8 @@ there is but one).  With A and B the sets of a unit and a template, Dice is
 t |A| / (2 - t) <= |B| <= (2 - t) |A| / t, so the word count alone rules out most
 templates before any set is compared.  Before bigrams are built, the words bound
 their number: from above by all words, from below by one less than the distinct
-words.
+words.  Texts and units without any of the templates' anchors, words of which a match
+holds one at least, are passed over first.
 
 Relatives differ by a word or a number in many: a match counts only if the unit
 has the template's ``TELLING`` words and no others of them.
@@ -29,6 +30,8 @@ a sentence once.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -162,6 +165,32 @@ def flat_templates(templates: dict[str, tuple[str, ...]]) -> list[tuple[str, lis
     return [(name, template_bigrams(t)) for name in sorted(templates) for t in templates[name]]
 
 
+#: Words that any text may hold; others are taken as anchors first.
+_PLAIN = frozenset("a above all an and any are as at be by can copy following for free from in including is it its limitation may "
+                   "modify more name not of on or other person public purpose redistribute rights sell software that the "
+                   "their then this to under use used version which whom with without work you".split())
+
+
+def anchors(templates: dict[str, tuple[str, ...]], threshold: float) -> list[str]:
+    """Words of which a unit that matches a template must hold one.
+
+    A match has at least t |B| / (2 - t) of a template's bigrams.  So of words
+    that touch more bigrams than may be missing, one is there; the rarest such
+    words of each template are taken."""
+    found = set()
+    for texts in templates.values():
+        for text in texts:
+            words, grams = template_words(text), template_bigrams(text)
+            missing = len(grams) - math.ceil(threshold * len(grams) / (2 - threshold) - 1e-9)
+            mine: set[str] = set()
+            for w in sorted(set(words), key=lambda w: (w in _PLAIN or w.isdigit(), -len(w), w)):
+                if sum(bool(mine & set(g.split())) for g in grams) > missing:
+                    break
+                mine.add(w)
+            found |= mine
+    return sorted(found)
+
+
 def _words(unit: Column) -> Column:
     plain = F.trim(F.regexp_replace(F.lower(unit), "[^0-9a-z]+", " "))
     return F.when(plain == "", F.array().cast("array<string>")).otherwise(F.split(plain, " "))
@@ -184,6 +213,9 @@ def scan_licenses(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     high = {k: (2 - threshold) * len(b) / threshold + 1e-6 for k, (_, b) in enumerate(known)}
     least, most = min(low.values()), max(high.values())
     text = col(text_col)
+    # A text, and then a unit, without any anchor has no match.
+    anchored = F.array(*[F.lit(w) for w in anchors(templates, threshold)])
+    docs = docs.where(F.arrays_overlap(_words(text), anchored))
     whole = F.when(F.contains(text, F.lit("\n")), text)
     lines = F.split(text, "\n")
     marked = F.regexp_replace(text, r"([.!?;:])[\x20\x09-\x0D]+", "$1\u0001")
@@ -197,7 +229,8 @@ def scan_licenses(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     # Each step is computed once: what explode() gives isn't computed again
     # where it is used more than once.
     words = units.select("_id", "unit", F.explode(F.array(_words(F.col("body")))).alias("words"))
-    words = words.filter((F.size("words") >= least) & (F.size(F.array_distinct("words")) - 1 <= most))
+    words = words.filter((F.size("words") >= least) & F.arrays_overlap("words", anchored)
+                         & (F.size(F.array_distinct("words")) - 1 <= most))
     sets = words.select("_id", "unit", F.explode(F.array(F.struct(
         _bigrams(F.col("words")).alias("grams"),
         F.array_sort(F.array_intersect("words", F.array(*[F.lit(w) for w in TELLING]))).alias("telling")))).alias("s"))

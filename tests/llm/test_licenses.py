@@ -70,3 +70,21 @@ def test_relatives_are_told_apart(make):
               "Released under the XYZ License.": None}
     got = {r.doc_id: r.license for r in L.scan_licenses(make(list(enumerate(texts)))).collect()}
     assert got == {i: name for i, name in enumerate(texts.values()) if name}
+
+
+def test_anchors_lose_no_match():
+    """Units made of a template with words taken out: whatever still matches
+    holds an anchor."""
+    import random
+
+    rng, anchors = random.Random(1), set(L.anchors(L.TEMPLATES, L.THRESHOLD))
+    matched = 0
+    for notice in (t for v in L.TEMPLATES.values() for t in v):
+        words = L.template_words(notice)
+        for rounds in range(300):
+            gone = set(rng.sample(sorted(anchors & set(words)), k=min(len(anchors & set(words)), rng.randrange(1, 30))))
+            unit = " ".join(w for w in words if w not in gone)
+            if unit and dice(unit):
+                matched += 1
+                assert anchors & set(unit.split()), unit
+    assert matched > 100
