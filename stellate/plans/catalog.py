@@ -24,7 +24,7 @@ from stellate.operators.dedupe import (
     dedupe_by_key, distinct_rows, distinct_values, duplicate_rows, latest_per_key,
 )
 from stellate.operators.joins import lookup_join
-from stellate.operators.keys import dense_ids, materialize, unique_ids
+from stellate.operators.keys import dense_ids, materialize
 from stellate.operators.profile import (
     describe, null_counts, null_counts_long, sample_rows, summary, top_n,
 )

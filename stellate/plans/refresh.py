@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stellate import schemas
-from stellate.operators.dedupe import dedupe_by_key, distinct_rows
+from stellate.operators.dedupe import dedupe_by_key
 from stellate.operators.keys import materialize, number_rows
 from stellate.plans import tables as TB
 from stellate.plans.pipeline import REPORT_SCHEMA, write_checked
