@@ -47,7 +47,6 @@ BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table tbody "
     "td tfoot th thead tr caption ul".split())
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Their content is text up to their end tag and never part of an article.
 RAW = ("script", "style", "title", "textarea", "noscript", "iframe", "noembed", "noframes", "xmp")
 #: Elements left out whole; they nest.

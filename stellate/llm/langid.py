@@ -13,7 +13,9 @@ All texts are read whole; the words of many texts are walked side by side.
 Defined cases: a null text, a text without letters, and any text when nothing
 was learned are ``und`` with score 0; words without letters take the language
 of their neighbours; of languages with equally many letters the first in code
-point order is taken.
+point order is taken.  A null id is an id like others, but is never learned from
+by the query; rows that repeat are labelled each, an empty table gives no rows and
+a model that knows nothing, and extra columns don't matter, whatever their names.
 """
 
 from __future__ import annotations

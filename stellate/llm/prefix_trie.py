@@ -48,7 +48,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from stellate.llm.common import col, partitions, ship, stored
 from stellate.llm.conversations import CHUNK, hashed_in_order, ordered_turns, same

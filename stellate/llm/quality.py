@@ -10,7 +10,9 @@ trees at once in numpy.  Scoring covers every document and its whole text.
 Defined cases: a null text is an empty text; an empty text has statistics of 0
 and is scored like any other; labels that are null or not 0 or 1 are left out;
 of several labels of one id the larger one holds; without labels, or with one
-class alone, the score is the smoothed share of label 1.
+class alone, the score is the smoothed share of label 1.  Of rows that share an
+id one is learned from, any one if their texts differ; all rows are scored.  A null
+id has no label; an empty table gives no rows.
 """
 
 from __future__ import annotations
