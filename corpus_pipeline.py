@@ -5,6 +5,14 @@ documents that its predecessor kept, and the folder of the tables, and returns
 the documents that it keeps; the last one returns packed pieces.  ``run``
 writes the result of each stage to the shared checkpoint folder and hands what
 it reads back to the next one.
+
+Nulls and odd rows: a null text counts as an empty one in every stage.  A null id
+is an id like others, except that no label meets it.  Of equal texts, and of each
+SimHash component, the row with the smallest id stays; rows that share id and text
+are one document there, of which one row stays.  Rows that share id and source are
+taken into the mix or left together; documents that the mix repeats are packed as
+often.  An empty table, or one that a stage empties, gives an empty result of the
+same columns.
 """
 
 from __future__ import annotations

@@ -15,7 +15,8 @@ system that Spark knows will do.
 
 Defined cases: a null or empty text is the end id alone; a null document id
 comes last; rows with equal ids keep some fixed order; an empty table gives
-files without blocks.
+files without blocks.  Ids are int, bigint or string; others raise when the
+files are written.
 """
 
 from __future__ import annotations
