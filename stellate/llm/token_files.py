@@ -166,28 +166,31 @@ def _unsqueeze(data: bytes, press: zstandard.ZstdDecompressor) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(f"<u{data[0]}").ravel().astype(np.uint32)
 
 
-def _tokenise(batches: Iterator[pa.RecordBatch], source, end: int) -> Iterator[pa.RecordBatch]:
-    tokens, press = encoder(source.value), zstandard.ZstdCompressor(level=1)
+def _tokenise(batches: Iterator[pa.RecordBatch], source, end: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Ids of the texts; one more row, without data, holds how often each id
+    came in the task."""
+    tokens, press, total = encoder(source.value), zstandard.ZstdCompressor(level=1), np.zeros(1, np.int64)
     for batch in batches:
-        n, data = [], []
-        for _, ids in tokens.encode(batch.column("_text")):
-            n.append(len(ids) + 1)
-            data.append(_squeeze(np.append(ids, end), press))
-        yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(n, pa.int64()),
-                                          pa.array(data, pa.binary())], ["_id", "n", "data"])
+        data, waiting, held = [], [], 0
+        for k, (_, ids) in enumerate(tokens.encode(batch.column("_text")), 1):
+            ids = np.append(ids, end)
+            data.append(_squeeze(ids, press))
+            waiting.append(ids)
+            held += len(ids)
+            if held > 1 << 20 or k == batch.num_rows:
+                total = _plus(total, np.bincount(np.concatenate(waiting)))
+                waiting, held = [], 0
+        none = pa.nulls(len(data), pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(data, pa.binary()), none, none], schema=schema)
+    known = np.flatnonzero(total)
+    yield pa.RecordBatch.from_pylist([{"tokens": known.tolist(), "counts": total[known].tolist()}], schema)
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    press, total = zstandard.ZstdDecompressor(), np.zeros(1, np.int64)
-    for batch in batches:
-        for lo in range(0, batch.num_rows, 500):
-            part = batch.column("data").slice(lo, 500).to_pylist()
-            c = np.bincount(np.concatenate([_unsqueeze(data, press) for data in part]))
-            if len(c) > len(total):
-                total = np.concatenate([total, np.zeros(len(c) - len(total), np.int64)])
-            total[:len(c)] += c
-    known = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(known, pa.int64()), pa.array(total[known])], ["token", "count"])
+def _plus(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Sum of two arrays of which the shorter one ends in zeros."""
+    a, b = (a, b) if len(a) >= len(b) else (b, a)
+    a[:len(b)] += b
+    return a
 
 
 _BLOCK_SCHEMA = ("shard int, block int, first long, n_ids long, ids_crc32 long, checkpoints binary, words binary, "
@@ -257,11 +260,15 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, *, id_col: str
     source = spark.sparkContext.broadcast(tokenizer)
     rows = docs.select(col(id_col).alias("_id"), col(text_col).alias("_text"))
     kind = rows.schema["_id"].dataType.simpleString()
-    ids = stored(rows.mapInArrow(lambda it: _tokenise(it, source, end), f"_id {kind}, n long, data binary")
+    arrow_id = pa.int64() if kind == "bigint" else pa.int32() if kind == "int" else pa.string()
+    longs = pa.list_(pa.int64())
+    schema = pa.schema([("_id", arrow_id), ("data", pa.binary()), ("tokens", longs), ("counts", longs)])
+    ids = stored(rows.mapInArrow(lambda it: _tokenise(it, source, end, schema),
+                                 f"_id {kind}, data binary, tokens array<long>, counts array<long>")
                  .withColumn("no", F.monotonically_increasing_id()), "token-ids")[0]
     # One row for each id of the vocabulary: its size is the bound.
-    counts = sorted((r["token"], r["count"]) for r in ids.select("data").mapInArrow(_count, "token long, count long")
-                    .groupBy("token").agg(F.sum("count").alias("count")).collect())
+    counts = sorted((r["token"], r["count"]) for r in ids.select(F.explode(F.arrays_zip("tokens", "counts")).alias("x"))
+                    .groupBy("x.tokens").agg(F.sum("x.counts")).toDF("token", "count").collect())
     symbols = np.array([t for t, _ in counts], np.int64)
     scale = max(SCALE, len(symbols).bit_length() + 2)
     freq = Table.scaled(np.array([c for _, c in counts], np.int64), scale) if counts else np.empty(0, np.int64)
@@ -270,8 +277,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, *, id_col: str
     shared = spark.sparkContext.broadcast((symbols, freq, scale))
     shards = max(1, -(-sum(c for _, c in counts) // shard_ids))
     order = [F.col("_id").asc_nulls_last(), F.col("no")]
-    arrow_id = pa.int64() if kind == "bigint" else pa.int32() if kind == "int" else pa.string()
-    (ids.repartitionByRange(shards, *order).sortWithinPartitions(*order).select("_id", "data")
+    (ids.filter("data IS NOT NULL").repartitionByRange(shards, *order).sortWithinPartitions(*order).select("_id", "data")
      .mapInArrow(lambda it: _encode(it, shared, arrow_id), _BLOCK_SCHEMA.format(kind))
      .write.option("compression", "uncompressed").parquet(f"{path}/blocks"))
 

@@ -10,8 +10,10 @@ those of its units in order (the tests compare with encoding whole texts).
 
 from __future__ import annotations
 
+import codecs
 import os
 import re
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -53,7 +55,12 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-_LETTERS = _byte_letters()
+#: The letter of each byte, as a decoding table.
+_LETTERS = "".join(_byte_letters()[b] for b in range(256))
+#: Pieces that are Latin letters with or without marks behind them: most of
+#: running text.  They are taken apart by Arrow, all others one by one.
+_WORD = f"^{_FEED}?[A-Za-zÀ-ÖØ-öø-ÿ]+"
+_PLAIN = f"{_WORD}[{re.escape(_MARKS)}]*$"
 
 
 class UnitEncoder:
@@ -94,6 +101,16 @@ class UnitEncoder:
         self.slots += m
         into.update(zip(keys, range(n, n + m)))
 
+    def _learn_words(self, into: dict[str, int], keys: list[str], units: list[str]) -> None:
+        """Ids of new units that are a blank and letters, by the model."""
+        tokenize, feed = self.tok.model.tokenize, _LETTERS[10]
+        for lo in range(0, len(keys), 4096):
+            part = "\n".join(units[lo:lo + 4096]).encode()
+            found = [[t.id for t in tokenize(w)] for w in codecs.charmap_decode(part, "strict", _LETTERS)[0].split(feed)]
+            counts = np.fromiter(map(len, found), np.int32, len(found))
+            self._append(into, keys[lo:lo + 4096], np.fromiter(chain.from_iterable(found), np.int32, int(counts.sum())),
+                         np.cumsum(counts, dtype=np.int32) - counts, counts)
+
     def _learn(self, into: dict[str, int], keys: list[str], units: list[str]) -> None:
         """Ids of new units.  A blank and letters go to the model itself, as
         nothing splits them.  Other units that begin with one separator are
@@ -105,13 +122,7 @@ class UnitEncoder:
                 words.append((k, u))
             else:
                 (blank if u.isspace() else other).append((k, u))
-        model = self.tok.model
-        for lo in range(0, len(words), 4096):
-            part = words[lo:lo + 4096]
-            found = [[t.id for t in model.tokenize(u.encode().decode("latin-1").translate(_LETTERS))] for _, u in part]
-            counts = np.fromiter(map(len, found), np.int32, len(part))
-            self._append(into, [k for k, _ in part], np.array([i for x in found for i in x], np.int32),
-                         np.cumsum(counts, dtype=np.int32) - counts, counts)
+        self._learn_words(into, [k for k, _ in words], [u for _, u in words])
         for k, u in blank:
             ids = np.array(self.tok.encode(u, add_special_tokens=False).ids, np.int32)
             self._append(into, [k], ids, np.zeros(1, np.int32), np.array([len(ids)], np.int32))
@@ -130,9 +141,51 @@ class UnitEncoder:
         slot = self.known.get(key)
         return self.passing.get(key, -1) if slot is None else slot
 
-    def _add(self, into: dict[str, int], pieces: list[str]) -> None:
+    def _finds(self, keys: list[str]) -> np.ndarray:
+        """Slots of many keys; -1 for those that are new."""
+        slots = np.fromiter(map(self.known.get, keys, repeat(-1)), np.int32, len(keys))
+        new = np.flatnonzero(slots < 0) if self.passing else ()
+        if len(new):
+            slots[new] = np.fromiter((self.passing.get(keys[i], -1) for i in new.tolist()), np.int32, len(new))
+        return slots
+
+    def _add(self, into: dict[str, int], pieces: pa.Array) -> None:
         """Learn pieces (``_FEED`` in front: behind a line feed, else a blank);
         their slot is 0 if they are no unit by themselves."""
+        plain = pc.match_substring_regex(pieces, _PLAIN)
+        self._add_plain(into, pieces.filter(plain))
+        self._add_other(into, pieces.filter(pc.invert(plain)).to_pylist())
+
+    def _add_plain(self, into: dict[str, int], pieces: pa.Array) -> None:
+        """Learn letters with or without marks behind them."""
+        head = pc.ascii_rtrim(pieces, characters=_MARKS)
+        joint = np.flatnonzero(pc.not_equal(pc.binary_length(pieces), pc.binary_length(head)))
+        head = head.dictionary_encode()
+        heads = head.dictionary.to_pylist()
+        new = [heads[i] for i in np.flatnonzero(self._finds(heads) < 0).tolist()]
+        self._learn_words(into, blank := [h for h in new if h[0] != _FEED], [" " + h for h in blank])
+        self._learn(into, fed := [h for h in new if h[0] == _FEED], ["\n" + h[1:] for h in fed])
+        if not len(joint):
+            return
+        joined = pieces.take(pa.array(joint))
+        # Marks behind a letter are never merged with it.
+        mark = pc.replace_substring_regex(joined, _WORD, "\x02u").dictionary_encode()
+        marks = mark.dictionary.to_pylist()
+        new = [m for m in marks if self._find(m) < 0]
+        self._learn(into, new, [m[2:] for m in new])
+        at = [self._finds(keys)[rows.to_numpy(zero_copy_only=False)]
+              for keys, rows in ((heads, head.indices.take(pa.array(joint))), (marks, mark.indices))]
+        self._add_pairs(into, joined.to_pylist(), np.stack(at, axis=1))
+
+    def _add_pairs(self, into: dict[str, int], keys: list[str], two: np.ndarray) -> None:
+        """Keys that are two units each, by their slots."""
+        ids, ends = self._flat(two.ravel())
+        ends = ends[1::2]
+        counts = np.diff(ends, prepend=0)
+        self._append(into, keys, ids, (ends - counts).astype(np.int32), counts)
+
+    def _add_other(self, into: dict[str, int], pieces: list[str]) -> None:
+        """Learn pieces of any form."""
         plain, marks, joint = {}, {}, []
         for piece in pieces:
             body = piece[1:] if piece[:1] == _FEED else piece
@@ -154,25 +207,22 @@ class UnitEncoder:
         self._learn(into, ["\x02" + m for m in marks], [m[1:] for m in marks])
         if joint:
             two = np.array([(self._find(h), self._find("\x02" + m)) for _, h, m in joint], np.int32)
-            ids, ends = self._flat(two.ravel())
-            ends = ends[1::2]
-            counts = np.diff(ends, prepend=0)
-            self._append(into, [p for p, _, _ in joint], ids, (ends - counts).astype(np.int32), counts)
-
-    def _slots(self, pieces: list[str], times: np.ndarray) -> np.ndarray:
-        get = self.known.get
-        slots = np.fromiter((get(p, -1) for p in pieces), np.int32, len(pieces))
-        new = np.flatnonzero(slots < 0)
-        if not len(new):
-            return slots
+            self._add_pairs(into, [p for p, _, _ in joint], two)
+
+    def _slots(self, words: pa.Array, times: np.ndarray) -> np.ndarray:
+        pieces = words.to_pylist()
+        slots = np.fromiter(map(self.known.get, pieces, repeat(-1)), np.int32, len(pieces))
         # Marks double the units at most; room for both.
         room = max(0, (self.max_units - len(self.known)) // 2)
-        keep = new[times[new] > 1][:room]
+        keep = np.flatnonzero((slots < 0) & (times > 1))[:room]
         if len(keep):
-            self._add(self.known, [pieces[i] for i in keep.tolist()])
+            self._add(self.known, words.take(pa.array(keep)))
             self.kept = (self.slots, self.used)
-        self._add(self.passing, [pieces[i] for i in new.tolist() if pieces[i] not in self.known])
-        slots[new] = np.fromiter((self._find(pieces[i]) for i in new.tolist()), np.int32, len(new))
+            slots = np.fromiter(map(self.known.get, pieces, repeat(-1)), np.int32, len(pieces))
+        new = np.flatnonzero(slots < 0)
+        if len(new):
+            self._add(self.passing, words.take(pa.array(new)))
+            slots[new] = np.fromiter((self.passing[pieces[i]] for i in new.tolist()), np.int32, len(new))
         return slots
 
     def _flat(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -210,7 +260,7 @@ class UnitEncoder:
         pieces = pc.split_pattern(marked, " ")
         bounds = pieces.offsets.to_numpy() - pieces.offsets[0].as_py()
         coded = pieces.flatten().dictionary_encode()
-        where, words = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.to_pylist()
+        where, words = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
         del marked, pieces, coded
         self._forget()
         slot = self._slots(words, np.bincount(where, minlength=len(words)))[where]

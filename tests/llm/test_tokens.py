@@ -15,7 +15,8 @@ public_tokenizers = pytest.importorskip("public_tokenizers")
 SOURCE = tokenizer_source(public_tokenizers.path("byte_bpe_50k.json"))
 TEXTS = ["", None, "hello", "Hello  world", " lead", "trail ", "a\n\nb", "a\nb", "\n", "  ", "a \n b", "tab\there",
          "nb sp x", "x\x00y z", "c\x1cd e", "don't I'll", "été où", "a\r\nb", "<|endoftext|> hi", "日本 語",
-         "... !! a.b. x,", "a\n b", "\nfoo", "foo\n", "a" * 5000, "😀 😀, x", "word " * 3000, "wait?! (yes)."]
+         "... !! a.b. x,", "a\n b", "\nfoo", "foo\n", "a" * 5000, "😀 😀, x", "word " * 3000, "wait?! (yes).",
+         "Ça, café: naïve?! ñandú). ¿qué?", "\nÉté,\nword;\n\nÀ.", "e\u0301t, a×b, ÷. ªx, ſt.", "x, x, x. x .", "\n,\n."]
 
 
 @pytest.fixture(scope="module")
