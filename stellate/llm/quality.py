@@ -11,8 +11,7 @@ Defined cases: a null text is an empty text; an empty text has statistics of 0
 and is scored like any other; labels that are null or not 0 or 1 are left out;
 of several labels of one id the larger one holds; without labels, or with one
 class alone, the score is the smoothed share of label 1.  Of rows that share an
-id one is learned from, any one if their texts differ; all rows are scored.  A null
-id has no label; an empty table gives no rows.
+id the least text is learned from; all rows are scored.  A null id has no label; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -155,7 +154,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", t
               .orderBy(F.xxhash64(F.lit(seed), "_label_id"), "_label_id").limit(sample))
     rows = (docs.select(ident.alias("_id"), col(text_col).alias("_text"))
             .join(F.broadcast(marked), F.col("_id") == F.col("_label_id"))
-            .dropDuplicates(["_id"]).select("label", "_text"))
+            .groupBy("_id").agg(F.max("label").alias("label"), F.min("_text").alias("_text"))
+            .select("label", "_text"))
     got = rows.mapInArrow(_statistics_of, "label int, x array<double>").toArrow()
     x = np.array(got["x"].to_pylist(), float).reshape(-1, len(FEATURES))
     y = got["label"].to_numpy().astype(float)

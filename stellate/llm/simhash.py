@@ -355,7 +355,9 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
 def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                          shingle: int = SHINGLE, budget: int = BUDGET, limit: int = LIMIT) -> DataFrame:
-    """``docs`` with one row of each component: the one with the smallest id."""
+    """``docs`` with one row of each component: the one with the smallest id.
+    Of rows that share id and text, the one whose other columns (maps aside)
+    are least stays, so that reruns agree."""
     key = row_key(col(id_col), col(text_col))
     rows = docs.select(col(id_col).alias("_id"), key.alias("key"), col(text_col).alias("_text"))
     marked = stored(fingerprints(rows, shingle), "simhash")[0]
@@ -363,4 +365,8 @@ def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: s
     first = _classes(marked.select("fp", me.alias("me")), budget, limit)
     mine = fresh("_key", docs.columns)
     stay = stored(first.select(F.col("first.key").alias(mine)).distinct(), "stay")[0]
-    return docs.withColumn(mine, key).join(stay, mine, "left_semi").dropDuplicates([mine]).drop(mine)
+    others = [f.name for f in docs.schema if f.name not in (id_col, text_col) and "map<" not in f.dataType.simpleString()]
+    row = F.struct(*[col(c) for c in docs.columns])
+    least = F.min_by(row, F.struct(*[col(c) for c in others])) if others else F.first(row)
+    return (docs.withColumn(mine, key).join(stay, mine, "left_semi").groupBy(mine).agg(least.alias("row"))
+            .select("row.*"))

@@ -76,6 +76,36 @@ def test_importance_moves_the_odds(spark, make):
     assert abs(sum(r.taken for r in got if r.source == "a") - 2 * 2000 / 3) <= 4
 
 
+@pytest.mark.parametrize("seed", [0])
+def test_thresholds_match_a_plain_sort(spark, seed):
+    import random
+
+    rnd = random.Random(seed)
+    units, wanted = [], []
+    for source, top in (("a", 5), ("b", 60), (None, 4000), ("tiny", 1)):
+        mine = [(source, k, rnd.randint(1, top) if rnd.random() < 0.9 else top * 20)
+                for k in rnd.sample(range(1 << mixing.KEY_BITS), rnd.randint(1, 120))]
+        units += mine
+        wanted.append((source, rnd.random() * sum(s for _, _, s in mine)))
+    cuts, more = mixing.thresholds(spark.createDataFrame(units, "source string, key long, size long").repartition(5),
+                                   spark.createDataFrame(wanted, "source string, words double"))
+    cut = {r.source: r.cut for r in cuts.collect()}
+    got = {(r.source, r.key) for r in more.collect()}
+    got |= {(s, k) for s, k, _ in units if k < cut[s]}
+    want = set()
+    for source, gap in wanted:
+        left = []
+        for k, size in sorted((k, size) for s, k, size in units if s == source):
+            if size <= gap:
+                want.add((source, k))
+                gap -= size
+            else:
+                left.append((size, k))
+        if left and min(left)[0] - gap < gap:
+            want.add((source, min(left)[1]))
+    assert got == want
+
+
 def test_sample_repeats_rows(make):
     docs = make(rows(), "_copies", "_again")
     got = mixing.sample_mix(docs)

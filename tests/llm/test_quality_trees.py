@@ -28,6 +28,56 @@ def test_trees_learn_and_walk():
     assert trees.score(x[:0]).shape == (0,)
 
 
+def best_split(x, g, h, rows, l2=1.0, least=2.0):
+    """The best gain of any cut between two values, by trying them all."""
+    def part(r):
+        return g[r].sum() ** 2 / (h[r].sum() + l2)
+
+    best = (1e-9, None, None)
+    for j in range(x.shape[1]):
+        for cut in np.unique(x[rows, j])[:-1]:
+            left, right = rows[x[rows, j] <= cut], rows[x[rows, j] > cut]
+            if min(h[left].sum(), h[right].sum()) >= least:
+                gain = part(left) + part(right) - part(rows)
+                if gain > best[0] + 1e-9:
+                    best = (gain, j, set(left.tolist()))
+    return best
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_splits_are_the_best_of_all(seed):
+    rng = np.random.default_rng(seed)
+    x = rng.integers(0, 12, (160, 3)).astype(float)  # fewer values than bins, so that no cut is lost
+    y = ((x[:, seed % 3] > 5) & (x[:, 2] < 8) ^ (rng.random(160) < 0.1)).astype(float)
+    trees = Q.fit_trees(x, y, rounds=1, depth=2, bins=2000)
+    p = (y.sum() + 0.5) / (len(y) + 1)
+    g, h = p - y, np.full(len(y), p * (1 - p))
+    todo = [(0, np.arange(len(y)))]
+    for node, rows in todo:
+        gain, j, left = best_split(x, g, h, rows)
+        above = x[rows, trees.feature[0, node]] > trees.threshold[0, node]
+        if j is None:
+            assert not above.any()
+            continue
+        got = [rows[~above], rows[above]]
+        value = sum(g[r].sum() ** 2 / (h[r].sum() + 1) for r in got) - g[rows].sum() ** 2 / (h[rows].sum() + 1)
+        assert value == pytest.approx(gain)
+        if node == 0:
+            todo += [(1, got[0]), (2, got[1])]
+    node = 1 + (x[:, trees.feature[0, 0]] > trees.threshold[0, 0]).astype(int)
+    leaf = 2 * (node - 1) + (x[np.arange(160), trees.feature[0, node]] > trees.threshold[0, node])
+    for k in range(4):
+        assert trees.leaf[0, k] == pytest.approx(-0.15 * g[leaf == k].sum() / (h[leaf == k].sum() + 1))
+
+
+def test_rows_that_share_an_id(spark, make):
+    docs = documents()
+    twice = docs + [(i, "JUNK!! " * (i + 1)) for i, _ in docs[::2]]
+    labels = spark.createDataFrame([(i, int(i % 4 > 0), 0) for i in range(240)], "doc_id long, quality int, toxic int")
+    one, two = (Q.fit_quality(make(rows).repartition(n), labels) for rows, n in ((twice, 2), (twice[::-1], 7)))
+    assert (one.leaf == two.leaf).all() and (one.threshold == two.threshold).all()
+
+
 def test_one_class_or_none():
     assert Q.fit_trees(np.empty((0, 3)), np.empty(0)).score(np.zeros((2, 3))) == pytest.approx([0.5, 0.5])
     assert Q.fit_trees(np.zeros((9, 3)), np.ones(9)).score(np.zeros((1, 3)))[0] == pytest.approx(0.95)

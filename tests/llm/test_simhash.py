@@ -102,6 +102,17 @@ def test_documents(make):
     assert [r.text for r in got if r.doc_id is None] == ["lonely words here now"]
 
 
+def test_least_of_rows_that_share_id_and_text(make):
+    rows = [(1, "one two three four five", "en", s) for s in ("c", "b", "a", "d")] + [(2, "another text with some words", "fr", "z")]
+    for part in (rows, rows[::-1]):
+        docs = make(part, "row").repartition(4)
+        got = S.drop_near_duplicates(docs)
+        assert got.columns == docs.columns
+        assert sorted((r.doc_id, r.source) for r in got.collect()) == [(1, "a"), (2, "z")]
+    bare = make(rows).select("doc_id", "text")
+    assert sorted(r.doc_id for r in S.drop_near_duplicates(bare).collect()) == [1, 2]
+
+
 def test_empty(make):
     docs = make([(1, "a")]).limit(0)
     assert S.near_duplicates(docs).count() == 0
