@@ -13,7 +13,7 @@ from __future__ import annotations
 import codecs
 import os
 import re
-from itertools import chain, repeat
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -67,7 +67,7 @@ class UnitEncoder:
     """Ids of texts.  Remembers the ids of up to ``max_units`` units that came
     at least twice in a part of the data; all others only for that part."""
 
-    def __init__(self, source: str, max_units: int = 250_000):
+    def __init__(self, source: str, max_units: int = 500_000):
         self.tok, self.max_units = load_tokenizer(source), max_units
         # A byte-level vocabulary writes each byte of a token as one character.
         vocab = self.tok.get_vocab(with_added_tokens=True)
@@ -75,20 +75,33 @@ class UnitEncoder:
         for token, i in vocab.items():
             self.width[i] = len(token)
         # Slot 0 stands for pieces that are no unit by themselves.
-        self.known: dict[str, int] = {}
-        self.passing: dict[str, int] = {}
+        self.known, self.slot_of = pa.array([], pa.large_string()), np.empty(0, np.int32)
+        self.keeping: list[tuple[pa.Array, np.ndarray]] = []
+        self.bare: dict[str, int] = {}
         self.kept, self.slots, self.used = (1, 0), 1, 0
         self.ids = np.empty(1 << 16, np.int32)
         self.start, self.count = np.zeros(1 << 14, np.int32), np.zeros(1 << 14, np.int32)
 
     def _forget(self) -> None:
-        """Drop the units of the last part of the data."""
-        self.passing = {}
+        """Drop the units of the last part of the data but those to keep, which
+        move behind the units known so far."""
+        self.bare = {}
+        if not self.keeping:
+            self.slots, self.used = self.kept
+            return
+        at = np.concatenate([slots for _, slots in self.keeping])
+        ids, ends = self._flat(at)
+        counts = np.diff(ends, prepend=0)
         self.slots, self.used = self.kept
-
-    def _append(self, into: dict[str, int], keys: list[str], ids: np.ndarray, first: np.ndarray,
-                counts: np.ndarray) -> None:
-        n, m = self.slots, len(keys)
+        moved = self._append(ids, ends - counts, counts)
+        self.kept = (self.slots, self.used)
+        self.known = pa.concat_arrays([self.known, *(keys for keys, _ in self.keeping)])
+        self.slot_of = np.concatenate([self.slot_of, np.where(at > 0, moved, 0)]).astype(np.int32)
+        self.keeping = []
+
+    def _append(self, ids: np.ndarray, first: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Slots of new units."""
+        n, m = self.slots, len(counts)
         while self.used + len(ids) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
         while n + m > len(self.start):
@@ -99,130 +112,140 @@ class UnitEncoder:
         self.count[n:n + m] = counts
         self.used += len(ids)
         self.slots += m
-        into.update(zip(keys, range(n, n + m)))
-
-    def _learn_words(self, into: dict[str, int], keys: list[str], units: list[str]) -> None:
-        """Ids of new units that are a blank and letters, by the model."""
-        tokenize, feed = self.tok.model.tokenize, _LETTERS[10]
-        for lo in range(0, len(keys), 4096):
-            part = "\n".join(units[lo:lo + 4096]).encode()
+        return np.arange(n, n + m, dtype=np.int32)
+
+    def _learn_words(self, words: list[str]) -> np.ndarray:
+        """Slots of new units that are a blank and letters (given without the
+        blank), by the model."""
+        tokenize, feed, slots = self.tok.model.tokenize, _LETTERS[10], []
+        for lo in range(0, len(words), 4096):
+            part = (" " + "\n ".join(words[lo:lo + 4096])).encode()
             found = [[t.id for t in tokenize(w)] for w in codecs.charmap_decode(part, "strict", _LETTERS)[0].split(feed)]
             counts = np.fromiter(map(len, found), np.int32, len(found))
-            self._append(into, keys[lo:lo + 4096], np.fromiter(chain.from_iterable(found), np.int32, int(counts.sum())),
-                         np.cumsum(counts, dtype=np.int32) - counts, counts)
+            slots.append(self._append(np.fromiter(chain.from_iterable(found), np.int32, int(counts.sum())),
+                                      np.cumsum(counts, dtype=np.int32) - counts, counts))
+        return np.concatenate(slots) if slots else np.empty(0, np.int32)
 
-    def _learn(self, into: dict[str, int], keys: list[str], units: list[str]) -> None:
-        """Ids of new units.  A blank and letters go to the model itself, as
+    def _learn(self, units: list[str]) -> np.ndarray:
+        """Slots of new units.  A blank and letters go to the model itself, as
         nothing splits them.  Other units that begin with one separator are
         encoded many at a time and cut where the bytes of each end; a bare
         word is encoded behind a line feed, whose id is left out again."""
-        words, blank, other = [], [], []
-        for k, u in zip(keys, units):
+        slots, words, blank, other = np.empty(len(units), np.int32), [], [], []
+        for i, u in enumerate(units):
             if u[0] == " " and u[1:].isalpha():
-                words.append((k, u))
+                words.append(i)
             else:
-                (blank if u.isspace() else other).append((k, u))
-        self._learn_words(into, [k for k, _ in words], [u for _, u in words])
-        for k, u in blank:
-            ids = np.array(self.tok.encode(u, add_special_tokens=False).ids, np.int32)
-            self._append(into, [k], ids, np.zeros(1, np.int32), np.array([len(ids)], np.int32))
+                (blank if u.isspace() else other).append(i)
+        slots[words] = self._learn_words([units[i][1:] for i in words])
+        for i in blank:
+            ids = np.array(self.tok.encode(units[i], add_special_tokens=False).ids, np.int32)
+            slots[i] = self._append(ids, np.zeros(1, np.int32), np.array([len(ids)], np.int32))[0]
         for lo in range(0, len(other), 4096):
-            part = other[lo:lo + 4096]
-            bare = np.fromiter((u[0] not in " \n" for _, u in part), bool, len(part))
-            text = [("\n" + u) if b else u for (_, u), b in zip(part, bare)]
+            part = [units[i] for i in other[lo:lo + 4096]]
+            bare = np.fromiter((u[0] not in " \n" for u in part), bool, len(part))
+            text = [("\n" + u) if b else u for u, b in zip(part, bare)]
             sizes = np.fromiter((len(u.encode()) for u in text), np.int64, len(part))
             ids = np.array(self.tok.encode("".join(text), add_special_tokens=False).ids, np.int32)
             ends = np.searchsorted(np.cumsum(self.width[ids]), np.cumsum(sizes)) + 1
             first = np.concatenate([[0], ends[:-1]])
-            self._append(into, [k for k, _ in part], ids, (first + bare).astype(np.int32),
-                         (ends - first - bare).astype(np.int32))
-
-    def _find(self, key: str) -> int:
-        slot = self.known.get(key)
-        return self.passing.get(key, -1) if slot is None else slot
+            slots[other[lo:lo + 4096]] = self._append(ids, (first + bare).astype(np.int32),
+                                                      (ends - first - bare).astype(np.int32))
+        return slots
 
-    def _finds(self, keys: list[str]) -> np.ndarray:
-        """Slots of many keys; -1 for those that are new."""
-        slots = np.fromiter(map(self.known.get, keys, repeat(-1)), np.int32, len(keys))
-        new = np.flatnonzero(slots < 0) if self.passing else ()
-        if len(new):
-            slots[new] = np.fromiter((self.passing.get(keys[i], -1) for i in new.tolist()), np.int32, len(new))
+    def _find(self, keys: pa.Array) -> np.ndarray:
+        """Slots of pieces that are known; -1 for the others."""
+        slots = np.full(len(keys), -1, np.int32)
+        if len(keys) and len(self.known):
+            at = pc.fill_null(pc.index_in(keys, value_set=self.known), -1).to_numpy(zero_copy_only=False)
+            has = at >= 0
+            slots[has] = self.slot_of[at[has]]
         return slots
 
-    def _add(self, into: dict[str, int], pieces: pa.Array) -> None:
-        """Learn pieces (``_FEED`` in front: behind a line feed, else a blank);
-        their slot is 0 if they are no unit by themselves."""
+    def _find_bare(self, units: list[str]) -> np.ndarray:
+        """Slots of units by themselves, as they stand; new ones are learned."""
+        new = [u for u in dict.fromkeys(units) if u not in self.bare]
+        self.bare.update(zip(new, self._learn(new).tolist()))
+        return np.fromiter(map(self.bare.__getitem__, units), np.int32, len(units))
+
+    def _keep(self, keys: pa.Array, slots: np.ndarray, which: np.ndarray) -> None:
+        if which.any():
+            self.keeping.append((keys.filter(pa.array(which)), slots[which]))
+
+    def _add(self, pieces: pa.Array, keep: np.ndarray) -> np.ndarray:
+        """Slots of new pieces (``_FEED`` in front: behind a line feed, else a
+        blank); 0 if they are no unit by themselves."""
         plain = pc.match_substring_regex(pieces, _PLAIN)
-        self._add_plain(into, pieces.filter(plain))
-        self._add_other(into, pieces.filter(pc.invert(plain)).to_pylist())
+        at = plain.to_numpy(zero_copy_only=False)
+        slots = np.empty(len(pieces), np.int32)
+        slots[at] = self._add_plain(pieces.filter(plain), keep[at])
+        slots[~at] = self._add_other(pieces.filter(pc.invert(plain)), keep[~at])
+        return slots
 
-    def _add_plain(self, into: dict[str, int], pieces: pa.Array) -> None:
-        """Learn letters with or without marks behind them."""
+    def _add_plain(self, pieces: pa.Array, keep: np.ndarray) -> np.ndarray:
+        """Slots of letters with or without marks behind them."""
         head = pc.ascii_rtrim(pieces, characters=_MARKS)
-        joint = np.flatnonzero(pc.not_equal(pc.binary_length(pieces), pc.binary_length(head)))
+        joint = pc.not_equal(pc.binary_length(pieces), pc.binary_length(head)).to_numpy(zero_copy_only=False)
         head = head.dictionary_encode()
-        heads = head.dictionary.to_pylist()
-        new = [heads[i] for i in np.flatnonzero(self._finds(heads) < 0).tolist()]
-        self._learn_words(into, blank := [h for h in new if h[0] != _FEED], [" " + h for h in blank])
-        self._learn(into, fed := [h for h in new if h[0] == _FEED], ["\n" + h[1:] for h in fed])
-        if not len(joint):
-            return
-        joined = pieces.take(pa.array(joint))
-        # Marks behind a letter are never merged with it.
-        mark = pc.replace_substring_regex(joined, _WORD, "\x02u").dictionary_encode()
-        marks = mark.dictionary.to_pylist()
-        new = [m for m in marks if self._find(m) < 0]
-        self._learn(into, new, [m[2:] for m in new])
-        at = [self._finds(keys)[rows.to_numpy(zero_copy_only=False)]
-              for keys, rows in ((heads, head.indices.take(pa.array(joint))), (marks, mark.indices))]
-        self._add_pairs(into, joined.to_pylist(), np.stack(at, axis=1))
-
-    def _add_pairs(self, into: dict[str, int], keys: list[str], two: np.ndarray) -> None:
-        """Keys that are two units each, by their slots."""
-        ids, ends = self._flat(two.ravel())
+        heads, row = head.dictionary, head.indices.to_numpy(zero_copy_only=False)
+        at = self._find(heads)
+        fed = pc.starts_with(heads, _FEED).to_numpy(zero_copy_only=False)
+        new, new_fed = (at < 0) & ~fed, (at < 0) & fed
+        at[new] = self._learn_words(heads.filter(pa.array(new)).to_pylist())
+        at[new_fed] = self._learn(["\n" + h[1:] for h in heads.filter(pa.array(new_fed)).to_pylist()])
+        self._keep(heads, at, (new | new_fed) & (np.bincount(row[keep], minlength=len(heads)) > 0))
+        slots = at[row]
+        if joint.any():
+            # Marks behind a letter are never merged with it.
+            mark = pc.replace_substring_regex(pieces.filter(pa.array(joint)), _WORD, "").dictionary_encode()
+            marks = self._find_bare(mark.dictionary.to_pylist())[mark.indices.to_numpy(zero_copy_only=False)]
+            slots[joint] = self._add_pairs(slots[joint], marks)
+            self._keep(pieces, slots, joint & keep)
+        return slots
+
+    def _add_pairs(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """Slots of pieces that are two units each, by their slots."""
+        ids, ends = self._flat(np.stack([one, two], axis=1).ravel())
         ends = ends[1::2]
         counts = np.diff(ends, prepend=0)
-        self._append(into, keys, ids, (ends - counts).astype(np.int32), counts)
+        return self._append(ids, ends - counts, counts)
 
-    def _add_other(self, into: dict[str, int], pieces: list[str]) -> None:
-        """Learn pieces of any form."""
-        plain, marks, joint = {}, {}, []
-        for piece in pieces:
+    def _add_other(self, pieces: pa.Array, keep: np.ndarray) -> np.ndarray:
+        """Slots of pieces of any form."""
+        slots, heads, row, head_of, joint, marks = np.zeros(len(pieces), np.int32), {}, [], [], [], []
+        for i, piece in enumerate(pieces.to_pylist()):
             body = piece[1:] if piece[:1] == _FEED else piece
             if not body or body[0].isspace() or body[-1].isspace():
-                into[piece] = 0
                 continue
             head = body.rstrip(_MARKS)
             if len(head) < len(body) and head and head[-1].isalnum():
                 # Marks behind a letter or digit are never merged with it.
-                mark = "u" + body[len(head):]
-                head = piece[:len(piece) - len(mark) + 1]
-                joint.append((piece, head, mark))
-                if self._find("\x02" + mark) < 0:
-                    marks[mark] = None
-                piece = head
-            if self._find(piece) < 0:
-                plain[piece] = None
-        self._learn(into, list(plain), [("\n" + p[1:]) if p[:1] == _FEED else " " + p for p in plain])
-        self._learn(into, ["\x02" + m for m in marks], [m[1:] for m in marks])
-        if joint:
-            two = np.array([(self._find(h), self._find("\x02" + m)) for _, h, m in joint], np.int32)
-            self._add_pairs(into, [p for p, _, _ in joint], two)
+                joint.append(i)
+                marks.append(body[len(head):])
+                piece = piece[:len(piece) - len(marks[-1])]
+            row.append(i)
+            head_of.append(heads.setdefault(piece, len(heads)))
+        found, row, head_of, joint = pa.array(heads, pa.large_string()), *(np.array(x, np.int64) for x in (row, head_of, joint))
+        at = self._find(found)
+        new = at < 0
+        at[new] = self._learn([("\n" + p[1:]) if p[:1] == _FEED else " " + p for p in found.filter(pa.array(new)).to_pylist()])
+        self._keep(found, at, new & (np.bincount(head_of[keep[row]], minlength=len(at)) > 0))
+        slots[row] = at[head_of]
+        whole = np.ones(len(pieces), bool)
+        whole[row] = False
+        if len(joint):
+            slots[joint] = self._add_pairs(slots[joint], self._find_bare(marks))
+            whole[joint] = True
+        self._keep(pieces, slots, whole & keep)
+        return slots
 
     def _slots(self, words: pa.Array, times: np.ndarray) -> np.ndarray:
-        pieces = words.to_pylist()
-        slots = np.fromiter(map(self.known.get, pieces, repeat(-1)), np.int32, len(pieces))
-        # Marks double the units at most; room for both.
-        room = max(0, (self.max_units - len(self.known)) // 2)
-        keep = np.flatnonzero((slots < 0) & (times > 1))[:room]
-        if len(keep):
-            self._add(self.known, words.take(pa.array(keep)))
-            self.kept = (self.slots, self.used)
-            slots = np.fromiter(map(self.known.get, pieces, repeat(-1)), np.int32, len(pieces))
+        slots = self._find(words)
         new = np.flatnonzero(slots < 0)
         if len(new):
-            self._add(self.passing, words.take(pa.array(new)))
-            slots[new] = np.fromiter((self.passing[pieces[i]] for i in new.tolist()), np.int32, len(new))
+            # Marks double the units at most; room for both.
+            room, keep = max(0, (self.max_units - len(self.known)) // 2), times[new] > 1
+            slots[new] = self._add(words.take(pa.array(new)), keep & (np.cumsum(keep) <= room))
         return slots
 
     def _flat(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -250,6 +273,8 @@ class UnitEncoder:
             for i, ids in self._encode(texts.slice(lo, hi - lo)):
                 yield lo + i, ids
             lo = hi
+            # The allocator holds on to what a part needed: hundreds of MB a worker.
+            pa.default_memory_pool().release_unused()
 
     def _encode(self, texts: pa.Array):
         odd = pc.match_substring_regex(texts, _CONTROL).to_numpy(zero_copy_only=False)
@@ -280,11 +305,7 @@ class UnitEncoder:
         """Ids of a text with any white space and any controls."""
         if not text:
             return np.empty(0, np.int32)
-        units = _UNITS.findall(text)
-        keys = ["u" + u for u in units]
-        new = [k for k in dict.fromkeys(keys) if self._find("\x02" + k) < 0]
-        self._learn(self.passing, ["\x02" + k for k in new], [k[1:] for k in new])
-        return self._flat(np.fromiter((self._find("\x02" + k) for k in keys), np.int32, len(keys)))[0]
+        return self._flat(self._find_bare(_UNITS.findall(text)))[0]
 
 
 _encoders: dict[int, UnitEncoder] = {}

@@ -1,5 +1,9 @@
 """Token ids, token files and packing against encoding whole texts."""
 
+import os
+import subprocess
+import sys
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -33,6 +37,49 @@ def test_ids_are_those_of_whole_texts(plain, units):
         assert [got[i] for i in range(len(got))] == [plain(t) for t in TEXTS * 2]
 
 
+def _new_words(n):
+    rng = np.random.default_rng(n)
+    return ["".join(w) for w in rng.choice(list("abcdefghij"), (n, 9))]
+
+
+def test_units_are_remembered_without_an_object_each(plain):
+    text = " ".join(_new_words(30_000))
+    e = UnitEncoder(SOURCE)
+    list(e.encode(pa.array(["warm up"])))
+    tracemalloc.start()
+    for _ in e.encode(pa.array([text, text])):
+        pass
+    got = [x.tolist() for _, x in e.encode(pa.array([text + ",\nend"]))]
+    assert got == [plain(text + ",\nend")]
+    del got
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert e.kept[0] > 29_000  # known since the first part
+    assert held < 100 * e.kept[0]
+
+
+def test_worker_gives_back_what_a_part_needed():
+    code = f"""
+import re, sys
+import numpy as np, pyarrow as pa
+sys.path[:0] = {sys.path!r}
+from test_tokens import SOURCE, _new_words
+from stellate.llm.tokens import encoder
+def held():
+    return int(re.search(r"Pss_Anon: +([0-9]+)", open("/proc/self/smaps_rollup").read())[1]) / 1024
+texts = pa.array([" ".join(_new_words(150_000))] * 2 + [" ".join(_new_words(300_000))])
+e = encoder(SOURCE)
+list(e.encode(pa.array(["warm up"])))
+before = held()
+for _ in e.encode(texts):
+    pass
+print(held() - before)
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, timeout=120,
+                         cwd=os.path.dirname(__file__))
+    assert float(out.stdout.split()[-1]) < 60, out.stdout
+
+
 @pytest.mark.parametrize("n", [1, 63, 64, 65, 20000, token_files.BLOCK])
 def test_coder_round_trip_and_spans(n):
     rng = np.random.default_rng(n)
