@@ -49,7 +49,6 @@ from __future__ import annotations
 
 import heapq
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -140,7 +139,11 @@ def _bit(data: np.ndarray, ctx: np.ndarray, known: np.ndarray, b: int) -> tuple[
     """(node, bit, slots) of bit b of each symbol; node: 1 and the bits so far."""
     node = _U(1 << b) | (data >> _U(8 - b))
     bit = (data >> _U(7 - b)) & _U(1)
-    slots = (((ctx ^ _NODE_HASH[node]) * _U(0xC2B2AE35)) >> _SHIFT).astype(np.int32) + _BASE[:-1, None]
+    x = ctx ^ _NODE_HASH.take(node)
+    x *= _U(0xC2B2AE35)
+    x >>= _SHIFT
+    slots = x.astype(np.intp)  # what look-ups take without a copy
+    slots += _BASE[:-1, None]
     slots[5, ~known] = SLOTS - 1
     return node, bit, slots
 
@@ -174,10 +177,14 @@ def _gate(start: np.ndarray, three: np.ndarray) -> np.ndarray:
     return _START_LEVEL.take(start) + _THREE_LEVEL.take(three)
 
 
-def _byte_pairs(zero: np.ndarray, one: np.ndarray) -> np.ndarray:
+def _half_up(x: np.ndarray) -> np.ndarray:
+    return np.floor(x + 0.5)
+
+
+def _byte_pairs(zero: np.ndarray, one: np.ndarray, whole=np.round) -> np.ndarray:
     """Pairs of counts, scaled where they exceed a byte."""
     by = np.maximum(1.0, np.maximum(zero, one) / 255.0)
-    return np.round(zero / by).astype(np.uint16) | np.round(one / by).astype(np.uint16) << np.uint16(8)
+    return whole(zero / by).astype(np.uint16) | whole(one / by).astype(np.uint16) << np.uint16(8)
 
 
 def _refine_at(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -187,6 +194,35 @@ def _refine_at(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return low, y - low
 
 
+# Counts of slots, zeros and ones in turn, travel as compressed pieces.
+
+def _pieces(counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for lo in range(0, len(counts), 2 * PIECE):
+        piece = counts[lo:lo + 2 * PIECE]
+        if piece.any():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lo // (2 * PIECE)], pa.int32()),
+                 pa.array([pa.compress(piece, "zstd", asbytes=True)], pa.binary())], ["piece", "counts"])
+
+
+def _add_pieces(table: pa.Table, kind: type = np.uint32, whole=np.round) -> pa.Table:
+    total = np.zeros(2 * PIECE, np.int64)
+    for blob in table.column("counts"):
+        total += np.frombuffer(pa.decompress(blob.as_py(), total.size * np.dtype(kind).itemsize, "zstd", asbytes=True), kind)
+    pairs = _byte_pairs(total[0::2], total[1::2], whole)
+    return pa.table({"piece": table.column("piece").slice(0, 1),
+                     "counts": pa.array([pa.compress(pairs, "zstd", asbytes=True)], pa.binary())})
+
+
+def _whole(pieces: pa.Table, slots: int) -> np.ndarray:
+    """Pairs of all slots from those of the pieces."""
+    pairs = np.zeros(-(-slots // PIECE) * PIECE, np.uint16)
+    for piece, blob in zip(pieces.column("piece").to_pylist(), pieces.column("counts")):
+        pairs[piece * PIECE:(piece + 1) * PIECE] = np.frombuffer(
+            pa.decompress(blob.as_py(), 2 * PIECE, "zstd", asbytes=True), np.uint16)
+    return pairs[:slots]
+
+
 # ---- model ----------------------------------------------------------------
 
 @dataclass
@@ -231,8 +267,8 @@ def _blocks(words: list[bytes], symbols: int = _BLOCK) -> Iterator[tuple[int, in
 
 
 def _count_slots(batches: Iterator[pa.RecordBatch], starts) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros((SLOTS, 2), np.int64)
-    flat = counts.reshape(-1)
+    """(piece, counts): compressed pieces of the slots' counts."""
+    flat = np.zeros(2 * -(-SLOTS // PIECE) * PIECE, np.int64)
     for batch in batches:
         words, times = batch.column("word").to_pylist(), batch.column("c").to_numpy()
         for lo, hi in _blocks(words):
@@ -240,13 +276,11 @@ def _count_slots(batches: Iterator[pa.RecordBatch], starts) -> Iterator[pa.Recor
             c = np.broadcast_to(times[lo:hi][word], ctx.shape).ravel()
             for b in range(8):
                 _, bit, slots = _bit(data, ctx, known, b)
-                np.add.at(flat, (2 * slots + bit.astype(np.int32)).ravel(), c)
-    counts[-1] = 0
-    used = np.flatnonzero(counts.any(1))
-    for lo in range(0, len(used), 200_000):
-        k = used[lo:lo + 200_000]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(k.astype(np.int32)), pa.array(counts[k, 0]), pa.array(counts[k, 1])], ["slot", "zero", "one"])
+                slots *= 2
+                slots += bit
+                np.add.at(flat, slots.ravel(), c)
+    flat[2 * SLOTS - 2:] = 0
+    yield from _pieces(flat)
 
 
 def _start() -> np.ndarray:
@@ -271,11 +305,13 @@ def _learn(batches: Iterator[pa.RecordBatch], shared, ridge: float = 30.0) -> It
             c = times[lo:hi][word].astype(np.float32)
             for b in range(8):
                 node, bit, slots = _bit(data, ctx, known, b)
-                pair = pairs.take(slots) + ((bit + _U(1)) << _U(16))  # without the occurrence at hand
+                pair = pairs[slots] + ((bit.astype(np.intp) + 1) << 16)  # without the occurrence at hand
                 gate = _gate(pair[5], pair[3])
                 # The symbols of each gate side by side.
                 order = np.argsort(gate, kind="stable")
-                s, c_, hit = _ODDS.take(pair[:, order]), c[order], bit[order].astype(np.float32)
+                s, c_, hit = np.empty(pair.shape, np.float32), c[order], bit[order].astype(np.float32)
+                for k in range(CONTEXTS):
+                    _ODDS.take(pair[k].take(order), out=s[k], mode="clip")
                 node, x = node[order], np.empty(len(order), np.float32)
                 ends = np.cumsum(np.bincount(gate, minlength=SETS))
                 spans = [(g, slice(ends[g - 1] if g else 0, ends[g]))
@@ -311,15 +347,10 @@ def learn_mixer(words: DataFrame, frequent: int = FREQUENT, by: str = "c"):
     top = words.orderBy(F.desc(by), "word").limit(frequent).select("word").toArrow()["word"].to_pylist()
     starts = starts_of(sorted(top))
     shared_starts = spark.sparkContext.broadcast(starts)
-    sums = (words.mapInArrow(lambda it: _count_slots(it, shared_starts), "slot int, zero long, one long")
-            .groupBy("slot").agg(F.sum("zero").alias("zero"), F.sum("one").alias("one")))
-    # Scaled to a byte where they exceed it.
-    by_255 = F.greatest(F.lit(1.0), F.greatest("zero", "one") / 255.0)
-    got = sums.select("slot", *[F.round(F.col(c) / by_255).cast("int").alias(c) for c in ("zero", "one")]).toArrow()
-    pairs = np.zeros(SLOTS, np.uint16)
-    pairs[got["slot"].to_numpy()] = got["zero"].to_numpy().astype(np.uint16) | \
-        got["one"].to_numpy().astype(np.uint16) << np.uint16(8)
-    del got
+    counts = (words.mapInArrow(lambda it: _count_slots(it, shared_starts), "piece int, counts binary")
+              .groupBy("piece").applyInArrow(lambda t: _add_pieces(t, np.int64, _half_up), "piece int, counts binary").toArrow())
+    pairs = _whole(counts, SLOTS)
+    del counts
     shared_starts.destroy()
     shared = spark.sparkContext.broadcast((pairs, starts))
     rows = (words.mapInArrow(lambda it: _learn(it, shared), "kind int, at int, a double, b double")
@@ -343,24 +374,28 @@ def assemble(pairs: np.ndarray, starts: np.ndarray, kind: np.ndarray, at: np.nda
 
 # ---- documents ------------------------------------------------------------
 
-def _words(text: str | None) -> list[bytes]:
-    return (text or "").encode().lower().split()  # both know ASCII only
+def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Lower-cased words of the texts end to end, and how many each text has."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))  # both know ASCII only
+    flat, sizes = lists.flatten(), pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+    real = pc.not_equal(pc.binary_length(flat), 0)  # none in front of or behind white space
+    kept = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False))])
+    ends = np.cumsum(sizes)
+    return flat.filter(real).cast(pa.binary()), kept[ends] - kept[ends - sizes]
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        learn, rest, docs = Counter(), set(), 0
-        for text, mine in zip(batch.column("_text"), batch.column("learn").to_pylist()):
-            words = _words(text.as_py())
-            if mine:
-                learn.update(words)
-                docs += 1
-            else:
-                rest.update(words)
-        learn[b""] = docs  # the end of a text is an empty word
-        rest -= learn.keys()
-        names, counts = [*learn, *rest], [*learn.values(), *[0] * len(rest)]
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(counts, pa.int64())], ["word", "c"])
+        mine = batch.column("learn").fill_null(False)
+        learn = _words(batch.column("_text").filter(mine))[0].value_counts()
+        rest = _words(batch.column("_text").filter(pc.invert(mine)))[0].unique()
+        names = learn.field("values")
+        rest = rest.filter(pc.invert(pc.is_in(rest, value_set=names)))
+        # The end of a text is an empty word.
+        yield pa.RecordBatch.from_arrays(
+            [pa.concat_arrays([names, rest, pa.array([b""], pa.binary())]),
+             pa.concat_arrays([learn.field("counts"), pa.array(np.zeros(len(rest), np.int64)),
+                               pa.array([mine.true_count], pa.int64())])], ["word", "c"])
 
 
 def _score_words(batches: Iterator[pa.RecordBatch], shared, weights, refine) -> Iterator[pa.RecordBatch]:
@@ -397,16 +432,19 @@ class Code:
             side[j] = 1
             heapq.heappush(heap, (a + b, new))
             new += 1
-        root, paths = new - 1, []
-        for symbol in range(n):
-            at, path = symbol, []
-            while at != root:
-                path.append((above[at] - n, side[at]))
-                at = above[at]
-            paths.append(path[::-1])
-        size = np.array([len(p) for p in paths], np.int64)
-        flat = np.array([x for p in paths for x in p], np.int32).reshape(-1, 2)
-        return Code(np.cumsum(size) - size, size, flat[:, 0], flat[:, 1].astype(np.uint8))
+        # All paths at once, from the leaves up: a level's steps stand one place further from the paths' ends.
+        root, up, size = new - 1, np.arange(n), np.zeros(n, np.int64)
+        while (on := up != root).any():
+            size += on
+            up = np.where(on, above[up], root)
+        begin, up = np.cumsum(size) - size, np.arange(n)
+        nodes, bits = np.empty(int(size.sum()), np.int32), np.empty(int(size.sum()), np.uint8)
+        for back in range(1, int(size.max(initial=0)) + 1):
+            on = np.flatnonzero(size >= back)
+            at = begin[on] + size[on] - back
+            nodes[at], bits[at] = above[up[on]] - n, side[up[on]]
+            up[on] = above[up[on]]
+        return Code(begin, size, nodes, bits)
 
     def spread(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(word number, node, bit) of all bits of the symbols' paths."""
@@ -439,7 +477,12 @@ def _befores(number: np.ndarray, place: np.ndarray) -> np.ndarray:
 
 def _text_slot(before: np.ndarray, salt: np.ndarray, shift: np.uint32, first: int) -> np.ndarray:
     """Slots of all bits in one context."""
-    return (((before ^ salt) * _U(0x2C1B3C6D)) >> shift).astype(np.int32) + np.int32(first)
+    x = before ^ salt
+    x *= _U(0x2C1B3C6D)
+    x >>= shift
+    slots = x.astype(np.intp)  # what look-ups take without a copy
+    slots += first
+    return slots
 
 
 #: Set of weights, by pairs: how often the word before, both, and the one before
@@ -500,14 +543,16 @@ class TextModel:
         found = []
         for part, at, back in _cut(number, place):
             word, bit, slots = self.parts(part, at, back)
-            pair = np.stack([self.pairs.take(s) for s in slots])
+            pair = [self.pairs[s].astype(np.intp) for s in slots]
             gate = _text_gate(pair)
             weights = self.weights.take(gate, axis=0)
-            x = _ODDS.take(pair[0]) * weights[:, 0]
+            x = _ODDS[pair[0]] * weights[:, 0]
             for k in range(1, TEXT_CONTEXTS):
-                x += _ODDS.take(pair[k]) * weights[:, k]
-            p = _text_refined(self.refine, x, gate)
-            found.append(np.bincount(word, np.log(np.where(bit == 1, p, 1 - p)), len(part) - back))
+                x += _ODDS[pair[k]] * weights[:, k]
+            p = _text_refined(self.refine, x, gate.astype(np.intp))
+            p -= bit == 0  # 1 - p of a bit that is 0
+            np.abs(p, out=p)
+            found.append(np.bincount(word, np.log(p, out=p), len(part) - back))
         return np.concatenate(found)
 
     def log10(self, number: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -518,9 +563,8 @@ class TextModel:
         begin = np.cumsum(sizes) - sizes
         text = np.repeat(np.arange(len(sizes)), sizes)
         place = np.arange(n) - begin[text]
-        symbol = np.minimum(number, self.escape)
-        rare = symbol == self.escape
-        often, stood = _earlier(text, symbol), _earlier(text, number)
+        rare = number >= self.escape
+        stood = _earlier(text, number)
         again = (stood > 0) & (rare | (number >= EVERYDAY)) & (number != self.end)
 
         def so_far(x: np.ndarray) -> np.ndarray:
@@ -529,24 +573,38 @@ class TextModel:
             return total[:-1] - total[begin][text]
 
         w = np.minimum((so_far(again) + 0.3) / (place + 30), 0.95) * (place > 0)
+        escaped = so_far(rare)
+        often = np.where(rare, escaped, stood)  # how often the symbol stood
         p = (1 - w) * np.exp(self.coded(number, place)) + w * often / np.maximum(place, 1)
         # Behind the escape: a word of this text again, or another one.
         first = rare & (stood == 0)
-        escaped, repeats = so_far(rare), so_far(rare & (stood > 0))
+        repeats = so_far(rare & (stood > 0))
         share = (repeats + 0.3) / (escaped + 2) * (escaped > 0)
         p = np.where(rare, p * np.where(first, 1 - share, share * stood / np.maximum(escaped, 1)), p)
         return np.add.reduceat(np.log10(p), begin), first
 
 
 def _text_refined(refine: np.ndarray, x: np.ndarray, gate: np.ndarray) -> np.ndarray:
-    y = np.clip(x + np.float32(12), 0, np.float32(23.999)) * np.float32((BUCKETS - 1) / 24)
-    low = y.astype(np.int32)
-    y -= low
-    low += gate.astype(np.int32) * np.int32(BUCKETS)
+    y = x + np.float32(12)
+    np.clip(y, 0, np.float32(23.999), out=y)
+    y *= np.float32((BUCKETS - 1) / 24)
+    low = y.astype(np.intp)
+    y -= np.floor(y)
+    low += gate * BUCKETS
     flat = refine.reshape(-1)
-    fine = flat.take(low)
-    fine += (flat.take(low + 1) - fine) * y
-    return np.clip((1 / (1 + np.exp(-x)) + fine) * np.float32(0.5), np.float32(1e-6), np.float32(1 - 1e-6))
+    fine = flat[low]
+    low += 1
+    up = flat[low]
+    up -= fine
+    up *= y
+    fine += up
+    p = np.negative(x)
+    np.exp(p, out=p)
+    p += 1
+    np.reciprocal(p, out=p)
+    p += fine
+    p *= np.float32(0.5)
+    return np.clip(p, np.float32(1e-6), np.float32(1 - 1e-6), out=p)
 
 
 def _earlier(text: np.ndarray, key: np.ndarray) -> np.ndarray:
@@ -591,27 +649,19 @@ def _count_text(batches: Iterator[pa.RecordBatch], shared, bits: int) -> Iterato
     """(piece, counts): compressed pieces of the slots' counts."""
     model = TextModel(shared.value, bits)
     counts = np.zeros(2 * -(-model.slots // PIECE) * PIECE, np.uint32)
-    one = np.uint32(1)
+    one, often = np.uint32(1), np.zeros(len(model.code.size), np.int64)
     for number, _, place in _runs(batches):
         for part, at, back in _cut(number, place):
             _, bit, slots = model.parts(part, at, back)
-            for s in slots:
-                np.add.at(counts, 2 * s + bit, one)
-    for lo in range(0, len(counts), 2 * PIECE):
-        piece = counts[lo:lo + 2 * PIECE]
-        if piece.any():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lo // (2 * PIECE)], pa.int32()),
-                 pa.array([pa.compress(piece, "zstd", asbytes=True)], pa.binary())], ["piece", "counts"])
-
-
-def _add_pieces(table: pa.Table) -> pa.Table:
-    total = np.zeros(2 * PIECE, np.int64)
-    for blob in table.column("counts"):
-        total += np.frombuffer(pa.decompress(blob.as_py(), 8 * PIECE, "zstd", asbytes=True), np.uint32)
-    pairs = _byte_pairs(total[0::2], total[1::2])
-    return pa.table({"piece": table.column("piece").slice(0, 1),
-                     "counts": pa.array([pa.compress(pairs, "zstd", asbytes=True)], pa.binary())})
+            often += np.bincount(np.minimum(part[back:], model.escape), minlength=len(often))
+            for s in slots[1:]:
+                s *= 2
+                s += bit
+                np.add.at(counts, s, one)
+    # The context of no word: as often as the symbol.
+    symbol, node, bit = model.code.spread(np.arange(len(often)))
+    np.add.at(counts, 2 * node + bit, often[symbol].astype(np.uint32))
+    yield from _pieces(counts)
 
 
 def _learn_text(batches: Iterator[pa.RecordBatch], shared, ridge: float = 30.0) -> Iterator[pa.RecordBatch]:
@@ -624,12 +674,14 @@ def _learn_text(batches: Iterator[pa.RecordBatch], shared, ridge: float = 30.0)
     for number, _, place in _runs(batches):
         for part, at, back in _cut(number, place):
             _, bit, slots = model.parts(part, at, back)
-            left_out = (bit.astype(np.int32) + 1) << 16     # without the occurrence at hand
-            pair = np.stack([pairs.take(s) + left_out for s in slots])
+            left_out = (bit.astype(np.intp) + 1) << 16     # without the occurrence at hand
+            pair = [pairs[s] + left_out for s in slots]
             gate = _text_gate(pair)
             order = np.argsort(gate, kind="stable")
             gate, bit = gate[order], bit[order].astype(np.float32)
-            s, x = _ODDS.take(pair[:, order]), np.empty(len(order), np.float32)
+            s, x = np.empty((TEXT_CONTEXTS, len(order)), np.float32), np.empty(len(order), np.float32)
+            for k in range(TEXT_CONTEXTS):
+                _ODDS.take(pair[k].take(order), out=s[k], mode="clip")
             ends = np.cumsum(np.bincount(gate, minlength=TEXT_SETS))
             spans = [(g, slice(ends[g - 1] if g else 0, ends[g])) for g in np.flatnonzero(np.diff(ends, prepend=0)).tolist()]
             for g, span in spans:
@@ -672,16 +724,13 @@ def learn_text(ranked: DataFrame, code: Code, words: int):
     tasks = max(1, min(4 * cores, max(words // TASK_WORDS, min(cores, words // (TASK_WORDS // 16)))))
     counts = (texts.coalesce(tasks).mapInArrow(lambda it: _count_text(it, shared_code, bits), "piece int, counts binary")
               .groupBy("piece").applyInArrow(lambda t: _add_pieces(t), "piece int, counts binary").toArrow())
-    slots = TextModel(code, bits).slots
-    pairs = np.zeros(-(-slots // PIECE) * PIECE, np.uint16)
-    for piece, blob in zip(counts.column("piece").to_pylist(), counts.column("counts").to_pylist()):
-        pairs[piece * PIECE:(piece + 1) * PIECE] = np.frombuffer(
-            pa.decompress(blob, 2 * PIECE, "zstd", asbytes=True), np.uint16)
+    pairs = _whole(counts, TextModel(code, bits).slots)
+    del counts
     shared_code.destroy()
-    shared = spark.sparkContext.broadcast((code, bits, pairs[:slots].copy()))
+    shared = spark.sparkContext.broadcast((code, bits, pairs))
     rows = (texts.mapInArrow(lambda it: _learn_text(it, shared), "kind int, at int, a double, b double")
             .groupBy("kind", "at").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).toArrow())
-    return assemble_text(code, bits, pairs[:slots], *(rows[c].to_numpy() for c in ("kind", "at", "a", "b"))), shared
+    return assemble_text(code, bits, pairs, *(rows[c].to_numpy() for c in ("kind", "at", "a", "b"))), shared
 
 
 def assemble_text(code: Code, bits: int, pairs: np.ndarray, kind: np.ndarray, at: np.ndarray,
@@ -697,44 +746,35 @@ def assemble_text(code: Code, bits: int, pairs: np.ndarray, kind: np.ndarray, at
                      (hits / seen).astype(np.float32).reshape(TEXT_SETS, BUCKETS))
 
 
-class _Ranks(dict):
-    """Ranks of words; a word without one gets the next."""
-
-    def __missing__(self, word: bytes) -> int:
-        n = self[word] = len(self)
-        return n
-
-
 def _ranked(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
     """Words of each text as numbers; its rare words, with how often.  Numbers:
     the rank of a frequent word, then the end, then hashes of rare words."""
-    top = len(shared.value)
-    ranks = {w: i for i, w in enumerate(shared.value)}
-    ranks[b""] = top                     # the end of a text is an empty word
+    names = pa.array(shared.value, pa.binary())
+    top = len(names)
     room = (1 << 31) - top - 2
     for batch in batches:
-        number = _Ranks(ranks)
-        find, parts, sizes = number.__getitem__, [], []
-        for text in batch.column("_text"):
-            words = _words(text.as_py())
-            sizes.append(len(b" ".join(words)) + 1 + bool(words))
-            words.append(b"")
-            parts.append(np.fromiter(map(find, words), np.int32, len(words)))
-        tokens = np.array([len(x) for x in parts], np.int64)
-        at = np.concatenate(parts)
-        rare_at = at > top
-        key = np.repeat(np.arange(len(parts)), tokens)[rare_at] << 32 | at[rare_at]
-        key, often = np.unique(key, return_counts=True)
-        ends = np.concatenate([[0], np.cumsum(np.bincount(key >> 32, minlength=len(parts)))]).astype(np.int32)
-        rare_words = list(number)[top + 1:]
-        names = pa.array(rare_words, pa.binary())
-        rare = names.take(pa.array((key & 0xFFFFFFFF) - top - 1))
-        hashed = np.concatenate([np.arange(top + 1), top + 1 + np.fromiter(
-            (zlib.crc32(w) % room for w in rare_words), np.int64, len(rare_words))]).astype(np.int32)
+        words, sizes = _words(batch.column("_text"))
+        met = words.dictionary_encode()
+        code, distinct = met.indices.to_numpy(zero_copy_only=False), met.dictionary
+        number = pc.index_in(distinct, value_set=names).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int32)
+        new = np.flatnonzero(number < 0)
+        is_rare = number < 0
+        number[new] = top + 1 + np.fromiter((zlib.crc32(w) % room for w in distinct.take(pa.array(new)).to_pylist()),
+                                            np.int64, len(new))
+        text = np.repeat(np.arange(len(sizes)), sizes)
+        laid = np.full(len(code) + len(sizes), top, np.int32)  # the end of a text is an empty word
+        laid[np.arange(len(code)) + text] = number[code]
+        rare_at = is_rare[code]
+        key, often = np.unique(text[rare_at] << 32 | code[rare_at], return_counts=True)
+        ends = np.concatenate([[0], np.cumsum(np.bincount(key >> 32, minlength=len(sizes)))]).astype(np.int32)
+        rare = distinct.take(pa.array(key & 0xFFFFFFFF))
+        length = np.concatenate([[0], np.cumsum(pc.binary_length(words).to_numpy(zero_copy_only=False), dtype=np.int64)])
+        last, till = np.cumsum(sizes), np.cumsum(sizes + 1)
         yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in ("_id", "_out", "learn")), pa.array(tokens), pa.array(sizes, pa.int64()),
-             pa.array([hashed[x].tobytes() for x in parts], pa.binary()), pa.ListArray.from_arrays(ends, rare),
-             pa.ListArray.from_arrays(ends, pa.array(often, pa.int64()))],
+            [*(batch.column(c) for c in ("_id", "_out", "learn")), pa.array(sizes + 1),
+             pa.array(length[last] - length[last - sizes] + sizes + 1),
+             pa.array([laid[b - n - 1:b].tobytes() for n, b in zip(sizes.tolist(), till.tolist())], pa.binary()),
+             pa.ListArray.from_arrays(ends, rare), pa.ListArray.from_arrays(ends, pa.array(often, pa.int64()))],
             ["_id", "_out", "learn", "tokens", "bytes", "number", "rare", "often"])
 
 

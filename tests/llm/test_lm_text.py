@@ -1,8 +1,13 @@
 """The words of texts: code, slots, probabilities, and what order is worth."""
 
 import random
+import tracemalloc
+import zlib
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -113,3 +118,73 @@ def test_order_counts(scored):
     plain, mixed = (sum(scored[k].score for k in ids) for ids in (held, [-i - 1 for i in held]))
     assert sum(scored[i].base_score for i in held) == pytest.approx(sum(scored[-i - 1].base_score for i in held))
     assert mixed < 1.03 * plain
+
+
+def test_code_is_built_in_little_memory():
+    """The driver builds the code of up to 65,538 symbols: lists of (node, bit) took
+    about 140 bytes for each bit of each path."""
+    weights = np.maximum(1, 1_000_000 // np.arange(1, 8193))
+    tracemalloc.start()
+    try:
+        code = M.Code.of(weights)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 60 * code.size.sum()
+    # Nodes count down to the leaf, so a path starts at the root; no two paths share a bit at one node.
+    assert (code.nodes[code.begin] == len(weights) - 2).all()
+    word, node, _ = code.spread(np.arange(len(weights)))
+    assert (np.diff(node.astype(int))[np.diff(word) == 0] < 0).all()
+
+
+def test_words_and_ranks_by_hand():
+    texts = ["The cat  the\tCAT\x0bsat", "", None, " \r\n ", " nul\x00 É\x1cx \x85 ", "rare rare the Rare"]
+    want = [(t or "").encode().lower().split() for t in texts]
+    flat, sizes = M._words(pa.array(texts, pa.string()))
+    assert flat.to_pylist() == [w for ws in want for w in ws] and sizes.tolist() == [len(ws) for ws in want]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(6)), pa.array([False] * 6), pa.array([True, True, None, True, False, True]),
+         pa.array(texts, pa.string())], ["_id", "_out", "learn", "_text"])
+    got = list(M._count_words(iter([batch, batch.slice(0, 0)])))[0].to_pydict()
+    learn = Counter(w for k in (0, 1, 3, 5) for w in want[k])
+    counts = {**dict.fromkeys(want[4], 0), **learn, b"": 4}
+    assert len(got["word"]) == len(counts) and dict(zip(got["word"], got["c"])) == counts
+
+    class Shared:
+        value = [b"the", b"cat"]
+
+    out = list(M._ranked(iter([batch, batch.slice(0, 0)]), Shared))
+    assert [x.num_rows for x in out] == [6, 0]
+    known = {b"the": 0, b"cat": 1, b"": 2}
+    for row, ws in zip(out[0].to_pylist(), want):
+        assert np.frombuffer(row["number"], np.int32).tolist() == [
+            known[w] if w in known else 3 + zlib.crc32(w) % ((1 << 31) - 4) for w in [*ws, b""]]
+        assert row["tokens"] == len(ws) + 1 and row["bytes"] == sum(len(w) + 1 for w in ws) + 1
+        assert dict(zip(row["rare"], row["often"])) == Counter(w for w in ws if w not in known)
+
+
+def test_spelling_counts_travel_as_pieces():
+    """As one count after the other, scaled to a byte and halves rounded up."""
+    words, times = [b"a", b"ab", b"abc", b"ba"], np.array([3, 510, 1, 255])
+    starts = M.starts_of([b"ab"])
+
+    class Shared:
+        value = starts
+
+    batches = [pa.RecordBatch.from_arrays([pa.array(words[k:k + 2], pa.binary()), pa.array(times[k:k + 2])], ["word", "c"])
+               for k in (0, 2)]
+    pieces = pa.concat_tables([pa.Table.from_batches(M._count_slots(iter([b]), Shared)) for b in batches])
+    added = pa.concat_tables([M._add_pieces(pieces.filter(pc.equal(pieces["piece"], k)), np.int64, M._half_up)
+                              for k in pieces["piece"].unique().to_pylist()])
+    want = np.zeros((M.SLOTS, 2), np.int64)
+    data, ctx, word, known = M.spell(words, starts)
+    for b in range(8):
+        _, bit, slots = M._bit(data, ctx, known, b)
+        for k in range(M.CONTEXTS):
+            for s, x, w in zip(slots[k].tolist(), bit.tolist(), word.tolist()):
+                want[s, x] += times[w]
+    want[-1] = 0
+    assert want.max() > 255
+    by = np.maximum(1, want.max(1) / 255)[:, None]
+    scaled = np.floor(want / by + 0.5).astype(int)
+    assert (M._whole(added, M.SLOTS) == (scaled[:, 0] | scaled[:, 1] << 8)).all()
