@@ -324,11 +324,14 @@ def _learn(batches: Iterator[pa.RecordBatch], shared, ridge: float = 30.0) -> It
                 seen += np.bincount(at, c_, 256 * BUCKETS)
                 hits += np.bincount(at, c_ * hit, 256 * BUCKETS)
                 err, bend = c_ * (hit - p), c_ * p * (1 - p)
-                for g, at in spans:
+                slope = np.empty((len(spans), CONTEXTS, 1))
+                for k, (g, at) in enumerate(spans):
                     t = s[:, at]
                     curve[b, g] += (t * bend[at]) @ t.T
-                    weights[b, g] += np.linalg.solve(curve[b, g], (t @ err[at]).astype(float))
+                    slope[k, :, 0] = t @ err[at]
                     mass[b, g] += c_[at].sum(dtype=float)
+                met = [g for g, _ in spans]
+                weights[b, met] += np.linalg.solve(curve[b, met], slope)[:, :, 0]
     names = ["kind", "at", "a", "b"]
     yield pa.RecordBatch.from_arrays(
         [pa.array(np.zeros(weights.size, np.int32)), pa.array(np.arange(weights.size, dtype=np.int32)),
@@ -692,11 +695,14 @@ def _learn_text(batches: Iterator[pa.RecordBatch], shared, ridge: float = 30.0)
             seen += np.bincount(spot, minlength=len(seen))
             hits += np.bincount(spot, bit, len(seen))
             err, bend = bit - p, p * (1 - p)
-            for g, span in spans:
+            slope = np.empty((len(spans), TEXT_CONTEXTS, 1))
+            for k, (g, span) in enumerate(spans):
                 t = s[:, span]
                 curve[g] += (t * bend[span]) @ t.T
-                weights[g] += np.linalg.solve(curve[g], (t @ err[span]).astype(float))
+                slope[k, :, 0] = t @ err[span]
                 mass[g] += span.stop - span.start
+            met = [g for g, _ in spans]
+            weights[met] += np.linalg.solve(curve[met], slope)[:, :, 0]
     names = ["kind", "at", "a", "b"]
     yield pa.RecordBatch.from_arrays(
         [pa.array(np.zeros(weights.size, np.int32)), pa.array(np.arange(weights.size, dtype=np.int32)),
@@ -815,20 +821,20 @@ def score_texts(docs: DataFrame, *, learn: Column, held_out: Column, id_col: str
                        col(text_col).alias("_text"))
     words = stored(rows.select("learn", "_text").mapInArrow(_count_words, "word binary, c long")
                    .groupBy("word").agg(F.sum("c").alias("c")), "words")[0]
-    n, v, ends = words.agg(F.sum("c"), F.count_if(F.col("c") > 0), F.sum(F.when(F.col("word") == b"", F.col("c")))).first()
+    n, v, ends, once = words.agg(
+        F.sum("c"), F.count_if(F.col("c") > 0), F.sum(F.when(F.col("word") == b"", F.col("c"))),
+        F.count_if((F.col("c") == 1) & (F.col("word") != b""))).first()
     n, v, ends = n or 0, v or 0, ends or 0
     top = words.where(F.col("c") >= LEAST_COUNT).where(F.col("word") != b"").orderBy(F.desc("c"), "word").limit(frequent).toArrow()
     names, often = top["word"].to_pylist(), top["c"].to_numpy()
     rare_count = n - ends - int(often.sum())
     # Words that are rare: their counts, or their spelling if they are new.
-    is_top = F.col("c") > int(often[-1]) if len(names) == frequent else F.col("c") >= LEAST_COUNT
-    edge = [] if len(names) < frequent else [w for w, c in zip(names, often) if c == often[-1]]
+    is_top = F.col("c") >= LEAST_COUNT
+    if len(names) == frequent:           # the limit cuts among words of one count
+        last = int(often[-1])
+        is_top = (F.col("c") > last) | ((F.col("c") == last) & (F.col("word") <= names[-1]))
     rare_words = words.where((F.col("word") != b"") & ~is_top)
-    if edge:                             # words of the count that the limit cuts
-        rare_words = rare_words.join(F.broadcast(spark.createDataFrame([(bytearray(w),) for w in edge], "word binary")),
-                                     "word", "left_anti")
     base = F.log10((F.col("c") + 1) / F.lit(float(n + v + 1)))
-    once = rare_words.agg(F.count_if(F.col("c") == 1)).first()[0]
     # As many new words are to be expected as stand just once now.
     new = (once + 1) / (rare_count + 2)
     # New words are spelled like the words there are, each taken once: those that
@@ -857,8 +863,8 @@ def score_texts(docs: DataFrame, *, learn: Column, held_out: Column, id_col: str
         lambda it: _score_texts(it, pairs, mixing, refining, *tops),
         f"row long, _id {kind}, _out boolean, tokens long, bytes long, seen long, base double, mix double")
     rare = ranked.select("row", F.inline(F.arrays_zip("rare", "often"))).toDF("row", "word", "often")
-    # Frequent words are gone, so no word is a hot key of this join.
-    more = (rare.join(known.unionByName(unknown), "word").groupBy("row")
+    # Frequent words are gone, so no word is a hot key of this join; each stands once on the side that is hashed.
+    more = (rare.join(known.unionByName(unknown).hint("shuffle_hash"), "word").groupBy("row")
             .agg(F.sum(F.col("known") * F.col("often")).alias("k"), F.sum(F.col("b") * F.col("often")).alias("b"),
                  F.sum("s").alias("s")))  # once a text: where the word first stands
     zero, score = F.lit(0), F.col("mix") + F.coalesce("s", F.lit(0.0))
