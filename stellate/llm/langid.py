@@ -194,7 +194,7 @@ def _label(batches: Iterator[pa.RecordBatch], shared, penalty: float, max_words:
             s, n = model.word_scores(known.new)
             scores, letters = np.concatenate([scores, s]), np.concatenate([letters, n])
             known.new = []
-        sizes = np.array([len(x) for x in texts])
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))  # none, if a batch ends with a flush
         words = np.concatenate(texts) if texts else np.empty(0, np.int64)
         label = viterbi(scores[words], sizes, penalty)
         doc, weight = np.repeat(np.arange(len(texts)), sizes), letters[words]

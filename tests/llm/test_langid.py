@@ -1,6 +1,9 @@
 """Viterbi against plain dynamic programming; spans and held-out accuracy."""
 
+from types import SimpleNamespace
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -83,6 +86,39 @@ def test_texts_and_spans(make):
     assert sum(s[2] for s in spans) == len(mixed.split())
 
 
+def model_of(languages):
+    logp = np.random.default_rng(7).normal(-8, 2, (L.BUCKETS, len(languages))).astype(np.float32)
+    return L.LanguageModel(languages, logp, np.ones((len(L.SCRIPTS), len(languages)), bool))
+
+
+def test_batch_may_end_with_a_flush():
+    model = model_of(["en", "fr", "ru"])
+    rows = [(1, "the house"), (2, None), (3, "12 ?"), (4, " ".join(EN[:7] + FR[:5])), (5, "le chat"), (6, "я быть она")]
+
+    def labelled(step, n, per_batch):
+        batches = [pa.RecordBatch.from_arrays([pa.array([i for i, _ in x]), pa.array([t for _, t in x], pa.string())],
+                                              ["_id", "_text"])
+                   for x in (rows[a:min(a + per_batch, n)] for a in range(0, n, per_batch))]
+        got = list(L._label(iter(batches), SimpleNamespace(value=model), 8.0, 5, step))
+        assert [b.num_rows for b in got] == [b.num_rows for b in batches]
+        return [r for b in got for r in b.to_pylist()]
+
+    want = labelled(4_000_000, len(rows), len(rows))
+    assert [r["_id"] for r in want] == [i for i, _ in rows]
+    for step in range(0, 3 * 30):  # every text, and so the last of a batch, is the one that fills a step at some size
+        for n in range(1, len(rows) + 1):
+            assert labelled(step, n, n) == want[:n]
+        assert labelled(step, len(rows), 2) == want
+
+
+def test_last_text_of_a_partition_fills_a_step(make):
+    """100 languages: a step holds 40,000 words, and the only long text comes last."""
+    model = model_of([f"l{i:02d}" for i in range(100)])
+    rows = [(1, "some words"), (2, "the " * 40_000)]
+    got = {r.doc_id: r for r in L.label_languages(make(rows).coalesce(1), model).collect()}
+    assert set(got) == {1, 2} and got[2].score == 1 and [s.words for s in got[2].spans] == [40_000]
+
+
 def test_nothing_learned(make):
     model = L.learn_languages(make([(1, None), (2, "12")]))
     got = L.label_languages(make([(1, "some words"), (2, None)]), model).collect()
